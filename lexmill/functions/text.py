@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Java's \s is ASCII only unless (?U) is set, and it must be set in each branch.
-EDGE_SPACE = r"(?U)^\s+|(?U)\s+$"
-INNER_SPACE = r"(?U)\s"
-# Line breaks that a line reader of the host language honours beside \n.
-LINE_BREAK = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085  ]"
+# White space and line breaks as the host language's strip() and splitlines() see them.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+LINE_BREAK = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
 
 
 def strip(col: Column) -> Column:
     """Trim all Unicode white space, not only blanks."""
-    return F.regexp_replace(col, EDGE_SPACE, "")
+    return F.btrim(col, F.lit(SPACES))
 
 
 def blank_to_null(col: Column) -> Column:
@@ -38,23 +36,36 @@ def _char_class(chars: list[str]) -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
 
 
+INNER_SPACE = _char_class(list(SPACES))
 _FOLDS = _fold_table()
 # Capital sigma and dotted capital I lower-case differently inside a word than alone.
 _NEEDS_FOLD = _char_class([*_FOLDS, "Σ", "İ"])
 
 
 def casefold(col: Column) -> Column:
-    """Full case folding: native lower() unless the text holds one of the special characters."""
+    """Full case folding: native lower() unless the text holds one of the special characters.
+
+    ASCII text, told by its byte length, does not even look for them.
+    """
     table = F.create_map(*[F.lit(x) for pair in _FOLDS.items() for x in pair])
     spelled = F.array_join(
         F.transform(F.split(col, ""), lambda c: F.coalesce(F.try_element_at(table, c), F.lower(c))), ""
     )
-    return F.when(col.rlike(_NEEDS_FOLD), spelled).otherwise(F.lower(col))
+    ascii_only = F.octet_length(col) == F.char_length(col)
+    return F.when(~ascii_only & col.rlike(_NEEDS_FOLD), spelled).otherwise(F.lower(col))
+
 
+def with_normalized(df: DataFrame, raw: str, name: str = "normalized_form", type_name: str = "type") -> DataFrame:
+    """Add the trimmed, case-folded form (NULL when blank) and its type.
 
-def normalized_form(raw: Column) -> Column:
-    """Trimmed and case-folded; NULL when blank."""
-    return blank_to_null(casefold(strip(raw)))
+    Three projections, so that each step is computed once.
+    """
+    return (
+        df.withColumn("_stripped", blank_to_null(strip(F.col(raw))))
+        .withColumn(name, casefold(F.col("_stripped")))
+        .drop("_stripped")
+        .withColumn(type_name, form_type(F.col(name)))
+    )
 
 
 def form_type(normalized: Column) -> Column:
