@@ -55,10 +55,15 @@ def casefold(col: Column) -> Column:
     return F.when(~ascii_only & col.rlike(_NEEDS_FOLD), spelled).otherwise(F.lower(col))
 
 
+def is_blank(col: Column) -> Column:
+    return col.rlike(f"^{INNER_SPACE}*$")
+
+
 def with_normalized(df: DataFrame, raw: str, name: str = "normalized_form", type_name: str = "type") -> DataFrame:
     """Add the trimmed, case-folded form (NULL when blank) and its type.
 
-    Three projections, so that each step is computed once.
+    Three projections, so that each step is computed once. To leave blank rows out, filter
+    with `is_blank(raw)` before: a filter on the result would be pushed down and fold twice.
     """
     return (
         df.withColumn("_stripped", blank_to_null(strip(F.col(raw))))

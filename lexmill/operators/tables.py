@@ -23,11 +23,14 @@ PIPELINE = "pipeline"
 def first_spelling(lines: DataFrame, order: Sequence[str], raw: str = "raw_form", keep: Sequence[str] = ()) -> DataFrame:
     """(normalized_form, type, raw_form, first_seen, ...): the first raw spelling of each form.
 
-    A minimum per form, so repeated forms shrink before the shuffle. Blank lines are left out.
+    Lines are first reduced to distinct spellings with their earliest place. With one numeric
+    order column that is a hash aggregation before the shuffle; several columns compare as a
+    struct and aggregate by sorting. Only spellings are then normalised. Blank lines are left out.
     """
-    forms = T.with_normalized(lines, raw).where(F.col("normalized_form").isNotNull())
-    seen = F.struct(*order)
-    first = F.min(F.struct(seen.alias("seen"), F.col(raw).alias("raw_form"), *keep)).alias("_first")
+    seen = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    spellings = lines.where(~T.is_blank(F.col(raw))).groupBy(raw, *keep).agg(F.min(seen).alias("_seen"))
+    forms = T.with_normalized(spellings, raw)
+    first = F.min(F.struct(F.col("_seen").alias("seen"), F.col(raw).alias("raw_form"), *keep)).alias("_first")
     grouped = forms.groupBy("normalized_form", "type").agg(first)
     return grouped.select(
         "normalized_form", "type", "_first.raw_form", F.col("_first.seen").alias("first_seen"),

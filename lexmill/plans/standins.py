@@ -133,9 +133,10 @@ class Tables:
 
     @property
     def raw_tokens(self) -> DataFrame:
-        return self.read("documents").select(
+        tokens = self.read("documents").select(
             "doc_id", F.posexplode(F.split("text", SPLIT)).alias("pos", "raw_form"), F.col("source").alias("batch_id")
         )
+        return tokens.withColumn("line_no", F.col("doc_id") * 1_000_000 + F.col("pos"))
 
     @property
     def dom_words(self) -> DataFrame:

@@ -15,7 +15,7 @@ cur AS (SELECT normalized_form, min(item_id) AS id FROM
 
 def _known_forms(t):
     tokens = t.read("benchmark").select("item_id", F.explode(F.split("text", "[ \t\r\n\f]+")).alias("raw_form"))
-    forms = T.with_normalized(tokens, "raw_form").where("normalized_form IS NOT NULL")
+    forms = T.with_normalized(tokens.where(~T.is_blank(F.col("raw_form"))), "raw_form")
     return forms.groupBy("normalized_form", "type").agg(F.min("item_id").alias("id"))
 
 
@@ -26,7 +26,7 @@ def _known_forms(t):
     FROM first_forms WHERE normalized_form NOT IN (SELECT normalized_form FROM cur)""",
 )
 def insert_ignore(t):
-    return O.insert_ignore(_known_forms(t), t.raw_tokens, ["doc_id", "pos"], keep=["batch_id"])
+    return O.insert_ignore(_known_forms(t), t.raw_tokens, ["line_no"], keep=["batch_id"])
 
 
 @query(
@@ -45,7 +45,7 @@ def insert_outcome(t):
     "SELECT normalized_form, type, raw_form, batch_id FROM first_forms",
 )
 def first_spelling(t):
-    rows = O.first_spelling(t.raw_tokens, ["doc_id", "pos"], keep=["batch_id"])
+    rows = O.first_spelling(t.raw_tokens, ["line_no"], keep=["batch_id"])
     return rows.select("normalized_form", "type", "raw_form", "batch_id")
 
 

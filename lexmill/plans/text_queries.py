@@ -86,8 +86,8 @@ def scan_result_log(t):
 def normalize_form(t):
     raw = t.raw_tokens.select("raw_form").unionByName(t.read("part").select(F.concat(F.lit("  "), "p_name").alias("raw_form")))
     # Equal raw forms are counted first, so each spelling is normalised once.
-    spellings = raw.groupBy("raw_form").agg(F.count("*").alias("n"))
-    forms = T.with_normalized(spellings, "raw_form").where("normalized_form IS NOT NULL")
+    spellings = raw.where(~T.is_blank(F.col("raw_form"))).groupBy("raw_form").agg(F.count("*").alias("n"))
+    forms = T.with_normalized(spellings, "raw_form")
     return forms.groupBy("normalized_form", "type").agg(F.sum("n").alias("n"))
 
 
