@@ -1 +1,8 @@
 """Set-at-a-time operators for incremental dictionary production on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job; executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
