@@ -103,17 +103,23 @@ def with_cost(calls: DataFrame, model: str = "model", tokens_in: str = "tokens_i
     The longest table entry contained in the model name applies. Names repeat, so prices are
     looked up once per distinct name as literals inside one expression, with no join.
     """
-    best = F.lit(None).cast("struct<price_in:double,price_out:double>")
+    def entry(price_in: float, price_out: float) -> Column:
+        money = "decimal(9,4)"
+        return F.struct(F.lit(str(price_in)).cast(money).alias("price_in"), F.lit(str(price_out)).cast(money).alias("price_out"))
+
+    fallback = entry(*DEFAULT_PRICE)
+    best = F.when(F.lit(False), fallback)
     for part, price_in, price_out in sorted(MODEL_PRICES, key=lambda p: len(p[0])):
-        entry = F.struct(F.lit(price_in).alias("price_in"), F.lit(price_out).alias("price_out"))
-        best = F.when(F.col(model).contains(part), entry).otherwise(best)
-    fallback = F.struct(F.lit(DEFAULT_PRICE[0]).alias("price_in"), F.lit(DEFAULT_PRICE[1]).alias("price_out"))
+        best = F.when(F.col(model).contains(part), entry(price_in, price_out)).otherwise(best)
     priced = calls.withColumn("_price", best)
     price = F.coalesce(F.col("_price"), fallback)
-    cost = (
-        F.coalesce(F.col(tokens_in), F.lit(0)) / 1_000_000 * price["price_in"]
-        + F.coalesce(F.col(tokens_out), F.lit(0)) / 1_000_000 * price["price_out"]
-    )
+
+    def part_cost(tokens: str, rate: Column) -> Column:
+        return F.coalesce(F.col(tokens), F.lit(0)).cast("decimal(18,0)") * rate
+
+    # Exact decimals, rounded once at the end.
+    per_million = part_cost(tokens_in, price["price_in"]) + part_cost(tokens_out, price["price_out"])
+    cost = per_million * F.lit("0.000001").cast("decimal(7,6)")
     return (
         priced.withColumn(name, cost.cast("decimal(10,6)"))
         .withColumn("price_known", F.col("_price").isNotNull())

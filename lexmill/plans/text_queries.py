@@ -258,7 +258,8 @@ RATES = ((3.0, 15.0), (0.05, 0.20), (0.5, 2.0), (5.0, 15.0), (3.0, 15.0))
 
 @query(
     "cost_usd",
-    f"""SELECT event_id, CAST(tokens / 1000000 * {[r[0] for r in RATES]}[m + 1] + 7 / 1000000 * {[r[1] for r in RATES]}[m + 1]
+    f"""SELECT event_id, CAST((CAST(tokens AS DECIMAL(18, 0)) * CAST({[r[0] for r in RATES]}[m + 1] AS DECIMAL(9, 4))
+              + CAST(7 AS DECIMAL(18, 0)) * CAST({[r[1] for r in RATES]}[m + 1] AS DECIMAL(9, 4))) * CAST(0.000001 AS DECIMAL(7, 6))
               AS DECIMAL(10, 6)) AS cost_usd, m <> 4 AS price_known FROM
         (SELECT event_id, CAST(event_id % 5 AS INTEGER) AS m, event_id % 1000 * 100 AS tokens FROM events)""",
 )
