@@ -64,19 +64,33 @@ def _optional(df: DataFrame, name: str) -> Column:
 # --- deciding ---------------------------------------------------------------
 
 
-def upstream_wide(artifacts: DataFrame, stages: Sequence[str], value: str, prefix: str) -> DataFrame:
-    """One row per word, one column per stage; a word has at most one artifact per stage."""
+def upstream_wide(artifacts: DataFrame, stages: Sequence[str], values: dict[str, str]) -> DataFrame:
+    """One row per word with `<prefix><stage>` columns for each value column and its prefix.
+
+    A word has at most one artifact per stage, so the list collected for it has at most
+    len(stages) entries.
+    """
     mine = artifacts.where(F.col("stage_name").isin(*stages))
-    return mine.groupBy("word_id").agg(
-        *[F.max(F.when(F.col("stage_name") == s, F.col(value))).alias(f"{prefix}{s}") for s in stages]
+    entry = F.struct("stage_name", F.struct(*values).alias("value"))
+    wide = mine.groupBy("word_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_by_stage"))
+    return wide.select(
+        "word_id", F.map_keys("_by_stage").alias("_present"),
+        *[F.col("_by_stage")[s][value].alias(f"{prefix}{s}") for s in stages for value, prefix in values.items()],
     )
 
 
+def first_absent(stages: Sequence[str], message: str) -> Column:
+    """The message with the first stage that `upstream_wide` did not find; NULL when all are there."""
+    present = F.coalesce("_present", F.array().cast("array<string>"))
+    absent = F.array_except(F.array(*[F.lit(s) for s in stages]).cast("array<string>"), present)
+    return F.concat(F.lit(message), F.get(absent, F.lit(0)))
+
+
 def expected_fingerprints(words: DataFrame, artifacts: DataFrame, stage: Stage) -> DataFrame:
     """(word_id, expected) for every word, from the fingerprints of the upstream artifacts."""
     none = F.lit(None).cast("string")
     if stage.upstream:
-        wide = upstream_wide(artifacts, stage.upstream, "fingerprint", "_fp_")
+        wide = upstream_wide(artifacts, stage.upstream, {"fingerprint": "_fp_"})
         rows = words.select("word_id").join(wide, "word_id", "left")
         upstream = F.array_compact(F.array(*[F.col(f"_fp_{s}") for s in stage.upstream]))
     else:
@@ -130,12 +144,10 @@ def run_stage(
     work = words.join(listed.where(~F.col("hit")).drop("hit"), "word_id")
     needed = (*stage.upstream, *stage.soft)
     if needed:
-        payloads = upstream_wide(artifacts, needed, "payload", "up_")
-        sources = upstream_wide(artifacts, needed, "source", "src_")
-        work = work.join(payloads, "word_id", "left").join(sources, "word_id", "left")
-    missing = F.lit(None).cast("string")
-    for s in reversed(stage.upstream):
-        missing = F.when(F.col(f"up_{s}").isNull(), f"missing upstream artifact {s}").otherwise(missing)
+        work = work.join(upstream_wide(artifacts, needed, {"payload": "up_", "source": "src_"}), "word_id", "left")
+        missing = first_absent(stage.upstream, "missing upstream artifact ")
+    else:
+        missing = F.lit(None).cast("string")
     checked = work.withColumn("_missing", missing)
     produced = stage.fn(checked.where("_missing IS NULL").drop("_missing"))
     out = produced.select("word_id", *[_optional(produced, c) for c in OUTPUT])
@@ -195,9 +207,10 @@ def stage_chain(
         run = run_stage(stage, words, artifacts, batch, force, now)
         artifacts = cut_lineage(run.artifacts)
         spent = run.ledger if spent is None else spent.unionByName(run.ledger)
-        words = run.survivors
         counts = run.ledger.agg(F.count_if(F.col("status") == "ok"), F.count_if(F.col("status") == "failed")).collect()[0]
         report.append((stage.name, counts[0], counts[1], run.hits.count()))
+        if counts[1]:
+            words = cut_lineage(run.survivors)
     return ChainRun(artifacts, spent, report)
 
 
@@ -264,9 +277,7 @@ def quality_gate(df: DataFrame, prefix: str = "up_") -> DataFrame:
     parsed = df.withColumns({f"_v_{s}": F.try_parse_json(f"{prefix}{s}") for s in GATED})
     variants = {s: F.col(f"_v_{s}") for s in GATED}
     named = F.concat(*[_named(name, rule(variants)) for name, rule in _RULES.items()])
-    absent = F.lit(None).cast("string")
-    for s in reversed(GATED):
-        absent = F.when(F.col(f"{prefix}{s}").isNull(), f"{s} artifact missing").otherwise(absent)
+    absent = F.coalesce(*[F.when(F.col(f"{prefix}{s}").isNull(), f"{s} artifact missing") for s in GATED])
     return (
         parsed.withColumn("failed_rules", named)
         .withColumn("error", absent)
@@ -396,16 +407,11 @@ def build_domain_rows(words: DataFrame, artifacts: DataFrame) -> dict[str, DataF
 
     `refused` lists words with a missing artifact or a failed quality gate, and why.
     """
-    payloads = upstream_wide(artifacts, EXPORT_UPSTREAM, "payload", "up_")
-    sources = upstream_wide(artifacts, EXPORT_UPSTREAM, "source", "src_")
-    wide = words.join(payloads, "word_id", "left").join(sources, "word_id", "left")
+    wide = words.join(upstream_wide(artifacts, EXPORT_UPSTREAM, {"payload": "up_", "source": "src_"}), "word_id", "left")
     parsed = wide.withColumns({f"v_{s}": F.try_parse_json(f"up_{s}") for s in EXPORT_UPSTREAM})
-    reason = F.when(
-        ~F.coalesce(F.try_variant_get("v_quality_gate", "$.passed", "boolean"), F.lit(False)), "quality gate did not pass"
-    )
-    for s in reversed(EXPORT_UPSTREAM):
-        reason = F.when(F.col(f"up_{s}").isNull(), f"missing upstream artifact {s}").otherwise(reason)
-    judged = parsed.withColumn("reason", reason)
+    passed = F.coalesce(F.try_variant_get("v_quality_gate", "$.passed", "boolean"), F.lit(False))
+    absent = first_absent(EXPORT_UPSTREAM, "missing upstream artifact ")
+    judged = parsed.withColumn("reason", F.coalesce(absent, F.when(~passed, "quality gate did not pass")))
     good = judged.where("reason IS NULL")
     return {
         "words": domain_words(good),

@@ -44,13 +44,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses.
+
+    Everything of one application lies in one folder, which can be removed when it is over.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/lexmill-{app}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows are written once and survive the loss of executors."""
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Write the rows to a table in the shared folder and read them back.
+
+    The rows survive the loss of executors, and later plans start from a Parquet scan, which
+    prunes columns and takes filters.
+    """
+    path = fresh_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
