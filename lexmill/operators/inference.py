@@ -106,6 +106,8 @@ def cached_inference(
     keyed = calls.withColumn("cache_key", cache_key(*[F.col(c) for c in CALL])).withColumn(
         "_refused", reserved[0] | reserved[1]
     )
+    # Prompts are rendered and hashed once; what follows reads only the columns it needs.
+    keyed = cut_lineage(keyed)
     good = keyed.where(~F.coalesce("_refused", F.lit(False)))
     # The reduction to distinct calls comes before the lookup, so copies never meet in one task.
     distinct = good.groupBy("kind", "cache_key").agg(

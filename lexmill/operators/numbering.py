@@ -43,13 +43,13 @@ def split_hot(
 
 
 def _sorted_offsets(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Sort in parallel and write the result once; `_pid` and `_at` locate each row in it."""
+    """Sort in parallel and write the result once; `_nr_part` and `_nr_at` locate each row in it."""
     placed = cut_lineage(
-        df.orderBy(*keys, *order).withColumn("_mark", F.monotonically_increasing_id())
+        df.orderBy(*keys, *order).withColumn("_nr_mark", F.monotonically_increasing_id())
     )
-    return placed.withColumn("_pid", F.shiftright("_mark", 33)).withColumn(
-        "_at", F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1))
-    ).drop("_mark")
+    return placed.withColumn("_nr_part", F.shiftright("_nr_mark", 33)).withColumn(
+        "_nr_at", F.col("_nr_mark").bitwiseAND(F.lit((1 << 33) - 1))
+    ).drop("_nr_mark")
 
 
 def number_rows(df: DataFrame, order: Sequence[Column | str], name: str, start: int | Column = 1) -> DataFrame:
@@ -59,31 +59,31 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], name: str, start:
     table has one row per partition and is broadcast.
     """
     placed = _sorted_offsets(df, [], order)
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).select(
-        "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    before = Window.orderBy("_nr_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_nr_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_nr_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_nr_before")
     )
     first = start if isinstance(start, Column) else F.lit(start)
     return (
-        placed.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, (F.col("_before") + F.col("_at") + first).cast("bigint"))
-        .drop("_pid", "_at", "_before")
+        placed.join(F.broadcast(offsets), "_nr_part")
+        .withColumn(name, (F.col("_nr_before") + F.col("_nr_at") + first).cast("bigint"))
+        .drop("_nr_part", "_nr_at", "_nr_before")
     )
 
 
 def _number_hot(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
     placed = _sorted_offsets(df, keys, order)
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_nr_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition, plus one per hot parent: fewer than partitions + MAX_HOT.
     offsets = (
-        placed.groupBy(*keys, "_pid")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_lo"))
-        .select(*keys, "_pid", "_lo", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        placed.groupBy(*keys, "_nr_part")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_nr_at").alias("_nr_low"))
+        .select(*keys, "_nr_part", "_nr_low", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_nr_before"))
     )
     return (
-        placed.join(F.broadcast(offsets), [*keys, "_pid"])
-        .withColumn(name, (F.col("_before") + F.col("_at") - F.col("_lo")).cast("bigint"))
-        .drop("_pid", "_at", "_lo", "_before")
+        placed.join(F.broadcast(offsets), [*keys, "_nr_part"])
+        .withColumn(name, (F.col("_nr_before") + F.col("_nr_at") - F.col("_nr_low")).cast("bigint"))
+        .drop("_nr_part", "_nr_at", "_nr_low", "_nr_before")
     )
 
 

@@ -55,8 +55,7 @@ def ask(df: DataFrame, stage: str, values: dict[str, Column], cache: DataFrame,
         F.lit('{"max_tokens":8192,"temperature":0}').alias("params_json"),
         T.render_prompt(F.lit(TEMPLATES[stage]), values).alias("prompt"), F.lit(f'{{"stage":"{stage}"}}').alias("input_json"),
     )
-    # Rendering a prompt parses a document; the calls are written once, then looked up and joined.
-    answered = I.cached_inference(cut_lineage(calls), cache, fn, "word_id").results
+    answered = I.cached_inference(calls, cache, fn, "word_id").results
     parsed = N.parse_model_json(answered.withColumnRenamed("error", "_call_error"), "text")
     return parsed.select("word_id", "parsed", "cost_usd", F.coalesce("_call_error", "error").alias("error"))
 

@@ -1 +1,372 @@
-"""Queries."""
+"""Review and edits."""
+
+import hashlib
+import json
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from lexmill.operators import documents as D
+from lexmill.operators import edits as E
+from lexmill.operators import review as R
+from lexmill.operators.numbering import join_to_parent, position_in_parent
+from lexmill.plans.dictionary_stages import EMPTY_CACHE
+from lexmill.plans.registry import query
+from lexmill.plans.standins import VIEW_SQL
+
+
+def reviewer_stub(calls: pd.DataFrame) -> pd.DataFrame:
+    """Finds an issue in every other prompt; fixes or rambles by prompt length."""
+    texts = []
+    for prompt, given in zip(calls["prompt"], calls["input_json"], strict=True):
+        if json.loads(given)["checker"] == "fixer":
+            patch = {"op": "update", "path": "meanings[0].cn_paraphrase", "new_value": "fixed"}
+            texts.append(json.dumps({"patches": [patch, {"op": "delete", "path": "meanings[1]"}]}) if len(prompt) % 3 else "no idea")
+        else:
+            mark = hashlib.md5(prompt.encode()).hexdigest()
+            issues = [{"path": "meanings[0]", "issue": mark[:8]}] if mark[0] < "8" else []
+            texts.append("Found: " + json.dumps({"issues": issues}))
+    return pd.DataFrame({"text": texts, "tokens_input": 100, "tokens_output": 50})
+
+
+VIEW_SQL["check_rows"] = f"""
+    SELECT doc_id, text, checker, ord, md5('Check ' || checker || ' of this entry and list issues as JSON:' || chr(10) || text) AS h
+    FROM documents, (SELECT unnest({list(R.CHECKERS)}) AS checker, unnest([1, 2, 3, 4, 5]) AS ord)"""
+VIEW_SQL["issue_rows"] = """
+    SELECT doc_id, any_value(text) AS text, count(*) AS n,
+           string_agg('{"from":"' || checker || '","issue":"' || left(h, 8) || '","path":"meanings[0]"}', ', ' ORDER BY ord) AS listed
+    FROM check_rows WHERE left(h, 1) < '8' GROUP BY doc_id"""
+
+
+def _blobs(t):
+    return t.read("documents").select(F.col("doc_id").alias("word_id"), F.col("text").alias("blob"))
+
+
+def _checked(t):
+    return R.run_checkers(_blobs(t), t.spark.createDataFrame([], EMPTY_CACHE), reviewer_stub, "gpt-5-mini")
+
+
+@query(
+    "run_checkers",
+    """SELECT doc_id AS word_id, checker, CASE WHEN left(h, 1) < '8' THEN '{"from":"' || checker || '","issue":"' || left(h, 8)
+              || '","path":"meanings[0]"}' ELSE '' END AS issues, CAST(0.00015 AS DECIMAL(10, 6)) AS cost_usd FROM check_rows""",
+)
+def run_checkers(t):
+    return _checked(t).select("word_id", "checker", F.array_join("issues", "|").alias("issues"), "cost_usd")
+
+
+@query(
+    "gather_issues",
+    """SELECT d.doc_id AS word_id, coalesce(listed, '') AS issues, CAST(0.0008 AS DECIMAL(10, 4)) AS check_total
+       FROM documents d LEFT JOIN issue_rows USING (doc_id)""",
+)
+def gather_issues(t):
+    return R.gather_issues(_checked(t)).select("word_id", F.array_join("issues", ", ").alias("issues"), "check_total")
+
+
+@query(
+    "propose_patches",
+    """WITH p AS (SELECT doc_id, length('Fix this entry:' || chr(10) || text || chr(10) || 'Issues:' || chr(10)) + least(3000, length(listed) + 2) AS n FROM issue_rows)
+    SELECT doc_id AS word_id, CASE WHEN n % 3 > 0 THEN 2 ELSE 0 END AS n_patches, CASE WHEN n % 3 = 0 THEN 'no idea' END AS fix_error FROM p""",
+)
+def propose_patches(t):
+    issues = R.gather_issues(_checked(t)).join(_blobs(t), "word_id")
+    out = R.propose_patches(issues, t.spark.createDataFrame([], EMPTY_CACHE), reviewer_stub, "gpt-5-mini")
+    return out.select("word_id", F.size("patches").alias("n_patches"), "fix_error")
+
+
+@query(
+    "review_totals",
+    """SELECT count(*) AS done, count(*) FILTER (doc_id % 3 > 0) AS with_issues, count(*) FILTER (doc_id % 4 > 0) AS with_patches,
+              CAST(sum(doc_id % 4) AS BIGINT) AS applied, CAST(sum(doc_id % 2) AS BIGINT) AS drift_skipped,
+              CAST(sum(CASE WHEN doc_id % 4 > 1 THEN 1 ELSE 0 END) AS BIGINT) AS deletes, count(*) FILTER (doc_id % 5 = 0) AS errors,
+              CAST(count(*) * 0.0005 AS DECIMAL(14, 4)) AS check_cost, CAST(count(*) FILTER (doc_id % 4 > 0) * 0.0010 AS DECIMAL(14, 4)) AS fix_cost FROM documents""",
+)
+def review_totals(t):
+    key = F.col("doc_id")
+
+    def patch(op):
+        return F.struct(F.lit(0).alias("seq"), F.lit(op).alias("op"), F.lit("meanings[0]").alias("path"), F.lit("a").alias("old_value"), F.lit("b").alias("new_value"))
+
+    patches = F.slice(F.array(patch("update"), patch("delete"), patch("update")), F.lit(1), (key % 4).cast("int"))
+    records = t.read("documents").select(
+        (key % 3).alias("issue_count"), F.when(key % 4 > 0, patches).alias("patches"), (key % 4).alias("applied"),
+        (key % 2).alias("drift_skipped"), F.when(key % 5 == 0, "bad").alias("error"),
+        F.lit("0.0005").cast("decimal(10,4)").alias("check_total"), F.when(key % 4 > 0, F.lit("0.0010").cast("decimal(10,4)")).alias("fix_cost"),
+    )
+    return R.review_totals(records)
+
+
+@query(
+    "rule_checkers",
+    r"""WITH m AS (SELECT word_id, meaning_id, row_number() OVER (PARTITION BY word_id ORDER BY meaning_id) - 1 AS i,
+           CASE meaning_id % 7 WHEN 0 THEN '' WHEN 1 THEN '(' || cn_paraphrase WHEN 2 THEN cn_paraphrase || cn_paraphrase ELSE cn_paraphrase END AS cn,
+           CASE WHEN meaning_id % 5 = 0 THEN en_paraphrase || ' of the ' ELSE en_paraphrase END AS en FROM dom_meanings),
+    s AS (SELECT meaning_id, row_number() OVER (PARTITION BY meaning_id ORDER BY line_no, part_no_key, supp_key, cents) - 1 AS j,
+           CASE WHEN cents % 10 = 0 THEN ' ' ELSE translation END AS translation FROM dom_sentences)
+    SELECT word_id, 'field_quality' AS checker, 'meanings[' || i || '].cn_paraphrase' AS path, 'empty' AS issue FROM m WHERE cn = ''
+    UNION ALL SELECT word_id, 'field_quality', 'meanings[' || i || '].cn_paraphrase', 'unbalanced brackets' FROM m WHERE starts_with(cn, '(')
+    UNION ALL SELECT word_id, 'field_quality', 'meanings[' || i || '].cn_paraphrase', 'too long' FROM m WHERE length(cn) > 25
+    UNION ALL SELECT word_id, 'field_quality', 'meanings[' || i || '].en_paraphrase', 'empty' FROM m WHERE en IS NULL
+    UNION ALL SELECT word_id, 'field_quality', 'meanings[' || i || '].en_paraphrase', 'cut off' FROM m WHERE en LIKE '%of the '
+    UNION ALL SELECT word_id, 'examples', 'meanings[' || i || '].examples[' || j || '].cn', 'empty' FROM s JOIN m USING (meaning_id) WHERE translation = ' '""",
+)
+def rule_checkers(t):
+    key = F.col("meaning_id")
+    cn = F.col("cn_paraphrase")
+    cn = F.when(key % 7 == 0, "").when(key % 7 == 1, F.concat(F.lit("("), cn)).when(key % 7 == 2, F.concat(cn, cn)).otherwise(cn)
+    en = F.when(key % 5 == 0, F.concat("en_paraphrase", F.lit(" of the "))).otherwise(F.col("en_paraphrase"))
+    meanings = position_in_parent(t.dom_meanings, ["word_id"], ["meaning_id"]).withColumns({"cn_paraphrase": cn, "en_paraphrase": en})
+    told = F.when(F.col("cents") % 10 == 0, " ").otherwise(F.col("translation"))
+    sentences = position_in_parent(t.dom_sentences, ["meaning_id"], t.sentence_order).withColumn("translation", told)
+    above = meanings.select("meaning_id", "word_id", F.col("position").alias("meaning_position"))
+    return R.rule_checkers(meanings, join_to_parent(sentences, above, ["meaning_id"]), t.dom_mnemonics)
+
+
+# --- patches by position ----------------------------------------------------
+
+
+def _patches(t):
+    key = F.col("o_orderkey")
+    kind, i, j = key % 6, key % 12, key % 4
+
+    def path(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    text = (
+        F.when(key % 13 == 0, F.lit("words.form"))
+        .when(kind <= 1, path("meanings[", i, "].cn_paraphrase"))
+        .when(kind == 2, path("meanings[", i, "].examples[", j, "].cn"))
+        .when(kind == 3, path("meanings[", i, "]"))
+        .when(kind == 4, F.lit("mnemonic.text"))
+        .otherwise(path("meanings[", i, "].examples[", j, "]"))
+    )
+    return t.read("orders").select(
+        F.col("o_custkey").alias("word_id"), key.alias("seq"), F.when(kind.isin(3, 5), "delete").otherwise("update").alias("op"),
+        text.alias("path"), F.when(kind == 1, "zzz").alias("old_value"), F.concat(F.lit("new"), key).alias("new_value"),
+    )
+
+
+VIEW_SQL["patch_rows"] = """
+    WITH p AS (SELECT o_custkey AS word_id, o_orderkey AS seq, o_orderkey % 6 AS kind, o_orderkey % 12 AS i, o_orderkey % 4 AS j,
+                      o_orderkey % 13 = 0 AS unknown FROM orders),
+    m AS (SELECT word_id, meaning_id, row_number() OVER (PARTITION BY word_id ORDER BY meaning_id) - 1 AS i FROM dom_meanings),
+    s AS (SELECT meaning_id, sentence_id, row_number() OVER (PARTITION BY meaning_id ORDER BY line_no, part_no_key, supp_key, cents) - 1 AS j FROM dom_sentences),
+    n AS (SELECT word_id, min(mnemonic_id) AS mnemonic_id FROM dom_mnemonics GROUP BY 1),
+    a AS (SELECT p.*, m.meaning_id, s.sentence_id, n.mnemonic_id,
+                 CASE WHEN unknown THEN NULL WHEN kind IN (0, 1, 3) THEN CAST(m.meaning_id AS VARCHAR)
+                      WHEN kind IN (2, 5) THEN s.sentence_id ELSE CAST(n.mnemonic_id AS VARCHAR) END AS row_id
+          FROM p LEFT JOIN m ON m.word_id = p.word_id AND m.i = p.i LEFT JOIN s ON s.meaning_id = m.meaning_id AND s.j = p.j
+          LEFT JOIN n ON n.word_id = p.word_id),
+    e AS (SELECT *, min(seq) FILTER (kind = 3 AND NOT unknown) OVER (PARTITION BY word_id, meaning_id) AS top_end,
+                    min(seq) FILTER (kind = 5 AND NOT unknown) OVER (PARTITION BY word_id, meaning_id, sentence_id) AS row_end FROM a)
+    SELECT *, CASE WHEN row_id IS NULL THEN 'none'
+                   WHEN kind = 0 THEN CASE WHEN seq > top_end THEN 'none' ELSE 'applied' END
+                   WHEN kind = 1 THEN 'drift'
+                   WHEN kind = 3 THEN CASE WHEN seq = top_end THEN 'applied' ELSE 'none' END
+                   WHEN kind = 4 THEN 'applied'
+                   WHEN kind = 2 THEN CASE WHEN seq > top_end OR seq > row_end THEN 'none' ELSE 'applied' END
+                   ELSE CASE WHEN seq > top_end OR seq > row_end THEN 'none' ELSE 'applied' END END AS status FROM e"""
+
+
+def _patched(t):
+    return R.apply_patches_skip(t.dom_meanings, t.dom_sentences, t.dom_mnemonics, _patches(t), t.sentence_order)
+
+
+@query("apply_patches_skip", "SELECT word_id, seq, status FROM patch_rows")
+def apply_patches_skip(t):
+    return _patched(t)["outcomes"].select("word_id", "seq", "status")
+
+
+@query(
+    "apply_patches_meanings",
+    """WITH f AS (SELECT meaning_id, arg_max('new' || seq, seq) AS v FROM patch_rows WHERE kind = 0 AND status = 'applied' GROUP BY 1)
+    SELECT meaning_id, word_id, coalesce(v, cn_paraphrase) AS cn_paraphrase FROM dom_meanings LEFT JOIN f USING (meaning_id)
+    WHERE meaning_id NOT IN (SELECT meaning_id FROM patch_rows WHERE kind = 3 AND status = 'applied')""",
+)
+def apply_patches_meanings(t):
+    return _patched(t)["meanings"].select("meaning_id", "word_id", "cn_paraphrase")
+
+
+@query(
+    "apply_patches_sentences",
+    """WITH f AS (SELECT sentence_id, arg_max('new' || seq, seq) AS v FROM patch_rows WHERE kind = 2 AND status = 'applied' GROUP BY 1)
+    SELECT sentence_id, meaning_id, coalesce(v, translation) AS translation FROM dom_sentences LEFT JOIN f USING (sentence_id)
+    WHERE meaning_id NOT IN (SELECT meaning_id FROM patch_rows WHERE kind = 3 AND status = 'applied')
+      AND sentence_id NOT IN (SELECT sentence_id FROM patch_rows WHERE kind = 5 AND status = 'applied')""",
+)
+def apply_patches_sentences(t):
+    return _patched(t)["sentences"].select("sentence_id", "meaning_id", "translation")
+
+
+# --- strict changes ---------------------------------------------------------
+
+NOW = "2024-06-01"
+
+
+def _changes(t):
+    key = F.col("o_orderkey")
+    form = key % 7 == 3
+    cn = F.concat("o_orderpriority", F.lit("；"), "o_orderstatus")
+    return t.read("orders").select(
+        F.col("o_custkey").alias("word_id"), key.alias("seq"),
+        F.when(key % 50 == 1, "bad.path").when(form, "words.form").otherwise("meanings.cn_paraphrase").alias("field_path"),
+        F.when(form, None).when(key % 60 == 2, -1).otherwise(key).alias("target_id"), F.lit("update").alias("op"),
+        F.when(form, None).when(key % 40 == 0, "zzz").otherwise(F.concat(F.lit(" "), cn)).alias("old_value"),
+        F.concat(F.lit("c"), key).alias("new_value"), (key % 10).alias("editor_id"),
+    )
+
+
+VIEW_SQL["change_rows"] = """
+    WITH c AS (SELECT o_custkey AS word_id, o_orderkey AS seq, o_orderkey % 7 = 3 AS form,
+      CASE WHEN o_orderkey % 50 = 1 THEN 'unknown field_path' WHEN o_orderkey % 7 = 3 THEN NULL WHEN o_orderkey % 60 = 2 THEN 'row not found'
+           WHEN o_orderkey % 40 = 0 THEN 'drift' END AS reason FROM orders)
+    SELECT *, count(reason) OVER (PARTITION BY word_id) = 0 AS accepted FROM c"""
+
+
+def _strict(t):
+    words = t.dom_words.drop("c_nationkey")
+    return E.apply_changes_strict({"words": words, "meanings": t.dom_meanings}, _changes(t), F.lit(NOW).cast("timestamp_ntz"))
+
+
+@query("apply_changes_refused", "SELECT word_id, seq, reason FROM change_rows WHERE reason IS NOT NULL")
+def apply_changes_refused(t):
+    return _strict(t)["refused"]
+
+
+@query(
+    "apply_changes_strict",
+    f"""WITH f AS (SELECT word_id, arg_max('c' || seq, seq) AS v FROM change_rows WHERE accepted AND form GROUP BY 1)
+    SELECT word_id, coalesce(v, form) AS form, CASE WHEN v IS NULL THEN updated_at ELSE TIMESTAMP '{NOW}' END AS updated_at
+    FROM dom_words LEFT JOIN f USING (word_id)""",
+)
+def apply_changes_strict(t):
+    return _strict(t)["words"].select("word_id", "form", "updated_at")
+
+
+@query(
+    "apply_changes_meanings",
+    """SELECT meaning_id, CASE WHEN accepted AND NOT c.form THEN 'c' || seq ELSE cn_paraphrase END AS cn_paraphrase
+       FROM dom_meanings JOIN change_rows c ON seq = meaning_id""",
+)
+def apply_changes_meanings(t):
+    return _strict(t)["meanings"].select("meaning_id", "cn_paraphrase")
+
+
+@query(
+    "edit_audit",
+    """SELECT word_id, CASE WHEN form THEN 'words.form' ELSE 'meanings.cn_paraphrase' END AS field_path,
+              CASE WHEN NOT form THEN seq END AS target_id, 'c' || seq AS new_value, seq % 10 AS editor_id FROM change_rows WHERE accepted""",
+)
+def edit_audit(t):
+    return _strict(t)["audit"].select("word_id", "field_path", "target_id", "new_value", "editor_id")
+
+
+def _flags(t, column, value):
+    wanted = t.dom_words.where("word_id % 3 = 0").select("word_id", value.alias("new_value"), F.lit(1).alias("editor_id"))
+    return E.apply_changes_strict({"words": t.dom_words.drop("c_nationkey")}, E.status_change(t.dom_words, wanted, column), F.lit(NOW).cast("timestamp_ntz"))["words"]
+
+
+@query(
+    "status_change",
+    """SELECT word_id, form, CAST(0 AS INTEGER) AS part_no FROM dom_words
+       WHERE CASE WHEN word_id % 3 = 0 THEN 3 - status - 1 ELSE status END = 1""",
+)
+def status_change(t):
+    words = _flags(t, "status", 2 - F.col("status"))
+    served = D.serving_payload(
+        words, t.dom_meanings, t.dom_sentences, t.dom_mnemonics, t.dom_phrases, t.dom_packages, t.sentence_order
+    )
+    return served.select("word_id", "form", "part_no")
+
+
+@query(
+    "quality_change",
+    "SELECT word_id, CASE WHEN word_id % 3 = 0 THEN 'fixed' ELSE quality_flag END AS quality_flag FROM dom_words",
+)
+def quality_change(t):
+    return _flags(t, "quality_flag", F.lit("fixed")).select("word_id", "quality_flag")
+
+
+@query(
+    "field_diff",
+    """SELECT 'words.form' AS field_path, word_id AS target_id, form AS old_value, lower(form) AS new_value FROM dom_words WHERE word_id % 2 = 0
+       UNION ALL SELECT 'words.phonetic_us', word_id, phonetic_us, 'x' FROM dom_words WHERE word_id % 5 = 0
+       UNION ALL SELECT 'words.status', word_id, CAST(status AS VARCHAR), NULL FROM dom_words WHERE word_id % 7 = 0""",
+)
+def field_diff(t):
+    before = t.dom_words
+    key = F.col("word_id")
+    after = before.withColumns({
+        "form": F.when(key % 2 == 0, F.lower("form")).otherwise(F.col("form")),
+        "phonetic_us": F.when(key % 5 == 0, "x").otherwise(F.col("phonetic_us")),
+        "status": F.when(key % 7 != 0, F.col("status")),
+    })
+    return E.field_diff(before, after, "words")
+
+
+# --- new entries ------------------------------------------------------------
+
+
+def _created(t):
+    def as_entry(df, key, name):
+        meaning = F.struct(F.lit(1).cast("smallint").alias("pos"), F.concat(F.lit("c"), key).alias("cn_paraphrase"), F.lit("e").alias("en_paraphrase"))
+        sentence = F.struct(F.lit(1).alias("meaning_index"), F.concat(F.lit("s"), key).alias("form"), F.lit("t").alias("translation"))
+        mnemonic = F.struct(F.lit(1).cast("smallint").alias("type"), F.lit("phonetic").alias("kind"), F.lit("m").alias("text"))
+        phrase = F.struct(F.concat(F.lit("p"), key).alias("form"), F.lit(None).cast("string").alias("meaning"))
+        return df.select(
+            F.col(key).alias("entry_id"), F.concat(F.lit(" "), name, F.lit("\t")).alias("form"), F.lit(1).cast("smallint").alias("type"),
+            F.lit(None).cast("string").alias("phonetic_us"), F.lit("uk").alias("phonetic_uk"), F.lit(5).alias("editor_id"),
+            F.array(meaning, meaning).alias("meanings"), F.array(sentence).alias("sentences"), F.array(mnemonic).alias("mnemonics"), F.array(phrase).alias("phrases"),
+        )
+
+    entries = as_entry(t.read("part"), "p_partkey", F.concat("p_name", F.lit("-"), "p_brand")).unionByName(
+        as_entry(t.read("customer").withColumn("k", F.col("c_custkey") + 1_000_000), "k", F.col("c_name"))
+    )
+    tables = {
+        "words": t.dom_words, "meanings": t.dom_meanings, "mnemonics": t.dom_mnemonics, "phrases": t.dom_phrases,
+        "sentences": t.read("lineitem").select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("sentence_id")),
+    }
+    return E.create_entries(tables, entries, F.lit(NOW).cast("timestamp_ntz"))
+
+
+VIEW_SQL["entry_rows"] = """
+    WITH e AS (SELECT p_partkey AS entry_id, p_name || '-' || p_brand AS form FROM part UNION ALL SELECT c_custkey + 1000000, c_name FROM customer),
+    g AS (SELECT e.*, min(entry_id) OVER (PARTITION BY form) AS first_id, w.word_id AS old_id FROM e
+          LEFT JOIN dom_words w ON w.form = e.form AND w.type = 1),
+    k AS (SELECT entry_id AS kid, (SELECT max(word_id) FROM dom_words) + row_number() OVER (ORDER BY entry_id) AS word_id
+          FROM g WHERE entry_id = first_id AND old_id IS NULL)
+    SELECT g.*, k.word_id AS made, n.word_id AS twin FROM g LEFT JOIN k ON kid = entry_id LEFT JOIN k n ON n.kid = first_id"""
+
+
+@query("create_entries", "SELECT made AS word_id, form, 'human:web' AS source, CAST(0 AS SMALLINT) AS status FROM entry_rows WHERE made IS NOT NULL")
+def create_entries(t):
+    return _created(t)["words"].select("word_id", "form", "source", "status")
+
+
+@query("create_entries_conflicts", "SELECT entry_id, coalesce(old_id, twin) AS existing_id FROM entry_rows WHERE made IS NULL")
+def create_entries_conflicts(t):
+    return _created(t)["conflicts"]
+
+
+@query(
+    "create_entries_children",
+    """WITH m AS (SELECT made AS word_id, entry_id, i, (SELECT max(meaning_id) FROM dom_meanings) + row_number() OVER (ORDER BY made, i) AS meaning_id
+                  FROM (SELECT *, unnest([0, 1]) AS i FROM entry_rows WHERE made IS NOT NULL))
+    SELECT 'meaning' AS kind, meaning_id AS id, word_id AS parent, 'c' || entry_id AS label FROM m
+    UNION ALL SELECT 'sentence', (SELECT max(l_orderkey * 100 + l_linenumber) FROM lineitem) + row_number() OVER (ORDER BY word_id), meaning_id, 's' || entry_id FROM m WHERE i = 1""",
+)
+def create_entries_children(t):
+    made = _created(t)
+    meanings = made["meanings"].select(F.lit("meaning").alias("kind"), F.col("meaning_id").alias("id"), F.col("word_id").alias("parent"), F.col("cn_paraphrase").alias("label"))
+    sentences = made["sentences"].select(F.lit("sentence").alias("kind"), F.col("sentence_id").alias("id"), F.col("meaning_id").alias("parent"), F.col("form").alias("label"))
+    return meanings.unionByName(sentences)
+
+
+@query(
+    "create_entries_audit",
+    """SELECT field_path, count(*) AS n FROM (SELECT unnest(['words', 'meanings', 'meanings', 'sentences', 'mnemonics', 'phrases']) AS field_path
+       FROM entry_rows WHERE made IS NOT NULL) GROUP BY 1""",
+)
+def create_entries_audit(t):
+    return _created(t)["audit"].groupBy("field_path").agg(F.count("*").alias("n"))
