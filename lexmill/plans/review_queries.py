@@ -332,7 +332,7 @@ def _created(t):
 
 VIEW_SQL["entry_rows"] = """
     WITH e AS (SELECT p_partkey AS entry_id, p_name || '-' || p_brand AS form FROM part UNION ALL SELECT c_custkey + 1000000, c_name FROM customer),
-    g AS (SELECT e.*, min(entry_id) OVER (PARTITION BY form) AS first_id, w.word_id AS old_id FROM e
+    g AS (SELECT e.*, min(entry_id) OVER (PARTITION BY e.form) AS first_id, w.word_id AS old_id FROM e
           LEFT JOIN dom_words w ON w.form = e.form AND w.type = 1),
     k AS (SELECT entry_id AS kid, (SELECT max(word_id) FROM dom_words) + row_number() OVER (ORDER BY entry_id) AS word_id
           FROM g WHERE entry_id = first_id AND old_id IS NULL)
