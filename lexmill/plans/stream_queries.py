@@ -45,8 +45,9 @@ def stream_dead_letters(t):
 
 @query(
     "stream_progress",
-    """SELECT date_trunc('minute', started_at) AS minute, stage_name, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'failed') AS failed
-       FROM ledger GROUP BY ALL HAVING date_trunc('minute', started_at) + INTERVAL 1 MINUTE <= (SELECT max(started_at) FROM ledger) - INTERVAL 10 MINUTE""",
+    """WITH m AS (SELECT date_trunc('minute', started_at) AS minute, stage_name, status FROM ledger)
+    SELECT minute, stage_name, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'failed') AS failed FROM m
+    WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(started_at) FROM ledger) - INTERVAL 10 MINUTE GROUP BY minute, stage_name""",
 )
 def stream_progress(t):
     return J.run_available(J.stream_progress(t.as_ledger(_stream(t, "events"))), "progress")

@@ -23,7 +23,7 @@ def read_word_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("mark"),
         "value",
     )
-    return lines.select("file", "block", "mark", F.posexplode(T.split_lines(F.col("value"))).alias("piece", "raw_form"))
+    return lines.select("file", "block", "mark", F.posexplode(F.split("value", T.LINE_BREAK)).alias("piece", "raw_form"))
 
 
 LINE_ORDER = ("file", "block", "mark", "piece")
