@@ -39,7 +39,7 @@ VIEW_SQL["issue_rows"] = """
 
 
 def _blobs(t):
-    return t.read("documents").select(F.col("doc_id").alias("word_id"), F.col("text").alias("blob"))
+    return t.documents.select(F.col("doc_id").alias("word_id"), F.col("text").alias("blob"))
 
 
 def _checked(t):
@@ -89,7 +89,7 @@ def review_totals(t):
         return F.struct(F.lit(0).alias("seq"), F.lit(op).alias("op"), F.lit("meanings[0]").alias("path"), F.lit("a").alias("old_value"), F.lit("b").alias("new_value"))
 
     patches = F.slice(F.array(patch("update"), patch("delete"), patch("update")), F.lit(1), (key % 4).cast("int"))
-    records = t.read("documents").select(
+    records = t.documents.select(
         (key % 3).alias("issue_count"), F.when(key % 4 > 0, patches).alias("patches"), (key % 4).alias("applied"),
         (key % 2).alias("drift_skipped"), F.when(key % 5 == 0, "bad").alias("error"),
         F.lit("0.0005").cast("decimal(10,4)").alias("check_total"), F.when(key % 4 > 0, F.lit("0.0010").cast("decimal(10,4)")).alias("fix_cost"),

@@ -12,7 +12,7 @@ from lexmill.plans.standins import VIEW_SQL
 
 
 def _digest_calls(t):
-    return t.read("documents").select(
+    return t.documents.select(
         "doc_id", F.lit("call:digest").alias("kind"), F.lit("gpt-5-mini").alias("model"),
         F.when(F.col("doc_id") % 50 == 1, '{"model": "x"}').otherwise('{"temperature": 0}').alias("params_json"),
         F.col("text").alias("prompt"), F.lit("{}").alias("input_json"),
@@ -106,7 +106,7 @@ def choose_meanings(t):
         one = F.struct(F.lit("n").alias("pos"), F.concat(F.lit(prefix), key).alias("cn"), F.lit(None).cast("string").alias("en"))
         return df.select(F.col(key).alias("word_id"), F.array(one).alias("meanings"))
 
-    docs = t.read("documents")
+    docs = t.documents
     out = I.choose_meanings(
         docs.select(F.col("doc_id").alias("word_id")), listed(t.read("labels").where("quality = 1"), "doc_id", "g"),
         listed(docs.where("doc_id % 2 = 0"), "doc_id", "d"), listed(docs.where("doc_id % 3 = 0"), "doc_id", "m"),
@@ -124,7 +124,7 @@ def choose_meanings(t):
 def rerank_meanings(t):
     meanings = F.transform(F.split("text", "\n"), lambda line: F.struct(F.md5(line).alias("cn")))
     answer = F.when(F.col("doc_id") % 3 == 2, '{"order": "none"}').otherwise('{"order": [2, 0, 2, 9999999, -1, "1", 0.5]}')
-    rows = t.read("documents").select("doc_id", meanings.alias("m"), F.parse_json(answer).alias("a"))
+    rows = t.documents.select("doc_id", meanings.alias("m"), F.parse_json(answer).alias("a"))
     placed = rows.select("doc_id", F.posexplode_outer(I.rerank_meanings(F.col("m"), F.col("a"))).alias("position", "v"))
     return placed.select("doc_id", "position", "v.cn")
 
@@ -184,7 +184,7 @@ r AS (SELECT *, list_filter([
 )
 def quality_gate(t):
     payloads = _payloads(t)
-    rows = t.read("documents").select("doc_id", *[payloads[s].alias(f"up_{s}") for s in S.GATED])
+    rows = t.documents.select("doc_id", *[payloads[s].alias(f"up_{s}") for s in S.GATED])
     rows = rows.withColumn("up_derivatives", F.when(F.col("doc_id") % 11 != 10, F.col("up_derivatives")))
     return S.quality_gate(rows).select("doc_id", "error", "passed", F.array_join("failed_rules", "|").alias("failed_rules"))
 
@@ -192,7 +192,7 @@ def quality_gate(t):
 def _artifacts(t):
     """Long artifacts of the gated payloads, with the gate's own verdict as payload."""
     payloads = _payloads(t)
-    wide = t.read("documents").select("doc_id", *[p.alias(f"up_{s}") for s, p in payloads.items()])
+    wide = t.documents.select("doc_id", *[p.alias(f"up_{s}") for s, p in payloads.items()])
     judged = S.quality_gate(wide).withColumn("up_quality_gate", to_json(F.struct("passed", "failed_rules")))
     pairs = F.array(*[F.struct(F.lit(s).alias("stage_name"), F.col(f"up_{s}").alias("payload")) for s in S.EXPORT_UPSTREAM])
     rows = judged.select(F.col("doc_id").alias("word_id"), F.inline(pairs))
@@ -289,7 +289,7 @@ def link_words(t):
 def stage_worklist(t):
     stored = t.pipe_artifacts.where("stage_name = 'paraphrase'").select(F.col("word_id").alias("doc_id"), "payload")
     text = F.when(F.col("doc_id") % 2 == 0, F.col("payload")).otherwise("changed")
-    expected = t.read("documents").join(stored, "doc_id", "left").select(
+    expected = t.documents.join(stored, "doc_id", "left").select(
         F.col("doc_id").alias("word_id"), F.coalesce(F.sha2(text, 256), F.lit("none")).alias("expected")
     )
     failed = t.read("labels").where("toxic = 1").select(F.col("doc_id").alias("word_id"))
@@ -303,7 +303,7 @@ def stage_worklist(t):
        FROM documents d LEFT JOIN pipe_artifacts a ON a.word_id = d.doc_id AND a.stage_name = 'fetch_dict'""",
 )
 def expected_fingerprints(t):
-    words = t.read("documents").select(F.col("doc_id").alias("word_id"))
+    words = t.documents.select(F.col("doc_id").alias("word_id"))
     return S.expected_fingerprints(words, t.pipe_artifacts, S.Stage("phonetic", ("fetch_dict",), lambda df: df))
 
 
@@ -328,7 +328,7 @@ def _count_stage():
     FROM documents LEFT JOIN up ON word_id = doc_id""",
 )
 def run_stage(t):
-    words = t.read("documents").select(F.col("doc_id").alias("word_id"))
+    words = t.documents.select(F.col("doc_id").alias("word_id"))
     artifacts = t.pipe_artifacts.withColumn("model", F.lit(None).cast("string")).withColumn("prompt_version", F.lit(None).cast("string"))
     run = S.run_stage(_count_stage(), words, artifacts.where("stage_name <> 'paraphrase'"), F.lit("b1"))
     made = run.artifacts.where("stage_name = 'paraphrase'").select("word_id", "payload")

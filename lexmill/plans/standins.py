@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
+from lexmill.session import spread
 
 STAGES = ("fetch_dict", "paraphrase", "phonetic", "derivatives", "examples", "mnemonic", "quality_gate", "export")
 AUDIO_BASE = "https://audio.example.com/voice?audio="
@@ -127,13 +128,18 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @property
+    def documents(self) -> DataFrame:
+        """The texts, which most queries work hard on row by row."""
+        return spread(self.read("documents"), "doc_id")
+
     @staticmethod
     def stage_of(index) -> F.Column:
         return F.element_at(F.array(*[F.lit(s) for s in STAGES]), index + 1)
 
     @property
     def raw_tokens(self) -> DataFrame:
-        tokens = self.read("documents").select(
+        tokens = self.documents.select(
             "doc_id", F.posexplode(F.split("text", SPLIT)).alias("pos", "raw_form"), F.col("source").alias("batch_id")
         )
         return tokens.withColumn("line_no", F.col("doc_id") * 1_000_000 + F.col("pos"))

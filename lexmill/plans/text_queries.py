@@ -20,7 +20,7 @@ FOLD = "replace(lower({}), 'ß', 'ss')"
 )
 def scan_word_lines(t):
     path = fresh_path(t.spark, "lines")
-    t.read("documents").select("text").write.text(path)
+    t.documents.select("text").write.text(path)
     return R.read_word_lines(t.spark, path).groupBy("raw_form").agg(F.count("*").alias("n"))
 
 
@@ -189,7 +189,7 @@ def compose_url(t):
 )
 def truncate_text(t):
     text = F.col("text")
-    return t.read("documents").select(
+    return t.documents.select(
         "doc_id", F.md5(T.truncate_text(text, "blob")).alias("cut"), T.is_truncated(text, "blob").alias("truncated"),
         T.truncate_text(text, "en_paraphrase").alias("en"),
     )
@@ -205,7 +205,7 @@ TEMPLATE = "Word: {word}\nDictionary:\n{dict_summary}\nAgain: {word}"
 )
 def render_prompt(t):
     values = {"word": F.concat("lang", F.lit(" "), "doc_id"), "dict_summary": F.col("text")}
-    return t.read("documents").select("doc_id", F.md5(T.render_prompt(F.lit(TEMPLATE), values)).alias("prompt"))
+    return t.documents.select("doc_id", F.md5(T.render_prompt(F.lit(TEMPLATE), values)).alias("prompt"))
 
 
 @query(
@@ -231,7 +231,7 @@ def cache_key(t):
         F.concat(F.lit("call:"), "lang", F.lit(":m1")), F.lit("m1"), F.lit('{"temperature": 0, "max_tokens": 10}'),
         F.col("text"), F.concat(F.lit('{"word": "'), "source", F.lit('"}')),
     )
-    return t.read("documents").select("doc_id", key.alias("cache_key"))
+    return t.documents.select("doc_id", key.alias("cache_key"))
 
 
 @query(

@@ -61,3 +61,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = fresh_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out to all cores when their files make fewer tasks than there are cores.
+
+    For heavy work per row on a small number of files. A large table has more tasks than that
+    and stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
