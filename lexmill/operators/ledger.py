@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.operators.numbering import number_rows
+from lexmill.operators.numbering import HOT_FLOOR, join_to_parent, number_rows
 
 MONEY = "decimal(12,6)"
 DEAD_AFTER = 3
@@ -66,38 +66,45 @@ def _last_resolution(resolutions: DataFrame) -> DataFrame:
     return done.groupBy(*KEY).agg(F.max("resolved_at").alias("_resolved"))
 
 
-def failures_after_resolution(ledger: DataFrame, resolutions: DataFrame, batch_id: str | None = None) -> DataFrame:
+def failures_after_resolution(
+    ledger: DataFrame, resolutions: DataFrame, batch_id: str | None = None, floor: int = HOT_FLOOR
+) -> DataFrame:
     """Failed attempts that started after the last resolution of their word and stage.
 
     Attempts are limited to a batch if one is given, resolutions never are. There is one
-    resolution row per key; AQE splits a skewed key on the side of the attempts.
+    resolution row per key, so a key with very many failures meets it by broadcast.
     """
     failed = ledger.where(F.col("status") == "failed")
     if batch_id is not None:
         failed = failed.where(F.col("batch_id") == batch_id)
     kind = ledger.schema["started_at"].dataType
     since = F.coalesce("_resolved", F.lit(EPOCH).cast(kind))
-    return failed.join(_last_resolution(resolutions), KEY, "left").where(F.col("started_at") > since).drop("_resolved")
+    joined = join_to_parent(failed, _last_resolution(resolutions), KEY, "left", floor)
+    return joined.where(F.col("started_at") > since).drop("_resolved")
 
 
-def failures_since_resolution(ledger: DataFrame, resolutions: DataFrame, batch_id: str | None = None) -> DataFrame:
+def failures_since_resolution(
+    ledger: DataFrame, resolutions: DataFrame, batch_id: str | None = None, floor: int = HOT_FLOOR
+) -> DataFrame:
     """(word_id, stage_name, failures); keys that failed before but not since have 0."""
     failed = ledger.where(F.col("status") == "failed")
     if batch_id is not None:
         failed = failed.where(F.col("batch_id") == batch_id)
     kind = ledger.schema["started_at"].dataType
     since = F.coalesce("_resolved", F.lit(EPOCH).cast(kind))
-    joined = failed.join(_last_resolution(resolutions), KEY, "left")
+    joined = join_to_parent(failed, _last_resolution(resolutions), KEY, "left", floor)
     return joined.groupBy(*KEY).agg(F.count_if(F.col("started_at") > since).alias("failures"))
 
 
-def third_failure(ledger: DataFrame, resolutions: DataFrame, threshold: int = DEAD_AFTER) -> DataFrame:
+def third_failure(
+    ledger: DataFrame, resolutions: DataFrame, threshold: int = DEAD_AFTER, floor: int = HOT_FLOOR
+) -> DataFrame:
     """Dead letters due: the attempt with which the failures since the last resolution reach the threshold.
 
     Later failures add none. The rank filter lets Spark keep only the first few rows of a key
     in each task before the shuffle.
     """
-    since = failures_after_resolution(ledger, resolutions)
+    since = failures_after_resolution(ledger, resolutions, floor=floor)
     order = Window.partitionBy(*KEY).orderBy("started_at", "id")
     ranked = since.withColumn("attempt", F.row_number().over(order)).where(F.col("attempt") <= threshold)
     return ranked.where(F.col("attempt") == threshold)

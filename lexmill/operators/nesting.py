@@ -32,7 +32,7 @@ def nest_children(
     """
     placed = position_in_parent(children, keys, order, "_pos", floor, weigh)
     return (
-        placed.select(*keys, F.floor(F.col("_pos") / part_size).alias("part_no"), "_pos", item.alias("_item"))
+        placed.select(*keys, F.expr(f"_pos div {part_size}").alias("part_no"), "_pos", item.alias("_item"))
         .groupBy(*keys, "part_no")
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_item"))).alias("_items"))
         .select(*keys, "part_no", F.col("_items._item").alias(name))

@@ -76,9 +76,10 @@ def run_experiment(t):
     return out.select("word_id", "form", "ok", "valid", "cost_usd")
 
 
-def _stub_for(stage):
+def _stub_for(stage, model=DS.stub_model):
+    # Functions that travel to executors hold functions, never this package's modules.
     def fn(calls):
-        return DS.stub_model(calls.assign(input_json=f'{{"stage": "{stage}"}}'))
+        return model(calls.assign(input_json=f'{{"stage": "{stage}"}}'))
 
     return fn
 
@@ -106,7 +107,7 @@ def choose_meanings(t):
         one = F.struct(F.lit("n").alias("pos"), F.concat(F.lit(prefix), key).alias("cn"), F.lit(None).cast("string").alias("en"))
         return df.select(F.col(key).alias("word_id"), F.array(one).alias("meanings"))
 
-    docs = t.documents
+    docs = t.read("documents")
     out = I.choose_meanings(
         docs.select(F.col("doc_id").alias("word_id")), listed(t.read("labels").where("quality = 1"), "doc_id", "g"),
         listed(docs.where("doc_id % 2 = 0"), "doc_id", "d"), listed(docs.where("doc_id % 3 = 0"), "doc_id", "m"),
@@ -289,7 +290,7 @@ def link_words(t):
 def stage_worklist(t):
     stored = t.pipe_artifacts.where("stage_name = 'paraphrase'").select(F.col("word_id").alias("doc_id"), "payload")
     text = F.when(F.col("doc_id") % 2 == 0, F.col("payload")).otherwise("changed")
-    expected = t.documents.join(stored, "doc_id", "left").select(
+    expected = t.read("documents").join(stored, "doc_id", "left").select(
         F.col("doc_id").alias("word_id"), F.coalesce(F.sha2(text, 256), F.lit("none")).alias("expected")
     )
     failed = t.read("labels").where("toxic = 1").select(F.col("doc_id").alias("word_id"))
@@ -303,7 +304,7 @@ def stage_worklist(t):
        FROM documents d LEFT JOIN pipe_artifacts a ON a.word_id = d.doc_id AND a.stage_name = 'fetch_dict'""",
 )
 def expected_fingerprints(t):
-    words = t.documents.select(F.col("doc_id").alias("word_id"))
+    words = t.read("documents").select(F.col("doc_id").alias("word_id"))
     return S.expected_fingerprints(words, t.pipe_artifacts, S.Stage("phonetic", ("fetch_dict",), lambda df: df))
 
 
@@ -328,7 +329,7 @@ def _count_stage():
     FROM documents LEFT JOIN up ON word_id = doc_id""",
 )
 def run_stage(t):
-    words = t.documents.select(F.col("doc_id").alias("word_id"))
+    words = t.read("documents").select(F.col("doc_id").alias("word_id"))
     artifacts = t.pipe_artifacts.withColumn("model", F.lit(None).cast("string")).withColumn("prompt_version", F.lit(None).cast("string"))
     run = S.run_stage(_count_stage(), words, artifacts.where("stage_name <> 'paraphrase'"), F.lit("b1"))
     made = run.artifacts.where("stage_name = 'paraphrase'").select("word_id", "payload")

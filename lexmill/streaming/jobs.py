@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -131,21 +131,20 @@ def stream_stall_alert(attempts: DataFrame, keys: list[str], at: str = "started_
     return active.select(*keys, start.alias("busy_from"), ends.cast("timestamp_ntz").alias("quiet_from"), "attempts")
 
 
-def stalls(attempts: DataFrame, at: str = "started_at", gap: int = STALL_SECONDS, bucket: str = "hour") -> DataFrame:
+def stalls(attempts: DataFrame, at: str = "started_at", gap: int = STALL_SECONDS) -> DataFrame:
     """Batch form: (quiet_from, quiet_to) where nothing completed for more than `gap` seconds.
 
-    Times are compared within their bucket and with the last time of the bucket before, so no
-    window covers the whole table; the table of buckets is small.
+    Rows are first reduced to the earliest and latest time of each slot of `gap` seconds: no
+    such gap fits inside a slot. The window then runs over slots, whose number depends on the
+    time covered and not on the rows.
     """
-    from pyspark.sql import Window
-
-    times = attempts.select(F.col(at).alias("t"), F.date_trunc(bucket, F.col(at)).cast(attempts.schema[at].dataType).alias("b")).distinct()
-    inside = times.withColumn("prev", F.lag("t").over(Window.partitionBy("b").orderBy("t")))
-    edges = times.groupBy("b").agg(F.max("t").alias("last"))
-    before = edges.withColumn("before", F.lag("last").over(Window.orderBy("b"))).select("b", "before")
-    joined = inside.join(before, "b").withColumn("quiet_from", F.coalesce("prev", "before"))
-    apart: Column = F.col("quiet_from") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap))
-    return joined.where(apart < F.col("t")).select("quiet_from", F.col("t").alias("quiet_to"))
+    zone = attempts.schema[at].dataType
+    slot = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (gap * 1_000_000))
+    slots = attempts.groupBy(slot.alias("slot")).agg(F.min(at).alias("quiet_to"), F.max(at).alias("_last"))
+    ordered = slots.withColumn("quiet_from", F.lag("_last").over(Window.orderBy("slot")))
+    pause = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap))
+    late = (F.col("quiet_from") + pause).cast(zone) < F.col("quiet_to")
+    return ordered.where(late).select("quiet_from", "quiet_to")
 
 
 # --- cost -------------------------------------------------------------------

@@ -267,9 +267,29 @@ def test_checkers_take_unparseable_for_no_issue(spark):
     assert out.pop("mnemonic") == [] and all(json.loads(i[0]) == {"from": c, "issue": "i", "path": "p"} for c, i in out.items()) and len(out) == 4
 
 
+def test_registered_stages_run_in_their_order(spark, monkeypatch):
+    monkeypatch.setattr(S, "_STAGES", {})
+    for name in ("export", "extra", "fetch_dict"):
+        S.register_stage(word_stage(name, ()))
+    assert [s.name for s in S.registered_stages()] == ["fetch_dict", "export", "extra"]
+
+
+def test_registered_rule_joins_the_gate(spark, monkeypatch):
+    monkeypatch.setattr(S, "_RULES", dict(S._RULES))
+    S.register_rule("short", lambda up: F.when(F.length(F.to_json(up["mnemonic"])) < 99, F.array(F.lit("too short"))).otherwise(F.array().cast("array<string>")))
+    df = spark.createDataFrame([tuple(json.dumps(GOOD[s]) for s in S.GATED)], ", ".join(f"up_{s} string" for s in S.GATED))
+    assert S.quality_gate(df).collect()[0]["failed_rules"] == ["short: too short"]
+
+
 # --- streams ----------------------------------------------------------------
 
 
+def test_stalls(spark):
+    times = [dt.datetime(2024, 1, 1, 0, 0, s) for s in (0, 50)] + [dt.datetime(2024, 1, 1, 0, m) for m in (3, 6, 10)]
+    out = J.stalls(spark.createDataFrame([(x,) for x in times], "started_at timestamp_ntz").repartition(3))
+    assert rows(out) == [(dt.datetime(2024, 1, 1, 0, 6), dt.datetime(2024, 1, 1, 0, 10))]
+
+
 def test_stream_ingest_keeps_the_first_spelling_over_batches(spark, tmp_path):
     for n, lines in enumerate([["Apple 1", "pear 2"], ["APPLE 3", "Fig 4", " 5"]]):
         path = tmp_path / f"{n}.csv"
