@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, licenses, mixing
+from lexmill.llm import byte_bpe, licenses, mixing, quality, toxicity
 
+QUALITY_LEAST = 0.3
+TOXIC_LEAST = 0.7
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +38,27 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(spark, _table(spark, sf_dir, "documents"))
 
 
+def _predictions(scored: DataFrame, folds: int, held_out: int, least: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        (quality.fold(F.col("doc_id"), folds) == held_out).alias("held_out"),
+        "score",
+        (F.col("score") >= least).cast("int").alias("predicted"),
+    )
+
+
+def op4_quality_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return _predictions(quality.score_quality(docs, model), 5, 0, QUALITY_LEAST)
+
+
+def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), folds=3, held_out=1)
+    return _predictions(toxicity.find_toxic(docs, model), 3, 1, TOXIC_LEAST)
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan_licenses(_table(spark, sf_dir, "documents")))
 
@@ -121,7 +144,9 @@ FROM counted"""
 def queries() -> dict[str, Query]:
     return {
         "op3_byte_bpe": op3_byte_bpe,
+        "op4_quality_vote": op4_quality_vote,
         "op5_license_scan": op5_license_scan,
+        "op8_toxic_segments": op8_toxic_segments,
         "op9_mix_sources": op9_mix_sources,
     }
 

@@ -98,9 +98,9 @@ class Words:
         if len(short):
             extra = np.zeros(len(short), dtype=np.uint64)
             for at, d in enumerate(short):
-                run = np.uint64(self.counts[d])
-                for h in self.hashes[self.first[d] : self.first[d + 1]]:
-                    run = np.multiply(run, _STEP) + h
+                run = int(self.counts[d])
+                for h in self.hashes[self.first[d] : self.first[d + 1]].tolist():
+                    run = (run * int(_STEP) + h) & 0xFFFFFFFFFFFFFFFF
                 extra[at] = run
             hashes = np.concatenate([hashes, mix64(mix64(extra))])
             doc = np.concatenate([doc, short])
