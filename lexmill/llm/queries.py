@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, licenses, mixing, quality, toxicity
+from lexmill.llm import byte_bpe, jaccard, licenses, mixing, quality, toxicity
 
 QUALITY_LEAST = 0.3
 TOXIC_LEAST = 0.7
@@ -63,6 +63,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan_licenses(_table(spark, sf_dir, "documents")))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -146,6 +150,7 @@ def queries() -> dict[str, Query]:
         "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_vote": op4_quality_vote,
         "op5_license_scan": op5_license_scan,
+        "op6_jaccard_join": op6_jaccard_join,
         "op8_toxic_segments": op8_toxic_segments,
         "op9_mix_sources": op9_mix_sources,
     }
