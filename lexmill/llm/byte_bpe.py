@@ -9,12 +9,14 @@ before. Appending bytes only adds entries, and an edit leaves all entries before
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +25,12 @@ from lexmill.llm.textkit import slices
 
 # Pieces, prefixes and pairs whose results a worker keeps; beyond that it starts anew.
 KEEP_PIECES = 400_000
-KEEP_PREFIXES = 400_000
-KEEP_PAIRS = 600_000
+KEEP_PREFIXES = 300_000
+KEEP_PAIRS = 250_000
 # Longer pieces get a table of their own, of which nothing is kept.
 KEEP_LENGTH = 64
+# Ids decoded at a time.
+DECODE_IDS = 1 << 20
 
 _NEVER = 1 << 40
 _HEAD = -1
@@ -42,14 +46,35 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.start = max(self.bytes_of) + 1  # stands for the empty prefix
-        # Every token's rank, and _HEAD for what only begins one.
-        self.known = {token[:n]: _HEAD for token in ranks for n in range(1, len(token))} | ranks
         self.longest = max(map(len, ranks))
         self._made: dict[bytes, tuple[bytes, bytes, int] | None] = {}
         self._spines: tuple[dict, dict] = ({}, {})
         self.pairs: dict[int, bool] = {}
         self.prefixes: dict[bytes, int] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces = _Pieces(self)
+
+    @cached_property
+    def known(self) -> dict[bytes, int]:
+        """Every token's rank, and _HEAD for what only begins one."""
+        return {token[:n]: _HEAD for token in self.ranks for n in range(1, len(token))} | self.ranks
+
+    @cached_property
+    def spelled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All tokens' bytes in one array, and by id where each starts and how long it is."""
+        start, size = np.zeros(self.start, dtype=np.int64), np.zeros(self.start, dtype=np.int64)
+        at = 0
+        for rank, token in self.bytes_of.items():
+            start[rank], size[rank] = at, len(token)
+            at += len(token)
+        return np.frombuffer(b"".join(self.bytes_of.values()), dtype=np.uint8), start, size
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of a run of ids, and where each id's end."""
+        letters, start, size = self.spelled
+        lengths = size[ids]
+        ends = np.cumsum(lengths)
+        place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(ends - lengths, lengths)
+        return letters[np.repeat(start[ids], lengths) + place], ends
 
     def _merged(self, data: bytes, down_to: int) -> list[bytes]:
         """Merge the lowest rank, leftmost first, until `down_to` parts are left or none can merge."""
@@ -153,19 +178,25 @@ class Vocabulary:
 
     def encode_piece(self, text: str) -> list[int]:
         """The ids of one piece; a piece that is itself a token is that token."""
-        ids = self.pieces.get(text)
-        if ids is None:
-            data = text.encode()
-            whole = self.ranks.get(data)
-            if whole is not None:
-                ids = [whole]
-            elif len(data) > KEEP_LENGTH:
-                return PrefixTable(self, data).ids()
-            else:
-                ids = self._by_prefixes(data)
-            if len(self.pieces) >= KEEP_PIECES:
-                self.pieces.clear()
-            self.pieces[text] = ids
+        data = text.encode()
+        whole = self.ranks.get(data)
+        if whole is not None:
+            return [whole]
+        return self._by_prefixes(data) if len(data) <= KEEP_LENGTH else PrefixTable(self, data).ids()
+
+
+class _Pieces(dict):
+    """Pieces and their ids as 32-bit numbers; what is missing is encoded and kept."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.encode = vocabulary.encode_piece
+
+    def __missing__(self, text: str) -> bytes:
+        ids = array("i", self.encode(text)).tobytes()
+        if len(text) <= KEEP_LENGTH:
+            if len(self) >= KEEP_PIECES:
+                self.clear()
+            self[text] = ids
         return ids
 
 
@@ -268,15 +299,9 @@ def load_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(ranks)
 
 
-def encode_text(text: str, vocabulary: Vocabulary, split: regex.Pattern) -> list[int]:
-    ids: list[int] = []
-    pieces = vocabulary.pieces
-    for part in split.findall(text):
-        got = pieces.get(part)
-        if got is None:
-            got = vocabulary.encode_piece(part)
-        ids += got
-    return ids
+def encode_text(text: str, vocabulary: Vocabulary, split: regex.Pattern) -> np.ndarray:
+    """The ids of a whole text, each match of `split` encoded by itself."""
+    return np.frombuffer(b"".join(map(vocabulary.pieces.__getitem__, split.findall(text))), dtype=np.int32)
 
 
 def encode_documents(
@@ -295,8 +320,7 @@ def encode_documents(
             for part in slices(batch):
                 found = [encode_text(t or "", vocabulary, split) for t in part.column(1).to_pylist()]
                 ends = np.cumsum([0, *map(len, found)], dtype=np.int64).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(ends[-1]))
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -305,14 +329,25 @@ def encode_documents(
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
-    """`encoded` with the column `decoded`: the bytes that the ids stand for. NULL ids give NULL."""
+    """`encoded` with the column `decoded`: the bytes that the ids stand for. NULL ids give none."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = load_vocabulary(path).bytes_of
+        vocabulary = load_vocabulary(path)
         for batch in batches:
-            ids = batch.column(batch.schema.names.index("ids"))
-            found = [None if row is None else b"".join(map(table.__getitem__, row)) for row in ids.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, "decoded"])
+            lists = batch.column(batch.schema.names.index("ids"))
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            after = np.cumsum(sizes)
+            row = 0
+            while row < batch.num_rows:
+                stop = int(np.searchsorted(after, (after[row - 1] if row else 0) + DECODE_IDS, side="right"))
+                stop = min(max(stop, row + 1), batch.num_rows)
+                part = batch.slice(row, stop - row)
+                letters, ends = vocabulary.decode(lists.slice(row, stop - row).flatten().to_numpy(zero_copy_only=False))
+                cuts = np.concatenate([[0], np.concatenate([[0], ends])[np.cumsum(sizes[row:stop])]])
+                whole = letters.tobytes()
+                texts = [whole[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
+                row = stop
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(decode, f"{fields}, decoded binary")
