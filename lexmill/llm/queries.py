@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, jaccard, licenses, mixing, quality, toxicity
+from lexmill.llm import byte_bpe, fingerprints, jaccard, licenses, mixing, quality, toxicity
 
 QUALITY_LEAST = 0.3
 TOXIC_LEAST = 0.7
@@ -34,6 +34,10 @@ def bpe_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(spark, _table(spark, sf_dir, "documents"))
 
@@ -147,6 +151,7 @@ FROM counted"""
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_simhash": op2_simhash,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_vote": op4_quality_vote,
         "op5_license_scan": op5_license_scan,
