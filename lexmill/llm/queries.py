@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, fingerprints, jaccard, licenses, mixing, quality, toxicity
+from lexmill.llm import byte_bpe, fingerprints, jaccard, licenses, mixing, quality, suffix_model, toxicity
 
 QUALITY_LEAST = 0.3
 TOXIC_LEAST = 0.7
@@ -71,6 +71,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_model.suffix_scores(_table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -156,6 +160,7 @@ def queries() -> dict[str, Query]:
         "op4_quality_vote": op4_quality_vote,
         "op5_license_scan": op5_license_scan,
         "op6_jaccard_join": op6_jaccard_join,
+        "op7_suffix_tree": op7_suffix_tree,
         "op8_toxic_segments": op8_toxic_segments,
         "op9_mix_sources": op9_mix_sources,
     }
