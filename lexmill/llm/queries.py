@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, fingerprints, jaccard, licenses, mixing, quality, suffix_model, toxicity
+from lexmill.llm import byte_bpe, fingerprints, jaccard, licenses, mixing, quality, suffix_model, toxicity, vector_dedup
 
 QUALITY_LEAST = 0.3
 TOXIC_LEAST = 0.7
@@ -34,6 +34,10 @@ def bpe_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
+def op1_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -155,6 +159,7 @@ FROM counted"""
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_vector_dedup": op1_vector_dedup,
         "op2_simhash": op2_simhash,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_vote": op4_quality_vote,
