@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,11 @@ SKETCH_BLOCKS = 16
 # A set counts once more for every SET_WEIGHT shingles in it.
 CHUNK = 512
 SET_WEIGHT = 512
+# Bits of a set's bitmap for each of its shingles, at least.
+WIDEN = 3
+# Bits of a filter for each wanted document, and at most.
+FILTER_BITS = 16
+MAX_FILTER_BITS = 1 << 27
 # Sets in a leaf of a signature tree, and children of a node.
 LEAF = 8
 FAN = 8
@@ -46,18 +51,28 @@ def shingle_sets(part: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarr
     return doc, hashes, size, mix64(key + size.astype(np.uint64))
 
 
+def bitmap(hashes: np.ndarray) -> bytes:
+    """A set's bitmap: one of 2^k bits, at least WIDEN for each member, is set by a member's last k bits."""
+    width = 1 << max(6, (WIDEN * len(hashes) - 1).bit_length())
+    flags = np.zeros(width, dtype=np.uint8)
+    flags[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """A row (doc_id, n, key) for each document, and the task's share of the sketch in further rows."""
+    """A row (doc_id, n, key, bits) for each document, and the task's share of the sketch in further rows."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, dtype=np.int64)
-        names = ["doc_id", "n", "key", "block", "counts"]
+        names = ["doc_id", "n", "key", "bits", "block", "counts"]
         id_type = None
         for batch in batches:
             id_type = batch.column(0).type
             for part in slices(batch):
                 _, hashes, size, key = shingle_sets(part, width)
+                ends = np.concatenate([[0], np.cumsum(size)]).tolist()
+                bits = [bitmap(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 sketch += np.bincount((hashes & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
                 empty = size == 0
                 yield pa.RecordBatch.from_arrays(
@@ -65,6 +80,7 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
                         part.column(0),
                         pa.array(size),
                         pa.array(key.view(np.int64), pa.int64(), mask=empty),
+                        pa.array(bits, pa.binary()),
                         pa.nulls(part.num_rows, pa.int32()),
                         pa.nulls(part.num_rows, pa.binary()),
                     ],
@@ -77,13 +93,14 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
                     pa.nulls(SKETCH_BLOCKS, id_type),
                     pa.array([0] * SKETCH_BLOCKS, pa.int64()),
                     pa.nulls(SKETCH_BLOCKS, pa.int64()),
+                    pa.nulls(SKETCH_BLOCKS, pa.binary()),
                     pa.array(range(SKETCH_BLOCKS), pa.int32()),
                     pa.array([b.astype(np.uint32).tobytes() for b in blocks], pa.binary()),
                 ],
                 names=names,
             )
 
-    return docs.mapInArrow(profile, f"doc_id {kind}, n bigint, key bigint, block int, counts binary")
+    return docs.mapInArrow(profile, f"doc_id {kind}, n bigint, key bigint, bits binary, block int, counts binary")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -144,25 +161,35 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) ->
     return docs.select("doc_id", "text").mapInArrow(prefix, "token bigint, n bigint, key bigint")
 
 
-def _cells(prefixes: DataFrame, partitions: int, chunk: int) -> DataFrame:
+def _cells(prefixes: DataFrame, partitions: int, chunk: int, percent: int) -> DataFrame:
     """(token, part, chunk, last, n, key): sets that share a token, by size, in chunks.
 
-    Tokens of a single set are dropped. A range partitioning by token, size and set cuts even
-    a token that very many sets share into pieces for many tasks; what lies at a piece's end
-    is kept, as its neighbours may be in the next one. `part` is the piece.
+    A set without another of a size that could link to its own is dropped. A range partitioning
+    by token, size and set cuts even a token that very many sets share into pieces for many
+    tasks; what lies at a piece's end is kept, as its neighbours may be in the next one. `part`
+    is the piece.
     """
     placed = prefixes.repartitionByRange(partitions, "token", "n", "key").sortWithinPartitions("token", "n", "key")
     marked = placed.withColumn("part", F.spark_partition_id())
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # `at`, `reached`, `previous`: token, weight so far and set of the last row that went out.
-        at, reached, previous, first = None, 0, None, True
-        held: list[np.ndarray] | None = None  # a lone last row, until its token is known to go on or not
+        # The last row waits for what follows it; `before` is the row ahead of it. `at` and
+        # `reached` are the token of the last row that went out and its weight so far.
+        held, before, at, reached = None, None, None, 0
 
-        def rows(columns: list[np.ndarray], before: np.ndarray) -> pa.RecordBatch:
+        def rows(columns: list[np.ndarray]) -> pa.RecordBatch:
+            nonlocal at, reached
             token, n, key, part = columns
+            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            sizes = np.diff(np.concatenate([starts, [len(token)]]))
+            weight = 1 + n // SET_WEIGHT
+            ahead = np.cumsum(weight) - weight
+            ahead -= np.repeat(ahead[starts], sizes)
+            if at == token[0]:
+                ahead[: sizes[0]] += reached
+            at, reached = token[-1], int(ahead[-1] + weight[-1])
             return pa.RecordBatch.from_arrays(
-                [pa.array(token), pa.array(part), pa.array((before // chunk).astype(np.int32)), pa.array(n), pa.array(key)],
+                [pa.array(token), pa.array(part), pa.array((ahead // chunk).astype(np.int32)), pa.array(n), pa.array(key)],
                 names=["token", "part", "chunk", "n", "key"],
             )
 
@@ -170,37 +197,30 @@ def _cells(prefixes: DataFrame, partitions: int, chunk: int) -> DataFrame:
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             if held is not None:
                 columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
-                held = None
             token, _, key, _ = columns
+            if not len(token):
+                continue
             fresh = np.ones(len(token), dtype=bool)
             fresh[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-            if len(token) and previous == (token[0], key[0]):
-                fresh[0] = False
             columns = [c[fresh] for c in columns]
-            token, n, key, _ = columns
-            if not len(token):
-                continue
-            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            sizes = np.diff(np.concatenate([starts, [len(token)]]))
-            weight = 1 + n // SET_WEIGHT
-            before = np.cumsum(weight) - weight
-            before -= np.repeat(before[starts], sizes)
-            goes_on = at == token[0]
-            if goes_on:
-                before[: sizes[0]] += reached
-            keep = np.repeat(sizes, sizes) > 1
-            if goes_on or first:
-                keep[: sizes[0]] = True
-            first = False
-            if keep[-1]:
-                at, reached, previous = token[-1], int(before[-1] + weight[-1]), (token[-1], key[-1])
-            else:
-                held = [c[-1:] for c in columns]
-                at, reached, previous = None, 0, None
+            token, n, _, _ = columns
+            # Two neighbours in the order of sizes are near enough to link; then both may.
+            near = (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])
+            keep = np.zeros(len(token), dtype=bool)
+            keep[1:] |= near
+            keep[:-1] |= near
+            if held is None or before == "first" or (before is not None and before[0] == token[0] and 100 * before[1] >= percent * n[0]):
+                keep[0] = True
+            if len(token) > 1:
+                before = (token[-2], n[-2])
+            elif held is None:
+                before = "first"
+            held = [c[-1:] for c in columns]
+            keep[-1] = False
             if keep.any():
-                yield rows([c[keep] for c in columns], before[keep])
+                yield rows([c[keep] for c in columns])
         if held is not None:
-            yield rows(held, np.zeros(1, dtype=np.int64))
+            yield rows(held)
 
     return marked.mapInArrow(pick, "token bigint, part int, chunk int, n bigint, key bigint")
 
@@ -242,24 +262,18 @@ def build_tree(sizes: list[int], bitmaps: list[int], leaf: int = LEAF, fan: int
     return level[0]
 
 
-def link_sets(sets: list[frozenset[int]], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that connect all sets whose Jaccard is at least percent / 100, as a forest.
+def dual_traversal(
+    sizes: list[int], bitmaps: list[bytes], percent: int, root: list[int], check: Callable[[int, int], bool] | None, join: bool = True
+) -> list[tuple[int, int]]:
+    """Pairs of sets, not connected by `root`, that may link; with `check`, those that pass it.
 
-    Both sides go down the tree at once. A pair of nodes is left if the size ranges cannot
-    link, if the common bits of their bitmaps allow too small an overlap, or if all their sets
-    are connected already. Pairs of sets that remain are compared exactly.
+    The sets must be ordered by size. Both sides go down the tree at once. A pair of nodes is
+    left if its size ranges cannot link, if the common bits of its bitmaps allow too small an
+    overlap, or if all its sets are connected already. With `join`, a pair found connects its
+    sets, so the result is a forest; without, it holds every such pair.
     """
-    order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), min(sets[i], default=0)))
-    sizes = [len(sets[i]) for i in order]
-    width = 1 << max(6, (4 * max(sizes, default=1)).bit_length())
-    bitmaps = []
-    for i in order:
-        present = bytearray(width // 8)
-        for h in sets[i]:
-            h &= width - 1
-            present[h >> 3] |= 1 << (h & 7)
-        bitmaps.append(int.from_bytes(present, "little"))
-    root = list(range(len(order)))
+    width = 8 * min(map(len, bitmaps))
+    folded = [_folded(b, width) for b in bitmaps]
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -271,10 +285,9 @@ def link_sets(sets: list[frozenset[int]], percent: int = PERCENT) -> list[tuple[
         one = find(a[0])
         return all(find(i) == one for i in a) and all(find(i) == one for i in b)
 
-    links = []
-    if not order:
-        return links
-    top = build_tree(sizes, bitmaps)
+    spare = [n - b.bit_count() for n, b in zip(sizes, folded, strict=True)]
+    found = []
+    top = build_tree(sizes, folded)
     work = [(top, top)]
     while work:
         a, b = work.pop()
@@ -300,68 +313,173 @@ def link_sets(sets: list[frozenset[int]], percent: int = PERCENT) -> list[tuple[
         for i in a.sets:
             for j in b.sets:
                 if (a is not b or j > i) and find(i) != find(j):
-                    total = sizes[i] + sizes[j]
-                    bound = (bitmaps[i] & bitmaps[j]).bit_count() + min(sizes[i] - bitmaps[i].bit_count(), sizes[j] - bitmaps[j].bit_count())
-                    if bound * (100 + percent) < percent * total:
+                    most = (folded[i] & folded[j]).bit_count() + min(spare[i], spare[j])
+                    if most * (100 + percent) < percent * (sizes[i] + sizes[j]):
                         continue
-                    both = len(sets[order[i]] & sets[order[j]])
-                    if both * (100 + percent) >= percent * total:
-                        root[find(i)] = find(j)
-                        links.append((order[i], order[j]))
-    return links
+                    if check is None or check(i, j):
+                        found.append((i, j))
+                        if join:
+                            root[find(i)] = find(j)
+    return found
 
 
-def _link_groups(groups: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    """(a, b): links inside each group of `groups` (keys, key, tokens), one sorted group at a time."""
-    dealt = groups.select(F.xxhash64(*keys).alias("group"), "key", "tokens")
-    dealt = dealt.repartition("group").sortWithinPartitions("group", "key")
+def _folded(bits: bytes, width: int) -> int:
+    """A bitmap of a smaller power of two of bits: its parts, one over the other."""
+    value = int.from_bytes(bits, "little")
+    have = 8 * len(bits)
+    while have > width:
+        have //= 2
+        value = (value >> have) | (value & ((1 << have) - 1))
+    return value
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, members = None, {}
-
-        def found() -> pa.RecordBatch | None:
-            if len(members) < 2:
-                return None
-            names = list(members)
-            links = link_sets([frozenset(np.frombuffer(t, dtype=np.uint64).tolist()) for t in members.values()], percent)
-            if not links:
-                return None
-            return pa.RecordBatch.from_arrays(
-                [pa.array([names[i] for i, _ in links], pa.int64()), pa.array([names[j] for _, j in links], pa.int64())], names=["a", "b"]
-            )
 
+def link_sets(sets: list[frozenset[int]], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that connect all sets whose Jaccard is at least percent / 100, as a forest."""
+    order = sorted((i for i in range(len(sets)) if sets[i]), key=lambda i: (len(sets[i]), min(sets[i])))
+    if not order:
+        return []
+    sizes = [len(sets[i]) for i in order]
+    bitmaps = [bitmap(np.array(list(sets[i]), dtype=np.uint64)) for i in order]
+
+    def check(i: int, j: int) -> bool:
+        return len(sets[order[i]] & sets[order[j]]) * (100 + percent) >= percent * (sizes[i] + sizes[j])
+
+    return [(order[i], order[j]) for i, j in dual_traversal(sizes, bitmaps, percent, list(range(len(order))), check)]
+
+
+def _candidates(groups: DataFrame, keys: list[str], percent: int, forest: bool) -> DataFrame:
+    """(a, b): pairs inside each group of `groups` (keys, n, key, root, bits) that may link.
+
+    With `forest` only as many as connect them, most of them with the smallest set of those
+    connected; without, all pairs whose roots differ.
+    """
+    dealt = groups.select(F.xxhash64(*keys).alias("group"), "n", "key", "root", "bits")
+    dealt = dealt.repartition("group").sortWithinPartitions("group", "n", "key")
+
+    def look(members: list[tuple]) -> pa.RecordBatch | None:
+        sizes, names, roots, bitmaps = ([m[i] for m in members] for i in range(4))
+        at: dict[int, int] = {}
+        root = [at.setdefault(r, i) for i, r in enumerate(roots)]
+        if len(at) < 2:
+            return None
+        pairs = dual_traversal(sizes, bitmaps, percent, root, None, join=forest)
+        if forest and pairs:
+            pairs = _as_stars(pairs, names, sizes, bitmaps, percent)
+        if not pairs:
+            return None
+        return pa.RecordBatch.from_arrays(
+            [pa.array([min(names[i], names[j]) for i, j in pairs], pa.int64()), pa.array([max(names[i], names[j]) for i, j in pairs], pa.int64())],
+            names=["a", "b"],
+        )
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, members, seen = None, [], set()
         for batch in batches:
-            for group, key, tokens in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for group, n, key, root, bits in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if group != current:
-                    out = found()
+                    out = look(members) if len(members) > 1 else None
                     if out is not None:
                         yield out
-                    current, members = group, {}
-                members[key] = tokens
-        out = found()
+                    current, members, seen = group, [], set()
+                if key not in seen:
+                    seen.add(key)
+                    members.append((n, key, root, bits))
+        out = look(members) if len(members) > 1 else None
         if out is not None:
             yield out
 
-    return dealt.mapInArrow(link, "a bigint, b bigint")
+    return dealt.mapInArrow(link, "a bigint, b bigint").distinct()
 
 
-def _with_sets(cells: DataFrame, docs: DataFrame, profiles: DataFrame, width: int) -> DataFrame:
-    """(key, tokens): the shingle sets that stand in a cell, each from one document's text."""
-    wanted = cells.select("key").distinct()
-    chosen = profiles.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(wanted, "key")
-    named = chosen.select(F.col("doc_id").alias("named")).distinct()
-    texts = docs.join(named, F.col("doc_id").eqNullSafe(F.col("named")), "left_semi").select("doc_id", "text")
+def _as_stars(pairs: list[tuple[int, int]], names: list[int], sizes: list[int], bitmaps: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """The forest with each member tied to its tree's smallest name instead, where that pair may link too.
+
+    Trees of the same sets in different cells then hold the same pairs.
+    """
+    root = list(range(len(names)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in pairs:
+        one, two = find(i), find(j)
+        if names[one] > names[two]:
+            one, two = two, one
+        root[two] = one
+    out: dict[tuple[int, int], None] = {}
+    tied: set[int] = set()
+    for i, j in pairs:
+        for k in (i, j):
+            center = find(k)
+            if k != center and k not in tied:
+                tied.add(k)
+                width = 8 * min(len(bitmaps[k]), len(bitmaps[center]))
+                one, two = _folded(bitmaps[k], width), _folded(bitmaps[center], width)
+                most = (one & two).bit_count() + min(sizes[k] - one.bit_count(), sizes[center] - two.bit_count())
+                fits = most * (100 + percent) >= percent * (sizes[k] + sizes[center])
+                out[(k, center) if fits else (i, j)] = None
+    return list(out)
+
+
+def _sets_of(keys: DataFrame, docs: DataFrame, profiles: DataFrame, width: int) -> DataFrame:
+    """(key, tokens): the shingle sets named by `keys`, each from one document's text.
+
+    The documents are picked by a filter of bounded size, which is broadcast, so that the texts
+    need not be shuffled; a few more than asked for pass it.
+    """
+    chosen = profiles.join(keys, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    places = chosen.select(F.xxhash64("doc_id").alias("h"))
+    count = places.count()
+    bits = 1 << min(max(10, (FILTER_BITS * count).bit_length()), MAX_FILTER_BITS.bit_length() - 1)
+    # One row for 64 bits of the filter; their number is bounded by its size.
+    blocks = places.select(F.explode(F.array(*[F.pmod(F.xxhash64("h", F.lit(i)), F.lit(bits)) for i in range(3)])).alias("bit"))
+    blocks = blocks.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("value"))
+    table = blocks.toArrow()
+    filled = np.zeros(bits // 64, dtype=np.uint64)
+    filled[table.column(0).to_numpy()] = table.column(1).to_numpy().view(np.uint64)
+    shared = docs.sparkSession.sparkContext.broadcast(filled)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
         for batch in batches:
-            for part in slices(batch):
-                doc, hashes, size, key = shingle_sets(part, width)
-                ends = np.concatenate([[0], np.cumsum(size)])
+            wanted = np.ones(batch.num_rows, dtype=bool)
+            for i in range(3):
+                bit = batch.column(2 + i).to_numpy()
+                wanted &= (words[bit // 64] >> (bit % 64).astype(np.uint64)) & np.uint64(1) == 1
+            if not wanted.any():
+                continue
+            for part in slices(batch.filter(pa.array(wanted))):
+                _, hashes, size, key = shingle_sets(part, width)
+                ends = np.concatenate([[0], np.cumsum(size)]).tolist()
                 tokens = [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([_signed(key), pa.array(tokens, pa.binary())], names=["key", "tokens"])
 
-    made = texts.mapInArrow(sets, "key bigint, tokens binary")
-    return cut_lineage(made.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("tokens").alias("tokens")))
+    h = F.xxhash64("doc_id")
+    probed = docs.select("doc_id", "text", *[F.pmod(F.xxhash64(h, F.lit(i)), F.lit(bits)).alias(f"bit{i}") for i in range(3)])
+    made = probed.mapInArrow(sets, "key bigint, tokens binary")
+    return cut_lineage(made.join(keys, "key", "left_semi"))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, profiles: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that do link, by their whole sets."""
+    keys = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    sets = _sets_of(keys, docs, profiles, width)
+    first = pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("one")), "a")
+    both = first.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("two")), "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fits = []
+            for one, two in zip(batch.column(2), batch.column(3), strict=True):
+                a, b = np.frombuffer(one.as_buffer(), dtype=np.uint64), np.frombuffer(two.as_buffer(), dtype=np.uint64)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                fits.append(common * (100 + percent) >= percent * (len(a) + len(b)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+    return cut_lineage(both.select("a", "b", "one", "two").mapInArrow(verify, "a bigint, b bigint"))
 
 
 def jaccard_components(
@@ -372,8 +490,10 @@ def jaccard_components(
     A set holds the distinct runs of `width` words (A-Z lower-cased), or the whole of a shorter
     text; NULL and blank texts have an empty set and stand alone. Sets are compared by 64-bit
     hashes. Equal sets are one node from the start, so copies are never paired. Linked sets
-    share one of their rarest shingles; sets that do form a cell, in which a signature tree
-    finds the links. Cells of the same sets are worked on once. `component_id` is the smallest
+    share one of their rarest shingles; sets that do form a cell, in which the dual traversal of
+    a signature tree finds the pairs that may link. A first round takes as few of them as connect
+    a cell and compares their whole sets; a second takes all pairs that are not connected by
+    then. Cells of the same sets are worked on once. `component_id` is the smallest
     id reachable by links. Repeated rows share their result; rows without an id take part under
     NULL; an empty table gives none.
     """
@@ -382,8 +502,8 @@ def jaccard_components(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     profiles = cut_lineage(_profiles(rows, width))
     sketch = _sketch(profiles)
-    profiles = profiles.where("block IS NULL").select("doc_id", "n", "key")
-    cells = cut_lineage(_cells(_prefixes(rows, sketch, width, percent), partitions, chunk))
+    profiles = profiles.where("block IS NULL").select("doc_id", "n", "key", "bits")
+    cells = cut_lineage(_cells(_prefixes(rows, sketch, width, percent), partitions, chunk, percent))
 
     # Cells whose sets are the same need one look.
     kinds = cells.groupBy("token").agg(
@@ -391,41 +511,41 @@ def jaccard_components(
     )
     chosen = kinds.where("m > 1").groupBy("m", "mark", "mark2").agg(F.min("token").alias("token"))
     cells = cut_lineage(cells.join(chosen.select("token"), "token", "left_semi"))
-    sets = _with_sets(cells, rows, profiles, width)
+    shapes = profiles.where("key IS NOT NULL").join(cells.select("key").distinct(), "key", "left_semi")
+    shapes = cut_lineage(shapes.groupBy("key").agg(F.first("bits").alias("bits")))
 
     # Every chunk together with the one after it.
-    near = cells.select(
-        "token", "part", "key", F.explode(F.when(F.col("chunk") > 0, F.array(F.col("chunk") - 1, F.col("chunk"))).otherwise(F.array("chunk"))).alias("at")
-    )
-    links = cut_lineage(_link_groups(near.join(sets, "key"), ["token", "part", "at"], percent))
-    roots = connected_components(links)
-
-    # Chunks further apart, where their token's sets are not all connected by now.
-    lines = cells.groupBy("token", "part", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    named = cells.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    open_tokens = (
-        named.groupBy("token")
-        .agg(F.min("root").alias("one"), F.max("root").alias("other"), F.countDistinct("part", "chunk").alias("chunks"))
-        .where("one <> other AND chunks > 1")
-        .select("token")
-    )
-    left = lines.join(open_tokens, "token", "left_semi")
-    right = left.select(
-        "token", F.col("part").alias("part2"), F.col("chunk").alias("chunk2"), F.col("low").alias("low2"), F.col("high").alias("high2")
-    )
+    at = F.when(F.col("chunk") > 0, F.array(F.col("chunk") - 1, F.col("chunk"))).otherwise(F.array("chunk"))
+    near = cells.withColumn("at", F.explode(at)).withColumn("root", F.col("key"))
+    pairs = cut_lineage(_candidates(near.join(shapes, "key"), ["token", "part", "at"], percent, forest=True))
+    links = _verified(pairs, rows, profiles, width, percent)
+    roots = cut_lineage(connected_components(links).withColumnRenamed("node", "key"))
+
+    # All pairs across components, in the cells that hold more than one.
+    named = cells.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    several = named.groupBy("token").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one <> other").select("token")
+    named = cut_lineage(named.join(several, "token", "left_semi"))
+    near = named.withColumn("at", F.explode(at))
+    again = _candidates(near.join(shapes, "key"), ["token", "part", "at"], percent, forest=False)
+    # Chunks further apart; there are such only where very many sets share a token.
+    lines = named.groupBy("token", "part", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    other = lines.select("token", *[F.col(c).alias(c + "2") for c in ("part", "chunk", "low", "high")])
     apart = (F.col("part") < F.col("part2")) | ((F.col("part") == F.col("part2")) & (F.col("chunk") + 1 < F.col("chunk2")))
-    pairs = left.join(right, "token").where(apart & (100 * F.col("high") >= percent * F.col("low2")))
-    pairs = cut_lineage(pairs.select("token", "part", "chunk", "part2", "chunk2"))
-    if pairs.limit(1).count():
+    far = cut_lineage(lines.join(other, "token").where(apart & (100 * F.col("high") >= percent * F.col("low2"))))
+    if far.limit(1).count():
+        far = far.withColumn("pair", F.struct("part", "chunk", "part2", "chunk2"))
         sides = F.explode(F.array(F.struct("part", "chunk"), F.struct(F.col("part2").alias("part"), F.col("chunk2").alias("chunk"))))
-        further = pairs.withColumn("pair", F.struct("part", "chunk", "part2", "chunk2")).withColumn("side", sides)
-        further = further.select("token", "pair", "side.part", "side.chunk").join(cells, ["token", "part", "chunk"])
-        more = cut_lineage(_link_groups(further.select("token", "pair", "key").join(sets, "key"), ["token", "pair"], percent))
-        roots = connected_components(links.unionByName(more))
+        seats = far.select("token", "pair", sides.alias("side")).select("token", "pair", "side.part", "side.chunk")
+        further = seats.join(named, ["token", "part", "chunk"]).join(shapes, "key")
+        again = again.unionByName(_candidates(further, ["token", "pair"], percent, forest=False)).distinct()
+    again = cut_lineage(again.join(pairs, ["a", "b"], "left_anti"))
+    if again.limit(1).count():
+        links = links.unionByName(_verified(again, rows, profiles, width, percent))
+        roots = cut_lineage(connected_components(links).withColumnRenamed("node", "key"))
 
     least = profiles.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
     named = cut_lineage(
-        least.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        least.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     )
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     member = named.join(lowest, "root").select("key", "component_id")
