@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, fingerprints, jaccard, licenses, mixing, quality, suffix_model, toxicity, vector_dedup
+from lexmill.llm import byte_bpe, chat, fingerprints, jaccard, licenses, mixing, quality, suffix_model, toxicity, vector_dedup
 
 QUALITY_LEAST = 0.3
 TOXIC_LEAST = 0.7
@@ -83,6 +83,20 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op10_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw transcripts made of all conversations, parsed by a model that learns from four fifths of them."""
+    pieces = chat.raw_pieces(_table(spark, sf_dir, "conversations"))
+    model = chat.train(pieces.where(quality.fold(F.col("conv"), 5) != 0))
+    turns = chat.parse_transcripts(pieces, model)
+    return turns.select(F.col("conv").alias("conv_id"), "turn", "role", "rendered")
+
+
+# The turns that the transcripts were made of.
+CHAT_SQL = """
+SELECT conv_id, turn, role, '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' AS rendered
+FROM conversations"""
+
+
 def _license_sql() -> str:
     """Brute force: every template at every position of every text."""
     cells = []
@@ -168,8 +182,9 @@ def queries() -> dict[str, Query]:
         "op7_suffix_tree": op7_suffix_tree,
         "op8_toxic_segments": op8_toxic_segments,
         "op9_mix_sources": op9_mix_sources,
+        "op10_chat_turns": op10_chat_turns,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_license_scan": _license_sql(), "op9_mix_sources": MIX_SQL}
+    return {"op5_license_scan": _license_sql(), "op9_mix_sources": MIX_SQL, "op10_chat_turns": CHAT_SQL}
