@@ -6,8 +6,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from lexmill.llm.components import connected_components
 from lexmill.llm.textkit import distinct_sorted, mix64, slices, words_of
@@ -424,6 +425,37 @@ def _as_stars(pairs: list[tuple[int, int]], names: list[int], sizes: list[int],
     return list(out)
 
 
+class KeyFilter:
+    """A Bloom filter of bounded size: `columns` to add to a table, `probe` to use in its tasks."""
+
+    def __init__(self, keys: DataFrame, column: str) -> None:
+        places = keys.select(F.xxhash64(column).alias("h"))
+        count = places.count()
+        self.bits = 1 << min(max(10, (FILTER_BITS * count).bit_length()), MAX_FILTER_BITS.bit_length() - 1)
+        # One row for 64 bits of the filter; their number is bounded by its size.
+        blocks = places.select(F.explode(F.array(*self._places(F.col("h")))).alias("bit"))
+        blocks = blocks.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("value"))
+        table = blocks.toArrow()
+        filled = np.zeros(self.bits // 64, dtype=np.uint64)
+        filled[table.column(0).to_numpy()] = table.column(1).to_numpy().view(np.uint64)
+        self.shared = keys.sparkSession.sparkContext.broadcast(filled)
+
+    def _places(self, h: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(h, F.lit(i)), F.lit(self.bits)) for i in range(3)]
+
+    def columns(self, column: str) -> list[Column]:
+        return [c.alias(f"_bit{i}") for i, c in enumerate(self._places(F.xxhash64(column)))]
+
+    @staticmethod
+    def probe(words: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        """Which rows may be among the keys."""
+        wanted = np.ones(batch.num_rows, dtype=bool)
+        for i in range(3):
+            bit = batch.column(batch.schema.names.index(f"_bit{i}")).to_numpy()
+            wanted &= (words[bit // 64] >> (bit % 64).astype(np.uint64)) & np.uint64(1) == 1
+        return wanted
+
+
 def _sets_of(keys: DataFrame, docs: DataFrame, profiles: DataFrame, width: int) -> DataFrame:
     """(key, tokens): the shingle sets named by `keys`, each from one document's text.
 
@@ -431,35 +463,20 @@ def _sets_of(keys: DataFrame, docs: DataFrame, profiles: DataFrame, width: int)
     need not be shuffled; a few more than asked for pass it.
     """
     chosen = profiles.join(keys, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    places = chosen.select(F.xxhash64("doc_id").alias("h"))
-    count = places.count()
-    bits = 1 << min(max(10, (FILTER_BITS * count).bit_length()), MAX_FILTER_BITS.bit_length() - 1)
-    # One row for 64 bits of the filter; their number is bounded by its size.
-    blocks = places.select(F.explode(F.array(*[F.pmod(F.xxhash64("h", F.lit(i)), F.lit(bits)) for i in range(3)])).alias("bit"))
-    blocks = blocks.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("value"))
-    table = blocks.toArrow()
-    filled = np.zeros(bits // 64, dtype=np.uint64)
-    filled[table.column(0).to_numpy()] = table.column(1).to_numpy().view(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(filled)
+    named = KeyFilter(chosen, "doc_id")
+    shared, probe = named.shared, KeyFilter.probe
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
         for batch in batches:
-            wanted = np.ones(batch.num_rows, dtype=bool)
-            for i in range(3):
-                bit = batch.column(2 + i).to_numpy()
-                wanted &= (words[bit // 64] >> (bit % 64).astype(np.uint64)) & np.uint64(1) == 1
-            if not wanted.any():
-                continue
-            for part in slices(batch.filter(pa.array(wanted))):
-                _, hashes, size, key = shingle_sets(part, width)
-                ends = np.concatenate([[0], np.cumsum(size)]).tolist()
-                tokens = [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([_signed(key), pa.array(tokens, pa.binary())], names=["key", "tokens"])
-
-    h = F.xxhash64("doc_id")
-    probed = docs.select("doc_id", "text", *[F.pmod(F.xxhash64(h, F.lit(i)), F.lit(bits)).alias(f"bit{i}") for i in range(3)])
-    made = probed.mapInArrow(sets, "key bigint, tokens binary")
+            wanted = probe(shared.value, batch)
+            if wanted.any():
+                for part in slices(batch.filter(pa.array(wanted))):
+                    _, hashes, size, key = shingle_sets(part, width)
+                    ends = np.concatenate([[0], np.cumsum(size)]).tolist()
+                    tokens = [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays([_signed(key), pa.array(tokens, pa.binary())], names=["key", "tokens"])
+
+    made = docs.select("doc_id", "text", *named.columns("doc_id")).mapInArrow(sets, "key bigint, tokens binary")
     return cut_lineage(made.join(keys, "key", "left_semi"))
 
 
@@ -553,3 +570,32 @@ def jaccard_components(
     alone = profiles.where("key IS NULL").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
     return shown.select(*columns).unionByName(alone.select(*columns))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """`docs` with one row of each group of linked documents: that of the group's smallest id.
+
+    Of rows with the same id one stays, the first by text; rows without an id all stay. Only rows
+    that may be among the rejected are shuffled: a filter of bounded size lets the others pass.
+    """
+    groups = jaccard_components(docs.where(F.col(id_col).isNotNull()), id_col, text_col, **options)
+    judged = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id"))
+    special = cut_lineage(judged.where("n > 1 OR doc_id <> component_id").select("doc_id", (F.col("doc_id") != F.col("component_id")).alias("out")))
+    doubtful = KeyFilter(special, "doc_id")
+    shared, probe = doubtful.shared, KeyFilter.probe
+    marked_schema = StructType([*docs.schema.fields, StructField("_doubtful", BooleanType())])
+    names = docs.columns
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(batch.schema.names.index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(probe(shared.value, batch))], names=[*names, "_doubtful"])
+
+    marked = docs.select("*", *doubtful.columns(id_col)).mapInArrow(mark, marked_schema)
+    passed = marked.where(~F.col("_doubtful") | F.col(id_col).isNull()).drop("_doubtful")
+    held = marked.where(F.col("_doubtful") & F.col(id_col).isNotNull()).drop("_doubtful")
+    out = special.where("out").select(F.col("doc_id").alias("_out"))
+    held = held.join(out, held[id_col] == out["_out"], "left_anti")
+    first = Window.partitionBy(id_col).orderBy(text_col)
+    held = held.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    return passed.unionByName(held)

@@ -212,3 +212,18 @@ def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(score, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def good_documents(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose score is at least `least`, with all their columns; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                texts = [(t or "").encode() for t in part.column(part.schema.names.index(text_col)).to_pylist()]
+                yield part.filter(pa.array(vote(own, texts) >= least))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -323,3 +323,18 @@ def find_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, "
         "segments array<struct<start:int,end:int,score:double,chance:double>>, score double",
     )
+
+
+def without_toxic(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose score is below `least`, with all their columns; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, memo = Model(*shared.value), {}
+        for batch in batches:
+            for part in slices(batch, text_col):
+                texts = part.column(part.schema.names.index(text_col)).to_pylist()
+                clean = [probability(significant_segments((t or "").split(), own, memo), own) < least for t in texts]
+                yield part.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
