@@ -264,14 +264,13 @@ def build_tree(sizes: list[int], bitmaps: list[int], leaf: int = LEAF, fan: int
 
 
 def dual_traversal(
-    sizes: list[int], bitmaps: list[bytes], percent: int, root: list[int], check: Callable[[int, int], bool] | None, join: bool = True
+    sizes: list[int], bitmaps: list[bytes], percent: int, root: list[int], check: Callable[[int, int], bool] | None
 ) -> list[tuple[int, int]]:
-    """Pairs of sets, not connected by `root`, that may link; with `check`, those that pass it.
+    """A forest of pairs of sets, not connected by `root`, that may link; with `check`, that pass it.
 
     The sets must be ordered by size. Both sides go down the tree at once. A pair of nodes is
     left if its size ranges cannot link, if the common bits of its bitmaps allow too small an
-    overlap, or if all its sets are connected already. With `join`, a pair found connects its
-    sets, so the result is a forest; without, it holds every such pair.
+    overlap, or if all its sets are connected already.
     """
     width = 8 * min(map(len, bitmaps))
     folded = [_folded(b, width) for b in bitmaps]
@@ -319,8 +318,7 @@ def dual_traversal(
                         continue
                     if check is None or check(i, j):
                         found.append((i, j))
-                        if join:
-                            root[find(i)] = find(j)
+                        root[find(i)] = find(j)
     return found
 
 
@@ -348,35 +346,41 @@ def link_sets(sets: list[frozenset[int]], percent: int = PERCENT) -> list[tuple[
     return [(order[i], order[j]) for i, j in dual_traversal(sizes, bitmaps, percent, list(range(len(order))), check)]
 
 
-def _candidates(groups: DataFrame, keys: list[str], percent: int, forest: bool) -> DataFrame:
-    """(a, b): pairs inside each group of `groups` (keys, n, key, root, bits) that may link.
+def _forest(groups: DataFrame, keys: list[str], percent: int, exact: bool) -> DataFrame:
+    """(a, b): pairs that connect what may link inside each group of `groups` (keys, n, key, root, content).
 
-    With `forest` only as many as connect them, most of them with the smallest set of those
-    connected; without, all pairs whose roots differ.
+    `content` is a bitmap, or with `exact` the whole set; then the pairs do link.
     """
-    dealt = groups.select(F.xxhash64(*keys).alias("group"), "n", "key", "root", "bits")
+    dealt = groups.select(F.xxhash64(*keys).alias("group"), "n", "key", "root", "content")
     dealt = dealt.repartition("group").sortWithinPartitions("group", "n", "key")
 
     def look(members: list[tuple]) -> pa.RecordBatch | None:
-        sizes, names, roots, bitmaps = ([m[i] for m in members] for i in range(4))
+        sizes, names, roots, contents = ([m[i] for m in members] for i in range(4))
         at: dict[int, int] = {}
         root = [at.setdefault(r, i) for i, r in enumerate(roots)]
         if len(at) < 2:
             return None
-        pairs = dual_traversal(sizes, bitmaps, percent, root, None, join=forest)
-        if forest and pairs:
-            pairs = _as_stars(pairs, names, sizes, bitmaps, percent)
+        if exact:
+            hashes = [np.frombuffer(c, dtype=np.uint64) for c in contents]
+            sets = [frozenset(h.tolist()) for h in hashes]
+
+            def check(i: int, j: int) -> bool:
+                return len(sets[i] & sets[j]) * (100 + percent) >= percent * (sizes[i] + sizes[j])
+
+            pairs = dual_traversal(sizes, [bitmap(h) for h in hashes], percent, root, check)
+        else:
+            pairs = dual_traversal(sizes, contents, percent, root, None)
         if not pairs:
             return None
         return pa.RecordBatch.from_arrays(
-            [pa.array([min(names[i], names[j]) for i, j in pairs], pa.int64()), pa.array([max(names[i], names[j]) for i, j in pairs], pa.int64())],
-            names=["a", "b"],
+            [pa.array([names[i] for i, _ in pairs], pa.int64()), pa.array([names[j] for _, j in pairs], pa.int64())], names=["a", "b"]
         )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, members, seen = None, [], set()
         for batch in batches:
-            for group, n, key, root, bits in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            contents = batch.column(4)
+            for row, (group, n, key, root) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)):
                 if group != current:
                     out = look(members) if len(members) > 1 else None
                     if out is not None:
@@ -384,45 +388,43 @@ def _candidates(groups: DataFrame, keys: list[str], percent: int, forest: bool)
                     current, members, seen = group, [], set()
                 if key not in seen:
                     seen.add(key)
-                    members.append((n, key, root, bits))
+                    members.append((n, key, root, contents[row].as_py()))
         out = look(members) if len(members) > 1 else None
         if out is not None:
             yield out
 
-    return dealt.mapInArrow(link, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(link, "a bigint, b bigint")
 
 
-def _as_stars(pairs: list[tuple[int, int]], names: list[int], sizes: list[int], bitmaps: list[bytes], percent: int) -> list[tuple[int, int]]:
-    """The forest with each member tied to its tree's smallest name instead, where that pair may link too.
+def _connected(cells: DataFrame, contents: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """(key, root): sets connected by the pairs of all cells (token, part, chunk, n, key).
 
-    Trees of the same sets in different cells then hold the same pairs.
+    Every chunk is looked at together with the one after it; chunks further apart only where the
+    sets of their token are not all connected by then.
     """
-    root = list(range(len(names)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for i, j in pairs:
-        one, two = find(i), find(j)
-        if names[one] > names[two]:
-            one, two = two, one
-        root[two] = one
-    out: dict[tuple[int, int], None] = {}
-    tied: set[int] = set()
-    for i, j in pairs:
-        for k in (i, j):
-            center = find(k)
-            if k != center and k not in tied:
-                tied.add(k)
-                width = 8 * min(len(bitmaps[k]), len(bitmaps[center]))
-                one, two = _folded(bitmaps[k], width), _folded(bitmaps[center], width)
-                most = (one & two).bit_count() + min(sizes[k] - one.bit_count(), sizes[center] - two.bit_count())
-                fits = most * (100 + percent) >= percent * (sizes[k] + sizes[center])
-                out[(k, center) if fits else (i, j)] = None
-    return list(out)
+    at = F.when(F.col("chunk") > 0, F.array(F.col("chunk") - 1, F.col("chunk"))).otherwise(F.array("chunk"))
+    near = cells.withColumn("at", F.explode(at)).withColumn("root", F.col("key"))
+    # The contents are large and the cells are not, but neither has a bound.
+    links = cut_lineage(_forest(near.join(contents.hint("merge"), "key"), ["token", "part", "at"], percent, exact))
+    roots = cut_lineage(connected_components(links).withColumnRenamed("node", "key"))
+    several = (
+        cells.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")).groupBy("token")
+        .agg(F.min("root").alias("one"), F.max("root").alias("other"), F.max("chunk").alias("chunks"), F.min("part").alias("from"), F.max("part").alias("to"))
+        .where("one <> other AND (chunks > 1 OR `from` < `to`)").select("token")
+    )
+    named = cut_lineage(cells.join(several, "token", "left_semi").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
+    lines = named.groupBy("token", "part", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    other = lines.select("token", *[F.col(c).alias(c + "2") for c in ("part", "chunk", "low", "high")])
+    apart = (F.col("part") < F.col("part2")) | ((F.col("part") == F.col("part2")) & (F.col("chunk") + 1 < F.col("chunk2")))
+    far = cut_lineage(lines.join(other, "token").where(apart & (100 * F.col("high") >= percent * F.col("low2"))))
+    if not far.limit(1).count():
+        return roots
+    far = far.withColumn("pair", F.struct("part", "chunk", "part2", "chunk2"))
+    sides = F.explode(F.array(F.struct("part", "chunk"), F.struct(F.col("part2").alias("part"), F.col("chunk2").alias("chunk"))))
+    seats = far.select("token", "pair", sides.alias("side")).select("token", "pair", "side.part", "side.chunk")
+    further = seats.join(named, ["token", "part", "chunk"]).join(contents.hint("merge"), "key")
+    more = cut_lineage(_forest(further, ["token", "pair"], percent, exact))
+    return cut_lineage(connected_components(links.unionByName(more)).withColumnRenamed("node", "key"))
 
 
 class KeyFilter:
@@ -477,26 +479,7 @@ def _sets_of(keys: DataFrame, docs: DataFrame, profiles: DataFrame, width: int)
                     yield pa.RecordBatch.from_arrays([_signed(key), pa.array(tokens, pa.binary())], names=["key", "tokens"])
 
     made = docs.select("doc_id", "text", *named.columns("doc_id")).mapInArrow(sets, "key bigint, tokens binary")
-    return cut_lineage(made.join(keys, "key", "left_semi"))
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, profiles: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that do link, by their whole sets."""
-    keys = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-    sets = _sets_of(keys, docs, profiles, width)
-    first = pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("one")), "a")
-    both = first.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("two")), "b")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fits = []
-            for one, two in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(one.as_buffer(), dtype=np.uint64), np.frombuffer(two.as_buffer(), dtype=np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                fits.append(common * (100 + percent) >= percent * (len(a) + len(b)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(fits, pa.bool_()))
-
-    return cut_lineage(both.select("a", "b", "one", "two").mapInArrow(verify, "a bigint, b bigint"))
+    return made.join(keys, "key", "left_semi")
 
 
 def jaccard_components(
@@ -508,9 +491,9 @@ def jaccard_components(
     text; NULL and blank texts have an empty set and stand alone. Sets are compared by 64-bit
     hashes. Equal sets are one node from the start, so copies are never paired. Linked sets
     share one of their rarest shingles; sets that do form a cell, in which the dual traversal of
-    a signature tree finds the pairs that may link. A first round takes as few of them as connect
-    a cell and compares their whole sets; a second takes all pairs that are not connected by
-    then. Cells of the same sets are worked on once. `component_id` is the smallest
+    a signature tree finds, by bitmaps, what may link. Sets connected that way then meet once
+    with all their shingles, and another traversal compares them exactly. Cells of the same sets
+    are worked on once. `component_id` is the smallest
     id reachable by links. Repeated rows share their result; rows without an id take part under
     NULL; an empty table gives none.
     """
@@ -529,36 +512,15 @@ def jaccard_components(
     chosen = kinds.where("m > 1").groupBy("m", "mark", "mark2").agg(F.min("token").alias("token"))
     cells = cut_lineage(cells.join(chosen.select("token"), "token", "left_semi"))
     shapes = profiles.where("key IS NOT NULL").join(cells.select("key").distinct(), "key", "left_semi")
-    shapes = cut_lineage(shapes.groupBy("key").agg(F.first("bits").alias("bits")))
-
-    # Every chunk together with the one after it.
-    at = F.when(F.col("chunk") > 0, F.array(F.col("chunk") - 1, F.col("chunk"))).otherwise(F.array("chunk"))
-    near = cells.withColumn("at", F.explode(at)).withColumn("root", F.col("key"))
-    pairs = cut_lineage(_candidates(near.join(shapes, "key"), ["token", "part", "at"], percent, forest=True))
-    links = _verified(pairs, rows, profiles, width, percent)
-    roots = cut_lineage(connected_components(links).withColumnRenamed("node", "key"))
-
-    # All pairs across components, in the cells that hold more than one.
-    named = cells.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    several = named.groupBy("token").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one <> other").select("token")
-    named = cut_lineage(named.join(several, "token", "left_semi"))
-    near = named.withColumn("at", F.explode(at))
-    again = _candidates(near.join(shapes, "key"), ["token", "part", "at"], percent, forest=False)
-    # Chunks further apart; there are such only where very many sets share a token.
-    lines = named.groupBy("token", "part", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    other = lines.select("token", *[F.col(c).alias(c + "2") for c in ("part", "chunk", "low", "high")])
-    apart = (F.col("part") < F.col("part2")) | ((F.col("part") == F.col("part2")) & (F.col("chunk") + 1 < F.col("chunk2")))
-    far = cut_lineage(lines.join(other, "token").where(apart & (100 * F.col("high") >= percent * F.col("low2"))))
-    if far.limit(1).count():
-        far = far.withColumn("pair", F.struct("part", "chunk", "part2", "chunk2"))
-        sides = F.explode(F.array(F.struct("part", "chunk"), F.struct(F.col("part2").alias("part"), F.col("chunk2").alias("chunk"))))
-        seats = far.select("token", "pair", sides.alias("side")).select("token", "pair", "side.part", "side.chunk")
-        further = seats.join(named, ["token", "part", "chunk"]).join(shapes, "key")
-        again = again.unionByName(_candidates(further, ["token", "pair"], percent, forest=False)).distinct()
-    again = cut_lineage(again.join(pairs, ["a", "b"], "left_anti"))
-    if again.limit(1).count():
-        links = links.unionByName(_verified(again, rows, profiles, width, percent))
-        roots = cut_lineage(connected_components(links).withColumnRenamed("node", "key"))
+    shapes = cut_lineage(shapes.groupBy("key").agg(F.first("n").alias("n"), F.first("bits").alias("content")))
+
+    # What the bitmaps allow to be connected holds all links; there the whole sets are compared.
+    maybe = _connected(cells, shapes.drop("n"), percent, exact=False)
+    tied = maybe.select(F.col("root").alias("token"), "key").unionByName(maybe.select(F.col("root").alias("token"), F.col("root").alias("key")))
+    tied = shapes.select("key", "n").join(tied.distinct(), "key").select("token", "n", "key")
+    tied = cut_lineage(_cells(tied, partitions, chunk, percent))
+    sets = _sets_of(cut_lineage(tied.select("key").distinct()), rows, profiles, width).withColumnRenamed("tokens", "content")
+    roots = _connected(tied, sets, percent, exact=True)
 
     least = profiles.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
     named = cut_lineage(

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 # Slices hold at most so many bytes of text, or one text.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
