@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -100,30 +101,30 @@ def transfer(symbols: np.ndarray, model: Model) -> np.ndarray:
 
 
 def train(pieces: DataFrame, conv: str = "conv", position: str = "position", text: str = "text", role: str = "role") -> Model:
-    """Count states and symbols in pieces that are one turn each, of a known role.
+    """Count states and features of lines in pieces that are one turn each, of a known role.
 
+    A line shows, independently of each other, a marker (none, its own role's, another's), a
+    blank line ahead, and its shape; the first two depend only on whether it begins a turn.
     One row per kind of event and task is shuffled; the result has a fixed number of entries.
-    A line of a turn only follows a line of the same turn.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((STATES, SYMBOLS), dtype=np.int64)
-        inner = np.zeros((STATES, 2), dtype=np.int64)
+        seen: Counter = Counter()
         for batch in batches:
             for body, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if name not in ROLES:
-                    continue
-                r = ROLES.index(name)
-                found = lines_of(body)
-                for i, line in enumerate(found):
-                    state = r if i == 0 else r + len(ROLES)
-                    seen[state, symbol(line)] += 1
-                    inner[state, int(i + 1 < len(found))] += 1
-        kinds = [("show", s, k, seen[s, k]) for s in range(STATES) for k in range(SYMBOLS)]
-        kinds += [("stay", s, k, inner[s, k]) for s in range(STATES) for k in range(2)]
-        kind, s, k, n = zip(*[x for x in kinds if x[3]], strict=True) if any(x[3] for x in kinds) else ([], [], [], [])
+                if name in ROLES:
+                    r = ROLES.index(name)
+                    found = lines_of(body)
+                    for i, line in enumerate(found):
+                        state = r if i == 0 else r + len(ROLES)
+                        relation = 0 if line.marker < 0 else 1 if line.marker == r else 2
+                        seen["marker", int(i > 0), relation] += 1
+                        seen["blank", int(i > 0), int(line.after_blank)] += 1
+                        seen["shape", state, symbol(line) % 4] += 1
+                        seen["stay", state, int(i + 1 < len(found))] += 1
+        kind, s, k = zip(*seen, strict=True) if seen else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(kind, pa.string()), pa.array(s, pa.int32()), pa.array(k, pa.int32()), pa.array([int(x) for x in n], pa.int64())],
+            [pa.array(kind, pa.string()), pa.array(s, pa.int32()), pa.array(k, pa.int32()), pa.array(list(seen.values()), pa.int64())],
             names=["kind", "state", "what", "n"],
         )
 
@@ -132,9 +133,17 @@ def train(pieces: DataFrame, conv: str = "conv", position: str = "position", tex
     order = Window.partitionBy("conv", F.floor(F.col("position") / CHUNK)).orderBy("position")
     follow = turns.select("role", F.lag("role").over(order).alias("before"), "position")
     moved = follow.groupBy("before", "role", (F.col("position") == 0).alias("opens")).agg(F.count(F.lit(1)).alias("n")).collect()
-    show, stay = np.full((STATES, SYMBOLS), 0.01), np.full((STATES, 2), 0.5)
+    tables = {"marker": np.full((2, 3), 0.5), "blank": np.full((2, 2), 0.5), "shape": np.full((STATES, 4), 0.5), "stay": np.full((STATES, 2), 0.5)}
     for row in counted.groupBy("kind", "state", "what").agg(F.sum("n").alias("n")).collect():
-        (show if row["kind"] == "show" else stay)[row["state"], row["what"]] += row["n"]
+        tables[row["kind"]][row["state"], row["what"]] += row["n"]
+    marker, blank, shape, stay = (t / t.sum(axis=1, keepdims=True) for t in tables.values())
+    show = np.empty((STATES, SYMBOLS))
+    for s in range(STATES):
+        for k in range(SYMBOLS):
+            named = k // 8 - 1
+            relation = 0 if named < 0 else 1 if named == s % len(ROLES) else 2
+            later = int(s >= len(ROLES))
+            show[s, k] = marker[later, relation] * blank[later, k // 4 % 2] * shape[s, k % 4]
     opening, turn = np.full(len(ROLES), 0.1), np.full((len(ROLES), len(ROLES)), 0.1)
     for row in moved:
         if row["opens"]:
@@ -145,10 +154,10 @@ def train(pieces: DataFrame, conv: str = "conv", position: str = "position", tex
     move = np.zeros((STATES, STATES))
     for s in range(STATES):
         r = s % len(ROLES)
-        on = stay[s, 1] / stay[s].sum()
+        on = stay[s, 1]
         move[s, r + len(ROLES)] = on
         move[s, : len(ROLES)] = (1 - on) * turn[r] / turn[r].sum()
-    logs = [np.where(x > 0, np.log(np.maximum(x, 1e-300)), _IMPOSSIBLE) for x in (first, move, show / show.sum(axis=1, keepdims=True))]
+    logs = [np.where(x > 0, np.log(np.maximum(x, 1e-300)), _IMPOSSIBLE) for x in (first, move, show)]
     return Model(*logs)
 
 
