@@ -134,7 +134,7 @@ def in_id_ranges(rows: DataFrame, partitions: int) -> DataFrame:
     """
     ranges = min(max(1, RANGES_PER_PARTITION * partitions), MAX_RANGES)
     found = rows.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.25 / ranges) if ranges > 1 else []
-    splits = [-math.inf, *sorted(set(found)), math.inf]
+    splits = [-math.inf, *(sorted(set(found)) or [0.0]), math.inf]
     cut = Bucketizer(splits=splits, inputCol="_id", outputCol="_range", handleInvalid="keep")
     placed = cut.transform(rows.withColumn("_id", F.col("doc_id").cast("double")))
     # Bucket 0 has the smallest ids and a missing id the last number; the order is descending.

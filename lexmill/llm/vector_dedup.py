@@ -15,9 +15,9 @@ from lexmill.llm.components import connected_components
 from lexmill.session import cut_lineage
 
 THRESHOLD = 0.93
-TREES = 4
+TREES = 6
 # Vectors within this distance of a split's threshold go to both sides.
-SPILL = 0.05
+SPILL = 0.02
 # The splits' thresholds are medians over a sample of at most this many vectors.
 SAMPLE = 20_000
 # Vectors of one label that a leaf should hold, and that a task compares at a time with as many
