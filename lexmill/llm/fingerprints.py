@@ -184,7 +184,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     follow = Window.partitionBy("range").orderBy("place")
     made = made.select("*", F.lead("own_high").over(follow).alias("next_high"), F.lead("own_low").over(follow).alias("next_low"))
     own = made.where(~F.col("guest"))
-    near = near_counts(made.where(~F.col("guest")).select(F.col("own_high").alias("high"), F.col("own_low").alias("low")), radius)
+    # Written, so that the join below can split a fingerprint that very many copies share.
+    near = cut_lineage(near_counts(own.select(F.col("own_high").alias("high"), F.col("own_low").alias("low")), radius))
     likeness = lambda high, low: 1.0 - distance(F.col("own_high"), F.col("own_low"), F.col(high), F.col(low)) / float(BITS)
     return (
         own.join(near, (F.col("own_high") == F.col("high")) & (F.col("own_low") == F.col("low")))
