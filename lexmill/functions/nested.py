@@ -284,28 +284,37 @@ _STRING = re.compile(r'"((?:\\.|[^"\\]|"(?![ \t\n\r]*(?:[,:}\]]|\Z)))*)"', re.DO
 _PAIRS = {"{": "}", "[": "]"}
 
 
+def _refuse(constant: str):
+    raise ValueError(f"{constant} is not JSON")
+
+
 def _loads(text: str):
     try:
-        return json.loads(text)
-    except ValueError:
+        return json.loads(text, parse_constant=_refuse)
+    except (ValueError, RecursionError):
         return None
 
 
+def _closings(text: str) -> dict[int, int]:
+    """Where each bracket that is closed ends, counting only brackets of its own kind; one pass."""
+    open_at: dict[str, list[int]] = {right: [] for right in _PAIRS.values()}
+    ends = {}
+    for m in re.finditer(r"[{}\[\]]", text):
+        if m[0] in _PAIRS:
+            open_at[_PAIRS[m[0]]].append(m.start())
+        elif open_at[m[0]]:
+            ends[open_at[m[0]].pop()] = m.end()
+    return ends
+
+
 def _quotes_escaped(text: str) -> str:
     return _STRING.sub(lambda m: '"' + re.sub(r'(\\.)|"', lambda q: q[1] or '\\"', m[1], flags=re.DOTALL) + '"', text)
 
 
 def repair_json(text: str) -> tuple[str, str] | None:
     """(JSON, method) of the first bracketed piece that parses as it is or with inner quotes escaped."""
-    for opening in re.finditer(r"[{\[]", text):
-        left, right = opening[0], _PAIRS[opening[0]]
-        rest = text[opening.start():]
-        brackets = [(m.end(), 1 if m[0] == left else -1) for m in re.finditer(re.escape(left) + "|" + re.escape(right), rest)]
-        depths = accumulate(step for _, step in brackets)
-        end = next((end for (end, _), depth in zip(brackets, depths) if depth == 0), None)
-        if end is None:
-            continue
-        piece = rest[:end]
+    for start, end in sorted(_closings(text).items()):
+        piece = text[start:end]
         for method, candidate in (("extracted", piece), ("repaired", _quotes_escaped(piece))):
             value = _loads(candidate)
             if value is not None:
@@ -330,12 +339,13 @@ def parse_model_json(df: DataFrame, text: str, parsed: str = "parsed") -> DataFr
     inner = F.when(fenced != "", fenced).otherwise(stripped)
     native = df.withColumn("_inner", inner).withColumn("_native", F.try_parse_json("_inner"))
     fixed = native.withColumn("_fixed", _repair(F.when(F.col("_native").isNull(), F.col("_inner"))))
-    failed = F.col("_native").isNull() & F.col("_fixed.json").isNull()
+    answer = F.coalesce("_native", F.try_parse_json("_fixed.json"))
+    failed = answer.isNull()
     return (
-        fixed.withColumn(parsed, F.coalesce("_native", F.try_parse_json("_fixed.json")))
+        fixed.withColumn(parsed, answer)
         .withColumn(
             "method",
-            F.when(F.col("_native").isNull(), F.col("_fixed.method"))
+            F.when(F.col("_native").isNull(), F.when(F.col(parsed).isNotNull(), F.col("_fixed.method")))
             .when(F.col("_inner") == T.strip(F.col(text)), "plain").otherwise("fenced"),
         )
         .withColumn("error", F.when(failed, F.concat(F.lit("could not parse JSON: "), T.truncate_text(F.col(text), "parse_error"))))

@@ -23,6 +23,8 @@ EDITABLE = {
     "sentences": ("sentence_id", ["form", "translation"]),
     "phrases": ("phrase_id", ["form", "meaning"]),
 }
+# Fields with a list of allowed values.
+ALLOWED = {"words.status": ("0", "1", "2"), "words.quality_flag": ("none", "suspect", "fixed")}
 
 
 def _current_values(changes: DataFrame, tables: dict[str, DataFrame], floor: int) -> DataFrame:
@@ -43,13 +45,27 @@ def _current_values(changes: DataFrame, tables: dict[str, DataFrame], floor: int
     return out
 
 
+def _unfit(tables: dict[str, DataFrame]) -> Column:
+    """Whether a change's new value is not allowed in its field, or not of the field's type."""
+    unfit = F.lit(False)
+    for path, values in ALLOWED.items():
+        unfit = unfit | ((F.col("field_path") == path) & ~F.coalesce(F.col("new_value").isin(*values), F.lit(False)))
+    for name, table in tables.items():
+        for c in EDITABLE[name][1]:
+            kind = table.schema[c].dataType if c in table.columns else None
+            if kind is not None and kind.simpleString() != "string":
+                lost = F.col("new_value").isNotNull() & F.col("new_value").try_cast(kind).isNull()
+                unfit = unfit | ((F.col("field_path") == f"{name}.{c}") & lost)
+    return unfit
+
+
 def apply_changes_strict(
     tables: dict[str, DataFrame], changes: DataFrame, now: Column | None = None, floor: int = HOT_FLOOR
 ) -> dict[str, DataFrame]:
     """Apply (word_id, seq, field_path, target_id, op, old_value, new_value, editor_id): all of a word or none.
 
-    A drifted value, an unknown path, a missing row or an op other than update refuses every
-    change of the word. Returns the next tables, `audit` with a row per applied change,
+    A drifted value, an unknown path, a missing row, a value that the field cannot hold or an op
+    other than update refuses every change of the word. Returns the next tables, `audit` with a row per applied change,
     `refused` (word_id, seq, reason) with the changes that caused it, and `words_changed`.
     """
     now = F.current_timestamp() if now is None else now
@@ -65,6 +81,7 @@ def apply_changes_strict(
         F.when(F.col("op") != "update", "unsupported op")
         .when(~F.col("_known"), "unknown field_path")
         .when(F.col("row_id").isNull(), "target_id required")
+        .when(_unfit(tables), "value not allowed")
     )
     judged = parsed.withColumn("reason", bad)
     located = _current_values(judged.where("reason IS NULL").drop("reason"), tables, floor)
@@ -125,15 +142,20 @@ def create_entries(tables: dict[str, DataFrame], entries: DataFrame, now: Column
     """New words with children from (entry_id, form, type, phonetic_us, phonetic_uk, editor_id, meanings, sentences, mnemonics, phrases).
 
     The form is trimmed only; (form, type) that exists, or came earlier in the same call, is
-    reported in `conflicts` with the existing id. Sources are human:web, status is 0. Returns
-    the rows to append per table, `audit` and `conflicts`.
+    reported in `conflicts` with the existing id. An entry with a sentence whose meaning_index
+    is none of its meanings' is not created at all and listed in `refused`. Sources are
+    human:web, status is 0. Returns the rows to append per table, `audit`, `conflicts` and
+    `refused` (entry_id, reason).
     """
     now = F.current_timestamp() if now is None else now
     source = F.lit(HUMAN).alias("source")
     last = {
         name: tables[name].agg(F.coalesce(F.max(EDITABLE[name][0]), F.lit(0)).alias("m")).collect()[0]["m"] for name in EDITABLE
     }
-    trimmed = entries.withColumn("form", T.strip(F.col("form")))
+    count = F.coalesce(F.size("meanings"), F.lit(0))
+    astray = F.exists(F.coalesce("sentences", F.array()), lambda s: ~F.coalesce((s["meaning_index"] >= 0) & (s["meaning_index"] < count), F.lit(False)))
+    refused = entries.where(astray).select("entry_id", F.lit("meaning_index out of range").alias("reason"))
+    trimmed = entries.where(~astray).withColumn("form", T.strip(F.col("form")))
     chosen = trimmed.groupBy("form", "type").agg(F.min("entry_id").alias("entry_id"))
     there = tables["words"].select("form", "type", F.col("word_id").alias("existing_id"))
     fresh = chosen.join(there, ["form", "type"], "left_anti").select("entry_id")
@@ -166,9 +188,10 @@ def create_entries(tables: dict[str, DataFrame], entries: DataFrame, now: Column
     return {
         "words": words,
         "meanings": m.select("meaning_id", "word_id", "_c.*", source),
-        "sentences": placed.select("sentence_id", "meaning_id", "_c.form", "_c.translation", source),
+        "sentences": placed.select("sentence_id", "meaning_id", "_c.*", source).drop("meaning_index"),
         "mnemonics": n.select("mnemonic_id", "word_id", "_c.*", source),
         "phrases": p.select("phrase_id", F.col("word_id").alias("owner_word_id"), "_c.*", source),
         "audit": trail,
         "conflicts": conflicts,
+        "refused": refused,
     }

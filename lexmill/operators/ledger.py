@@ -111,7 +111,13 @@ def third_failure(
 
 
 def dead_letter_record(dead_letters: DataFrame, due: DataFrame) -> DataFrame:
-    """Rows to append to `dead_letters`: (id, word_id, stage_name, error, attempt, created_at, resolved_at)."""
+    """Rows to append to `dead_letters`: (id, word_id, stage_name, error, attempt, created_at, resolved_at).
+
+    A word and stage with an open letter gets no other one, so a rerun over the same ledger
+    records nothing.
+    """
+    still_open = dead_letters.where(F.col("resolved_at").isNull()).select(*KEY)
+    due = due.join(still_open, KEY, "left_anti")
     last = dead_letters.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).collect()[0]["m"]
     numbered = number_rows(due, ["started_at", *KEY], "_dead_id", last + 1)
     return numbered.select(

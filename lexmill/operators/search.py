@@ -10,10 +10,10 @@ def search_words(
     words: DataFrame, meanings: DataFrame, q: str | None = None, status: int | None = None,
     quality: str | None = None, type_: int | None = None, pos: int | None = None,
 ) -> DataFrame:
-    """Words that pass all given filters, with their number of meanings.
+    """Words that pass all given filters.
 
     `q` is a substring, ignoring case; % and _ in it keep their LIKE meaning. Sort and cut the
-    result with `keyset_page`.
+    result with `keyset_page`, then count with `add_meaning_count`.
     """
     if q:
         words = words.where(F.col("form").ilike(f"%{q}%"))
@@ -26,9 +26,17 @@ def search_words(
     if pos is not None:
         having = meanings.where(F.col("pos") == pos).select("word_id").distinct()
         words = words.join(having, "word_id", "left_semi")
-    counts = meanings.groupBy("word_id").agg(F.count(F.lit(1)).alias("_n"))
-    listed = words.join(counts, "word_id", "left")
-    return listed.withColumn("meaning_count", F.coalesce("_n", F.lit(0))).drop("_n")
+    return words
+
+
+def add_meaning_count(words: DataFrame, meanings: DataFrame) -> DataFrame:
+    """`words` with their number of meanings; only those words' meanings are counted.
+
+    For a page, cut the words first: the meanings are then filtered by a handful of ids.
+    """
+    mine = meanings.select("word_id").join(words.select("word_id"), "word_id", "left_semi")
+    counts = mine.groupBy("word_id").agg(F.count(F.lit(1)).alias("_n"))
+    return words.join(counts, "word_id", "left").withColumn("meaning_count", F.coalesce("_n", F.lit(0))).drop("_n")
 
 
 def top_n(rows: DataFrame, order: list[Column], n: int, most: int) -> DataFrame:

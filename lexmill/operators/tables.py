@@ -106,14 +106,16 @@ def upsert_by_key(
     return joined.select(*keys, *out)
 
 
-def guarded_upsert(current: DataFrame, incoming: DataFrame) -> DataFrame:
+def guarded_upsert(current: DataFrame, incoming: DataFrame, order: Sequence[Column | str] | None = None) -> DataFrame:
     """Words by (form, type): insert, update if the existing row is the pipeline's, else refuse.
 
     `action` is insert, update, refused or kept. Status is 1 on insert and stays as it is on
-    update. New rows have no word_id yet; number them with `assign_ids`.
+    update. New rows have no word_id yet; number them with `assign_ids`. Of several incoming
+    rows of one key the last by `order` counts, by default that of the largest values.
     """
     key = ["form", "type"]
     data = [c for c in incoming.columns if c not in (*key, "status", "word_id")]
+    incoming = last_change(incoming.select(*key, *data), key, order or data)
     mine = current.select(*key, "word_id", "status", *[F.col(c).alias(f"_old_{c}") for c in data])
     joined = mine.withColumn("_there", F.lit(True)).join(
         incoming.select(*key, F.lit(True).alias("_new"), *data), key, "full_outer"
@@ -147,7 +149,8 @@ def prune_older_than(rows: DataFrame, days: int, now: Column | None = None, at:
     if days < 0:
         raise ValueError("days must not be negative")
     now = F.current_timestamp() if now is None else now
-    old = F.col(at) < now - F.make_dt_interval(F.lit(days))
+    # A row without a time is not known to be old.
+    old = F.coalesce(F.col(at) < now - F.make_dt_interval(F.lit(days)), F.lit(False))
     return rows.where(~old), rows.agg(F.count_if(old).alias("deleted"))
 
 
@@ -165,7 +168,7 @@ def cascade_delete(words: DataFrame, tables: dict[str, DataFrame], origin: str |
     words is joined, never collected.
     """
     ids = words.select("word_id").distinct()
-    own = F.lit(True) if origin is None else T.source_origin(F.col("source")) == origin
+    own = F.lit(True) if origin is None else F.coalesce(T.source_origin(F.col("source")) == origin, F.lit(False))
     gone = tables["meanings"].where(own).join(ids, "word_id", "left_semi").select("meaning_id")
     owners = ids.withColumnRenamed("word_id", "owner_word_id")
     out = {

@@ -78,12 +78,33 @@ COUNTS = {"word": "dom_words", "meaning": "dom_meanings", "sentence": "dom_sente
     "mirror_refresh",
     " UNION ALL ".join(
         f"SELECT '{k}' AS table_name, count(*) AS source_count, count(*) AS target_count, true AS same, true AS published FROM {v}" for k, v in COUNTS.items()
-    )
-    + " UNION ALL SELECT 'overflow', 0, 0, true, true",
+    ),
 )
 def mirror_refresh(t):
     snapshots = W.Snapshots(t.spark, fresh_path(t.spark, "mirror"))
-    return W.mirror_refresh(snapshots, _mirror(t))
+    return W.mirror_refresh(snapshots, _mirror(t), _mirror_sources(t))
+
+
+def _mirror_sources(t):
+    return {"word": t.dom_words, "meaning": t.dom_meanings, "sentence": t.dom_sentences, "mnemonic": t.dom_mnemonics, "phrase": t.dom_phrases}
+
+
+@query(
+    "mirror_refresh_orphans",
+    """SELECT 'sentence' AS table_name, (SELECT count(*) FROM dom_sentences) AS source_count,
+              (SELECT count(*) FROM dom_sentences JOIN dom_meanings USING (meaning_id) WHERE meaning_id % 10 <> 3) AS target_count,
+              false AS same, false AS published, (SELECT count(*) FROM dom_phrases) AS still_read
+       UNION ALL SELECT 'phrase', count(*), count(*), true, false, count(*) FROM dom_phrases""",
+)
+def mirror_refresh_orphans(t):
+    """Sentences without a meaning stop the publication; readers keep the tables published before."""
+    snapshots = W.Snapshots(t.spark, fresh_path(t.spark, "mirror"))
+    phrases = {"phrase": M.mirror_phrases(t.dom_phrases)}
+    W.mirror_refresh(snapshots, phrases, {"phrase": t.dom_phrases})
+    kept = t.dom_meanings.where("meaning_id % 10 <> 3")
+    tables = {"sentence": M.mirror_sentences(t.dom_sentences, kept), "phrase": M.mirror_phrases(t.dom_phrases.limit(0))}
+    report = W.mirror_refresh(snapshots, tables | phrases, {"sentence": t.dom_sentences, "phrase": t.dom_phrases})
+    return report.withColumn("still_read", F.lit(snapshots.read("phrase").count()))
 
 
 def _sides(t):

@@ -15,7 +15,7 @@ COUNTED = "(SELECT count(*) FROM dom_meanings m WHERE m.word_id = w.word_id) AS
           AND EXISTS (SELECT 1 FROM dom_meanings m WHERE m.word_id = w.word_id AND m.pos = 2)""",
 )
 def search_words(t):
-    rows = S.search_words(t.dom_words, t.dom_meanings, "CUSTOMER#00_0", 1, "none", 1, 2)
+    rows = S.add_meaning_count(S.search_words(t.dom_words, t.dom_meanings, "CUSTOMER#00_0", 1, "none", 1, 2), t.dom_meanings)
     return rows.select("word_id", "form", "type", "status", "quality_flag", "updated_at", "meaning_count")
 
 
@@ -24,7 +24,7 @@ def search_words(t):
     f"""SELECT word_id, form, {COUNTED} FROM dom_words w ORDER BY 3 DESC, word_id LIMIT 50""",
 )
 def top_n(t):
-    rows = S.search_words(t.dom_words, t.dom_meanings).select("word_id", "form", "meaning_count")
+    rows = S.add_meaning_count(S.search_words(t.dom_words, t.dom_meanings), t.dom_meanings).select("word_id", "form", "meaning_count")
     return S.top_n(rows, [F.col("meaning_count").desc(), F.col("word_id")], 50, 200)
 
 
@@ -35,8 +35,8 @@ def top_n(t):
         ORDER BY updated_at DESC, word_id DESC LIMIT 101""",
 )
 def keyset_page(t):
-    rows = S.search_words(t.dom_words, t.dom_meanings).select("word_id", "updated_at", "meaning_count")
-    return S.keyset_page(rows, "updated_at", "word_id", 100, ("2024-01-15", 700))
+    page = S.keyset_page(S.search_words(t.dom_words, t.dom_meanings), "updated_at", "word_id", 100, ("2024-01-15", 700))
+    return S.add_meaning_count(page, t.dom_meanings).select("word_id", "updated_at", "meaning_count")
 
 
 @query(

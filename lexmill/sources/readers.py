@@ -31,6 +31,7 @@ LINE_ORDER = ("file", "block", "mark", "piece")
 
 def clean_glossary(entries: Column) -> Column:
     """Usable entries: a gloss without its leading bracketed hint, English without tags."""
+    # The two clean-up patterns.
     def clean(entry: Column) -> Column:
         cn = T.blank_to_null(T.strip(F.regexp_replace(entry["cn"], r"^[（(][^）)]{1,20}[）)](?U)\s*", "")))
         en = T.blank_to_null(T.strip(F.regexp_replace(entry["en"], "<[^>]+>", "")))
@@ -39,10 +40,29 @@ def clean_glossary(entries: Column) -> Column:
     return F.filter(F.transform(entries, clean), lambda e: e["cn"].isNotNull())
 
 
+def _glossary_objects(spark: SparkSession, path: str) -> DataFrame:
+    """(file, at, value, entries): the JSON objects of glossary files; entries is NULL where one is corrupt.
+
+    A file is one object, however it is laid out, or one object per line.
+    """
+    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = F.try_parse_json("value").isNotNull()
+    pieces = files.select("file", F.posexplode(F.when(whole, F.array("value")).otherwise(F.split("value", "\n"))).alias("at", "value"))
+    entries = F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", f"map<string,{GLOSSARY_ENTRIES}>"))
+    return pieces.where(F.trim("value") != "").withColumn("entries", entries)
+
+
+def glossary_errors(spark: SparkSession, path: str) -> DataFrame:
+    """(file, at, value): lines of glossary files that are no JSON object, from 0; of a broken one-object file, all its lines."""
+    return _glossary_objects(spark, path).where("entries IS NULL").drop("entries")
+
+
 def read_glossary(spark: SparkSession, path: str) -> DataFrame:
-    """(word, meanings) from JSON lines that map words to entries; words left empty are missing."""
-    parsed = spark.read.text(path).select(F.from_json("value", f"map<string,{GLOSSARY_ENTRIES}>").alias("entries"))
-    rows = parsed.select(F.explode("entries").alias("word", "entries"))
+    """(word, meanings) from JSON files that map words to entries; words left empty are missing.
+
+    What cannot be read is listed by `glossary_errors`.
+    """
+    rows = _glossary_objects(spark, path).select(F.explode("entries").alias("word", "entries"))
     return rows.select("word", clean_glossary(F.col("entries")).alias("meanings")).where(F.size("meanings") > 0)
 
 

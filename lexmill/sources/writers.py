@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.hashing import to_json
-from lexmill.session import fresh_path
 
 
 def append_ledger(rows: DataFrame, path: str, at: str = "started_at") -> None:
@@ -29,7 +29,7 @@ def append_run_report(report: DataFrame, path: str) -> None:
 class Snapshots:
     """Tables published together as new directories under one root.
 
-    A publication writes every table to its own new directory and then appends one row to the
+    A publication writes every table to its own new directory under the root and then appends one row to the
     `published` list. Readers follow the newest row, so they see all tables of one
     publication or all of another, and a job that dies leaves the old ones in place.
     """
@@ -44,7 +44,7 @@ class Snapshots:
         """Write the tables where no reader looks yet; returns their paths."""
         paths = {}
         for name, df in tables.items():
-            paths[name] = fresh_path(self.spark, f"staged-{name}")
+            paths[name] = f"{self.root}/tables/{name}-{uuid.uuid4().hex}"
             df.write.parquet(paths[name])
         return paths
 
@@ -81,15 +81,19 @@ def count_check(sides: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     return out.withColumn("same", F.col("source_count") == F.col("target_count"))
 
 
-def mirror_refresh(snapshots: Snapshots, tables: dict[str, DataFrame], dry_run: bool = False) -> DataFrame:
-    """Stage all tables, compare counts, and publish them together unless a count differs.
+def mirror_refresh(
+    snapshots: Snapshots, tables: dict[str, DataFrame], sources: dict[str, DataFrame], dry_run: bool = False
+) -> DataFrame:
+    """Stage all tables, compare them with the tables they were made from, and publish them together unless a count differs.
 
-    Returns the count report; `published` tells whether readers now see the new tables.
+    `sources` names the table that each mirror table must have one row for; rows that got lost
+    on the way, such as children without a parent, show up as a difference. Returns the count
+    report; `published` tells whether readers now see the new tables.
     """
     spark = snapshots.spark
     paths = snapshots.stage(tables)
     staged = {name: spark.read.parquet(path) for name, path in paths.items()}
-    report = count_check({name: (tables[name], staged[name]) for name in tables})
+    report = count_check({name: (sources[name], staged[name]) for name in tables if name in sources})
     # One row per table comes to the driver to decide.
     rows = report.collect()
     good = all(r["same"] for r in rows) and not dry_run
@@ -99,8 +103,8 @@ def mirror_refresh(snapshots: Snapshots, tables: dict[str, DataFrame], dry_run:
 
 
 def export_packaged_json(entries: DataFrame, path: str, limit: int | None = None) -> None:
-    """(word_id, word_json) rows as JSON lines, ordered by word_id over all files."""
-    ordered = entries.select("word_id", "word_json").orderBy("word_id")
+    """(word_id, part_no, word_json) rows as JSON lines, ordered by word_id and part over all files."""
+    ordered = entries.select("word_id", "part_no", "word_json").orderBy("word_id", "part_no")
     if limit is not None:
         ordered = ordered.limit(limit)
     ordered.write.json(path)
