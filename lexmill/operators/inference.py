@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import lookups
@@ -32,7 +32,8 @@ _VALIDATORS: dict[str, Callable[[Column], Column]] = {}
 
 def register_model(name: str, fn: ModelFn) -> None:
     """`fn` gets a batch of calls (kind, model, params_json, prompt, input_json) as pandas and
-    returns text, tokens_input and tokens_output, row for row."""
+    returns text, tokens_input and tokens_output, row for row, and may return an `error` for rows
+    that failed. One that raises loses its batch; wrap a function of single calls in `per_call`."""
     _MODELS[name] = fn
 
 
@@ -70,37 +71,89 @@ class Inference:
 
 
 ANSWER = "text string, tokens_input bigint, tokens_output bigint, error string"
+TOKENS = ("tokens_input", "tokens_output")
+
+
+def per_call(one: ModelFn) -> ModelFn:
+    """A model function that asks for one prompt at a time: a call that fails is its row's error alone.
+
+    Each prompt is asked exactly once, whatever becomes of the others.
+    """
+    def run(calls: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for i in range(len(calls)):
+            try:
+                rows.append(one(calls.iloc[[i]]).iloc[0].to_dict() | {"error": None})
+            except Exception as error:  # noqa: BLE001  the answers of others are paid for
+                rows.append({"text": None, "tokens_input": 0, "tokens_output": 0, "error": str(error)[:500]})
+        return pd.DataFrame(rows)
+
+    return run
 
 
 def _call_model(fn: ModelFn) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for calls in batches:
-            kept = calls[["kind", "cache_key", "model", "first_call"]]
+            kept = calls[["kind", "cache_key", "model", "first_call"]].reset_index(drop=True)
             try:
-                answers = fn(calls).reset_index(drop=True).assign(error=None)
-            except Exception:  # noqa: BLE001  one bad call must not lose its batch
-                rows = []
-                for i in range(len(calls)):
-                    try:
-                        rows.append(fn(calls.iloc[[i]]).iloc[0].to_dict() | {"error": None})
-                    except Exception as error:  # noqa: BLE001
-                        rows.append({"text": None, "tokens_input": 0, "tokens_output": 0, "error": str(error)[:500]})
-                answers = pd.DataFrame(rows)
-            yield pd.concat([kept.reset_index(drop=True), answers[["text", "tokens_input", "tokens_output", "error"]]], axis=1)
+                answers = fn(calls).reset_index(drop=True)
+                if "error" not in answers.columns:
+                    answers["error"] = None
+            except Exception as error:  # noqa: BLE001  nothing of the batch is known, so nothing is asked again
+                answers = kept[[]].assign(text=None, tokens_input=0, tokens_output=0, error=str(error)[:500])
+            yield pd.concat([kept, answers[["text", "tokens_input", "tokens_output", "error"]]], axis=1)
 
     return run
 
 
+CACHE = "kind string, cache_key string, text string, cost_usd decimal(10,6)"
+
+
+class AnswerStore:
+    """Paid answers as a table that only grows, under a folder of the caller's.
+
+    It is partitioned by the first two digits of the key, so a lookup of few keys reads few
+    files. An answer that was stored twice is read once.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self._table(spark.createDataFrame([], CACHE)).write.mode("append").partitionBy("prefix").parquet(self.path)
+
+    @staticmethod
+    def _table(rows: DataFrame) -> DataFrame:
+        return rows.select("kind", "cache_key", "text", "cost_usd", F.left("cache_key", F.lit(2)).alias("prefix"))
+
+    def read(self) -> DataFrame:
+        stored = self.spark.read.schema(CACHE + ", prefix string").parquet(self.path)
+        first = F.min_by(F.struct("text", "cost_usd"), F.struct("text", "cost_usd")).alias("_a")
+        return stored.groupBy("kind", "cache_key").agg(first).select("kind", "cache_key", "_a.*")
+
+    def add(self, answers: DataFrame) -> None:
+        self._table(answers).write.mode("append").partitionBy("prefix").parquet(self.path)
+
+
+def call(calls: DataFrame, cache: DataFrame | AnswerStore, fn: ModelFn, call_id: str, parallel: int | None = None, bypass: bool = False) -> DataFrame:
+    """The results of `cached_inference`; a store gets the new answers before anybody reads them."""
+    if not isinstance(cache, AnswerStore):
+        return cached_inference(calls, cache, fn, call_id, parallel, bypass).results
+    out = cached_inference(calls, cache.read(), fn, call_id, parallel, bypass)
+    cache.add(out.new_cache)
+    return out.results
+
+
 def cached_inference(
     calls: DataFrame, cache: DataFrame, fn: ModelFn, call_id: str, partitions: int | None = None,
     bypass: bool = False, floor: int = HOT_FLOOR,
 ) -> Inference:
     """Answer `calls` (call_id and the CALL columns) from `cache` or by the model.
 
-    `cache` is (kind, cache_key, text, cost_usd). Each distinct miss is called once, in
-    `partitions` parallel streams; the answers are written before anyone reads them, so a
-    lost executor does not repeat calls. A hit reports the stored cost in cost_usd and 0 in
-    spent_usd; failed calls and reserved parameters end up in `error` and are not cached.
+    `cache` is (kind, cache_key, text, cost_usd); of it only the keys that are asked for are
+    shuffled. Each distinct miss is called once, in `partitions` parallel streams; the answers
+    are written before anyone reads them, so executors lost after that repeat no call. A hit
+    reports the stored cost in cost_usd, 0 in spent_usd and no tokens; failed calls and
+    reserved parameters end up in `error` and are not cached.
     """
     reserved = [F.try_variant_get(F.try_parse_json("params_json"), f"$.{name}", "variant").isNotNull() for name in RESERVED]
     keyed = calls.withColumn("cache_key", cache_key(*[F.col(c) for c in CALL])).withColumn(
@@ -114,24 +167,26 @@ def cached_inference(
         F.min(call_id).alias("first_call"), F.first("model").alias("model"),
         F.first("params_json").alias("params_json"), F.first("prompt").alias("prompt"), F.first("input_json").alias("input_json"),
     )
+    asked = good.select("kind", "cache_key").distinct()
+    cache = cache.limit(0) if bypass else cache.join(asked, ["kind", "cache_key"], "left_semi")
     misses = distinct if bypass else distinct.join(cache.select("kind", "cache_key"), ["kind", "cache_key"], "left_anti")
     if partitions is not None:
         misses = misses.repartition(partitions)
     id_type = calls.schema[call_id].dataType.simpleString()
     schema = f"kind string, cache_key string, model string, first_call {id_type}, {ANSWER}"
     answered = cut_lineage(lookups.with_cost(misses.mapInPandas(_call_model(fn), schema)))
-    fresh = answered.select("kind", "cache_key", "text", "cost_usd", "first_call", "error")
+    fresh = answered.select("kind", "cache_key", "text", "cost_usd", "first_call", "error", "tokens_input", "tokens_output")
     stored = cache.select(
         "kind", "cache_key", "text", F.col("cost_usd").cast("decimal(10,6)"), F.lit(None).cast(id_type).alias("first_call"),
-        F.lit(None).cast("string").alias("error"),
+        F.lit(None).cast("string").alias("error"), *[F.lit(None).cast("bigint").alias(c) for c in TOKENS],
     )
-    if bypass:
-        stored = stored.limit(0)
     joined = join_to_parent(keyed, fresh.unionByName(stored), ["kind", "cache_key"], "left", floor)
     refusal = F.when(F.col("_refused"), "request parameters must not contain reserved keys")
+    made = F.col("first_call") == F.col(call_id)
     results = joined.withColumn("hit", F.col("first_call").isNull() & F.col("text").isNotNull()).withColumn(
-        "spent_usd", F.when(F.col("first_call") == F.col(call_id), F.col("cost_usd")).otherwise(0).cast("decimal(10,6)")
-    ).withColumn("error", F.coalesce("error", refusal)).drop("_refused", "first_call")
+        "spent_usd", F.when(made, F.col("cost_usd")).otherwise(0).cast("decimal(10,6)")
+    ).withColumns({c: F.when(made, F.col(c)).otherwise(0).cast("bigint") for c in TOKENS})
+    results = results.withColumn("error", F.coalesce("error", refusal)).drop("_refused", "first_call")
     new_cache = fresh.where("error IS NULL").select("kind", "cache_key", "text", "cost_usd")
     return Inference(results, new_cache)
 
@@ -144,8 +199,8 @@ def hash_sample(rows: DataFrame, key: str, seed: int, n: int) -> DataFrame:
 
 
 def run_experiment(
-    words: DataFrame, cache: DataFrame, template: str, model: str, fn: ModelFn, stage: str,
-    seed: int, n: int, params_json: str = '{"max_tokens":8192,"temperature":0}',
+    words: DataFrame, cache: DataFrame | AnswerStore, template: str, model: str, fn: ModelFn, stage: str,
+    seed: int, n: int, params_json: str = '{"max_tokens":8192,"temperature":0}', parallel: int | None = None,
 ) -> DataFrame:
     """One row per sampled word: ok, valid, cost_usd, text, error.
 
@@ -162,7 +217,7 @@ def run_experiment(
         "word_id", "form", F.lit(f"call:{model}").alias("kind"), F.lit(model).alias("model"), F.lit(params_json).alias("params_json"),
         prompt.alias("prompt"), F.lit(f'{{"script":"experiment","stage":"{stage}"}}').alias("input_json"),
     )
-    answered = cached_inference(calls, cache, fn, "word_id").results.withColumnRenamed("error", "_call_error")
+    answered = call(calls, cache, fn, "word_id", parallel).withColumnRenamed("error", "_call_error")
     parsed = N.parse_model_json(answered, "text")
     ok = F.col("_call_error").isNull() & F.col("parsed").isNotNull()
     return parsed.select(

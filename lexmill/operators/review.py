@@ -69,11 +69,14 @@ def rule_checkers(meanings: DataFrame, sentences: DataFrame, mnemonics: DataFram
     )
 
 
-def run_checkers(blobs: DataFrame, cache: DataFrame, fn: I.ModelFn, model: str) -> DataFrame:
-    """(word_id, checker, issues, cost_usd, spent_usd): five calls per word.
+def run_checkers(
+    blobs: DataFrame, cache: DataFrame | I.AnswerStore, fn: I.ModelFn, model: str, parallel: int | None = None
+) -> DataFrame:
+    """(word_id, checker, issues, error, cost_usd, spent_usd): five calls per word.
 
     `blobs` is (word_id, blob). Issues are JSON objects tagged with their checker; an answer
-    that does not parse, or has no list, counts as no issue.
+    that does not parse, or has no list, counts as no issue. A call that failed has an error
+    and says nothing about the word.
     """
     calls = blobs.select("word_id", "blob", F.explode(F.array(*[F.lit(c) for c in CHECKERS])).alias("checker")).select(
         F.concat_ws(":", "word_id", "checker").alias("call_id"), "word_id", "checker",
@@ -81,7 +84,7 @@ def run_checkers(blobs: DataFrame, cache: DataFrame, fn: I.ModelFn, model: str)
         T.render_prompt(F.lit(CHECK_TEMPLATE), {"checker": F.col("checker"), "blob_json": F.col("blob")}).alias("prompt"),
         F.concat(F.lit('{"checker":"'), "checker", F.lit('","script":"review"}')).alias("input_json"),
     )
-    answered = I.cached_inference(calls, cache, fn, "call_id").results.drop("error")
+    answered = I.call(calls, cache, fn, "call_id", parallel).withColumnRenamed("error", "_call_error")
     parsed = N.parse_model_json(answered, "text")
     objects = F.filter(N.items(F.col("parsed"), "$.issues"), lambda i: N.has_kind(i, "OBJECT"))
     issues = F.transform(
@@ -92,27 +95,32 @@ def run_checkers(blobs: DataFrame, cache: DataFrame, fn: I.ModelFn, model: str)
             )
         ),
     )
-    return parsed.select("word_id", "checker", issues.alias("issues"), "cost_usd", "spent_usd")
+    return parsed.select("word_id", "checker", issues.alias("issues"), F.col("_call_error").alias("error"), "cost_usd", "spent_usd")
 
 
 def gather_issues(checked: DataFrame) -> DataFrame:
-    """(word_id, issues, checker_costs, check_total): one row per word, five rows in.
+    """(word_id, issues, checker_costs, check_total, check_error): one row per word, five rows in.
 
-    Costs are rounded as they are recorded: five places each, four for the total.
+    Costs are rounded as they are recorded: five places each, four for the total. `check_error`
+    names the checkers that failed; a word with one has not been reviewed.
     """
     cost = F.struct("checker", F.round("cost_usd", 5).cast("decimal(10,5)").alias("cost"))
     grouped = checked.groupBy("word_id").agg(
+        F.array_sort(F.collect_list(F.when(F.col("error").isNotNull(), F.concat_ws(": ", "checker", "error")))).alias("_e"),
         F.array_sort(F.collect_list(F.struct(F.array_position(F.array(*[F.lit(c) for c in CHECKERS]), F.col("checker")).alias("o"), "issues"))).alias("_i"),
         F.map_from_entries(F.collect_list(cost)).alias("checker_costs"),
         F.round(F.sum("cost_usd"), 4).cast("decimal(10,4)").alias("check_total"),
     )
-    return grouped.select("word_id", F.flatten(F.col("_i.issues")).alias("issues"), "checker_costs", "check_total")
+    failed = F.when(F.size("_e") > 0, F.array_join("_e", "; "))
+    return grouped.select("word_id", F.flatten(F.col("_i.issues")).alias("issues"), "checker_costs", "check_total", failed.alias("check_error"))
 
 
 PATCH = "array<struct<seq:int,op:string,path:string,old_value:string,new_value:string>>"
 
 
-def propose_patches(issues: DataFrame, cache: DataFrame, fn: I.ModelFn, model: str) -> DataFrame:
+def propose_patches(
+    issues: DataFrame, cache: DataFrame | I.AnswerStore, fn: I.ModelFn, model: str, parallel: int | None = None
+) -> DataFrame:
     """(word_id, patches, fix_cost, fix_error) from (word_id, blob, issues); no issue, no call."""
     asked = issues.where(F.size("issues") > 0)
     listed = F.concat(F.lit("["), F.array_join("issues", ", "), F.lit("]"))
@@ -121,7 +129,7 @@ def propose_patches(issues: DataFrame, cache: DataFrame, fn: I.ModelFn, model: s
         "word_id", F.lit(f"call:{model}").alias("kind"), F.lit(model).alias("model"), F.lit('{"max_tokens":12000,"temperature":0}').alias("params_json"),
         T.render_prompt(F.lit(FIX_TEMPLATE), values).alias("prompt"), F.lit('{"checker":"fixer","script":"review"}').alias("input_json"),
     )
-    answered = I.cached_inference(calls, cache, fn, "word_id").results.drop("error")
+    answered = I.call(calls, cache, fn, "word_id", parallel).withColumnRenamed("error", "_call_error")
     parsed = N.parse_model_json(answered, "text")
     has = N.at(F.col("parsed"), "$.patches").isNotNull()
     patches = F.transform(
@@ -133,7 +141,7 @@ def propose_patches(issues: DataFrame, cache: DataFrame, fn: I.ModelFn, model: s
     )
     return parsed.select(
         "word_id", patches.cast(PATCH).alias("patches"), F.round("cost_usd", 4).cast("decimal(10,4)").alias("fix_cost"),
-        F.when(~F.coalesce(has, F.lit(False)), T.truncate_text(F.coalesce("text", F.lit("")), "fix_error")).alias("fix_error"),
+        F.when(~F.coalesce(has, F.lit(False)), T.truncate_text(F.coalesce("_call_error", "text", F.lit("")), "fix_error")).alias("fix_error"),
     )
 
 
@@ -257,9 +265,14 @@ def apply_patches_skip(
 
 
 def review_records(blobs: DataFrame, gathered: DataFrame, proposed: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """One record per reviewed word, as the result log keeps it."""
+    """One record per reviewed word, as the result log keeps it; `error` tells of failed calls."""
     counted = outcomes.groupBy("word_id").agg(
         F.count_if(F.col("status") == "applied").alias("applied"), F.count_if(F.col("status") == "drift").alias("drift_skipped")
     )
     out = blobs.select("word_id", "form").join(gathered, "word_id").join(proposed, "word_id", "left").join(counted, "word_id", "left")
-    return out.withColumn("issue_count", F.size("issues")).withColumnRenamed("fix_error", "error")
+    return out.withColumn("issue_count", F.size("issues")).withColumn("error", F.coalesce("check_error", "fix_error")).drop("check_error", "fix_error")
+
+
+def reviewed(records: DataFrame) -> DataFrame:
+    """The records that count as done: those without an error."""
+    return records.where("error IS NULL")

@@ -48,16 +48,18 @@ def stub_model(calls: pd.DataFrame) -> pd.DataFrame:
 I.register_model("stub", stub_model)
 
 
-def ask(df: DataFrame, stage: str, values: dict[str, Column], cache: DataFrame, fn: I.ModelFn) -> DataFrame:
+def ask(
+    df: DataFrame, stage: str, values: dict[str, Column], cache: DataFrame | I.AnswerStore, fn: I.ModelFn, parallel: int | None = None
+) -> DataFrame:
     """(word_id, parsed, cost_usd, tokens_input, tokens_output, error): one model call per row."""
     calls = df.select(
         "word_id", F.lit(f"call:{MODEL}").alias("kind"), F.lit(MODEL).alias("model"),
         F.lit('{"max_tokens":8192,"temperature":0}').alias("params_json"),
         T.render_prompt(F.lit(TEMPLATES[stage]), values).alias("prompt"), F.lit(f'{{"stage":"{stage}"}}').alias("input_json"),
     )
-    answered = I.cached_inference(calls, cache, fn, "word_id").results
+    answered = I.call(calls, cache, fn, "word_id", parallel)
     parsed = N.parse_model_json(answered.withColumnRenamed("error", "_call_error"), "text")
-    return parsed.select("word_id", "parsed", "cost_usd", F.coalesce("_call_error", "error").alias("error"))
+    return parsed.select("word_id", "parsed", "cost_usd", *I.TOKENS, F.coalesce("_call_error", "error").alias("error"))
 
 
 def _source(stage: str, model: str = MODEL) -> Column:
@@ -68,8 +70,16 @@ def _local(stage: str) -> Column:
     return F.lit(f"pipeline:local:{stage}_v1")
 
 
-def dictionary_stages(raw: DataFrame, glossary: DataFrame, cache: DataFrame, fn: I.ModelFn) -> list[S.Stage]:
-    """Stages over `raw` (word_id, raw) documents and `glossary` (word_id, meanings)."""
+def dictionary_stages(
+    raw: DataFrame, glossary: DataFrame, cache: DataFrame | I.AnswerStore, fn: I.ModelFn, parallel: int | None = None, export: S.StageFn | None = None
+) -> list[S.Stage]:
+    """Stages over `raw` (word_id, raw) documents and `glossary` (word_id, meanings).
+
+    New answers go to `cache` if that is a store; `parallel` is the number of model calls at a
+    time. `export` is the last stage's function; without one its payload only says that the
+    gate was passed.
+    """
+    publish = export
 
     def fetch_dict(df: DataFrame) -> DataFrame:
         found = df.join(raw, "word_id", "left")
@@ -93,22 +103,23 @@ def dictionary_stages(raw: DataFrame, glossary: DataFrame, cache: DataFrame, fn:
         )
         # Only words without a cheaper answer reach the model, and only long lists the reranker.
         summary = F.coalesce(T.blank_to_null(F.col("_summary")), F.lit("(no dictionary data)"))
-        told = ask(known.where("meanings IS NULL"), "paraphrase", {"word": F.col("form"), "dict_summary": summary}, cache, fn)
+        told = ask(known.where("meanings IS NULL"), "paraphrase", {"word": F.col("form"), "dict_summary": summary}, cache, fn, parallel)
         generated = told.select(
             "word_id", F.to_json("parsed", KEEP_NULLS).alias("payload"), "error", _source("paraphrase").alias("source"),
-            F.lit(MODEL).alias("model"), "cost_usd",
+            F.lit(MODEL).alias("model"), "cost_usd", *I.TOKENS,
         )
         short = known.where("meanings IS NOT NULL")
         shown = T.truncate_text(to_json(F.col("meanings")), "rerank_json")
-        order = ask(short.where(I.needs_rerank(F.col("meanings"))), "paraphrase_rerank", {"word": F.col("form"), "meanings_json": shown}, cache, fn)
+        order = ask(short.where(I.needs_rerank(F.col("meanings"))), "paraphrase_rerank", {"word": F.col("form"), "meanings_json": shown}, cache, fn, parallel)
         # A failed rerank keeps the order and costs the word nothing.
-        ranked = short.join(order.select("word_id", "parsed", "cost_usd"), "word_id", "left").withColumn(
+        ranked = short.join(order.select("word_id", "parsed", "cost_usd", *I.TOKENS), "word_id", "left").withColumn(
             "meanings", I.rerank_meanings(F.col("meanings"), F.col("parsed"))
         )
         tag = F.concat(F.lit("pipeline:"), "origin", F.lit("+"), T.short_model_tag(F.lit(MODEL)), F.lit(":paraphrase_v1"))
         cheap = ranked.select(
             "word_id", to_json(F.struct("meanings")).alias("payload"), F.lit(None).cast("string").alias("error"), tag.alias("source"),
             F.when(F.col("cost_usd") > 0, MODEL).alias("model"), F.coalesce("cost_usd", F.lit(0)).cast("decimal(10,6)").alias("cost_usd"),
+            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in I.TOKENS],
         )
         return generated.unionByName(cheap)
 
@@ -123,11 +134,11 @@ def dictionary_stages(raw: DataFrame, glossary: DataFrame, cache: DataFrame, fn:
             values = {"word": F.col("form"), "meanings_json": T.truncate_text(N.top_meanings(F.try_parse_json("up_paraphrase")), "meanings_json")}
             if extra is not None:
                 values["reference_examples_json"] = F.col("_reference")
-            told = ask(rows, stage, values, cache, fn)
+            told = ask(rows, stage, values, cache, fn, parallel)
             payload = F.to_json("parsed", KEEP_NULLS) if shape is None else shape(F.col("parsed"))
             return told.select(
                 "word_id", F.when(F.col("error").isNull(), payload).alias("payload"), "error", _source(stage).alias("source"),
-                F.lit(MODEL).alias("model"), "cost_usd",
+                F.lit(MODEL).alias("model"), "cost_usd", *I.TOKENS,
             )
 
         return run
@@ -141,7 +152,7 @@ def dictionary_stages(raw: DataFrame, glossary: DataFrame, cache: DataFrame, fn:
         payload = to_json(F.struct("passed", "failed_rules"))
         return judged.select("word_id", F.when(F.col("error").isNull(), payload).alias("payload"), "error", _local("quality_gate").alias("source"))
 
-    def export(df: DataFrame) -> DataFrame:
+    def passed_on(df: DataFrame) -> DataFrame:
         passed = F.coalesce(F.try_variant_get(F.try_parse_json("up_quality_gate"), "$.passed", "boolean"), F.lit(False))
         payload = to_json(F.struct(F.lit(True).alias("exported")))
         error = F.when(~passed, "quality gate did not pass")
@@ -161,7 +172,7 @@ def dictionary_stages(raw: DataFrame, glossary: DataFrame, cache: DataFrame, fn:
         stage("examples", ("paraphrase", "fetch_dict"), modelled("examples", N.shape_examples, with_reference)),
         stage("mnemonic", ("paraphrase",), modelled("mnemonic")),
         stage("quality_gate", S.GATED, gate),
-        stage("export", S.EXPORT_UPSTREAM, export),
+        stage("export", S.EXPORT_UPSTREAM, publish or passed_on),
     ]
 
 

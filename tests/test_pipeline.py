@@ -53,15 +53,35 @@ def test_second_run_makes_no_call(spark, tmp_path):
     assert len(list(log.iterdir())) == 3
 
 
-def test_one_bad_call_does_not_lose_the_others(spark):
+def test_one_bad_call_does_not_lose_or_repeat_the_others(spark, tmp_path):
+    where = str(tmp_path)
+
     def fn(batch):
+        import uuid
+
+        for p in batch["prompt"]:
+            open(f"{where}/{p}-{uuid.uuid4()}", "w").close()
         if "bad" in set(batch["prompt"]):
             raise RuntimeError("refused")
         return pd.DataFrame({"text": batch["prompt"], "tokens_input": 1, "tokens_output": 1})
 
-    out = I.cached_inference(calls(spark, ["ok", "bad"]), spark.createDataFrame([], DS.EMPTY_CACHE), fn, "id", partitions=1)
-    assert rows(out.results, "prompt", "text", "error") == [("bad", None, "refused"), ("ok", "ok", None)]
-    assert rows(out.new_cache, "text") == [("ok",)]
+    out = I.cached_inference(
+        calls(spark, ["ok", "bad", "fine"]), spark.createDataFrame([], DS.EMPTY_CACHE), I.per_call(fn), "id", partitions=1
+    )
+    assert rows(out.results, "prompt", "text", "error", "tokens_input") == [("bad", None, "refused", 0), ("fine", "fine", None, 1), ("ok", "ok", None, 1)]
+    assert rows(out.new_cache, "text") == [("fine",), ("ok",)]
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["bad", "fine", "ok"]
+    lost = I.cached_inference(calls(spark, ["ok", "bad"]), spark.createDataFrame([], DS.EMPTY_CACHE), fn, "id", partitions=1)
+    assert rows(lost.results, "error") == [("refused",), ("refused",)] and lost.new_cache.count() == 0
+
+
+def test_store_keeps_answers_between_runs(spark, tmp_path):
+    store = I.AnswerStore(spark, str(tmp_path / "answers"))
+    assert [r["hit"] for r in I.call(calls(spark, ["p", "q"]), store, I.digest_model, "id").collect()] == [False, False]
+    again = I.call(calls(spark, ["q", "r", "q"]), I.AnswerStore(spark, str(tmp_path / "answers")), I.digest_model, "id")
+    assert rows(again, "prompt", "hit") == [("q", True), ("q", True), ("r", False)]
+    store.add(store.read())
+    assert store.read().count() == 3
 
 
 def test_reserved_parameters_are_refused(spark):

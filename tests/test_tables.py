@@ -259,12 +259,16 @@ def test_mirror_publishes_all_or_nothing(spark, tmp_path):
     snaps = W.Snapshots(spark, str(tmp_path / "m"))
     words, meanings, sentences, mnemonics, phrases, _ = entity_tables(spark)
     source = F.lit("x").alias("source")
+    sources = {"word": words, "meaning": meanings, "sentence": sentences, "mnemonic": mnemonics, "phrase": phrases}
     tables = M.mirror_tables(
         words, meanings.select("*", source), sentences.select("*", source), mnemonics.select("*", source), phrases, F.struct("kind", "text")
     )
-    assert all(r["published"] for r in W.mirror_refresh(snaps, tables).collect())
+    assert all(r["published"] for r in W.mirror_refresh(snaps, tables, sources).collect())
     first = snaps.current()
-    assert not any(r["published"] for r in W.mirror_refresh(snaps, tables, dry_run=True).collect())
+    assert not any(r["published"] for r in W.mirror_refresh(snaps, tables, sources, dry_run=True).collect())
+    assert snaps.current() == first and all(p.startswith(str(tmp_path)) for p in first.values())
+    lost = W.mirror_refresh(snaps, tables | {"sentence": tables["sentence"].limit(0)}, sources).collect()
+    assert [r["table_name"] for r in lost if not r["same"]] == ["sentence"] and not any(r["published"] for r in lost)
     assert snaps.current() == first
     word = snaps.read("word").where("word_id = 1").collect()[0]
     assert (word["meanings"], word["phonetic_uk"], word["plural"]) == ('[{"id":4},{"id":5}]', "", None)
