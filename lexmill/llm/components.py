@@ -31,9 +31,7 @@ def connected_components(links: DataFrame) -> DataFrame:
             pairs.select(F.col("low").alias("node"), F.col("high").alias("other"))
         )
         least = sides.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("least"))
-        large = (
-            sides.where("other > node").join(least, "node").select(F.col("other").alias("high"), F.col("least").alias("low")).distinct()
-        )
+        large = sides.where("other > node").join(least, "node").select(F.col("other").alias("high"), F.col("least").alias("low"))
         smallest = large.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least"))
         handed = large.join(smallest, large["high"] == smallest["node"])
         small = handed.where("low <> least").select(F.col("low").alias("high"), F.col("least").alias("low"))

@@ -22,10 +22,12 @@ SKETCH = 1 << 18
 SKETCH_BLOCKS = 16
 # Sets of one cell that a task looks at together; a larger cell is cut into chunks of as many.
 # A set counts once more for every SET_WEIGHT shingles in it.
-CHUNK = 512
+CHUNK = 2_048
 SET_WEIGHT = 512
-# Bits of a set's bitmap for each of its shingles, at least.
+# Bits of a set's bitmap for each of its shingles, at least: where only bitmaps travel, and
+# where whole sets are at hand.
 WIDEN = 3
+EXACT_WIDEN = 16
 # Bits of a filter for each wanted document, and at most.
 FILTER_BITS = 16
 MAX_FILTER_BITS = 1 << 27
@@ -52,9 +54,9 @@ def shingle_sets(part: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarr
     return doc, hashes, size, mix64(key + size.astype(np.uint64))
 
 
-def bitmap(hashes: np.ndarray) -> bytes:
-    """A set's bitmap: one of 2^k bits, at least WIDEN for each member, is set by a member's last k bits."""
-    width = 1 << max(6, (WIDEN * len(hashes) - 1).bit_length())
+def bitmap(hashes: np.ndarray, widen: int = WIDEN) -> bytes:
+    """A set's bitmap: one of 2^k bits, at least `widen` for each member, is set by a member's last k bits."""
+    width = 1 << max(6, (widen * len(hashes) - 1).bit_length())
     flags = np.zeros(width, dtype=np.uint8)
     flags[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little").tobytes()
@@ -347,9 +349,10 @@ def link_sets(sets: list[frozenset[int]], percent: int = PERCENT) -> list[tuple[
 
 
 def _forest(groups: DataFrame, keys: list[str], percent: int, exact: bool) -> DataFrame:
-    """(a, b): pairs that connect what may link inside each group of `groups` (keys, n, key, root, content).
+    """(a, b): what is connected inside each group of `groups` (keys, n, key, root, content).
 
-    `content` is a bitmap, or with `exact` the whole set; then the pairs do link.
+    `content` is a bitmap, by which sets may link, or with `exact` the whole set. Each connected
+    set comes with the smallest key of its tree: stars, which need few rounds to be joined.
     """
     dealt = groups.select(F.xxhash64(*keys).alias("group"), "n", "key", "root", "content")
     dealt = dealt.repartition("group").sortWithinPartitions("group", "n", "key")
@@ -361,19 +364,19 @@ def _forest(groups: DataFrame, keys: list[str], percent: int, exact: bool) -> Da
         if len(at) < 2:
             return None
         if exact:
-            hashes = [np.frombuffer(c, dtype=np.uint64) for c in contents]
-            sets = [frozenset(h.tolist()) for h in hashes]
+            sets = [np.frombuffer(c, dtype=np.uint64) for c in contents]
 
             def check(i: int, j: int) -> bool:
-                return len(sets[i] & sets[j]) * (100 + percent) >= percent * (sizes[i] + sizes[j])
+                return _common(sets[i], sets[j]) * (100 + percent) >= percent * (sizes[i] + sizes[j])
 
-            pairs = dual_traversal(sizes, [bitmap(h) for h in hashes], percent, root, check)
+            pairs = dual_traversal(sizes, [bitmap(s, EXACT_WIDEN) for s in sets], percent, root, check)
         else:
             pairs = dual_traversal(sizes, contents, percent, root, None)
         if not pairs:
             return None
+        ends = _stars([(names[i], names[j]) for i, j in pairs])
         return pa.RecordBatch.from_arrays(
-            [pa.array([names[i] for i, _ in pairs], pa.int64()), pa.array([names[j] for _, j in pairs], pa.int64())], names=["a", "b"]
+            [pa.array(list(ends.keys()), pa.int64()), pa.array(list(ends.values()), pa.int64())], names=["a", "b"]
         )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,6 +399,31 @@ def _forest(groups: DataFrame, keys: list[str], percent: int, exact: bool) -> Da
     return dealt.mapInArrow(link, "a bigint, b bigint")
 
 
+def _stars(pairs: list[tuple[int, int]]) -> dict[int, int]:
+    """Every name of the pairs but the smallest of its tree, with that."""
+    low: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while low.setdefault(x, x) != x:
+            low[x] = low[low[x]]
+            x = low[x]
+        return x
+
+    for a, b in pairs:
+        one, two = sorted((find(a), find(b)))
+        low[two] = one
+    return {x: find(x) for x in list(low) if find(x) != x}
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many members two sorted sets share."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int(np.count_nonzero(b[at] == a))
+
+
 def _connected(cells: DataFrame, contents: DataFrame, percent: int, exact: bool) -> DataFrame:
     """(key, root): sets connected by the pairs of all cells (token, part, chunk, n, key).
 
