@@ -112,18 +112,19 @@ CACHE = "kind string, cache_key string, text string, cost_usd decimal(10,6)"
 class AnswerStore:
     """Paid answers as a table that only grows, under a folder of the caller's.
 
-    It is partitioned by the first two digits of the key, so a lookup of few keys reads few
-    files. An answer that was stored twice is read once.
+    It is partitioned by the first `digits` hexadecimal digits of the key; the same number must
+    be given each time. An answer that was stored twice is read once.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, digits: int = 1):
         self.spark = spark
+        self.digits = digits
         self.path = path.rstrip("/")
         self._table(spark.createDataFrame([], CACHE)).write.mode("append").partitionBy("prefix").parquet(self.path)
 
-    @staticmethod
-    def _table(rows: DataFrame) -> DataFrame:
-        return rows.select("kind", "cache_key", "text", "cost_usd", F.left("cache_key", F.lit(2)).alias("prefix"))
+    def _table(self, rows: DataFrame) -> DataFrame:
+        prefix = F.left("cache_key", F.lit(self.digits)).alias("prefix")
+        return rows.select("kind", "cache_key", "text", "cost_usd", prefix).repartition("prefix")
 
     def read(self) -> DataFrame:
         stored = self.spark.read.schema(CACHE + ", prefix string").parquet(self.path)

@@ -122,6 +122,8 @@ def stage_worklist(
 
 @dataclass
 class StageRun:
+    """`artifacts` are the stage's own rows only; those of other stages are not touched."""
+
     artifacts: DataFrame
     ledger: DataFrame
     hits: DataFrame
@@ -135,12 +137,12 @@ def run_stage(
     """Run one stage for `words` (word_id, form, type, ...).
 
     Rows that come back with a payload replace the word's artifact and get an ok row in the
-    ledger; rows with an error get a failed row only and leave the run. The function's output
-    is written once, because three results are derived from it.
+    ledger; rows with an error get a failed row only and leave the run. The worklist and the
+    function's output are written once, because several results are derived from each.
     """
     now = F.current_timestamp() if now is None else now
     batch = F.lit(None).cast("string") if batch_id is None else batch_id
-    listed = stage_worklist(expected_fingerprints(words, artifacts, stage), artifacts, stage.name, force=force)
+    listed = cut_lineage(stage_worklist(expected_fingerprints(words, artifacts, stage), artifacts, stage.name, force=force))
     work = words.join(listed.where(~F.col("hit")).drop("hit"), "word_id")
     needed = (*stage.upstream, *stage.soft)
     if needed:
@@ -157,7 +159,6 @@ def run_stage(
     done = cut_lineage(out.unionByName(lost).join(listed.select("word_id", "expected"), "word_id"))
     ok = done.where("error IS NULL")
     fresh = ok.select("word_id", F.lit(stage.name).alias("stage_name"), F.col("expected").alias("fingerprint"), *ARTIFACT[3:])
-    others = artifacts.where(F.col("stage_name") != stage.name)
     kept = artifacts.where(F.col("stage_name") == stage.name).join(ok.select("word_id"), "word_id", "left_anti")
     attempts = done.select(
         batch.alias("batch_id"), "word_id", F.lit(stage.name).alias("stage_name"),
@@ -167,7 +168,7 @@ def run_stage(
     )
     failed = done.where("error IS NOT NULL").select("word_id")
     return StageRun(
-        artifacts=others.select(*ARTIFACT).unionByName(kept.select(*ARTIFACT)).unionByName(fresh),
+        artifacts=kept.select(*ARTIFACT).unionByName(fresh),
         ledger=attempts,
         hits=listed.where("hit").select("word_id"),
         survivors=words.join(failed, "word_id", "left_anti"),
@@ -180,18 +181,29 @@ class ChainRun:
     ledger: DataFrame | None
     report: list[tuple[str, int, int, int]]
     stopped_at: str | None = None
+    dead_letters: DataFrame | None = None
 
 
 def stage_chain(
     stages: Sequence[Stage], words: DataFrame, artifacts: DataFrame, batch_id: str | None = None,
     batches: DataFrame | None = None, force: bool = False, now: Column | None = None,
+    history: DataFrame | None = None, dead_letters: DataFrame | None = None,
 ) -> ChainRun:
     """Run stages in order on the words that survive, checking the budget before each.
 
-    The artifacts are written after every stage, so plans stay short and a restart finds the
-    finished stages. Only counts come to the driver: one row per stage.
+    After a stage its own artifacts are written, and no others, so plans stay short and a
+    restart finds the finished stages. Only counts come to the driver: one row per stage.
+    With `dead_letters`, the result holds them and a new one for each word and stage whose
+    failures in `history` (an earlier ledger) and this run reach the threshold.
     """
     artifacts = artifacts.select(*ARTIFACT)
+
+    def ended(stopped_at: str | None = None) -> ChainRun:
+        letters = None
+        if dead_letters is not None and spent is not None:
+            letters = dead_letters.unionByName(_letters_due(history, spent, dead_letters))
+        return ChainRun(artifacts, spent, report, stopped_at, letters)
+
     spent: DataFrame | None = None
     report = []
     batch = F.lit(batch_id).cast("string")
@@ -203,15 +215,28 @@ def stage_chain(
             if verdict == "unknown":
                 raise LookupError(f"unknown batch {batch_id!r}")
             if verdict == "blocked":
-                return ChainRun(artifacts, spent, report, stage.name)
+                return ended(stage.name)
         run = run_stage(stage, words, artifacts, batch, force, now)
-        artifacts = cut_lineage(run.artifacts)
+        others = artifacts.where(F.col("stage_name") != stage.name)
+        artifacts = others.unionByName(cut_lineage(run.artifacts))
         spent = run.ledger if spent is None else spent.unionByName(run.ledger)
         counts = run.ledger.agg(F.count_if(F.col("status") == "ok"), F.count_if(F.col("status") == "failed")).collect()[0]
         report.append((stage.name, counts[0], counts[1], run.hits.count()))
         if counts[1]:
             words = cut_lineage(run.survivors)
-    return ChainRun(artifacts, spent, report)
+    return ended()
+
+
+def _letters_due(history: DataFrame | None, run: DataFrame, dead_letters: DataFrame) -> DataFrame:
+    """Dead letters that a run adds; a resolved letter starts the count of its word and stage anew."""
+    columns = ["word_id", "stage_name", "status", "error", "started_at", "id"]
+    attempts = run.withColumn("id", F.monotonically_increasing_id()).select(*columns)
+    if history is not None:
+        kind = history.schema["started_at"].dataType
+        attempts = history.select(*columns).unionByName(attempts.withColumn("started_at", F.col("started_at").cast(kind)))
+    attempts = cut_lineage(attempts.where("status = 'failed'"))
+    due = G.third_failure(attempts, dead_letters.select("word_id", "stage_name", "resolved_at"))
+    return G.dead_letter_record(dead_letters, due).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in dead_letters.schema])
 
 
 # --- quality ----------------------------------------------------------------
@@ -407,7 +432,11 @@ def build_domain_rows(words: DataFrame, artifacts: DataFrame) -> dict[str, DataF
 
     `refused` lists words with a missing artifact or a failed quality gate, and why.
     """
-    wide = words.join(upstream_wide(artifacts, EXPORT_UPSTREAM, {"payload": "up_", "source": "src_"}), "word_id", "left")
+    return domain_rows_of(words.join(upstream_wide(artifacts, EXPORT_UPSTREAM, {"payload": "up_", "source": "src_"}), "word_id", "left"))
+
+
+def domain_rows_of(wide: DataFrame) -> dict[str, DataFrame]:
+    """The same from words that carry their payloads as up_<stage> and sources as src_<stage>."""
     parsed = wide.withColumns({f"v_{s}": F.try_parse_json(f"up_{s}") for s in EXPORT_UPSTREAM})
     passed = F.coalesce(F.try_variant_get("v_quality_gate", "$.passed", "boolean"), F.lit(False))
     absent = first_absent(EXPORT_UPSTREAM, "missing upstream artifact ")

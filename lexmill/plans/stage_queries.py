@@ -3,12 +3,14 @@
 from pyspark.sql import functions as F
 
 from lexmill.functions.hashing import to_json
+from lexmill.operators import export as X
 from lexmill.operators import inference as I
 from lexmill.operators import stages as S
 from lexmill.plans import dictionary_stages as DS
 from lexmill.plans.nested_queries import dictionary
 from lexmill.plans.registry import query
 from lexmill.plans.standins import VIEW_SQL
+from lexmill.session import fresh_path
 
 
 def _digest_calls(t):
@@ -332,26 +334,186 @@ def run_stage(t):
     words = t.read("documents").select(F.col("doc_id").alias("word_id"))
     artifacts = t.pipe_artifacts.withColumn("model", F.lit(None).cast("string")).withColumn("prompt_version", F.lit(None).cast("string"))
     run = S.run_stage(_count_stage(), words, artifacts.where("stage_name <> 'paraphrase'"), F.lit("b1"))
-    made = run.artifacts.where("stage_name = 'paraphrase'").select("word_id", "payload")
+    made = run.artifacts.select("word_id", "payload")
     return run.ledger.join(made, "word_id", "left").select("word_id", "status", "error", "cost_usd", "payload")
 
 
-def run_dictionary(t):
-    """All eight stages over every document; the caches start empty."""
+def run_dictionary(t, tables=None):
+    """All eight stages over every document, twice, the second time with force; answers are kept in between."""
     raw = dictionary(t).select(F.col("doc_id").alias("word_id"), F.to_json("doc").alias("raw")).where("word_id % 17 <> 16")
     one = F.struct(F.lit("n").alias("pos"), F.concat(F.lit("g"), "doc_id").alias("cn"), F.lit(None).cast("string").alias("en"))
     glossary = t.read("labels").where("quality = 1").select(F.col("doc_id").alias("word_id"), F.array(one).alias("meanings"))
-    cache = t.spark.createDataFrame([], DS.EMPTY_CACHE)
-    stages = DS.dictionary_stages(raw, glossary, cache, DS.stub_model)
+    store = I.AnswerStore(t.spark, fresh_path(t.spark, "answers"))
     words = t.pipe_words.select(F.col("id").alias("word_id"), F.col("normalized_form").alias("form"), "type")
-    return S.stage_chain(stages, words, t.spark.createDataFrame([], DS.EMPTY_ARTIFACTS))
+    export = None if tables is None else X.Exporter(tables)
+    stages = DS.dictionary_stages(raw, glossary, store, DS.stub_model, parallel=8, export=export)
+    run = S.stage_chain(stages, words, t.spark.createDataFrame([], DS.EMPTY_ARTIFACTS))
+    return run, export, lambda: S.stage_chain(DS.dictionary_stages(raw, glossary, store, DS.stub_model, parallel=8), words, run.artifacts, force=True)
 
 
-@query(
-    "stage_chain",
-    """WITH s AS (SELECT unnest(['fetch_dict', 'paraphrase', 'phonetic', 'derivatives', 'examples', 'mnemonic', 'quality_gate', 'export']) AS stage_name)
+CHAIN_SQL = """WITH s AS (SELECT unnest(['fetch_dict', 'paraphrase', 'phonetic', 'derivatives', 'examples', 'mnemonic', 'quality_gate', 'export']) AS stage_name)
     SELECT stage_name, 'ok' AS status, (SELECT count(*) FROM documents WHERE doc_id % 17 <> 16) AS n FROM s
-    UNION ALL SELECT 'fetch_dict', 'failed', count(*) FROM documents WHERE doc_id % 17 = 16""",
-)
+    UNION ALL SELECT 'fetch_dict', 'failed', count(*) FROM documents WHERE doc_id % 17 = 16"""
+
+
+@query("stage_chain", CHAIN_SQL)
 def stage_chain(t):
-    return run_dictionary(t).ledger.groupBy("stage_name", "status").agg(F.count("*").alias("n"))
+    return run_dictionary(t)[0].ledger.groupBy("stage_name", "status").agg(F.count("*").alias("n"))
+
+
+@query(
+    "stage_chain_again",
+    """SELECT unnest(['fetch_dict', 'paraphrase', 'phonetic', 'derivatives', 'examples', 'mnemonic', 'quality_gate', 'export']) AS stage_name,
+       CAST(0 AS BIGINT) AS tokens""",
+)
+def stage_chain_again(t):
+    """A forced second run does all the work again and pays for no answer."""
+    again = run_dictionary(t)[2]()
+    tokens = F.coalesce("tokens_input", F.lit(0)) + F.coalesce("tokens_output", F.lit(0))
+    return again.ledger.groupBy("stage_name").agg(F.sum(tokens).alias("tokens"))
+
+
+# --- export -----------------------------------------------------------------
+
+VIEW_SQL["old_words"] = """
+    SELECT doc_id + 1 AS word_id, lang || ' ' || doc_id AS form, CAST(2 AS SMALLINT) AS type, 'old' AS phonetic_us, 'old' AS plural,
+           CASE WHEN doc_id % 5 = 0 THEN 'human:web' ELSE 'pipeline:old' END AS source, CAST(doc_id % 2 AS SMALLINT) AS status, doc_id
+    FROM documents WHERE doc_id % 3 = 0"""
+VIEW_SQL["old_meanings"] = """
+    SELECT doc_id AS meaning_id, word_id, 'old ' || doc_id AS cn_paraphrase, CASE WHEN doc_id % 21 = 0 THEN 'import:x' ELSE source END AS source, doc_id FROM old_words"""
+VIEW_SQL["export_rows"] = """
+    SELECT g.doc_id, o.word_id AS old_id, CASE WHEN o.word_id IS NULL THEN 'A' WHEN starts_with(o.source, 'pipeline:') THEN 'B' ELSE 'C' END AS kind,
+           o.word_id IS NOT NULL AND g.doc_id % 21 = 0 AS refused,
+           coalesce(o.word_id, (SELECT max(word_id) FROM old_words) + row_number() OVER (PARTITION BY o.word_id IS NULL ORDER BY g.doc_id)) AS app_word_id
+    FROM good_words g LEFT JOIN old_words o USING (doc_id)"""
+
+
+def _old_tables(t):
+    docs = t.read("documents")
+    key = F.col("doc_id")
+    old = docs.where(key % 3 == 0).select(
+        (key + 1).alias("word_id"), F.concat("lang", F.lit(" "), key).alias("form"), F.lit(2).cast("smallint").alias("type"),
+        F.lit("old").alias("phonetic_us"), F.lit(None).cast("string").alias("phonetic_uk"), F.lit(None).cast("string").alias("audio_us"),
+        F.lit(None).cast("string").alias("audio_uk"), F.lit("old").alias("plural"), F.lit("none").alias("quality_flag"),
+        F.when(key % 5 == 0, "human:web").otherwise("pipeline:old").alias("source"), (key % 2).cast("smallint").alias("status"), "doc_id",
+    )
+    text = "string"
+    meanings = old.select(
+        F.col("doc_id").alias("meaning_id"), "word_id", F.lit(1).cast("smallint").alias("pos"), F.lit(None).cast("smallint").alias("pos_sub"),
+        F.concat(F.lit("old "), "doc_id").alias("cn_paraphrase"), F.lit(None).cast(text).alias("en_paraphrase"),
+        F.lit(None).cast("array<string>").alias("synonyms"), F.when(key % 21 == 0, "import:x").otherwise(F.col("source")).alias("source"),
+    )
+    sentences = meanings.select(
+        F.col("meaning_id").alias("sentence_id"), "meaning_id", F.lit("old").alias("form"), F.lit("old").alias("translation"), "source"
+    )
+    mnemonics = old.select(
+        F.col("doc_id").alias("mnemonic_id"), "word_id", F.lit(1).cast("smallint").alias("type"), F.lit("phonetic").alias("kind"), F.lit("old").alias("text"), "source"
+    )
+    phrases = old.limit(0).select(F.col("doc_id").alias("phrase_id"), F.col("word_id").alias("owner_word_id"), "form", F.lit("").alias("meaning"), "source")
+    return {"words": old.drop("doc_id"), "meanings": meanings, "sentences": sentences, "mnemonics": mnemonics, "phrases": phrases}
+
+
+def _exported(t):
+    tables = _old_tables(t)
+    return tables, X.export_words(_domain_rows(t), tables)
+
+
+@query("export_run_payloads", 'SELECT doc_id AS word_id, app_word_id, kind AS "case" FROM export_rows WHERE NOT refused')
+def export_run_payloads(t):
+    return _exported(t)[1]["payloads"]
+
+
+@query(
+    "export_run_words",
+    """SELECT o.word_id, o.form, CASE WHEN e.kind = 'B' AND NOT refused THEN g.lang ELSE phonetic_us END AS phonetic_us,
+              CASE WHEN e.kind = 'B' AND NOT refused THEN 'p' || o.doc_id ELSE plural END AS plural,
+              CASE WHEN e.kind = 'B' AND NOT refused THEN 'pipeline:stub:paraphrase' ELSE o.source END AS source, status
+       FROM old_words o LEFT JOIN export_rows e USING (doc_id) LEFT JOIN good_words g USING (doc_id)
+       UNION ALL SELECT app_word_id, g.lang || ' ' || doc_id, g.lang, 'p' || doc_id, 'pipeline:stub:paraphrase', CAST(1 AS SMALLINT)
+       FROM export_rows JOIN good_words g USING (doc_id) WHERE kind = 'A'""",
+)
+def export_run_words(t):
+    return _exported(t)[1]["words"].select("word_id", "form", "phonetic_us", "plural", "source", "status")
+
+
+VIEW_SQL["new_meanings"] = """
+    SELECT (SELECT max(meaning_id) FROM old_meanings) + row_number() OVER (ORDER BY app_word_id, i) AS meaning_id, app_word_id AS word_id, i, doc_id
+    FROM (SELECT *, unnest([0, 1]) AS i FROM export_rows WHERE kind IN ('A', 'B') AND NOT refused)"""
+VIEW_SQL["kept_meanings"] = """
+    SELECT * FROM old_meanings WHERE word_id NOT IN (SELECT app_word_id FROM export_rows WHERE kind = 'B' AND NOT refused) OR NOT starts_with(source, 'pipeline:')"""
+
+
+@query(
+    "export_run_meanings",
+    """SELECT meaning_id, word_id, cn_paraphrase, source FROM kept_meanings
+       UNION ALL SELECT meaning_id, word_id, '义' || doc_id, 'pipeline:stub:paraphrase' FROM new_meanings""",
+)
+def export_run_meanings(t):
+    return _exported(t)[1]["meanings"].select("meaning_id", "word_id", "cn_paraphrase", "source")
+
+
+@query(
+    "export_run_sentences",
+    """SELECT meaning_id AS sentence_id, meaning_id, 'old' AS form FROM kept_meanings
+       UNION ALL SELECT (SELECT max(meaning_id) FROM old_meanings) + row_number() OVER (ORDER BY meaning_id), meaning_id, 'e' || doc_id
+       FROM new_meanings WHERE i = doc_id % 2 AND doc_id % 8 <> 0""",
+)
+def export_run_sentences(t):
+    return _exported(t)[1]["sentences"].select("sentence_id", "meaning_id", "form")
+
+
+@query(
+    "export_run_mnemonics",
+    """WITH w AS (SELECT * FROM export_rows WHERE kind IN ('A', 'B') AND NOT refused)
+    SELECT doc_id AS mnemonic_id, word_id, 'old' AS text FROM old_words
+    WHERE word_id NOT IN (SELECT app_word_id FROM w WHERE kind = 'B') OR NOT starts_with(source, 'pipeline:')
+    UNION ALL SELECT (SELECT max(doc_id) FROM old_words) + row_number() OVER (ORDER BY app_word_id), app_word_id, 'm' || doc_id FROM w""",
+)
+def export_run_mnemonics(t):
+    return _exported(t)[1]["mnemonics"].select("mnemonic_id", "word_id", "text")
+
+
+@query(
+    "export_run_refused",
+    f"""WITH {GATE_SQL}
+    SELECT doc_id AS word_id, 'child of another origin: import:x' AS reason FROM export_rows WHERE refused
+    UNION ALL SELECT doc_id, CASE WHEN doc_id % 13 = 12 THEN 'missing upstream artifact phonetic' ELSE 'quality gate did not pass' END
+    FROM r WHERE len(failed) > 0 OR doc_id % 13 = 12""",
+)
+def export_run_refused(t):
+    return _exported(t)[1]["refused"]
+
+
+@query(
+    "serving_refresh",
+    """SELECT word_id, 'old ' || (word_id - 1) AS first_cn, 1 AS meanings, 'old' AS hook FROM old_words
+       WHERE status = 1 AND word_id NOT IN (SELECT app_word_id FROM export_rows WHERE kind = 'B' AND NOT refused)
+       UNION ALL SELECT app_word_id, '义' || doc_id, 2, 'm' || doc_id FROM export_rows WHERE NOT refused AND (kind = 'A' OR kind = 'B' AND doc_id % 2 = 1)""",
+)
+def serving_refresh(t):
+    """Serving rows of all old words, brought up to date for the words that an export wrote."""
+    tables, done = _exported(t)
+    packages = t.dom_packages.limit(0)
+    before = X.serving_refresh(tables["words"], tables, packages)["upsert"]
+    after = X.serving_refresh(done["affected"], {k: done[k] for k in tables}, packages)
+    served = X.apply_refresh(before, after)
+    return served.select(
+        "word_id", F.get_json_object("payload", "$.meanings[0].cn").alias("first_cn"),
+        F.size(F.from_json(F.get_json_object("payload", "$.meanings"), "array<string>")).alias("meanings"),
+        F.get_json_object("payload", "$.mnemonic.content.text").alias("hook"),
+    )
+
+
+@query(
+    "stage_chain_payloads",
+    """WITH d AS (SELECT doc_id, o.word_id AS old_id, o.source FROM documents LEFT JOIN old_words o USING (doc_id) WHERE doc_id % 17 <> 16),
+    c AS (SELECT *, CASE WHEN old_id IS NULL THEN 'A' WHEN starts_with(source, 'pipeline:') THEN 'B' ELSE 'C' END AS kind,
+          coalesce(old_id, (SELECT max(word_id) FROM old_words) + row_number() OVER (PARTITION BY old_id IS NULL ORDER BY doc_id)) AS app_word_id FROM d)
+    SELECT doc_id AS word_id, CASE WHEN old_id IS NOT NULL AND doc_id % 21 = 0 THEN 'failed' ELSE 'ok' END AS status,
+           CASE WHEN old_id IS NULL OR doc_id % 21 > 0 THEN '{"app_word_id":' || app_word_id || ',"case":"' || kind || '"}' END AS payload FROM c""",
+)
+def stage_chain_payloads(t):
+    """All eight stages, ending in the real export into existing tables."""
+    run, _, _ = run_dictionary(t, _old_tables(t))
+    made = run.artifacts.where("stage_name = 'export'").select("word_id", "payload")
+    return run.ledger.where("stage_name = 'export'").join(made, "word_id", "left").select("word_id", "status", "payload")
