@@ -22,12 +22,14 @@ SKETCH = 1 << 18
 SKETCH_BLOCKS = 16
 # Sets of one cell that a task looks at together; a larger cell is cut into chunks of as many.
 # A set counts once more for every SET_WEIGHT shingles in it.
-CHUNK = 2_048
+CHUNK = 4_096
 SET_WEIGHT = 512
 # Bits of a set's bitmap for each of its shingles, at least: where only bitmaps travel, and
 # where whole sets are at hand.
 WIDEN = 3
 EXACT_WIDEN = 16
+# A first, small bitmap covers one in 2^THIN shingles.
+THIN = 3
 # Bits of a filter for each wanted document, and at most.
 FILTER_BITS = 16
 MAX_FILTER_BITS = 1 << 27
@@ -62,20 +64,25 @@ def bitmap(hashes: np.ndarray, widen: int = WIDEN) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
+def thin_bitmap(hashes: np.ndarray) -> bytes:
+    """The bitmap of those members whose first THIN bits are 0: it bounds overlaps too, if less closely."""
+    return bitmap(hashes[hashes >> np.uint64(64 - THIN) == 0])
+
+
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """A row (doc_id, n, key, bits) for each document, and the task's share of the sketch in further rows."""
+    """A row (doc_id, n, key, bits, thin) for each document, and the task's share of the sketch in further rows."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, dtype=np.int64)
-        names = ["doc_id", "n", "key", "bits", "block", "counts"]
+        names = ["doc_id", "n", "key", "bits", "thin", "block", "counts"]
         id_type = None
         for batch in batches:
             id_type = batch.column(0).type
             for part in slices(batch):
                 _, hashes, size, key = shingle_sets(part, width)
                 ends = np.concatenate([[0], np.cumsum(size)]).tolist()
-                bits = [bitmap(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                sets = [hashes[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 sketch += np.bincount((hashes & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
                 empty = size == 0
                 yield pa.RecordBatch.from_arrays(
@@ -83,7 +90,8 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
                         part.column(0),
                         pa.array(size),
                         pa.array(key.view(np.int64), pa.int64(), mask=empty),
-                        pa.array(bits, pa.binary()),
+                        pa.array([bitmap(s) for s in sets], pa.binary()),
+                        pa.array([thin_bitmap(s) for s in sets], pa.binary()),
                         pa.nulls(part.num_rows, pa.int32()),
                         pa.nulls(part.num_rows, pa.binary()),
                     ],
@@ -97,13 +105,14 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
                     pa.array([0] * SKETCH_BLOCKS, pa.int64()),
                     pa.nulls(SKETCH_BLOCKS, pa.int64()),
                     pa.nulls(SKETCH_BLOCKS, pa.binary()),
+                    pa.nulls(SKETCH_BLOCKS, pa.binary()),
                     pa.array(range(SKETCH_BLOCKS), pa.int32()),
                     pa.array([b.astype(np.uint32).tobytes() for b in blocks], pa.binary()),
                 ],
                 names=names,
             )
 
-    return docs.mapInArrow(profile, f"doc_id {kind}, n bigint, key bigint, bits binary, block int, counts binary")
+    return docs.mapInArrow(profile, f"doc_id {kind}, n bigint, key bigint, bits binary, thin binary, block int, counts binary")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -399,6 +408,58 @@ def _forest(groups: DataFrame, keys: list[str], percent: int, exact: bool) -> Da
     return dealt.mapInArrow(link, "a bigint, b bigint")
 
 
+def _split_cells(cells: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
+    """`cells` without the sets that can link to no other of their cell, and cut where no set can.
+
+    The small bitmaps tell. Cells of several chunks stay as they are.
+    """
+    sizes = cells.groupBy("token").agg(F.max("chunk").alias("_chunks"), F.min("part").alias("_from"), F.max("part").alias("_to"))
+    sized = cells.join(sizes, "token")
+    large = sized.where("_chunks > 0 OR _from < _to").select(*cells.columns)
+    small = sized.where("_chunks = 0 AND _from = _to").select("token", "n", "key").join(shapes.select("key", "thin").hint("merge"), "key")
+    dealt = small.select("token", "n", "key", "thin").repartition("token").sortWithinPartitions("token", "n", "key")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def trees(token: int, members: dict[int, tuple]) -> list[tuple]:
+            names = list(members)
+            sizes, bitmaps = [members[k][0] for k in names], [members[k][1] for k in names]
+            pairs = dual_traversal(sizes, bitmaps, percent, list(range(len(names))), None)
+            ends = _stars([(names[i], names[j]) for i, j in pairs])
+            ends |= {r: r for r in set(ends.values())}
+            return [(token, root, members[k][0], k) for k, root in ends.items()]
+
+        current, members, out = None, {}, []
+        for batch in batches:
+            for token, n, key, thin in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if token != current:
+                    out += trees(current, members) if len(members) > 1 else []
+                    current, members = token, {}
+                members[key] = (n, thin)
+            if out:
+                yield rows(out)
+                out = []
+        out += trees(current, members) if len(members) > 1 else []
+        if out:
+            yield rows(out)
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["token", "root", "n", "key"])
+
+    fine = dealt.mapInArrow(split, "token bigint, root bigint, n bigint, key bigint").select(
+        F.xxhash64("token", "root").alias("token"), F.lit(0).alias("part"), F.lit(0).alias("chunk"), "n", "key"
+    )
+    return large.unionByName(fine)
+
+
+def _distinct_cells(cells: DataFrame) -> DataFrame:
+    """One cell of those that hold the same sets; cells of one set hold no link."""
+    kinds = cells.groupBy("token").agg(
+        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("key")).alias("mark"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("mark2")
+    )
+    chosen = kinds.where("m > 1").groupBy("m", "mark", "mark2").agg(F.min("token").alias("token"))
+    return cut_lineage(cells.join(chosen.select("token"), "token", "left_semi"))
+
+
 def _stars(pairs: list[tuple[int, int]]) -> dict[int, int]:
     """Every name of the pairs but the smallest of its tree, with that."""
     low: dict[int, int] = {}
@@ -486,14 +547,34 @@ class KeyFilter:
         return wanted
 
 
+def _one_document_each(keys: DataFrame, profiles: DataFrame) -> KeyFilter:
+    """The filter of one document for each set of `keys`."""
+    chosen = profiles.select("key", "doc_id").join(keys, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    return KeyFilter(chosen, "doc_id")
+
+
+def _shapes_of(keys: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(key, n, bits, thin) of the sets of `keys`, and of a few others, without shuffling any."""
+    named = _one_document_each(keys, profiles)
+    shared, probe = named.shared, KeyFilter.probe
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = batch.filter(pa.array(probe(shared.value, batch)))
+            if kept.num_rows:
+                yield kept.select(["key", "n", "bits", "thin"])
+
+    rows = profiles.where("key IS NOT NULL").select("key", "n", "bits", "thin", *named.columns("doc_id"))
+    return cut_lineage(rows.mapInArrow(pick, "key bigint, n bigint, bits binary, thin binary"))
+
+
 def _sets_of(keys: DataFrame, docs: DataFrame, profiles: DataFrame, width: int) -> DataFrame:
-    """(key, tokens): the shingle sets named by `keys`, each from one document's text.
+    """(key, content): the shingle sets named by `keys`, each from one document's text.
 
     The documents are picked by a filter of bounded size, which is broadcast, so that the texts
     need not be shuffled; a few more than asked for pass it.
     """
-    chosen = profiles.join(keys, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    named = KeyFilter(chosen, "doc_id")
+    named = _one_document_each(keys, profiles)
     shared, probe = named.shared, KeyFilter.probe
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -504,10 +585,9 @@ def _sets_of(keys: DataFrame, docs: DataFrame, profiles: DataFrame, width: int)
                     _, hashes, size, key = shingle_sets(part, width)
                     ends = np.concatenate([[0], np.cumsum(size)]).tolist()
                     tokens = [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                    yield pa.RecordBatch.from_arrays([_signed(key), pa.array(tokens, pa.binary())], names=["key", "tokens"])
+                    yield pa.RecordBatch.from_arrays([_signed(key), pa.array(tokens, pa.binary())], names=["key", "content"])
 
-    made = docs.select("doc_id", "text", *named.columns("doc_id")).mapInArrow(sets, "key bigint, tokens binary")
-    return made.join(keys, "key", "left_semi")
+    return docs.select("doc_id", "text", *named.columns("doc_id")).mapInArrow(sets, "key bigint, content binary")
 
 
 def jaccard_components(
@@ -530,24 +610,20 @@ def jaccard_components(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     profiles = cut_lineage(_profiles(rows, width))
     sketch = _sketch(profiles)
-    profiles = profiles.where("block IS NULL").select("doc_id", "n", "key", "bits")
+    profiles = profiles.where("block IS NULL").select("doc_id", "n", "key", "bits", "thin")
     cells = cut_lineage(_cells(_prefixes(rows, sketch, width, percent), partitions, chunk, percent))
 
-    # Cells whose sets are the same need one look.
-    kinds = cells.groupBy("token").agg(
-        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("key")).alias("mark"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("mark2")
-    )
-    chosen = kinds.where("m > 1").groupBy("m", "mark", "mark2").agg(F.min("token").alias("token"))
-    cells = cut_lineage(cells.join(chosen.select("token"), "token", "left_semi"))
-    shapes = profiles.where("key IS NOT NULL").join(cells.select("key").distinct(), "key", "left_semi")
-    shapes = cut_lineage(shapes.groupBy("key").agg(F.first("n").alias("n"), F.first("bits").alias("content")))
+    # Cells whose sets are the same need one look, before and after they are cut.
+    cells = _distinct_cells(cells)
+    shapes = _shapes_of(cells.select("key").distinct(), profiles)
+    cells = _distinct_cells(cut_lineage(_split_cells(cells, shapes, percent)))
 
     # What the bitmaps allow to be connected holds all links; there the whole sets are compared.
-    maybe = _connected(cells, shapes.drop("n"), percent, exact=False)
+    maybe = _connected(cells, shapes.select("key", F.col("bits").alias("content")), percent, exact=False)
     tied = maybe.select(F.col("root").alias("token"), "key").unionByName(maybe.select(F.col("root").alias("token"), F.col("root").alias("key")))
-    tied = shapes.select("key", "n").join(tied.distinct(), "key").select("token", "n", "key")
+    tied = shapes.select("key", "n").distinct().join(tied.distinct(), "key").select("token", "n", "key")
     tied = cut_lineage(_cells(tied, partitions, chunk, percent))
-    sets = _sets_of(cut_lineage(tied.select("key").distinct()), rows, profiles, width).withColumnRenamed("tokens", "content")
+    sets = _sets_of(cut_lineage(tied.select("key").distinct()), rows, profiles, width)
     roots = _connected(tied, sets, percent, exact=True)
 
     least = profiles.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
