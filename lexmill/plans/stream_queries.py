@@ -4,24 +4,35 @@ from pyspark.sql import functions as F
 
 from lexmill.plans.ledger_queries import _batches
 from lexmill.plans.registry import query
+from lexmill.session import fresh_path
 from lexmill.streaming import jobs as J
 
 
-def _stream(t, table):
-    schema = t.read(table).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").option("maxFilesPerTrigger", 8).parquet(t.sf_dir)
+FILES = 3
+
+
+def _stream(t, table, order):
+    """The table as a stream of several files in the given order, one per micro-batch."""
+    rows = t.read(table)
+    place = F.unix_micros(F.col(order).cast("timestamp")) if order == "ts" else F.col(order)
+    low, high = rows.agg(F.min(place), F.max(place)).first()
+    number = F.floor((place - F.lit(low)) * FILES / F.lit(high - low + 1))
+    path = fresh_path(t.spark, f"arriving-{table}")
+    for i in range(FILES):
+        rows.where(number == i).coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @query("stream_ingest", "SELECT normalized_form, type, raw_form FROM first_forms")
 def stream_ingest(t):
-    tokens = _stream(t, "documents").select("doc_id", F.posexplode(F.split("text", "[ \t\r\n\f]+")).alias("pos", "raw_form"))
+    tokens = _stream(t, "documents", "doc_id").select("doc_id", F.posexplode(F.split("text", "[ \t\r\n\f]+")).alias("pos", "raw_form"))
     lines = tokens.select("raw_form", (F.col("doc_id") * 1_000_000 + F.col("pos")).alias("line_no"))
     return J.stream_ingest(lines, "line_no").select("normalized_form", "type", "raw_form")
 
 
 @query("stream_dedupe", "SELECT DISTINCT replace(lower(event_type || ' ' || user_id), 'ß', 'ss') AS normalized_form, CAST(2 AS SMALLINT) AS type FROM events")
 def stream_dedupe(t):
-    lines = _stream(t, "events").select("ts", F.concat(F.upper("event_type"), F.lit(" "), "user_id").alias("raw_form"))
+    lines = _stream(t, "events", "ts").select("ts", F.concat(F.upper("event_type"), F.lit(" "), "user_id").alias("raw_form"))
     return J.run_available(J.stream_dedupe(lines, "ts", "60 days").select("normalized_form", "type"), "dedupe")
 
 
@@ -34,7 +45,7 @@ def stream_dedupe(t):
     SELECT word_id, stage_name, id, CAST(attempt AS INTEGER) AS attempt, tm AS created_at FROM k WHERE attempt = 3""",
 )
 def stream_dead_letters(t):
-    events = _stream(t, "events").where("event_type IN ('error', 'signup')")
+    events = _stream(t, "events", "ts").where("event_type IN ('error', 'signup')")
     resolves = F.col("event_type") == "signup"
     attempts = events.select(
         F.col("user_id").alias("word_id"), t.stage_of(F.get_json_object("props", "$.k").cast("int") % 4).alias("stage_name"),
@@ -50,7 +61,7 @@ def stream_dead_letters(t):
     WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(started_at) FROM ledger) - INTERVAL 10 MINUTE GROUP BY minute, stage_name""",
 )
 def stream_progress(t):
-    return J.run_available(J.stream_progress(t.as_ledger(_stream(t, "events"))), "progress")
+    return J.run_available(J.stream_progress(t.as_ledger(_stream(t, "events", "ts"))), "progress")
 
 
 @query(
@@ -62,7 +73,7 @@ def stream_progress(t):
     HAVING max(started_at) + INTERVAL 180 SECOND <= (SELECT max(started_at) FROM ledger) - INTERVAL 10 MINUTE""",
 )
 def stream_stall_alert(t):
-    return J.run_available(J.stream_stall_alert(t.as_ledger(_stream(t, "events")), ["word_id"]), "stalls")
+    return J.run_available(J.stream_stall_alert(t.as_ledger(_stream(t, "events", "ts")), ["word_id"]), "stalls")
 
 
 @query(
@@ -82,4 +93,4 @@ def stalls(t):
     SELECT batch_id, spent, budget_cap_usd, CASE WHEN spent >= budget_cap_usd THEN 'blocked' ELSE 'pass' END AS verdict FROM s LEFT JOIN b USING (batch_id)""",
 )
 def stream_batch_cost(t):
-    return J.stream_batch_cost(t.as_ledger(_stream(t, "events")), _batches(t))
+    return J.stream_batch_cost(t.as_ledger(_stream(t, "events", "ts")), _batches(t))

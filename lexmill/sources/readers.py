@@ -43,17 +43,18 @@ def clean_glossary(entries: Column) -> Column:
 def _glossary_objects(spark: SparkSession, path: str) -> DataFrame:
     """(file, at, value, entries): the JSON objects of glossary files; entries is NULL where one is corrupt.
 
-    A file is one object, however it is laid out, or one object per line.
+    A file is one object, however it is laid out, or one object per line: the latter if its
+    first line is an object by itself.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-    whole = F.try_parse_json("value").isNotNull()
-    pieces = files.select("file", F.posexplode(F.when(whole, F.array("value")).otherwise(F.split("value", "\n"))).alias("at", "value"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    lined = F.try_parse_json(F.get(F.split(F.ltrim("value"), "\n", 2), F.lit(0))).isNotNull()
+    pieces = files.select("file", F.posexplode(F.when(lined, F.split("value", "\n")).otherwise(F.array("value"))).alias("at", "value"))
     entries = F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", f"map<string,{GLOSSARY_ENTRIES}>"))
     return pieces.where(F.trim("value") != "").withColumn("entries", entries)
 
 
 def glossary_errors(spark: SparkSession, path: str) -> DataFrame:
-    """(file, at, value): lines of glossary files that are no JSON object, from 0; of a broken one-object file, all its lines."""
+    """(file, at, value): what is no JSON object in glossary files: lines, counted from 0, or a whole file."""
     return _glossary_objects(spark, path).where("entries IS NULL").drop("entries")
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lexmill.functions import text as T
-from lexmill.operators import tables as O
 from lexmill.operators.ledger import DEAD_AFTER
 from lexmill.session import fresh_path
 
@@ -23,55 +22,71 @@ def event_time(stream: DataFrame, at: str) -> DataFrame:
     return stream.withColumn(at, F.col(at).cast("timestamp"))
 
 
-def run_available(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Process what has arrived, write it to a Parquet table and read that back.
+AVAILABLE = {"availableNow": True}
 
-    Output and checkpoint lie in the shared folder, so a restart continues where it stopped.
+
+def _root(stream: DataFrame, label: str, root: str | None) -> str:
+    return fresh_path(stream.sparkSession, label) if root is None else root.rstrip("/")
+
+
+def run_available(stream: DataFrame, label: str, mode: str = "append", root: str | None = None, trigger: dict | None = None) -> DataFrame:
+    """Run a stream into the Parquet table `<root>/out` and read that; its checkpoint is `<root>/state`.
+
+    Started again with the same root it goes on after the last batch that was finished; without
+    one it starts anew in a folder of its own. By default it ends when it has seen what has
+    arrived; with another trigger it runs until it is stopped.
     """
-    spark = stream.sparkSession
-    out, state = fresh_path(spark, label), fresh_path(spark, f"{label}-state")
+    root = _root(stream, label, root)
     job = (
-        stream.writeStream.format("parquet").outputMode(mode).option("path", out)
-        .option("checkpointLocation", state).trigger(availableNow=True).start()
+        stream.writeStream.format("parquet").outputMode(mode).option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/state").trigger(**(trigger or AVAILABLE)).start()
     )
     job.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out")
 
 
-def run_batches(stream: DataFrame, label: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Process what has arrived through a batch function."""
+def run_batches(
+    stream: DataFrame, root: str, sink: Callable[[DataFrame, int], None], mode: str = "append", trigger: dict | None = None
+) -> None:
+    """Run a stream through a batch function; `<root>/state` is its checkpoint."""
     job = (
         stream.writeStream.outputMode(mode).foreachBatch(sink)
-        .option("checkpointLocation", fresh_path(stream.sparkSession, f"{label}-state")).trigger(availableNow=True).start()
+        .option("checkpointLocation", f"{root}/state").trigger(**(trigger or AVAILABLE)).start()
     )
     job.awaitTermination()
 
 
+def _epochs(root: str) -> Callable[[DataFrame, int], None]:
+    """A sink that writes every batch to a directory of its own, so that a repeated one replaces itself."""
+    def add(batch: DataFrame, epoch: int) -> None:
+        rows = batch.withColumn("epoch", F.lit(epoch).cast("bigint"))
+        rows.write.mode("overwrite").parquet(f"{root}/out/epoch={epoch:09d}")
+
+    return add
+
+
 # --- ingest -----------------------------------------------------------------
 
 INGESTED = "normalized_form string, type smallint, raw_form string, first_seen bigint, epoch bigint"
 
 
-def stream_ingest(lines: DataFrame, order: str, raw: str = "raw_form") -> DataFrame:
+def stream_ingest(lines: DataFrame, order: str, raw: str = "raw_form", root: str | None = None, trigger: dict | None = None) -> DataFrame:
     """(normalized_form, type, raw_form, first_seen): the first spelling of every form that arrives.
 
-    Each micro-batch is reduced to its own first spellings and joined against the forms
-    stored before. Its rows go to a directory of its own, so repeating a batch after a
-    failure replaces them instead of adding to them.
+    The stream's state has one row per form; no batch reads what earlier ones wrote. A batch
+    writes the forms that it touched, and a form is what the first batch that saw it wrote: a
+    later spelling changes nothing. Started again with the same root, it goes on.
     """
     spark = lines.sparkSession
-    out = fresh_path(spark, "ingest")
-
-    def add(batch: DataFrame, epoch: int) -> None:
-        own = batch.sparkSession
-        known = own.read.schema(INGESTED).parquet(f"{out}/epoch=*") if epoch > 0 else own.createDataFrame([], INGESTED)
-        earlier = known.where(F.col("epoch") < epoch).select("normalized_form", "type")
-        fresh = O.first_spelling(batch, [order], raw).join(earlier, ["normalized_form", "type"], "left_anti")
-        rows = fresh.select("normalized_form", "type", "raw_form", "first_seen", F.lit(epoch).cast("bigint").alias("epoch"))
-        rows.write.mode("overwrite").parquet(f"{out}/epoch={epoch:09d}")
-
-    run_batches(lines, "ingest", add)
-    return spark.read.schema(INGESTED).parquet(f"{out}/epoch=*").drop("epoch")
+    root = _root(lines, "ingest", root)
+    formed = T.with_normalized(lines.where(~T.is_blank(F.col(raw))), raw)
+    first = formed.groupBy("normalized_form", "type").agg(F.min(F.struct(F.col(order).alias("seen"), F.col(raw).alias("raw_form"))).alias("_first"))
+    rows = first.select("normalized_form", "type", "_first.raw_form", F.col("_first.seen").alias("first_seen"))
+    run_batches(rows, root, _epochs(root), "update", trigger)
+    written = spark.read.schema(INGESTED).parquet(f"{root}/out/epoch=*")
+    return written.groupBy("normalized_form", "type").agg(F.min_by(F.struct("raw_form", "first_seen"), "epoch").alias("_f")).select(
+        "normalized_form", "type", "_f.*"
+    )
 
 
 def stream_dedupe(lines: DataFrame, at: str, delay: str, raw: str = "raw_form") -> DataFrame:
@@ -150,23 +165,20 @@ def stalls(attempts: DataFrame, at: str = "started_at", gap: int = STALL_SECONDS
 # --- cost -------------------------------------------------------------------
 
 
-def stream_batch_cost(attempts: DataFrame, batches: DataFrame) -> DataFrame:
+def stream_batch_cost(attempts: DataFrame, batches: DataFrame, root: str | None = None, trigger: dict | None = None) -> DataFrame:
     """(batch_id, spent, budget_cap_usd, verdict): the newest total per batch, against its cap.
 
     The stream keeps one sum per batch and emits the sums that changed. Every micro-batch
-    writes its own directory; the largest epoch of a batch is its current total.
+    writes its own directory; the largest epoch of a batch is its current total. Started again
+    with the same root, it goes on.
     """
     spark = attempts.sparkSession
-    out = fresh_path(spark, "cost")
+    root = _root(attempts, "cost", root)
     sums = attempts.where((F.col("status") == "ok") & F.col("batch_id").isNotNull()).groupBy("batch_id").agg(
         F.sum("cost_usd").cast("decimal(12,6)").alias("spent")
     )
-
-    def add(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("epoch", F.lit(epoch).cast("bigint")).write.mode("overwrite").parquet(f"{out}/epoch={epoch:09d}")
-
-    run_batches(sums, "cost", add, "update")
-    emitted = spark.read.schema("batch_id string, spent decimal(12,6), epoch bigint").parquet(f"{out}/epoch=*")
+    run_batches(sums, root, _epochs(root), "update", trigger)
+    emitted = spark.read.schema("batch_id string, spent decimal(12,6), epoch bigint").parquet(f"{root}/out/epoch=*")
     newest = emitted.groupBy("batch_id").agg(F.max_by("spent", "epoch").alias("spent"))
     caps = batches.select(F.col("id").alias("batch_id"), "budget_cap_usd")
     verdict = F.when(F.col("spent") >= F.col("budget_cap_usd"), "blocked").otherwise("pass")

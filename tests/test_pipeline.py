@@ -335,3 +335,64 @@ def test_stream_dead_letters_over_batches(spark, tmp_path):
 def test_repair_is_python_only_for_failures():
     assert N.repair_json("x [1, 2] y") == ("[1, 2]", "extracted")
     assert N.repair_json("none") is None
+
+
+def test_streams_go_on_after_a_stop(spark, tmp_path):
+    """Stopped after one of three files and started again, a stream equals the batch."""
+    src, roots = tmp_path / "in", {k: str(tmp_path / k) for k in ("ingest", "cost")}
+    src.mkdir()
+    spelled = [["Apple,1", "fig,2"], ["APPLE,3", "Pear,4"], ["PEAR,5", "Fig,6", "plum,7"]]
+    batches = spark.createDataFrame([("b", None)], "id string, budget_cap_usd decimal(12,6)")
+
+    def run():
+        lines = spark.readStream.schema("raw_form string, line_no bigint").option("maxFilesPerTrigger", 1).csv(str(src))
+        cost = lines.select(F.lit("ok").alias("status"), F.lit("b").alias("batch_id"), F.col("line_no").cast("decimal(10,6)").alias("cost_usd"))
+        return (
+            rows(J.stream_ingest(lines, "line_no", root=roots["ingest"]), "normalized_form", "raw_form"),
+            rows(J.stream_batch_cost(cost, batches, root=roots["cost"]), "batch_id", "spent"),
+        )
+
+    (src / "0.csv").write_text("\n".join(spelled[0]))
+    assert run() == ([("apple", "Apple"), ("fig", "fig")], [("b", Decimal(3))])
+    for i in (1, 2):
+        (src / f"{i}.csv").write_text("\n".join(spelled[i]))
+    want = [("apple", "Apple"), ("fig", "fig"), ("pear", "Pear"), ("plum", "plum")]
+    assert run() == (want, [("b", Decimal(28))])
+    assert run() == (want, [("b", Decimal(28))])  # nothing new arrived
+
+
+# --- errors stay visible ----------------------------------------------------
+
+
+def test_failed_checks_do_not_make_clean_words(spark):
+    def down(batch):
+        raise RuntimeError("no connection")
+
+    blobs = spark.createDataFrame([(1, "f", "{}")], "word_id bigint, form string, blob string")
+    cache = spark.createDataFrame([], DS.EMPTY_CACHE)
+    checked = R.run_checkers(blobs, cache, down, "gpt-5")
+    assert {r["error"] for r in checked.collect()} == {"no connection"}
+    gathered = R.gather_issues(checked)
+    proposed = R.propose_patches(gathered.join(blobs, "word_id"), cache, down, "gpt-5")
+    outcomes = spark.createDataFrame([], "word_id bigint, status string")
+    records = R.review_records(blobs, gathered, proposed, outcomes)
+    assert "no connection" in records.collect()[0]["error"] and R.reviewed(records).count() == 0
+    asked = gathered.withColumn("issues", F.array(F.lit("{}"))).join(blobs, "word_id")
+    assert R.propose_patches(asked, cache, down, "gpt-5").collect()[0]["fix_error"] == "no connection"
+
+
+def test_a_rerun_records_no_second_dead_letter(spark):
+    words = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "word_id bigint, form string, type int")
+    artifacts = spark.createDataFrame([], DS.EMPTY_ARTIFACTS)
+    letters = spark.createDataFrame([], "id bigint, word_id bigint, stage_name string, error string, attempt int, created_at timestamp, resolved_at timestamp")
+    history = None
+    for attempt in range(1, 6):
+        now = F.lit(f"2024-01-0{attempt}").cast("timestamp")
+        run = S.stage_chain([word_stage("a", (), {2})], words, artifacts, now=now, history=history, dead_letters=letters, force=True)
+        ledger = run.ledger.withColumn("id", F.lit(attempt).cast("bigint"))
+        history = ledger if history is None else history.unionByName(ledger)
+        letters = spark.createDataFrame(run.dead_letters.collect(), letters.schema)
+        assert letters.count() == (1 if attempt >= 3 else 0)
+    resolved = letters.withColumn("resolved_at", F.lit("2024-01-06").cast("timestamp"))
+    quiet = S.stage_chain([word_stage("a", ())], words, artifacts, now=F.lit("2024-01-07").cast("timestamp"), history=history, dead_letters=resolved)
+    assert quiet.dead_letters.count() == 1

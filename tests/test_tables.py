@@ -282,3 +282,110 @@ def test_mirror_overflow_keeps_long_lists(spark, monkeypatch):
     children = spark.range(2500).select(F.lit(1).alias("word_id"), F.col("id").alias("meaning_id"))
     rest = M.mirror_overflow(children, "meanings", "word_id", "meaning_id").orderBy("part_no").collect()
     assert [len(json.loads(r["ids"])) for r in rest] == [1000, 500]
+
+
+# --- cases that once went wrong ---------------------------------------------
+
+
+def test_indented_glossary_and_broken_lines(spark, tmp_path):
+    from lexmill.sources import readers as Rd
+
+    (tmp_path / "one.json").write_text('{\n  "cat": [{"pos": "n", "cn": "(x) 猫", "en": "<b>cat</b>"}],\n  "dog": []\n}')
+    (tmp_path / "lines.json").write_text('{"owl": [{"pos": "n", "cn": "o", "en": null}]}\n{"bad\n')
+    got = {r["word"]: r["meanings"][0]["cn"] for r in Rd.read_glossary(spark, str(tmp_path)).collect()}
+    assert got == {"cat": "猫", "owl": "o"}
+    assert [(r["at"], r["value"]) for r in Rd.glossary_errors(spark, str(tmp_path)).collect()] == [(1, '{"bad')]
+
+
+def test_upsert_takes_one_row_per_key(spark):
+    words = spark.createDataFrame([(1, "a", 1, "pipeline:x", 2)], "word_id bigint, form string, type int, source string, status smallint")
+    new = spark.createDataFrame([("a", 1, "pipeline:b"), ("a", 1, "pipeline:a"), ("n", 1, "pipeline:c"), ("n", 1, "pipeline:d")], "form string, type int, source string")
+    out = {r["form"]: (r["source"], r["action"]) for r in O.guarded_upsert(words, new).collect()}
+    assert out == {"a": ("pipeline:b", "update"), "n": ("pipeline:d", "insert")}
+    assert O.guarded_upsert(words, new).count() == 2
+
+
+def test_rows_without_time_or_source_stay(spark):
+    rows = spark.createDataFrame([(1, "2020-01-01"), (2, None)], "id int, at string").withColumn("created_at", F.col("at").cast("timestamp"))
+    kept, gone = O.prune_older_than(rows, 30, F.lit("2024-01-01").cast("timestamp"))
+    assert [r["id"] for r in kept.collect()] == [2] and gone.collect()[0]["deleted"] == 1
+    child = "word_id bigint, source string"
+    tables = {
+        "meanings": spark.createDataFrame([(7, 1, None), (8, 1, "pipeline:x")], "meaning_id bigint, " + child),
+        "sentences": spark.createDataFrame([(7,), (8,)], "meaning_id bigint"),
+        "mnemonics": spark.createDataFrame([(1, None), (1, "pipeline:x")], child),
+        "phrases": spark.createDataFrame([(1, None)], "owner_word_id bigint, source string"),
+    }
+    left = O.cascade_delete(spark.createDataFrame([(1,)], "word_id bigint"), tables)
+    assert {k: v.count() for k, v in left.items()} == {"meanings": 1, "sentences": 1, "mnemonics": 1, "phrases": 1}
+
+
+def test_edits_refuse_bad_values_of_their_word_only(spark):
+    from lexmill.operators import edits as E
+
+    words = spark.createDataFrame([(1, "a", 1, "none"), (2, "b", 1, "none"), (3, "c", 1, "none")], "word_id bigint, form string, status smallint, quality_flag string")
+    change = "word_id bigint, seq int, field_path string, target_id bigint, op string, old_value string, new_value string, editor_id int"
+    asked = [(1, 0, "words.status", None, "update", None, "abc", 1), (2, 0, "words.status", None, "update", None, "9", 1), (3, 0, "words.status", None, "update", None, "2", 1)]
+    asked += [(3, 1, "words.quality_flag", None, "update", None, "fixed", 1), (2, 1, "words.form", None, "update", None, "z", 1)]
+    out = E.apply_changes_strict({"words": words}, spark.createDataFrame(asked, change))
+    assert {r["word_id"]: (r["form"], r["status"], r["quality_flag"]) for r in out["words"].collect()} == {1: ("a", 1, "none"), 2: ("b", 1, "none"), 3: ("c", 2, "fixed")}
+    assert {(r["word_id"], r["reason"]) for r in out["refused"].collect()} == {(1, "value not allowed"), (2, "value not allowed")}
+
+
+def test_entries_with_a_wrong_index_are_refused_and_highlights_kept(spark):
+    from lexmill.operators import edits as E
+
+    meaning = "array<struct<pos:int,cn_paraphrase:string,en_paraphrase:string>>"
+    sentence = "array<struct<meaning_index:int,form:string,translation:string,highlight:array<string>>>"
+    entry = f"entry_id bigint, form string, type int, phonetic_us string, phonetic_uk string, editor_id int, meanings {meaning}, sentences {sentence}, mnemonics array<struct<type:int,text:string>>, phrases array<struct<form:string,meaning:string>>"
+    one = [(1, "c", "e")]
+    asked = [(1, "good", 1, None, None, 5, one, [(0, "s", "t", ["h"])], [], []), (2, "bad", 1, None, None, 5, one, [(1, "s", "t", [])], [], [])]
+    tables = {n: spark.createDataFrame([], f"{k} bigint, form string, type int") for n, (k, _) in E.EDITABLE.items()}
+    out = E.create_entries(tables, spark.createDataFrame(asked, entry))
+    assert [r["form"] for r in out["words"].collect()] == ["good"]
+    assert [(r["form"], r["highlight"]) for r in out["sentences"].collect()] == [("s", ["h"])]
+    assert [(r["entry_id"], r["reason"]) for r in out["refused"].collect()] == [(2, "meaning_index out of range")]
+
+
+def test_answers_that_are_no_json_have_an_error(spark):
+    from lexmill.functions import nested as Ns
+
+    texts = ['{"a": NaN}', "x [1, 2] y", "[" * 3000 + "1", '{"a": 1}']
+    out = Ns.parse_model_json(spark.createDataFrame([(t,) for t in texts], "t string"), "t").collect()
+    assert [(r["method"], r["error"] is None) for r in out] == [(None, False), ("extracted", True), (None, False), ("plain", True)]
+
+
+def test_package_keeps_all_parts(spark, tmp_path):
+    parts = spark.createDataFrame([(2, 0, "c"), (1, 1, "b"), (1, 0, "a")], "word_id bigint, part_no int, word_json string")
+    W.export_packaged_json(parts, str(tmp_path / "p"))
+    back = spark.read.schema("word_id bigint, part_no int, word_json string").json(str(tmp_path / "p"))
+    assert sorted(map(tuple, back.collect())) == [(1, 0, "a"), (1, 1, "b"), (2, 0, "c")]
+
+
+def test_export_twice_updates_what_it_inserted(spark):
+    from lexmill.operators import export as X
+
+    child = "source string"
+    tables = {
+        "words": spark.createDataFrame([(5, "h", 1, "human:web", 1, "none")], "word_id bigint, form string, type smallint, source string, status smallint, quality_flag string"),
+        "meanings": spark.createDataFrame([], f"meaning_id bigint, word_id bigint, cn_paraphrase string, {child}"),
+        "sentences": spark.createDataFrame([], f"sentence_id bigint, meaning_id bigint, form string, translation string, {child}"),
+        "mnemonics": spark.createDataFrame([], f"mnemonic_id bigint, word_id bigint, text string, {child}"),
+        "phrases": spark.createDataFrame([], f"phrase_id bigint, owner_word_id bigint, form string, {child}"),
+    }
+
+    def made(cn):
+        names = spark.createDataFrame([(1, "n", 1, "pipeline:a"), (2, "n", 1, "pipeline:b"), (3, "h", 1, "pipeline:a")], "word_id bigint, form string, type smallint, source string")
+        meanings = spark.createDataFrame([(w, i, f"{cn}{w}{i}", "pipeline:a") for w in (1, 2, 3) for i in (0, 1)], f"word_id bigint, meaning_index int, cn_paraphrase string, {child}")
+        sentences = spark.createDataFrame([(2, 1, 0, "s", "t", "pipeline:a")], f"word_id bigint, meaning_index int, example_index int, form string, translation string, {child}")
+        mnemonics = spark.createDataFrame([(2, "m", "pipeline:a")], f"word_id bigint, text string, {child}")
+        return {"words": names, "meanings": meanings, "sentences": sentences, "mnemonics": mnemonics, "refused": spark.createDataFrame([], "word_id bigint, reason string")}
+
+    first = X.export_words(made("x"), tables)
+    assert sorted(map(tuple, first["payloads"].collect())) == [(1, 6, "A"), (2, 6, "B"), (3, 5, "C")]
+    again = X.export_words(made("y"), {k: first[k] for k in tables})
+    assert sorted(map(tuple, again["payloads"].collect())) == [(1, 6, "B"), (2, 6, "B"), (3, 5, "C")]
+    assert {r["word_id"]: r["source"] for r in again["words"].collect()} == {5: "human:web", 6: "pipeline:b"}
+    assert sorted((r["word_id"], r["cn_paraphrase"]) for r in again["meanings"].collect()) == [(6, "y20"), (6, "y21")]
+    assert again["sentences"].count() == again["mnemonics"].count() == 1
+    assert [r["word_id"] for r in again["affected"].collect()] == [6]
