@@ -10,6 +10,8 @@ from lexmill.functions import text as T
 from lexmill.functions.hashing import to_json
 from lexmill.operators import cells as C
 from lexmill.operators import inference as I
+from lexmill.operators.documents import review_blob
+from lexmill.operators.export import serving_refresh
 from lexmill.operators.numbering import HOT_FLOOR, join_to_parent, position_in_parent
 from lexmill.session import cut_lineage
 
@@ -74,12 +76,14 @@ def run_checkers(
 ) -> DataFrame:
     """(word_id, checker, issues, error, cost_usd, spent_usd): five calls per word.
 
-    `blobs` is (word_id, blob). Issues are JSON objects tagged with their checker; an answer
+    `blobs` is (word_id, blob), or with part_no for a word in several parts, each of which is
+    checked. Issues are JSON objects tagged with their checker; an answer
     that does not parse, or has no list, counts as no issue. A call that failed has an error
     and says nothing about the word.
     """
-    calls = blobs.select("word_id", "blob", F.explode(F.array(*[F.lit(c) for c in CHECKERS])).alias("checker")).select(
-        F.concat_ws(":", "word_id", "checker").alias("call_id"), "word_id", "checker",
+    part = F.col("part_no") if "part_no" in blobs.columns else F.lit(0)
+    calls = blobs.select("word_id", part.alias("part_no"), "blob", F.explode(F.array(*[F.lit(c) for c in CHECKERS])).alias("checker")).select(
+        F.concat_ws(":", "word_id", "part_no", "checker").alias("call_id"), "word_id", "checker",
         F.lit(f"call:{model}").alias("kind"), F.lit(model).alias("model"), F.lit('{"max_tokens":4000,"temperature":0}').alias("params_json"),
         T.render_prompt(F.lit(CHECK_TEMPLATE), {"checker": F.col("checker"), "blob_json": F.col("blob")}).alias("prompt"),
         F.concat(F.lit('{"checker":"'), "checker", F.lit('","script":"review"}')).alias("input_json"),
@@ -99,16 +103,21 @@ def run_checkers(
 
 
 def gather_issues(checked: DataFrame) -> DataFrame:
-    """(word_id, issues, checker_costs, check_total, check_error): one row per word, five rows in.
+    """(word_id, issues, checker_costs, check_total, check_error): one row per word, five rows in for each of its parts.
 
     Costs are rounded as they are recorded: five places each, four for the total. `check_error`
     names the checkers that failed; a word with one has not been reviewed.
     """
-    cost = F.struct("checker", F.round("cost_usd", 5).cast("decimal(10,5)").alias("cost"))
+    cost = F.round("cost_usd", 5).cast("decimal(10,5)")
     grouped = checked.groupBy("word_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("error").isNotNull(), F.concat_ws(": ", "checker", "error")))).alias("_e"),
         F.array_sort(F.collect_list(F.struct(F.array_position(F.array(*[F.lit(c) for c in CHECKERS]), F.col("checker")).alias("o"), "issues"))).alias("_i"),
-        F.map_from_entries(F.collect_list(cost)).alias("checker_costs"),
+        F.map_from_entries(
+            F.array_compact(F.array(*[
+                F.when(F.count_if(F.col("checker") == c) > 0, F.struct(F.lit(c).alias("checker"), F.sum(F.when(F.col("checker") == c, cost)).cast("decimal(10,5)").alias("cost")))
+                for c in CHECKERS
+            ]))
+        ).alias("checker_costs"),
         F.round(F.sum("cost_usd"), 4).cast("decimal(10,4)").alias("check_total"),
     )
     failed = F.when(F.size("_e") > 0, F.array_join("_e", "; "))
@@ -208,8 +217,12 @@ def apply_patches_skip(
     Returns the next tables and `outcomes` (word_id, seq, op, path, status applied/drift/none).
     """
     parsed = cut_lineage(parse_patch_path(patches).withColumn("change_id", F.concat_ws(":", "word_id", "seq")))
-    m_at = position_in_parent(meanings.select("word_id", "meaning_id", "cn_paraphrase", "en_paraphrase"), ["word_id"], ["meaning_id"], "i", floor)
-    s_at = position_in_parent(sentences, ["meaning_id"], list(sentence_order), "j", floor).select(
+    # Only rows of words with a patch are numbered, and sentences only of meanings in one.
+    patched = parsed.select("word_id").distinct()
+    mine = meanings.select("word_id", "meaning_id", "cn_paraphrase", "en_paraphrase").join(patched, "word_id", "left_semi")
+    m_at = position_in_parent(mine, ["word_id"], ["meaning_id"], "i", floor)
+    below = sentences.join(mine.select("meaning_id"), "meaning_id", "left_semi")
+    s_at = position_in_parent(below, ["meaning_id"], list(sentence_order), "j", floor).select(
         "meaning_id", "j", "sentence_id", "form", "translation"
     )
     first = mnemonics.groupBy("word_id").agg(F.min_by(F.struct("mnemonic_id", "text"), "mnemonic_id").alias("_m"))
@@ -233,7 +246,11 @@ def apply_patches_skip(
     deletes = found.where("op = 'delete'")
     row_end = deletes.groupBy("target", "row_id").agg(F.min("seq").alias("_row_end"))
     top_end = deletes.where("target = 'meaning'").groupBy("meaning_id").agg(F.min("seq").alias("_top_end"))
-    timed = join_to_parent(join_to_parent(found, row_end, ["target", "row_id"], "left", floor), top_end, ["meaning_id"], "left", floor)
+    ended = join_to_parent(found, row_end, ["target", "row_id"], "left", floor)
+    # Patches of mnemonics have no meaning above them; they would all meet under the NULL key.
+    timed = join_to_parent(ended.where("meaning_id IS NOT NULL"), top_end, ["meaning_id"], "left", floor).unionByName(
+        ended.where("meaning_id IS NULL").withColumn("_top_end", F.lit(None).cast(top_end.schema["_top_end"].dataType))
+    )
     late = (F.col("seq") > F.col("_row_end")) | (F.col("seq") > F.col("_top_end"))
     timed = cut_lineage(timed.withColumn("_late", F.coalesce(late, F.lit(False))))
     deleting = timed.where("op = 'delete'").select(
@@ -273,6 +290,40 @@ def review_records(blobs: DataFrame, gathered: DataFrame, proposed: DataFrame, o
     return out.withColumn("issue_count", F.size("issues")).withColumn("error", F.coalesce("check_error", "fix_error")).drop("check_error", "fix_error")
 
 
+def review_words(
+    targets: DataFrame, tables: dict[str, DataFrame], packages: DataFrame, cache: DataFrame | I.AnswerStore, fn: I.ModelFn, model: str,
+    sentence_order: tuple = ("sentence_id",), parallel: int | None = None,
+) -> dict[str, DataFrame]:
+    """Review the target words (a DataFrame with word_id) from documents to refreshed serving rows.
+
+    Words are shown to the checkers, those with issues to the fixer, and the patches it proposes
+    are applied where the values have not drifted. A word with a failed check gets no patch.
+    Returns `records` for the log, the next `meanings`, `sentences` and `mnemonics`, the patch
+    `outcomes`, and the serving rows to `upsert` and `remove` of the words that changed.
+    """
+    ids = targets.select("word_id").distinct()
+    words = tables["words"].join(ids, "word_id", "left_semi")
+    meanings = tables["meanings"].join(ids, "word_id", "left_semi")
+    sentences = tables["sentences"].join(meanings.select("meaning_id"), "meaning_id", "left_semi")
+    mnemonics = tables["mnemonics"].join(ids, "word_id", "left_semi")
+    blobs = cut_lineage(review_blob(words, meanings, sentences, mnemonics, sentence_order))
+    gathered = cut_lineage(gather_issues(run_checkers(blobs, cache, fn, model, parallel)))
+    whole = blobs.where("part_no = 0")
+    proposed = cut_lineage(propose_patches(gathered.where("check_error IS NULL").join(whole, "word_id"), cache, fn, model, parallel))
+    patches = proposed.select("word_id", F.inline("patches"))
+    done = apply_patches_skip(tables["meanings"], tables["sentences"], tables["mnemonics"], patches, sentence_order)
+    outcomes = cut_lineage(done["outcomes"])
+    changed = outcomes.where("status = 'applied'").select("word_id").distinct()
+    following = tables | {name: done[name] for name in ("meanings", "sentences", "mnemonics")}
+    refresh = serving_refresh(changed, following, packages, sentence_order=sentence_order)
+    return {
+        "records": review_records(whole, gathered, proposed, outcomes),
+        "outcomes": outcomes,
+        **{name: done[name] for name in ("meanings", "sentences", "mnemonics")},
+        **refresh,
+    }
+
+
 def reviewed(records: DataFrame) -> DataFrame:
     """The records that count as done: those without an error."""
     return records.where("error IS NULL")

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from lexmill.operators import documents as D
 from lexmill.operators import edits as E
+from lexmill.operators import inference as I
 from lexmill.operators import review as R
 from lexmill.operators.numbering import join_to_parent, position_in_parent
 from lexmill.plans.dictionary_stages import EMPTY_CACHE
 from lexmill.plans.registry import query
 from lexmill.plans.standins import VIEW_SQL
+from lexmill.session import fresh_path
 
 
 def reviewer_stub(calls: pd.DataFrame) -> pd.DataFrame:
@@ -75,6 +77,48 @@ def propose_patches(t):
     return out.select("word_id", F.size("patches").alias("n_patches"), "fix_error")
 
 
+def strict_reviewer(calls: pd.DataFrame) -> pd.DataFrame:
+    """Finds one issue with every entry and mends its first meaning."""
+    patch = {"op": "update", "path": "meanings[0].cn_paraphrase", "new_value": "mended"}
+    fixed = json.dumps({"patches": [patch, {"op": "delete", "path": "meanings[99]"}]})
+    issue = json.dumps({"issues": [{"path": "meanings[0]", "issue": "dull"}]})
+    texts = [fixed if json.loads(given)["checker"] == "fixer" else issue for given in calls["input_json"]]
+    return pd.DataFrame({"text": texts, "tokens_input": 100, "tokens_output": 50})
+
+
+def _review(t):
+    tables = {
+        "words": t.dom_words.drop("c_nationkey"), "meanings": t.dom_meanings, "sentences": t.dom_sentences,
+        "mnemonics": t.dom_mnemonics, "phrases": t.dom_phrases,
+    }
+    targets = t.dom_words.where("status = 1").select("word_id")
+    store = I.AnswerStore(t.spark, fresh_path(t.spark, "answers"))
+    return R.review_words(targets, tables, t.dom_packages, store, strict_reviewer, "gpt-5-mini", t.sentence_order, parallel=8)
+
+
+@query(
+    "review_run_records",
+    """SELECT word_id, form, 5 AS issue_count, CAST(word_id IN (SELECT word_id FROM dom_meanings) AS BIGINT) AS applied,
+              CAST(0 AS BIGINT) AS drift_skipped, CAST(NULL AS VARCHAR) AS error FROM dom_words WHERE status = 1""",
+)
+def review_run_records(t):
+    """Every published word checked, fixed and recorded."""
+    return _review(t)["records"].select("word_id", "form", "issue_count", "applied", "drift_skipped", "error")
+
+
+@query(
+    "review_run_serving",
+    """SELECT word_id, 'mended' AS first_cn, CAST(count(*) AS INTEGER) AS meanings FROM dom_meanings
+       WHERE word_id IN (SELECT word_id FROM dom_words WHERE status = 1) GROUP BY 1""",
+)
+def review_run_serving(t):
+    """The serving rows of the words that the review changed."""
+    return _review(t)["upsert"].select(
+        "word_id", F.get_json_object("payload", "$.meanings[0].cn").alias("first_cn"),
+        F.size(F.from_json(F.get_json_object("payload", "$.meanings"), "array<string>")).alias("meanings"),
+    )
+
+
 @query(
     "review_totals",
     """SELECT count(*) AS done, count(*) FILTER (doc_id % 3 > 0) AS with_issues, count(*) FILTER (doc_id % 4 > 0) AS with_patches,
