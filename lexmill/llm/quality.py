@@ -99,29 +99,31 @@ def term_counts(text: bytes) -> dict[int, float]:
     return found
 
 
-def term_matrix(texts: list[bytes]) -> np.ndarray:
-    """One row of damped, unit-length term weights for each text."""
-    rows = np.zeros((len(texts), TERMS), dtype=np.float32)
-    for i, text in enumerate(texts):
-        counts = term_counts(text)
-        at = np.fromiter(counts, dtype=np.int64, count=len(counts))
-        n = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
+def damped(counts: list[dict[int, float]]) -> np.ndarray:
+    """One row of damped, unit-length term weights for each text's counts."""
+    rows = np.zeros((len(counts), TERMS), dtype=np.float32)
+    for i, found in enumerate(counts):
+        at = np.fromiter(found, dtype=np.int64, count=len(found))
+        n = np.fromiter(found.values(), dtype=np.float64, count=len(found))
         rows[i, at] = np.sqrt(n / max(n.sum(), 1.0))
     return rows
 
 
+def term_matrix(texts: list[bytes]) -> np.ndarray:
+    return damped([term_counts(text) for text in texts])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     size = np.linalg.norm(x, axis=1, keepdims=True)
     return x / np.where(size > 0, size, 1.0)
 
 
-def fit(texts: list[bytes], labels: np.ndarray, dimensions: int = DIMENSIONS, neighbours: int = NEIGHBOURS) -> Model:
-    """Latent vectors of labelled texts by a truncated singular value decomposition."""
+def fit(rows: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS, neighbours: int = NEIGHBOURS) -> Model:
+    """Latent vectors of labelled rows of term weights by a truncated singular value decomposition."""
     prior = float((labels.sum() + 1) / (len(labels) + 2))
-    if not len(texts):
+    if not len(rows):
         nothing = np.zeros((0, 1), dtype=np.float32)
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), nothing, labels.astype(np.float32), 0, prior)
-    rows = term_matrix(texts)
     idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))).astype(np.float32) + 1
     weighed = _unit(rows * idf)
     # The Gram matrix of the terms has a fixed size; its first eigenvectors are the latent axes.
@@ -181,16 +183,28 @@ def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality",
     folds: int = 5, held_out: int = 0, limit: int = MAX_LABELLED, neighbours: int = NEIGHBOURS,
 ) -> Model:
-    """Fit on a bounded sample: at most `limit` labelled rows of each label reach the driver."""
+    """Fit on a bounded sample: the terms of at most `limit` rows of each label reach the driver.
+
+    Texts stay on the executors; a row's terms are fewer than TERMS, however long its text.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [term_counts((t or "").encode()) for t in batch.column(0).to_pylist()]
+            terms = pa.array([list(f) for f in found], pa.list_(pa.int32()))
+            counts = pa.array([list(f.values()) for f in found], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], terms, counts], names=["label", "place", "terms", "counts"])
+
     sample = labelled_sample(docs, labels, label, folds, held_out, limit, id_col, text_col)
-    texts, values = [], []
+    counted = sample.select("text", "label", F.xxhash64("_id", "text").alias("place")).mapInArrow(
+        count, f"label {sample.schema['label'].dataType.simpleString()}, place bigint, terms array<int>, counts array<double>"
+    )
+    found, values = [], []
     for value in (0, 1):
-        # One label's terms at a time; the texts themselves stay on the executors.
-        part = sample.where(F.col("label") == value).orderBy(F.xxhash64("_id"), "_id").limit(limit)
-        for row in part.select("text").toLocalIterator():
-            texts.append((row["text"] or "").encode())
+        for row in counted.where(F.col("label") == value).orderBy("place").limit(limit).collect():
+            found.append(dict(zip(row["terms"], row["counts"], strict=True)))
             values.append(value)
-    return fit(texts, np.array(values, dtype=np.float32), neighbours=neighbours)
+    return fit(damped(found), np.array(values, dtype=np.float32), neighbours=neighbours)
 
 
 def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
