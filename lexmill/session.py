@@ -31,12 +31,14 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, memory: str = "8
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, named by the cluster in spark.checkpoint.dir.
 
-    Only a local session may go without: it gets a folder of its own. On a cluster a
-    missing setting is an error, because a machine-local folder dies with its machine.
+    Only a session in one process (local or local[n], as in tests) may go without: it gets a
+    folder of its own. Anywhere else a missing setting is an error, because a machine-local
+    folder dies with its machine.
     """
     configured = spark.sparkContext.getConf().get(CHECKPOINT_KEY) or spark.conf.get(CHECKPOINT_KEY, None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(f"{CHECKPOINT_KEY} must name a shared folder")
         configured = tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set(CHECKPOINT_KEY, configured)
