@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 from decimal import Decimal
 
 import pandas as pd
@@ -356,6 +357,7 @@ def test_streams_go_on_after_a_stop(spark, tmp_path):
     assert run() == ([("apple", "Apple"), ("fig", "fig")], [("b", Decimal(3))])
     for i in (1, 2):
         (src / f"{i}.csv").write_text("\n".join(spelled[i]))
+        os.utime(src / f"{i}.csv", (4_000_000_000 + i,) * 2)  # files are taken in the order of their times
     want = [("apple", "Apple"), ("fig", "fig"), ("pear", "Pear"), ("plum", "plum")]
     assert run() == (want, [("b", Decimal(28))])
     assert run() == (want, [("b", Decimal(28))])  # nothing new arrived
