@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lexmill.operators import ledger as G
 from lexmill.plans.registry import query
 from lexmill.plans.standins import STAGES
-from lexmill.session import fresh_path
+from lexmill.session import cut_lineage, fresh_path
 from lexmill.sources import writers as W
 
 BATCH_ROWS = """
@@ -94,6 +94,13 @@ def dead_letter_record(t):
     return _dead(t).select("id", "word_id", "stage_name", "attempt", "created_at")
 
 
+@query("dead_letters_second_run", f"WITH {DEAD} SELECT id, word_id, stage_name FROM d WHERE false")
+def dead_letters_second_run(t):
+    """A rerun over the same ledger finds its letters open and records none."""
+    first = cut_lineage(_dead(t))
+    return G.dead_letter_record(first, G.third_failure(t.ledger, t.resolutions)).select("id", "word_id", "stage_name")
+
+
 @query("open_items", f"WITH {DEAD} SELECT id, word_id, stage_name FROM d ORDER BY id DESC LIMIT 100")
 def open_items(t):
     return G.open_items(_dead(t)).select("id", "word_id", "stage_name")

@@ -338,6 +338,41 @@ def run_stage(t):
     return run.ledger.join(made, "word_id", "left").select("word_id", "status", "error", "cost_usd", "payload")
 
 
+@query(
+    "registered_stages",
+    """WITH d AS (SELECT doc_id AS word_id, text FROM documents WHERE doc_id % 3 = 0)
+    SELECT word_id, 'lines' AS stage_name, 'ok' AS status, CAST(len(string_split(text, chr(10))) AS VARCHAR) AS payload FROM d
+    UNION ALL SELECT word_id, 'digest', CASE WHEN len(string_split(text, chr(10))) > 1 THEN 'ok' ELSE 'failed' END,
+           CASE WHEN len(string_split(text, chr(10))) > 1 THEN '"' || md5(text) || '"' END FROM d""",
+)
+def registered_stages(t):
+    """Stages, a model, a validator and a rule of a user's own, found by name and run over the texts."""
+    texts = t.read("documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("word_id"), "text")
+
+    def lines(df):
+        return df.join(texts, "word_id").select("word_id", F.size(F.split("text", "\n")).cast("string").alias("payload"))
+
+    def digest(df):
+        calls = df.join(texts, "word_id").select(
+            "word_id", "up_lines", F.lit("call:digest").alias("kind"), F.lit("gpt-5-mini").alias("model"), F.lit("{}").alias("params_json"),
+            F.col("text").alias("prompt"), F.lit("{}").alias("input_json"),
+        )
+        answered = I.call(calls, t.spark.createDataFrame([], DS.EMPTY_CACHE), I.model_fn("digest of texts"), "word_id", parallel=8)
+        parsed = answered.withColumn("v", F.try_parse_json(F.concat(F.lit('"'), "text", F.lit('"'))))
+        good = I.validator("digest of texts")(F.col("v")) & (F.col("up_lines").cast("int") > 1)
+        return parsed.select("word_id", F.when(good, F.to_json("v")).alias("payload"), F.when(~good, "refused").alias("error"))
+
+    I.register_model("digest of texts", I.digest_model)
+    I.register_validator("digest of texts", lambda answer: F.length(F.try_variant_get(answer, "$", "string")) == 32)
+    mine = [S.Stage("lines", (), lines), S.Stage("digest", ("lines",), digest)]
+    for stage in mine:
+        S.register_stage(stage)
+    stages = [s for s in S.registered_stages() if s.name in ("lines", "digest")]
+    run = S.stage_chain(sorted(stages, key=lambda s: len(s.upstream)), texts.select("word_id"), t.spark.createDataFrame([], DS.EMPTY_ARTIFACTS))
+    made = run.artifacts.select("word_id", "stage_name", "payload")
+    return run.ledger.join(made, ["word_id", "stage_name"], "left").select("word_id", "stage_name", "status", "payload")
+
+
 def run_dictionary(t, tables=None):
     """All eight stages over every document, twice, the second time with force; answers are kept in between."""
     raw = dictionary(t).select(F.col("doc_id").alias("word_id"), F.to_json("doc").alias("raw")).where("word_id % 17 <> 16")
