@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from lexmill.llm.components import connected_components
-from lexmill.llm.textkit import distinct_sorted, mix64, slices, words_of
+from lexmill.llm.textkit import batches_of, distinct_sorted, mix64, slices, words_of
 from lexmill.session import cut_lineage
 
 WIDTH = 4
@@ -33,6 +33,9 @@ THIN = 3
 # Bits of a filter for each wanted document, and at most.
 FILTER_BITS = 16
 MAX_FILTER_BITS = 1 << 27
+# Rows of texts or of whole sets that travel to and from Python at a time.
+TEXT_ROWS = 1_000
+SET_ROWS = 250
 # Sets in a leaf of a signature tree, and children of a node.
 LEAF = 8
 FAN = 8
@@ -494,7 +497,8 @@ def _connected(cells: DataFrame, contents: DataFrame, percent: int, exact: bool)
     at = F.when(F.col("chunk") > 0, F.array(F.col("chunk") - 1, F.col("chunk"))).otherwise(F.array("chunk"))
     near = cells.withColumn("at", F.explode(at)).withColumn("root", F.col("key"))
     # The contents are large and the cells are not, but neither has a bound.
-    links = cut_lineage(_forest(near.join(contents.hint("merge"), "key"), ["token", "part", "at"], percent, exact))
+    with batches_of(cells.sparkSession, SET_ROWS):
+        links = cut_lineage(_forest(near.join(contents.hint("merge"), "key"), ["token", "part", "at"], percent, exact))
     roots = cut_lineage(connected_components(links).withColumnRenamed("node", "key"))
     several = (
         cells.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")).groupBy("token")
@@ -512,7 +516,8 @@ def _connected(cells: DataFrame, contents: DataFrame, percent: int, exact: bool)
     sides = F.explode(F.array(F.struct("part", "chunk"), F.struct(F.col("part2").alias("part"), F.col("chunk2").alias("chunk"))))
     seats = far.select("token", "pair", sides.alias("side")).select("token", "pair", "side.part", "side.chunk")
     further = seats.join(named, ["token", "part", "chunk"]).join(contents.hint("merge"), "key")
-    more = cut_lineage(_forest(further, ["token", "pair"], percent, exact))
+    with batches_of(cells.sparkSession, SET_ROWS):
+        more = cut_lineage(_forest(further, ["token", "pair"], percent, exact))
     return cut_lineage(connected_components(links.unionByName(more)).withColumnRenamed("node", "key"))
 
 
@@ -608,10 +613,12 @@ def jaccard_components(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    profiles = cut_lineage(_profiles(rows, width))
+    with batches_of(spark, TEXT_ROWS):
+        profiles = cut_lineage(_profiles(rows, width))
     sketch = _sketch(profiles)
     profiles = profiles.where("block IS NULL").select("doc_id", "n", "key", "bits", "thin")
-    cells = cut_lineage(_cells(_prefixes(rows, sketch, width, percent), partitions, chunk, percent))
+    with batches_of(spark, 10 * TEXT_ROWS):
+        cells = cut_lineage(_cells(_prefixes(rows, sketch, width, percent), partitions, chunk, percent))
 
     # Cells whose sets are the same need one look, before and after they are cut.
     cells = _distinct_cells(cells)

@@ -66,7 +66,7 @@ def _shape_slots(shape: bytes) -> tuple[int, ...]:
             terms.append(b"s" + signs[:6])
             terms.extend(b"c%d" % c for c in set(signs))
         got = tuple(_slot(t) for t in terms)
-        if len(_slots) >= 200_000:
+        if len(_slots) >= 50_000:
             _slots.clear()
         _slots[shape] = got
     return got

@@ -7,9 +7,11 @@ a task's memory does not depend on its number of rows. Only the longest single t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 # Slices hold at most so many bytes of text, or one text.
 SLICE_BYTES = 1 << 20
@@ -23,6 +25,18 @@ _STEP = np.uint64(0x9E3779B97F4A7C55)
 _powers = np.ones(1, dtype=np.uint64)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows while the block runs its own jobs; rows may be large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = x.astype(np.uint64, copy=True)

@@ -34,7 +34,7 @@ LEAST_DRIFT = 0.02
 SIGNIFICANT = 0.02
 
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&-_=+/\\~`…«»“”‘’"
-_KEPT_WORDS = 300_000
+_KEPT_WORDS = 100_000
 
 
 class Model(NamedTuple):
