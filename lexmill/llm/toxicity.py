@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.quality import labelled_sample
-from lexmill.llm.textkit import distinct_sorted, slices, words_of
+from lexmill.llm.textkit import batches_of, distinct_sorted, slices, words_of
 from lexmill.session import cut_lineage
 
 # The model is fitted on at most this many labelled rows of each label and keeps at most this
@@ -35,6 +35,7 @@ SIGNIFICANT = 0.02
 
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&-_=+/\\~`…«»“”‘’"
 _KEPT_WORDS = 100_000
+TEXT_ROWS = 2_000
 
 
 class Model(NamedTuple):
@@ -275,7 +276,12 @@ def train(
     allows. Near copies among the labelled texts count once. Without labelled rows of both
     labels there are no terms and every score is the prior.
     """
-    sample = labelled_sample(docs, labels, label, folds, held_out, limit, id_col, text_col)
+    # A task counts the terms of so many texts at a time.
+    with batches_of(docs.sparkSession, TEXT_ROWS):
+        return _fit(labelled_sample(docs, labels, label, folds, held_out, limit, id_col, text_col))
+
+
+def _fit(sample: DataFrame) -> Model:
     kinds = cut_lineage(_one_of_each_kind(sample))
     n = {r["label"]: r["n"] for r in kinds.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic_docs, clean_docs = n.get(1, 0), n.get(0, 0)
