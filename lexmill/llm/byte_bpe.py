@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from lexmill.llm.textkit import slices
 
 # Pieces, prefixes and pairs whose results a worker keeps; beyond that it starts anew.
-KEEP_PIECES = 400_000
-KEEP_PREFIXES = 300_000
+KEEP_PIECES = 300_000
+KEEP_PREFIXES = 250_000
 KEEP_PAIRS = 250_000
 # Longer pieces get a table of their own, of which nothing is kept.
 KEEP_LENGTH = 64
@@ -76,6 +76,11 @@ class Vocabulary:
         place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(ends - lengths, lengths)
         return letters[np.repeat(start[ids], lengths) + place], ends
 
+    def forget(self) -> None:
+        """Let go of everything that was kept."""
+        for kept in (self.pieces, self.prefixes, self.pairs, self._made, *self._spines):
+            kept.clear()
+
     def _merged(self, data: bytes, down_to: int) -> list[bytes]:
         """Merge the lowest rank, leftmost first, until `down_to` parts are left or none can merge."""
         parts = [data[i : i + 1] for i in range(len(data))]
@@ -287,8 +292,7 @@ class EncodedText:
         return list(chain.from_iterable(self.pieces))
 
 
-@lru_cache(maxsize=2)
-def load_vocabulary(path: str) -> Vocabulary:
+def read_vocabulary(path: str) -> Vocabulary:
     """Read a rank file: base64 bytes and a rank on each line."""
     ranks = {}
     with open(path, "rb") as lines:
@@ -299,6 +303,9 @@ def load_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(ranks)
 
 
+load_vocabulary = lru_cache(maxsize=2)(read_vocabulary)
+
+
 def encode_text(text: str, vocabulary: Vocabulary, split: regex.Pattern) -> np.ndarray:
     """The ids of a whole text, each match of `split` encoded by itself."""
     return np.frombuffer(b"".join(map(vocabulary.pieces.__getitem__, split.findall(text))), dtype=np.int32)
@@ -315,13 +322,17 @@ def encode_documents(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, split = load_vocabulary(path), regex.compile(pattern)
-        for batch in batches:
-            for part in slices(batch):
-                found = [encode_text(t or "", vocabulary, split) for t in part.column(1).to_pylist()]
-                ends = np.cumsum([0, *map(len, found)], dtype=np.int64).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["doc_id", "ids"])
+        # A worker outlives its task; what the task kept must not.
+        vocabulary, split = read_vocabulary(path), regex.compile(pattern)
+        try:
+            for batch in batches:
+                for part in slices(batch):
+                    found = [encode_text(t or "", vocabulary, split) for t in part.column(1).to_pylist()]
+                    ends = np.cumsum([0, *map(len, found)], dtype=np.int64).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                    yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["doc_id", "ids"])
+        finally:
+            vocabulary.forget()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -332,7 +343,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """`encoded` with the column `decoded`: the bytes that the ids stand for. NULL ids give none."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = load_vocabulary(path)
+        vocabulary = read_vocabulary(path)
         for batch in batches:
             lists = batch.column(batch.schema.names.index("ids"))
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
