@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from lexmill.llm.textkit import slices
 
 # Pieces, prefixes and pairs whose results a worker keeps; beyond that it starts anew.
-KEEP_PIECES = 300_000
-KEEP_PREFIXES = 250_000
-KEEP_PAIRS = 250_000
+KEEP_PIECES = 150_000
+KEEP_PREFIXES = 120_000
+KEEP_PAIRS = 150_000
 # Longer pieces get a table of their own, of which nothing is kept.
 KEEP_LENGTH = 64
 # Ids decoded at a time.
