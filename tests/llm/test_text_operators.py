@@ -236,3 +236,59 @@ def test_suffix_tree_learns_contexts_and_adds_up(spark):
         assert after.sum() + two.rest[place] * left == pytest.approx(1)
     scored = [r for r in suffix_model.suffix_scores(frame).collect() if r.held_out]
     assert sum(r.score for r in scored) > 0.8 * sum(r.base_score for r in scored)
+
+
+@pytest.mark.parametrize("share", [None, 0.01, 2.0])
+def test_suffix_tree_keeps_rare_and_long_contexts(spark, monkeypatch, share):
+    """Against brute force, whatever is broadcast and whatever is joined."""
+    for name in ("WORD_SHARE", "CONTEXT_SHARE", "NEXT_SHARE") if share else ():
+        monkeypatch.setattr(suffix_model, name, share)
+        monkeypatch.setattr(suffix_model, "HOT_WEIGHTS", 0 if share > 1 else 50)
+    rnd = random.Random(2)
+    rows = []
+    for i in range(300):
+        words = []
+        while len(words) < 40:
+            # The word after "m n" depends on the one before; "q0 r0" and so on are rare.
+            side, k = rnd.choice("uv"), rnd.randint(0, 30)
+            words += rnd.choice([[side, "m", "n", side * 2], [f"q{k}", f"r{k}", f"s{k}"], [f"z{rnd.randint(0, 60)}"], ["m", "n"]])
+        rows.append((i, " ".join(words)))
+    texts = [t.split() + [None] for _, t in rows]
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
+    seen = [collections.Counter() for _ in range(suffix_model.DEPTH + 2)]
+    for words, out in zip(texts, held, strict=True):
+        for k in range(1, suffix_model.DEPTH + 2) if not out else ():
+            seen[k].update(tuple(words[a : a + k]) for a in range(len(words) - k + 1))
+    tokens, types = sum(seen[1].values()), len(seen[1])
+    rest = {}
+
+    def chance(run):
+        if len(run) == 1:
+            return (seen[1][run] + 1) / (tokens + types + 1)
+        lower = chance(run[1:])
+        if run[:-1] not in rest:
+            return lower
+        n = seen[len(run)][run]
+        share = (n - suffix_model.DISCOUNT) / seen[len(run) - 1][run[:-1]] if n >= suffix_model.MIN_NEXT else 0.0
+        return share + rest[run[:-1]] * lower
+
+    for k in range(1, suffix_model.DEPTH + 1):
+        after = collections.defaultdict(dict)
+        for run, n in seen[k + 1].items():
+            if n >= suffix_model.MIN_NEXT and seen[k][run[:-1]] >= suffix_model.MIN_CONTEXT:
+                after[run[:-1]][run] = n
+        found = {}
+        for context, runs in after.items():
+            shares = {run: (n - suffix_model.DISCOUNT) / seen[k][context] for run, n in runs.items()}
+            left, lower = 1 - sum(shares.values()), {run: chance(run[1:]) for run in runs}
+            mixed = {run: shares[run] + left * lower[run] for run in runs}
+            gain = sum(p * math.log(p / lower[run]) for run, p in mixed.items()) + left * (1 - sum(lower.values())) * math.log(left)
+            if seen[k][context] * gain >= suffix_model.MIN_GAIN:
+                found[context] = left
+        rest |= found
+    assert any(len(c) == 3 for c in rest)
+    got = suffix_model.suffix_scores(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    for row in got:
+        words = texts[row.doc_id]
+        want = sum(math.log10(chance(tuple(words[max(0, a - suffix_model.DEPTH) : a + 1]))) for a in range(len(words)))
+        assert row.score == pytest.approx(want, rel=1e-9)
