@@ -264,11 +264,12 @@ class EncodedText:
     def edit(self, start: int, stop: int, new: str) -> int:
         """Replace text[start:stop]; returns the number of pieces that were encoded.
 
-        A match looks one character past its end, so pieces that end before that stay. The text
-        is split from there until a match starts where, behind the edit, an old one started.
+        A match looks up to two characters past its end (an apostrophe at 'll, blanks at what
+        follows them), so pieces that end at least two before the edit stay. The text is split
+        from there until a match starts where, behind the edit, an old one started.
         """
         keep = 0
-        while keep < len(self.spans) and self.spans[keep][1] < start:
+        while keep < len(self.spans) and self.spans[keep][1] + 2 <= start:
             keep += 1
         text = self.text[:start] + new + self.text[stop:]
         shift = len(new) - (stop - start)

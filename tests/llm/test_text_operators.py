@@ -109,6 +109,30 @@ def test_bpe_edits(tokenizer, text, data):
     assert state.ids() == want.encode_ordinary(text[:start] + new + text[stop:] + " end")
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(" a'lrevstmd\n1", max_size=14), st.data())
+def test_bpe_edits_beside_endings_and_blanks(tokenizer, text, data):
+    vocabulary, want = tokenizer
+    start = data.draw(st.integers(0, len(text)))
+    stop = data.draw(st.integers(start, len(text)))
+    new = data.draw(st.text(" a'lrevstmd\n", max_size=3))
+    state = byte_bpe.EncodedText(text, vocabulary, PATTERN)
+    state.edit(start, stop, new)
+    text = text[:start] + new + text[stop:]
+    assert state.spans == [m.span() for m in regex.finditer(PATTERN, text)]
+    assert state.ids() == want.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("text", ["we'll", "we're", "we've", "a\n  b", "a   \n"])
+def test_bpe_appends_letter_by_letter(tokenizer, text):
+    vocabulary, want = tokenizer
+    state = byte_bpe.EncodedText("", vocabulary, PATTERN)
+    for end, letter in enumerate(text, 1):
+        state.append(letter)
+        assert state.ids() == want.encode_ordinary(text[:end])
+        assert state.spans == [m.span() for m in regex.finditer(PATTERN, text[:end])]
+
+
 def test_bpe_edit_encodes_little(tokenizer):
     state = byte_bpe.EncodedText("some words here " * 500, tokenizer[0], PATTERN)
     assert state.edit(4_000, 4_001, "xyz") < 6
