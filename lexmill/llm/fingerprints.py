@@ -17,7 +17,8 @@ from lexmill.session import cut_lineage
 BITS = 128
 # Terms are runs of so many words.
 TERM_WORDS = 2
-RADIUS = 3
+# Near copies lie within so many bits: on sf0.1, 95% of texts with one word changed, 87% with 1% of the words.
+RADIUS = 10
 # Ranges of ids for each shuffle partition, and at most; their bounds are known to the driver.
 RANGES_PER_PARTITION = 4
 MAX_RANGES = 20_000
@@ -80,47 +81,68 @@ def distance(high: Column, low: Column, high2: Column, low2: Column) -> Column:
     return F.bit_count(high.bitwiseXOR(high2)) + F.bit_count(low.bitwiseXOR(low2))
 
 
-def _blocks(radius: int) -> list[Column]:
-    """The fingerprint's bits in radius + 1 blocks; two within the radius agree in one of them at least."""
-    step = math.ceil(BITS / (radius + 1))
-    digits = shown(F.col("high"), F.col("low"))
-    bits = F.concat(*[F.lpad(F.conv(F.substring(digits, 1 + 8 * i, 8), 16, 2), 32, "0") for i in range(BITS // 32)])
-    return [F.substring(bits, 1 + step * i, step) for i in range(radius + 1)]
+def _masks(radius: int) -> list[tuple[int, int]]:
+    """The (high, low) masks of radius + 2 blocks; two fingerprints within the radius agree in two of them at least."""
+    cuts = [BITS * i // (radius + 2) for i in range(radius + 3)]
+    whole = [(1 << BITS - a) - (1 << BITS - b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [(mask >> 64, mask & (1 << 64) - 1) for mask in whole]
 
 
-def near_pairs(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(high, low, high2, low2, bits): all pairs of different fingerprints within `radius` bits, each once.
+def _signed(value: int) -> Column:
+    return F.lit(value - (1 << 64) if value >> 63 else value).cast("bigint")
+
+
+def _in_tables(members: DataFrame, radius: int) -> DataFrame:
+    """(key, high, low, members): every fingerprint under each two of its blocks; the key's last 16 bits are the table."""
+    masks = _masks(radius)
+    pairs = [(i, j) for j in range(len(masks)) for i in range(j)]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1_000):
+                part = batch.slice(at, 1_000)
+                high, low = (part.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+                for i, j in pairs:
+                    both = [np.uint64(masks[i][half] | masks[j][half]) for half in (0, 1)]
+                    key = mix64(mix64((high & both[0]) + _LANE) ^ (low & both[1])) & ~np.uint64(0xFFFF) | np.uint64(i << 8 | j)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *part.columns], names=["key", "high", "low", "members"])
+
+    return members.select("high", "low", "members").mapInArrow(deal, "key bigint, high bigint, low bigint, members bigint")
+
+
+def _near(members: DataFrame, radius: int) -> DataFrame:
+    """All pairs of different fingerprints within `radius` bits, each once, with the numbers of their rows.
 
-    `fingerprints` has distinct (high, low). Table i holds all of them under their i-th block;
-    a pair is reported by the first table in which its blocks agree. Rows are never paired
-    unless a block agrees, and equal fingerprints are one row.
+    A pair is reported by the table of the first two blocks in which it agrees. Rows are never
+    paired unless two blocks agree. Both sides are the same shuffled rows, and the join may split
+    a key that very many fingerprints share.
     """
-    tables = F.posexplode(F.array(*_blocks(radius))).alias("table", "block")
-    blocks = F.array(*_blocks(radius)).alias("blocks")
-    left = fingerprints.select("high", "low", blocks, tables)
-    right = left.select(
-        F.col("table").alias("table2"), F.col("block").alias("block2"), F.col("blocks").alias("blocks2"),
-        F.col("high").alias("high2"), F.col("low").alias("low2"),
-    )
-    first = F.forall(
-        F.sequence(F.lit(0), F.lit(radius)),
-        lambda i: (i >= F.col("table")) | (F.get("blocks", i) != F.get("blocks2", i)),
-    )
+    left = _in_tables(members, radius)
+    right = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("high", "low", "members")])
     bits = distance(F.col("high"), F.col("low"), F.col("high2"), F.col("low2"))
     ordered = (F.col("high") < F.col("high2")) | ((F.col("high") == F.col("high2")) & (F.col("low") < F.col("low2")))
-    same = (F.col("table") == F.col("table2")) & (F.col("block") == F.col("block2"))
-    return left.join(right, same & ordered & (bits <= radius) & first).select("high", "low", "high2", "low2", bits.alias("bits"))
+    apart = [F.col(half).bitwiseXOR(F.col(f"{half}2")) for half in ("high", "low")]
+    agree = [(apart[0].bitwiseAND(_signed(a)) == 0) & (apart[1].bitwiseAND(_signed(b)) == 0) for a, b in _masks(radius)]
+    agreeing = F.array_compact(F.array(*[F.when(same, F.lit(i).cast("bigint")) for i, same in enumerate(agree)]))
+    first = F.shiftleft(F.get(agreeing, F.lit(0)), 8).bitwiseOR(F.get(agreeing, F.lit(1)))
+    pairs = left.join(right, "key").where(ordered & (bits <= radius) & (F.col("key").bitwiseAND(F.lit(0xFFFF)) == first))
+    return pairs.select("high", "low", "members", "high2", "low2", "members2", bits.alias("bits"))
+
+
+def near_pairs(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(high, low, high2, low2, bits): all pairs of different fingerprints within `radius` bits, each once.
+
+    `fingerprints` has distinct (high, low).
+    """
+    return _near(fingerprints.select("high", "low", F.lit(1).cast("bigint").alias("members")), radius).drop("members", "members2")
 
 
 def near_counts(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(high, low, n_near): for each fingerprint, how many other rows lie within `radius` bits."""
-    members = prints.groupBy("high", "low").agg(F.count(F.lit(1)).alias("members"))
-    pairs = cut_lineage(near_pairs(members, radius))
-    sides = pairs.select("high", "low", "high2", "low2").unionByName(
-        pairs.select(F.col("high2").alias("high"), F.col("low2").alias("low"), F.col("high").alias("high2"), F.col("low").alias("low2"))
-    )
-    others = members.select(F.col("high").alias("high2"), F.col("low").alias("low2"), F.col("members").alias("others"))
-    linked = sides.join(others, ["high2", "low2"]).groupBy("high", "low").agg(F.sum("others").alias("linked"))
+    members = cut_lineage(prints.groupBy("high", "low").agg(F.count(F.lit(1)).alias("members")))
+    side = lambda own, other: F.struct(F.col(f"high{own}").alias("high"), F.col(f"low{own}").alias("low"), F.col(f"members{other}").alias("others"))
+    sides = _near(members, radius).select(F.explode(F.array(side("", "2"), side("2", ""))).alias("s")).select("s.*")
+    linked = sides.groupBy("high", "low").agg(F.sum("others").alias("linked"))
     return members.join(linked, ["high", "low"], "left").select(
         "high", "low", (F.col("members") - 1 + F.coalesce("linked", F.lit(0))).cast("bigint").alias("n_near")
     )

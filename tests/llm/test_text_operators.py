@@ -210,6 +210,21 @@ def test_block_tables_find_all_pairs(spark):
         assert got == {(a, b) for a in prints for b in prints if a < b and far(a, b) <= radius}
 
 
+def test_near_counts_of_changed_copies(spark):
+    rnd = random.Random(4)
+    rows = []
+    for i in range(30):
+        words = [f"w{rnd.randint(0, 2_000)}" for _ in range(200)]
+        rows.append((2 * i, " ".join(words)))
+        words[rnd.randrange(200)] = "changed"
+        rows.append((2 * i + 1, " ".join(words)))
+    got = {r.doc_id: r for r in fingerprints.edited_fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    far = lambda a, b: (int(got[a].fingerprint, 16) ^ int(got[b].fingerprint, 16)).bit_count()
+    for i in got:
+        assert got[i].n_near == sum(far(i, j) <= fingerprints.RADIUS for j in got if j != i)
+    assert sum(got[2 * i].n_near > 0 for i in range(30)) >= 25
+
+
 def test_suffix_tree_scores(docs, empty, spark):
     got = suffix_model.suffix_scores(docs).collect()
     texts = {i * 3: t for i, t in enumerate(TEXTS)} | {None: "no id"}
