@@ -1,4 +1,4 @@
-"""The ten operators over the driver's tables, with SQL where SQL can say it."""
+"""The operators over the driver's tables, with SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import byte_bpe, chat, fingerprints, jaccard, licenses, mixing, quality, suffix_model, toxicity, vector_dedup
+from lexmill.llm import (
+    byte_bpe, chat, fingerprints, jaccard, licenses, mixing, quality, quality_rules, suffix_model, toxicity, vector_codes, vector_dedup, whitening,
+)
 
 QUALITY_LEAST = 0.3
 TOXIC_LEAST = 0.7
@@ -91,6 +93,19 @@ def op10_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select(F.col("conv").alias("conv_id"), "turn", "role", "rendered")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten_vectors(_table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_documents(_table(spark, sf_dir, "documents"))
+
+
 # The turns that the transcripts were made of.
 CHAT_SQL = """
 SELECT conv_id, turn, role, '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' AS rendered
@@ -171,6 +186,82 @@ SELECT doc_id, size, source_size, target, least(copies, 2)::BIGINT * size AS tak
 FROM counted"""
 
 
+def _codes_sql() -> str:
+    """Every part against every entry, round by round; the tables' vectors have 64 components."""
+    k, parts, width = vector_codes.ENTRIES, vector_codes.PARTS, 64 // vector_codes.PARTS
+    steps = [f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS rid, vec_id, label,
+    list_transform(embedding, lambda v: floor({vector_codes.SCALE} * v::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), cells AS MATERIALIZED (
+  SELECT rid, d // {width} AS part, d % {width} AS place, x[d + 1] AS v
+  FROM (SELECT rid, x, unnest(range({parts * width})) AS d FROM kept)
+), book0 AS MATERIALIZED (
+  SELECT part, rid AS entry, place, v FROM cells WHERE rid < {k}
+)"""]
+    for r in range(vector_codes.ROUNDS + 1):
+        steps.append(f""", near{r} AS MATERIALIZED (
+  SELECT rid, part, arg_min(entry, apart * {k} + entry) AS entry, min(apart) AS apart FROM (
+    SELECT c.rid, c.part, b.entry, sum((c.v - b.v) * (c.v - b.v)) AS apart
+    FROM cells c JOIN book{r} b ON c.part = b.part AND c.place = b.place GROUP BY ALL)
+  GROUP BY ALL
+)""")
+        if r < vector_codes.ROUNDS:
+            steps.append(f""", book{r + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.place, coalesce(m.v, b.v) AS v FROM book{r} b LEFT JOIN (
+    SELECT n.part, n.entry, c.place, floor(sum(c.v)::DOUBLE / count(*))::BIGINT AS v
+    FROM near{r} n JOIN cells c ON n.rid = c.rid AND n.part = c.part GROUP BY ALL
+  ) m ON b.part = m.part AND b.entry = m.entry AND b.place = m.place
+)""")
+    return "".join(steps) + f""", coded AS (
+  SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(apart)::BIGINT AS error
+  FROM near{vector_codes.ROUNDS} GROUP BY rid
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{vector_codes.ROUNDS}) AS codebooks_sha256
+FROM coded JOIN kept USING (rid)"""
+
+
+RULES_SQL = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents
+), split AS MATERIALIZED (
+  SELECT rid, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM texts
+), runs AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, run) AS times FROM (
+    SELECT rid, unnest(range(1, len(w) - 3)) AS i,
+      unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS run
+    FROM split)
+), covered AS (
+  SELECT rid, sum(step)::BIGINT AS n FROM (
+    SELECT rid, least(5, coalesce(i - lag(i) OVER (PARTITION BY rid ORDER BY i), 5)) AS step FROM runs WHERE times > 1)
+  GROUP BY rid
+), placed AS (
+  SELECT rid, source, t, line, regexp_replace(lower(line), '[\x20\x09-\x0D0-9]+', '', 'g') AS form
+  FROM (SELECT rid, source, t, unnest(lines) AS line FROM split)
+), frequent AS (
+  SELECT source, form FROM placed GROUP BY source, form HAVING count(DISTINCT t) > {quality_rules.MOST_TEXTS}
+), lost AS (
+  SELECT rid, sum(length(line))::BIGINT AS chars, sum(CASE WHEN f.form IS NOT NULL THEN length(line) ELSE 0 END)::BIGINT AS gone
+  FROM placed p LEFT JOIN frequent f ON p.source IS NOT DISTINCT FROM f.source AND p.form = f.form GROUP BY rid
+), counted AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(lost.chars, 0) AS chars, coalesce(lost.gone, 0)::BIGINT AS n_lost_chars
+  FROM split LEFT JOIN covered c USING (rid) LEFT JOIN lost USING (rid)
+), judged AS (
+  SELECT *, n_words < {quality_rules.LEAST_WORDS} OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED} * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_lost_chars,
+  NOT base_failed AND NOT 100 * (chars - n_lost_chars) < {quality_rules.LEAST_LEFT} * chars AS kept
+FROM judged"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_vector_dedup": op1_vector_dedup,
@@ -183,8 +274,14 @@ def queries() -> dict[str, Query]:
         "op8_toxic_segments": op8_toxic_segments,
         "op9_mix_sources": op9_mix_sources,
         "op10_chat_turns": op10_chat_turns,
+        "op11_vector_codes": op11_vector_codes,
+        "op12_whitening": op12_whitening,
+        "op13_quality_rules": op13_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_license_scan": _license_sql(), "op9_mix_sources": MIX_SQL, "op10_chat_turns": CHAT_SQL}
+    return {
+        "op5_license_scan": _license_sql(), "op9_mix_sources": MIX_SQL, "op10_chat_turns": CHAT_SQL,
+        "op11_vector_codes": _codes_sql(), "op13_quality_rules": RULES_SQL,
+    }
