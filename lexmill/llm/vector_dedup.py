@@ -84,6 +84,8 @@ def leaves_of(forest: list[Split | int], points: np.ndarray, spill: float = SPIL
 
 
 def unit(points: np.ndarray) -> np.ndarray:
+    """Rows divided by their lengths; by their largest component first, so that no square overflows or vanishes."""
+    points = points / np.abs(points).max(axis=1, keepdims=True, initial=0)
     return points / np.linalg.norm(points, axis=1, keepdims=True)
 
 
