@@ -9,6 +9,7 @@ before. Appending bytes only adds entries, and an edit leaves all entries before
 from __future__ import annotations
 
 import base64
+import hashlib
 from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -21,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.textkit import slices
+from lexmill.llm.textkit import nothing_kept, slices
 
 # Pieces, prefixes and pairs whose results a worker keeps; beyond that it starts anew.
 KEEP_PIECES = 150_000
@@ -304,7 +305,8 @@ def read_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(ranks)
 
 
-load_vocabulary = lru_cache(maxsize=2)(read_vocabulary)
+# A worker reads a rank file once, whatever the number of its tasks.
+load_vocabulary = lru_cache(maxsize=1)(read_vocabulary)
 
 
 def encode_text(text: str, vocabulary: Vocabulary, split: regex.Pattern) -> np.ndarray:
@@ -323,17 +325,14 @@ def encode_documents(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A worker outlives its task; what the task kept must not.
-        vocabulary, split = read_vocabulary(path), regex.compile(pattern)
-        try:
+        vocabulary, split = load_vocabulary(path), regex.compile(pattern)
+        with nothing_kept(vocabulary.forget):
             for batch in batches:
                 for part in slices(batch):
                     found = [encode_text(t or "", vocabulary, split) for t in part.column(1).to_pylist()]
                     ends = np.cumsum([0, *map(len, found)], dtype=np.int64).astype(np.int32)
                     ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
                     yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["doc_id", "ids"])
-        finally:
-            vocabulary.forget()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -344,7 +343,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """`encoded` with the column `decoded`: the bytes that the ids stand for. NULL ids give none."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = read_vocabulary(path)
+        vocabulary = load_vocabulary(path)
         for batch in batches:
             lists = batch.column(batch.schema.names.index("ids"))
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -363,3 +362,32 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(decode, f"{fields}, decoded binary")
+
+
+def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): what `encode_documents` and `decode_documents` give, as digests.
+
+    One pass encodes each text, decodes its ids and hashes both, so neither ids nor bytes leave
+    the task. The first digest is of the decimal ids joined by commas. NULL and empty texts have
+    no ids; the digests are those of the empty string.
+    """
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, split = load_vocabulary(path), regex.compile(pattern)
+        with nothing_kept(vocabulary.forget):
+            decimals = [b"%d" % i for i in range(vocabulary.start)]
+            for batch in batches:
+                for part in slices(batch):
+                    sizes, ids_hex, bytes_hex = [], [], []
+                    for text in part.column(1):
+                        ids = encode_text(text.as_py() or "", vocabulary, split)
+                        letters = vocabulary.decode(ids)[0]
+                        sizes.append(len(ids))
+                        ids_hex.append(hashlib.sha256(b",".join(map(decimals.__getitem__, ids.tolist()))).hexdigest())
+                        bytes_hex.append(hashlib.sha256(letters.tobytes()).hexdigest())
+                    columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(bytes_hex, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(digest, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

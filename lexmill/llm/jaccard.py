@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from lexmill.llm.components import connected_components
-from lexmill.llm.textkit import batches_of, distinct_sorted, mix64, slices, words_of
+from lexmill.llm.skew import free_names, look_up
+from lexmill.llm.textkit import batches_of, distinct_sorted, mix64, releasing, slices, words_of
 from lexmill.session import cut_lineage
 
 WIDTH = 4
@@ -115,7 +116,7 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
                 names=names,
             )
 
-    return docs.mapInArrow(profile, f"doc_id {kind}, n bigint, key bigint, bits binary, thin binary, block int, counts binary")
+    return docs.mapInArrow(releasing(profile), f"doc_id {kind}, n bigint, key bigint, bits binary, thin binary, block int, counts binary")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -135,7 +136,7 @@ def _sketch(profiles: DataFrame) -> np.ndarray:
     rows = profiles.where("block IS NOT NULL").select("block", "counts").repartition(SKETCH_BLOCKS, "block")
     sketch = np.zeros(SKETCH, dtype=np.uint64)
     step = SKETCH // SKETCH_BLOCKS
-    for row in rows.mapInArrow(add, "block int, sums binary").collect():
+    for row in rows.mapInArrow(releasing(add), "block int, sums binary").collect():
         sketch[row["block"] * step : (row["block"] + 1) * step] += np.frombuffer(row["sums"], dtype=np.uint64)
     return sketch
 
@@ -173,7 +174,7 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) ->
                         [_signed(hashes), pa.array(size[doc]), _signed(key[doc])], names=["token", "n", "key"]
                     )
 
-    return docs.select("doc_id", "text").mapInArrow(prefix, "token bigint, n bigint, key bigint")
+    return docs.select("doc_id", "text").mapInArrow(releasing(prefix), "token bigint, n bigint, key bigint")
 
 
 def _cells(prefixes: DataFrame, partitions: int, chunk: int, percent: int) -> DataFrame:
@@ -237,7 +238,7 @@ def _cells(prefixes: DataFrame, partitions: int, chunk: int, percent: int) -> Da
         if held is not None:
             yield rows(held)
 
-    return marked.mapInArrow(pick, "token bigint, part int, chunk int, n bigint, key bigint")
+    return marked.mapInArrow(releasing(pick), "token bigint, part int, chunk int, n bigint, key bigint")
 
 
 class Node:
@@ -408,7 +409,7 @@ def _forest(groups: DataFrame, keys: list[str], percent: int, exact: bool) -> Da
         if out is not None:
             yield out
 
-    return dealt.mapInArrow(link, "a bigint, b bigint")
+    return dealt.mapInArrow(releasing(link), "a bigint, b bigint")
 
 
 def _split_cells(cells: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
@@ -448,7 +449,7 @@ def _split_cells(cells: DataFrame, shapes: DataFrame, percent: int) -> DataFrame
     def rows(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["token", "root", "n", "key"])
 
-    fine = dealt.mapInArrow(split, "token bigint, root bigint, n bigint, key bigint").select(
+    fine = dealt.mapInArrow(releasing(split), "token bigint, root bigint, n bigint, key bigint").select(
         F.xxhash64("token", "root").alias("token"), F.lit(0).alias("part"), F.lit(0).alias("chunk"), "n", "key"
     )
     return large.unionByName(fine)
@@ -539,15 +540,15 @@ class KeyFilter:
     def _places(self, h: Column) -> list[Column]:
         return [F.pmod(F.xxhash64(h, F.lit(i)), F.lit(self.bits)) for i in range(3)]
 
-    def columns(self, column: str) -> list[Column]:
-        return [c.alias(f"_bit{i}") for i, c in enumerate(self._places(F.xxhash64(column)))]
+    def columns(self, column: str, names: Sequence[str] = ("_bit0", "_bit1", "_bit2")) -> list[Column]:
+        return [c.alias(name) for c, name in zip(self._places(F.xxhash64(F.col(f"`{column}`"))), names, strict=True)]
 
     @staticmethod
     def probe(words: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
-        """Which rows may be among the keys."""
+        """Which rows may be among the keys; the filter's columns are the batch's last ones."""
         wanted = np.ones(batch.num_rows, dtype=bool)
-        for i in range(3):
-            bit = batch.column(batch.schema.names.index(f"_bit{i}")).to_numpy()
+        for column in batch.columns[-3:]:
+            bit = column.to_numpy()
             wanted &= (words[bit // 64] >> (bit % 64).astype(np.uint64)) & np.uint64(1) == 1
         return wanted
 
@@ -570,7 +571,7 @@ def _shapes_of(keys: DataFrame, profiles: DataFrame) -> DataFrame:
                 yield kept.select(["key", "n", "bits", "thin"])
 
     rows = profiles.where("key IS NOT NULL").select("key", "n", "bits", "thin", *named.columns("doc_id"))
-    return cut_lineage(rows.mapInArrow(pick, "key bigint, n bigint, bits binary, thin binary"))
+    return cut_lineage(rows.mapInArrow(releasing(pick), "key bigint, n bigint, bits binary, thin binary"))
 
 
 def _sets_of(keys: DataFrame, docs: DataFrame, profiles: DataFrame, width: int) -> DataFrame:
@@ -592,7 +593,7 @@ def _sets_of(keys: DataFrame, docs: DataFrame, profiles: DataFrame, width: int)
                     tokens = [hashes[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                     yield pa.RecordBatch.from_arrays([_signed(key), pa.array(tokens, pa.binary())], names=["key", "content"])
 
-    return docs.select("doc_id", "text", *named.columns("doc_id")).mapInArrow(sets, "key bigint, content binary")
+    return docs.select("doc_id", "text", *named.columns("doc_id")).mapInArrow(releasing(sets), "key bigint, content binary")
 
 
 def jaccard_components(
@@ -610,8 +611,18 @@ def jaccard_components(
     id reachable by links. Repeated rows share their result; rows without an id take part under
     NULL; an empty table gives none.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    spark = docs.sparkSession
+    profiles, named = _components(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), width, percent, chunk)
+    lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    member = named.join(lowest, "root").select("key", "component_id")
+    shown = profiles.where("key IS NOT NULL").join(member, "key")
+    alone = profiles.where("key IS NULL").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    return shown.select(*columns).unionByName(alone.select(*columns))
+
+
+def _components(rows: DataFrame, width: int, percent: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, n, key) of every document, (key, first, root) of every set); root names the set's component."""
+    spark = rows.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with batches_of(spark, TEXT_ROWS):
         profiles = cut_lineage(_profiles(rows, width))
@@ -634,41 +645,79 @@ def jaccard_components(
     roots = _connected(tied, sets, percent, exact=True)
 
     least = profiles.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
-    named = cut_lineage(
-        least.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    )
-    lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = named.join(lowest, "root").select("key", "component_id")
-    shown = profiles.where("key IS NOT NULL").join(member, "key")
-    alone = profiles.where("key IS NULL").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
-    return shown.select(*columns).unionByName(alone.select(*columns))
+    named = cut_lineage(least.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
+    return profiles.select("doc_id", "n", "key"), named
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """`docs` with one row of each group of linked documents: that of the group's smallest id.
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, chunk: int = CHUNK
+) -> DataFrame:
+    """`docs` with one row of each group of linked texts: that of the group's smallest id.
 
-    Of rows with the same id one stays, the first by text; rows without an id all stay. Only rows
-    that may be among the rejected are shuffled: a filter of bounded size lets the others pass.
+    Decided by row, not by id: if an id stands on two texts, each of them goes or stays with its
+    own group. Of a group's rows with the smallest id the first by shingle set and text stays.
+    Rows without an id and rows without words all stay. Only rows whose id is among those of rows
+    that may go are looked at again: a filter of bounded size lets the others pass, and texts
+    are shuffled for the one row of a group only.
     """
-    groups = jaccard_components(docs.where(F.col(id_col).isNotNull()), id_col, text_col, **options)
-    judged = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id"))
-    special = cut_lineage(judged.where("n > 1 OR doc_id <> component_id").select("doc_id", (F.col("doc_id") != F.col("component_id")).alias("out")))
-    doubtful = KeyFilter(special, "doc_id")
+    spark = docs.sparkSession
+    known = docs.where(F.col(f"`{id_col}`").isNotNull())
+    profiles, named = _components(known.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), width, percent, chunk)
+    members = profiles.where("key IS NOT NULL").groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    members = cut_lineage(look_up(members, _weighed(named, members), ["key"], "weight", members.count()))
+    groups = members.groupBy("root").agg(F.sum("n").alias("rows"), F.min(F.struct("doc_id", "key")).alias("stays")).where("rows > 1")
+    several = cut_lineage(
+        named.join(groups, "root").select("key", "root", F.col("stays.doc_id").alias("stay_id"), F.col("stays.key").alias("stay_key"))
+    )
+    judged = look_up(members.select("doc_id", "key", "n"), _weighed(several, members), ["key"], "weight", members.count())
+    goes = (F.col("doc_id") != F.col("stay_id")) | (F.col("key") != F.col("stay_key")) | (F.col("n") > 1)
+    doubtful = KeyFilter(cut_lineage(judged.where(F.col("root").isNotNull() & goes).select("doc_id").distinct()), "doc_id")
     shared, probe = doubtful.shared, KeyFilter.probe
-    marked_schema = StructType([*docs.schema.fields, StructField("_doubtful", BooleanType())])
+
     names = docs.columns
+    mark_name, key_name, *bits = free_names(docs, "_doubtful", "_key", "_bit0", "_bit1", "_bit2")
+    place = names.index(text_col)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(batch.schema.names.index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(probe(shared.value, batch))], names=[*names, "_doubtful"])
-
-    marked = docs.select("*", *doubtful.columns(id_col)).mapInArrow(mark, marked_schema)
-    passed = marked.where(~F.col("_doubtful") | F.col(id_col).isNull()).drop("_doubtful")
-    held = marked.where(F.col("_doubtful") & F.col(id_col).isNotNull()).drop("_doubtful")
-    out = special.where("out").select(F.col("doc_id").alias("_out"))
-    held = held.join(out, held[id_col] == out["_out"], "left_anti")
-    first = Window.partitionBy(id_col).orderBy(text_col)
-    held = held.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
-    return passed.unionByName(held)
+            seen = probe(shared.value, batch)
+            for part, marks in _with_marks(batch.select(list(range(len(names)))), seen, place):
+                keys = np.zeros(part.num_rows, dtype=np.uint64)
+                empty = np.ones(part.num_rows, dtype=bool)
+                rows = np.flatnonzero(marks)
+                if len(rows):
+                    texts = pa.RecordBatch.from_arrays([part.column(place).take(pa.array(rows))], names=["text"])
+                    _, _, size, key = shingle_sets(texts, width)
+                    keys[rows], empty[rows] = key, size == 0
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(marks), pa.array(keys.view(np.int64), mask=empty)], names=[*names, mark_name, key_name]
+                )
+
+    schema = StructType([*docs.schema.fields, StructField(mark_name, BooleanType()), StructField(key_name, LongType())])
+    with batches_of(spark, TEXT_ROWS):
+        marked = docs.select("*", *doubtful.columns(id_col, bits)).mapInArrow(releasing(mark), schema)
+    there = F.col(mark_name) & F.col(f"`{id_col}`").isNotNull() & F.col(key_name).isNotNull()
+    table = _weighed(several, members).withColumnRenamed("key", key_name)
+    group, stay_id, stay_key, row = free_names(marked, "_root", "_stay_id", "_stay_key", "_row")
+    table = table.withColumnsRenamed({"root": group, "stay_id": stay_id, "stay_key": stay_key})
+    chosen = (F.col(f"`{id_col}`") == F.col(stay_id)) & (F.col(key_name) == F.col(stay_key))
+    held = look_up(marked.where(there), table, [key_name], "weight", members.count())
+    held = cut_lineage(held.where(F.col(group).isNull() | chosen))
+    free = held.where(F.col(group).isNull()).select(*[F.col(f"`{c}`") for c in names])
+    whole = F.struct(*[F.col(f"`{c}`") for c in names])
+    one = held.where(F.col(group).isNotNull()).groupBy(group).agg(F.min_by(whole, F.col(f"`{text_col}`")).alias(row)).select(f"{row}.*")
+    passed = marked.where(~F.coalesce(there, F.lit(False))).select(*[F.col(f"`{c}`") for c in names])
+    return passed.union(free).union(one)
+
+
+def _weighed(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """`sets` with `weight`: in how many rows of `members` (doc_id, key, n) each one's key stands."""
+    return sets.drop("first").join(members.groupBy("key").agg(F.count(F.lit(1)).alias("weight")), "key")
+
+
+def _with_marks(batch: pa.RecordBatch, marks: np.ndarray, place: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The batch in slices of bounded text, each with its part of the marks."""
+    at = 0
+    for part in slices(batch.rename_columns([f"c{i}" for i in range(batch.num_columns)]), f"c{place}"):
+        yield part, marks[at : at + part.num_rows]
+        at += part.num_rows

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.llm.skew import free_names
 from lexmill.operators.numbering import number_rows
 from lexmill.session import cut_lineage
 
@@ -157,16 +158,17 @@ def mixed_documents(
     The thresholds, one row per source, are joined; the documents are neither sorted nor joined
     with each other.
     """
+    line, whole, cut, copy = free_names(docs, "_line", "_whole", "_cut", "_copy")
     sized = cut_lineage(
         docs.select(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), slot_of(F.col(id_col)).alias("slot"))
     )
     lines = thresholds(sized, source_targets(sized, **options)).select(
-        F.col("source").alias("_mx_line"), F.col("whole").alias("_mx_whole"), F.col("cut").alias("_mx_cut")
+        F.col("source").alias(line), F.col("whole").alias(whole), F.col("cut").alias(cut)
     )
-    copies = F.col("_mx_whole") + (slot_of(F.col(id_col)) < F.col("_mx_cut")).cast("bigint")
+    copies = F.col(whole) + (slot_of(F.col(id_col)) < F.col(cut)).cast("bigint")
     times = F.least(copies, F.lit(options.get("max_copies", MAX_COPIES))).cast("int")
     return (
-        docs.join(lines, F.col(source_col).eqNullSafe(F.col("_mx_line")))
-        .withColumn("_mx_copy", F.explode(F.array_repeat(F.lit(1), times)))
+        docs.join(lines, F.col(source_col).eqNullSafe(F.col(line)))
+        .withColumn(copy, F.explode(F.array_repeat(F.lit(1), times)))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

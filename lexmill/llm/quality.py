@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm.textkit import releasing
 from lexmill.session import cut_lineage
 
 # The model: at most this many labelled rows of each label, hashed terms, latent dimensions,
@@ -55,6 +56,10 @@ def _slot(term: bytes) -> int:
 _slots: dict[bytes, tuple[int, ...]] = {}
 
 
+def _forget_slots() -> None:
+    _slots.clear()
+
+
 def _shape_slots(shape: bytes) -> tuple[int, ...]:
     """Slots of one word's shape: the run-length form, its signs alone, its length class."""
     got = _slots.get(shape)
@@ -197,7 +202,7 @@ def train(
 
     sample = labelled_sample(docs, labels, label, folds, held_out, limit, id_col, text_col)
     counted = sample.select("text", "label", F.xxhash64("_id", "text").alias("place")).mapInArrow(
-        count, f"label {sample.schema['label'].dataType.simpleString()}, place bigint, terms array<int>, counts array<double>"
+        releasing(count, _forget_slots), f"label {sample.schema['label'].dataType.simpleString()}, place bigint, terms array<int>, counts array<double>"
     )
     found, values = [], []
     for value in (0, 1):
@@ -225,7 +230,7 @@ def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(vote(own, texts))], names=["doc_id", "score"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(score, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(releasing(score, _forget_slots), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def good_documents(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
@@ -240,4 +245,4 @@ def good_documents(docs: DataFrame, model: Model, least: float, text_col: str =
                 texts = [(t or "").encode() for t in part.column(part.schema.names.index(text_col)).to_pylist()]
                 yield part.filter(pa.array(vote(own, texts) >= least))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(releasing(keep, _forget_slots), docs.schema)

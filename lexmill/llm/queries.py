@@ -26,14 +26,7 @@ def bpe_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Lengths and digests of every text's ids and of what they decode to."""
     import public_tokenizers
 
-    path = public_tokenizers.path(BPE_FILE)
-    both = byte_bpe.decode_documents(byte_bpe.encode_documents(docs, path, public_tokenizers.PATTERN), path)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return byte_bpe.digest_documents(docs, public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
 def op1_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ a task's memory does not depend on its number of rows. Only the longest single t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -23,6 +24,8 @@ _LOWER[0x41:0x5B] += 0x20
 _BYTE_VALUES = np.random.default_rng(0x5EED).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C55)
 _powers = np.ones(1, dtype=np.uint64)
+# Powers for words up to this length stay in the worker; longer words get theirs anew.
+KEEP_POWERS = 1 << 16
 
 
 @contextmanager
@@ -37,6 +40,30 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def nothing_kept(*forget: Callable[[], None]) -> Iterator[None]:
+    """For the work of one task: its worker lives on, but caches and freed memory do not stay with it."""
+    try:
+        yield
+    finally:
+        for empty in forget:
+            empty()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
+def releasing(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *forget: Callable[[], None]):
+    """`work` over a task's batches, after which nothing is kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with nothing_kept(*forget):
+            yield from work(batches)
+
+    return run
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = x.astype(np.uint64, copy=True)
@@ -51,11 +78,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def powers(n: int) -> np.ndarray:
     """The first n powers of the hash's multiplier, modulo 2^64."""
     global _powers
-    if len(_powers) < n:
-        grown = np.full(max(n, 1024), _STEP, dtype=np.uint64)
-        grown[0] = 1
-        _powers = np.multiply.accumulate(grown)
-    return _powers[:n]
+    if len(_powers) >= n:
+        return _powers[:n]
+    grown = np.full(max(n, 1024), _STEP, dtype=np.uint64)
+    grown[0] = 1
+    grown = np.multiply.accumulate(grown)
+    if len(grown) <= KEEP_POWERS:
+        _powers = grown
+    return grown[:n]
 
 
 class Words:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.quality import labelled_sample
-from lexmill.llm.textkit import batches_of, distinct_sorted, slices, words_of
+from lexmill.llm.textkit import batches_of, distinct_sorted, releasing, slices, words_of
 from lexmill.session import cut_lineage
 
 # The model is fitted on at most this many labelled rows of each label and keeps at most this
@@ -159,7 +159,7 @@ def _counts(sample: DataFrame, skip: frozenset[str] | None) -> DataFrame:
                 names=["term", "toxic", "clean"],
             )
 
-    counted = sample.select("text", "label").mapInArrow(count, "term string, toxic bigint, clean bigint")
+    counted = sample.select("text", "label").mapInArrow(releasing(count), "term string, toxic bigint, clean bigint")
     return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -216,7 +216,7 @@ def _one_of_each_kind(sample: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, kind], names=[*part.schema.names, "kind"])
 
     marked = sample.select("text", "label", "_id").mapInArrow(
-        smallest, f"text string, label int, _id {sample.schema['_id'].dataType.simpleString()}, kind bigint"
+        releasing(smallest), f"text string, label {sample.schema['label'].dataType.simpleString()}, _id {sample.schema['_id'].dataType.simpleString()}, kind bigint"
     )
     return marked.groupBy("kind", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
@@ -244,7 +244,7 @@ def _clean_statistics(sample: DataFrame, weights: dict[str, float]) -> tuple[Cou
             [pa.array(list(seen.keys()), pa.float64()), pa.array(list(seen.values()), pa.int64())], names=["weight", "n"]
         )
 
-    counted = sample.where(F.col("label") == 0).select("text").mapInArrow(tally, "weight double, n bigint")
+    counted = sample.where(F.col("label") == 0).select("text").mapInArrow(releasing(tally), "weight double, n bigint")
     rows = counted.groupBy("weight").agg(F.sum("n").alias("n")).collect()
     return Counter({r["weight"]: r["n"] for r in rows if r["weight"] > 0}), sum(r["n"] for r in rows)
 
@@ -325,7 +325,7 @@ def find_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(
-        judge,
+        releasing(judge),
         f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, "
         "segments array<struct<start:int,end:int,score:double,chance:double>>, score double",
     )
@@ -343,4 +343,4 @@ def without_toxic(docs: DataFrame, model: Model, least: float, text_col: str = "
                 clean = [probability(significant_segments((t or "").split(), own, memo), own) < least for t in texts]
                 yield part.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(releasing(keep), docs.schema)

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill.llm import jaccard, vector_dedup
 from lexmill.llm.components import connected_components
@@ -84,7 +85,8 @@ def test_jaccard_components(spark, corpus, chunk):
 def test_one_of_each_keeps_columns_and_rows_without_id(spark, corpus):
     rows = [(i + 10, t, "s", "b") for i, t in enumerate(corpus)]
     rows += [rows[50], rows[50], (None, corpus[60], "s", "b"), (None, "no id", "s", "b")]
-    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _doubtful string").drop("_doubtful")
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _doubtful string")
+    frame = frame.select("*", *[F.lit(1).alias(c) for c in ("_bit0", "_nth", "_key", "_root", "key", "root", "weight", "n")])
     kept = jaccard.one_of_each(frame)
     assert kept.columns == frame.columns
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
@@ -94,6 +96,24 @@ def test_one_of_each_keeps_columns_and_rows_without_id(spark, corpus):
     assert jaccard.one_of_each(frame.limit(0)).collect() == []
 
 
+def test_one_of_each_decides_by_row_where_ids_repeat(spark):
+    text = lambda seed: " ".join(f"{seed}{i}" for i in range(30))
+    rows = [(1, text("a")), (2, text("a")), (2, text("b")), (5, text("c")), (5, text("d")), (7, None), (7, ""), (7, " "), (8, text("e")), (8, text("e"))]
+    rows += [(9, text("f") + " x"), (None, text("f")), (3, text("f") + " y")]
+    kept = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    want = [rows[i] for i in (0, 2, 3, 4, 5, 6, 7, 8, 11, 12)]
+    assert collections.Counter(tuple(r) for r in kept.collect()) == collections.Counter(want)
+
+
+def test_components_with_repeated_and_missing_ids(spark):
+    text = lambda seed: " ".join(f"{seed}{i}" for i in range(30))
+    rows = [(None, text("a")), (4, text("a")), (4, text("b")), (6, text("b")), (None, None), (6, "")]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == collections.Counter(
+        [(None, 27, 4), (4, 27, 4), (4, 27, 4), (6, 27, 4), (None, 0, None), (6, 0, 6)]
+    )
+
+
 def test_signature_tree_loses_no_link():
     rnd = random.Random(6)
     for _ in range(20):
@@ -152,6 +172,16 @@ def test_near_vectors(spark, chunk, monkeypatch):
     assert vector_dedup.near_duplicate_vectors(frame.limit(0)).collect() == []
 
 
+def test_vectors_with_repeated_ids_and_extreme_numbers(spark):
+    rows = [
+        (1, [1e-200, 1e-200], 0), (2, [1.0, 0.1], 0), (3, [1e200, 1e200], 0), (3, [2e200, 2e200], 0), (None, [1.0, 1.0], 0), (5, [5e-324, 0.0], 1), (6, [3.0, 0.0], 1),
+    ]
+    got = vector_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()
+    assert collections.Counter((r.vec_id, r.n_links, r.component_id) for r in got) == collections.Counter(
+        [(1, 3, 1), (2, 0, 2), (3, 3, 1), (3, 3, 1), (None, 3, 1), (5, 1, 5), (6, 1, 5)]
+    )
+
+
 def test_leaves_hold_every_point():
     rng = np.random.default_rng(1)
     points = vector_dedup.unit(rng.standard_normal((500, 16)))
