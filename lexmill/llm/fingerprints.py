@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.llm.skew import look_up
 from lexmill.llm.textkit import mix64, slices, words_of
 from lexmill.session import cut_lineage
 
@@ -23,6 +25,14 @@ RADIUS = 10
 RANGES_PER_PARTITION = 4
 MAX_RANGES = 20_000
 
+# Fingerprints of a cell that are compared in one group; blocks that a table looks at, at most; what
+# comparing a pair costs, in rows of a table.
+CHUNK = 2_048
+MOST_BLOCKS = 4
+PAIR_COST = 0.0025
+# In a group of one chunk every pair counts.
+BOTH = 2
+
 _LANE = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -81,70 +91,157 @@ def distance(high: Column, low: Column, high2: Column, low2: Column) -> Column:
     return F.bit_count(high.bitwiseXOR(high2)) + F.bit_count(low.bitwiseXOR(low2))
 
 
-def _masks(radius: int) -> list[tuple[int, int]]:
-    """The (high, low) masks of radius + 2 blocks; two fingerprints within the radius agree in two of them at least."""
-    cuts = [BITS * i // (radius + 2) for i in range(radius + 3)]
-    whole = [(1 << BITS - a) - (1 << BITS - b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return [(mask >> 64, mask & (1 << 64) - 1) for mask in whole]
+def tables_for(count: int, radius: int) -> list[tuple[int, ...]]:
+    """The blocks that each table looks at, for so many fingerprints.
 
+    With radius + k blocks, two fingerprints within the radius agree in k of them at least, so
+    one table for each k blocks misses none. A larger k means more tables, that is more rows, and
+    smaller cells, that is fewer comparisons; the cheapest is taken. Results do not depend on it.
+    """
+    def cost(k: int) -> float:
+        return math.comb(radius + k, k) * (1.0 + PAIR_COST * count / 2.0 ** (BITS * k / (radius + k)))
 
-def _signed(value: int) -> Column:
-    return F.lit(value - (1 << 64) if value >> 63 else value).cast("bigint")
+    best = min(range(1, MOST_BLOCKS + 1), key=cost)
+    return list(combinations(range(radius + best), best))
 
 
-def _in_tables(members: DataFrame, radius: int) -> DataFrame:
-    """(key, high, low, members): every fingerprint under each two of its blocks; the key's last 16 bits are the table."""
-    masks = _masks(radius)
-    pairs = [(i, j) for j in range(len(masks)) for i in range(j)]
+def _masks(blocks: int) -> list[tuple[np.uint64, np.uint64]]:
+    """The (high, low) masks of so many consecutive blocks of bits."""
+    cuts = [BITS * i // blocks for i in range(blocks + 1)]
+    whole = [(1 << BITS - a) - (1 << BITS - b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [(np.uint64(mask >> 64), np.uint64(mask & (1 << 64) - 1)) for mask in whole]
+
+
+def _in_tables(members: DataFrame, tables: list[tuple[int, ...]], blocks: int) -> DataFrame:
+    """(cell, high, low, members): every fingerprint in each table; the cell's last 16 bits are the table's number."""
+    masks = _masks(blocks)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
                 high, low = (part.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-                for i, j in pairs:
-                    both = [np.uint64(masks[i][half] | masks[j][half]) for half in (0, 1)]
-                    key = mix64(mix64((high & both[0]) + _LANE) ^ (low & both[1])) & ~np.uint64(0xFFFF) | np.uint64(i << 8 | j)
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *part.columns], names=["key", "high", "low", "members"])
+                for number, table in enumerate(tables):
+                    both = [np.bitwise_or.reduce([masks[b][half] for b in table]) for half in (0, 1)]
+                    cell = mix64(mix64((high & both[0]) + _LANE) ^ (low & both[1])) & ~np.uint64(0xFFFF) | np.uint64(number)
+                    yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), *part.columns], names=["cell", "high", "low", "members"])
 
-    return members.select("high", "low", "members").mapInArrow(deal, "key bigint, high bigint, low bigint, members bigint")
+    return members.select("high", "low", "members").mapInArrow(deal, "cell bigint, high bigint, low bigint, members bigint")
 
 
-def _near(members: DataFrame, radius: int) -> DataFrame:
-    """All pairs of different fingerprints within `radius` bits, each once, with the numbers of their rows.
+def near_in_groups(
+    group: np.ndarray, table: np.ndarray, side: np.ndarray, high: np.ndarray, low: np.ndarray, tables: list[tuple[int, ...]], blocks: int, radius: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, row, bits) of the pairs of one group that are near and first met in its table.
 
-    A pair is reported by the table of the first two blocks in which it agrees. Rows are never
-    paired unless two blocks agree. Both sides are the same shuffled rows, and the join may split
-    a key that very many fingerprints share.
+    Rows are sorted by group; all groups are worked on at once, each row against the one so many
+    places further on. `side` tells the two chunks of a group apart, of which only pairs across
+    count, or is BOTH. A pair counts in the table of the first blocks in which it agrees.
+    """
+    masks = _masks(blocks)
+    last = np.array([t[-1] for t in tables])
+    found: list[tuple[np.ndarray, ...]] = []
+    rows, step = np.arange(len(group) - 1), 1
+    while len(rows):
+        rows = rows[rows + step < len(group)]
+        rows = rows[group[rows] == group[rows + step]]
+        other = rows + step
+        apart_high, apart_low = high[rows] ^ high[other], low[rows] ^ low[other]
+        bits = np.bitwise_count(apart_high) + np.bitwise_count(apart_low)
+        near = (bits <= radius) & ((side[rows] == BOTH) | (side[rows] != side[other]))
+        if near.any():
+            one, two = rows[near], other[near]
+            agree = np.stack([((apart_high[near] & a) == 0) & ((apart_low[near] & b) == 0) for a, b in masks])
+            own = table[one]
+            here = np.ones(len(one), dtype=bool)
+            for k in range(len(tables[0])):
+                here &= agree[np.array([t[k] for t in tables])[own], np.arange(len(one))]
+            before = (agree & (np.arange(blocks)[:, None] < last[own][None, :])).sum(axis=0)
+            here &= before == len(tables[0]) - 1
+            found.append((one[here], two[here], bits[near][here]))
+        step += 1
+    if not found:
+        return (np.zeros(0, dtype=np.int64),) * 3
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _compared(members: DataFrame, radius: int, pairs: bool, chunk: int) -> DataFrame:
+    """Partial counts (high, low, others) of near rows, or the pairs (high, low, high2, low2, bits) themselves.
+
+    The fingerprints of a cell are compared inside a task; a cell of more than `chunk` is cut into
+    chunks, and each two of them are a group of their own. Without `pairs` no pair is ever a row.
     """
-    left = _in_tables(members, radius)
-    right = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("high", "low", "members")])
-    bits = distance(F.col("high"), F.col("low"), F.col("high2"), F.col("low2"))
-    ordered = (F.col("high") < F.col("high2")) | ((F.col("high") == F.col("high2")) & (F.col("low") < F.col("low2")))
-    apart = [F.col(half).bitwiseXOR(F.col(f"{half}2")) for half in ("high", "low")]
-    agree = [(apart[0].bitwiseAND(_signed(a)) == 0) & (apart[1].bitwiseAND(_signed(b)) == 0) for a, b in _masks(radius)]
-    agreeing = F.array_compact(F.array(*[F.when(same, F.lit(i).cast("bigint")) for i, same in enumerate(agree)]))
-    first = F.shiftleft(F.get(agreeing, F.lit(0)), 8).bitwiseOR(F.get(agreeing, F.lit(1)))
-    pairs = left.join(right, "key").where(ordered & (bits <= radius) & (F.col("key").bitwiseAND(F.lit(0xFFFF)) == first))
-    return pairs.select("high", "low", "members", "high2", "low2", "members2", bits.alias("bits"))
-
-
-def near_pairs(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    count = members.count()
+    tables = tables_for(count, radius)
+    blocks = radius + len(tables[0])
+    seats = _in_tables(members, tables, blocks)
+    crowded = seats.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk)
+    crowded = cut_lineage(crowded.withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int")))
+    dealt = look_up(seats, crowded, ["cell"], "n", count * len(tables)).withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("high", "low"), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    two = F.greatest("own", "with")
+    # Cells keep their table in the last bits, so do groups.
+    group = F.xxhash64("cell", F.least("own", "with"), two).bitwiseAND(F.lit(~0xFFFF)).bitwiseOR(F.col("cell").bitwiseAND(F.lit(0xFFFF)))
+    side = F.when(F.col("own") == F.col("with"), F.lit(BOTH)).otherwise((F.col("own") == two).cast("int"))
+    groups = dealt.select(F.when(F.col("chunks") > 1, group).otherwise(F.col("cell")).alias("group"), "high", "low", "members", side.alias("side"))
+    groups = groups.repartition("group").sortWithinPartitions("group", "high", "low")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+
+        def out(columns: list[np.ndarray]) -> pa.RecordBatch | None:
+            group, high, low, weight, side = columns
+            table = (group & 0xFFFF).astype(np.int64)
+            one, two, bits = near_in_groups(group, table, side, high.view(np.uint64), low.view(np.uint64), tables, blocks, radius)
+            if not len(one):
+                return None
+            if pairs:
+                turned = (high[one] > high[two]) | ((high[one] == high[two]) & (low[one] > low[two]))
+                one, two = np.where(turned, two, one), np.where(turned, one, two)
+                columns = [high[one], low[one], high[two], low[two]]
+                return pa.RecordBatch.from_arrays(
+                    [*map(pa.array, columns), pa.array(bits.astype(np.int32))], names=["high", "low", "high2", "low2", "bits"]
+                )
+            others = np.bincount(one, weights=weight[two], minlength=len(group)) + np.bincount(two, weights=weight[one], minlength=len(group))
+            some = np.flatnonzero(others)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(high[some]), pa.array(low[some]), pa.array(others[some].astype(np.int64))], names=["high", "low", "others"]
+            )
+
+        for batch in batches:
+            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            if held is not None:
+                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
+            # The last group may go on in the next batch.
+            cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
+            made = out([c[:cut] for c in now])
+            if made is not None:
+                yield made
+            held = [c[cut:] for c in now]
+        if held is not None:
+            made = out(held)
+            if made is not None:
+                yield made
+
+    shape = "high bigint, low bigint, high2 bigint, low2 bigint, bits int" if pairs else "high bigint, low bigint, others bigint"
+    return groups.mapInArrow(link, shape)
+
+
+def near_pairs(fingerprints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
     """(high, low, high2, low2, bits): all pairs of different fingerprints within `radius` bits, each once.
 
     `fingerprints` has distinct (high, low).
     """
-    return _near(fingerprints.select("high", "low", F.lit(1).cast("bigint").alias("members")), radius).drop("members", "members2")
+    return _compared(fingerprints.select("high", "low", F.lit(1).cast("bigint").alias("members")), radius, True, chunk)
 
 
-def near_counts(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(high, low, n_near): for each fingerprint, how many other rows lie within `radius` bits."""
+def near_counts(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
+    """(high, low, copies, n_near): for each fingerprint its rows, and how many other rows lie within `radius` bits."""
     members = cut_lineage(prints.groupBy("high", "low").agg(F.count(F.lit(1)).alias("members")))
-    side = lambda own, other: F.struct(F.col(f"high{own}").alias("high"), F.col(f"low{own}").alias("low"), F.col(f"members{other}").alias("others"))
-    sides = _near(members, radius).select(F.explode(F.array(side("", "2"), side("2", ""))).alias("s")).select("s.*")
-    linked = sides.groupBy("high", "low").agg(F.sum("others").alias("linked"))
+    linked = _compared(members, radius, False, chunk).groupBy("high", "low").agg(F.sum("others").alias("linked"))
     return members.join(linked, ["high", "low"], "left").select(
-        "high", "low", (F.col("members") - 1 + F.coalesce("linked", F.lit(0))).cast("bigint").alias("n_near")
+        "high", "low", F.col("members").alias("copies"), (F.col("members") - 1 + F.coalesce("linked", F.lit(0))).cast("bigint").alias("n_near")
     )
 
 
@@ -206,11 +303,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     follow = Window.partitionBy("range").orderBy("place")
     made = made.select("*", F.lead("own_high").over(follow).alias("next_high"), F.lead("own_low").over(follow).alias("next_low"))
     own = made.where(~F.col("guest"))
-    # Written, so that the join below can split a fingerprint that very many copies share.
     near = cut_lineage(near_counts(own.select(F.col("own_high").alias("high"), F.col("own_low").alias("low")), radius))
+    near = near.withColumnsRenamed({"high": "own_high", "low": "own_low"})
     likeness = lambda high, low: 1.0 - distance(F.col("own_high"), F.col("own_low"), F.col(high), F.col(low)) / float(BITS)
     return (
-        own.join(near, (F.col("own_high") == F.col("high")) & (F.col("own_low") == F.col("low")))
+        look_up(own, near, ["own_high", "own_low"], "copies", own.count())
         .select(
             "doc_id", "n_chars", "edited_sha256",
             shown(F.col("own_high"), F.col("own_low")).alias("fingerprint"),
