@@ -1,6 +1,7 @@
 """Tokens, fingerprints, licences and language-model scores against brute force."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -204,10 +205,28 @@ def test_block_tables_find_all_pairs(spark):
             prints.append([b - 2**64 if b >= 2**63 else b for b in bits])
     prints = sorted({tuple(p) for p in prints})
     frame = spark.createDataFrame(prints, "high bigint, low bigint")
-    for radius in (1, 3):
-        got = {((r.high, r.low), (r.high2, r.low2)) for r in fingerprints.near_pairs(frame, radius).collect()}
-        far = lambda a, b: sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b, strict=True))
-        assert got == {(a, b) for a in prints for b in prints if a < b and far(a, b) <= radius}
+    far = lambda a, b: sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b, strict=True))
+    for radius, chunk in ((1, 2048), (3, 2048), (10, 2048), (10, 6)):
+        got = [((r.high, r.low), (r.high2, r.low2)) for r in fingerprints.near_pairs(frame, radius, chunk).collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == {(a, b) for a in prints for b in prints if a < b and far(a, b) <= radius}
+
+
+def test_more_fingerprints_take_more_selective_tables(spark, monkeypatch):
+    sizes = [len(fingerprints.tables_for(n, 10)) for n in (10, 10**6, 10**8, 10**10)]
+    assert sizes == sorted(sizes) and sizes[0] == 11 and len(set(sizes)) > 2
+    rnd = np.random.default_rng(9)
+    base = rnd.integers(-(2**62), 2**62, (12, 2), dtype=np.int64)
+    rows = np.repeat(base, 10, axis=0)
+    rows[:, 0] ^= rnd.integers(0, 2**62, 120) & rnd.integers(0, 2**62, 120) & rnd.integers(0, 2**62, 120) & rnd.integers(0, 2**62, 120)
+    frame = spark.createDataFrame(rows.tolist(), "high bigint, low bigint")
+    counts = []
+    for cost in (0.0025, 1e9):
+        monkeypatch.setattr(fingerprints, "PAIR_COST", cost)
+        counts.append(sorted(tuple(r) for r in fingerprints.near_counts(frame, chunk=5).collect()))
+    assert counts[0] == counts[1]
+    far = lambda a, b: sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b, strict=True))
+    assert {(h, lo): n for h, lo, _, n in counts[0]} == {tuple(a): sum(far(a, b) <= 10 for b in rows.tolist()) - 1 for a in rows.tolist()}
 
 
 def test_near_counts_of_changed_copies(spark):
@@ -248,7 +267,7 @@ def test_suffix_tree_scores(docs, empty, spark):
     assert suffix_model.suffix_scores(empty).collect() == []
 
 
-def test_suffix_tree_learns_contexts_and_adds_up(spark):
+def test_suffix_tree_learns_contexts(spark):
     rnd = random.Random(1)
     rows = []
     for i in range(400):
@@ -257,77 +276,87 @@ def test_suffix_tree_learns_contexts_and_adds_up(spark):
             words += rnd.choice([["a", "b", "c"], ["x", "b", "d"], ["e"], [f"r{rnd.randint(0, 50)}"]])
         rows.append((i, " ".join(words)))
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
-    model, _ = suffix_model.train(frame.select("text"))
-    one, two = model.levels
-    assert len(one.codes) and len(two.codes)
-    words = len(model.hashes)
-    base = (model.counts + 1) / (model.tokens + model.types + 1)
-    rest = 1 - base.sum()
-    every = np.arange(words)
-    for place in range(len(one.codes)):
-        after = suffix_model._after(one, np.full(words, place), every, base, words)
-        assert after.sum() + one.rest[place] * rest == pytest.approx(1)
-    for place in range(len(two.codes)):
-        short = suffix_model._find(one.codes, np.full(words, two.codes[place] % words))
-        lower = suffix_model._after(one, short, every, base, words)
-        left = one.rest[short[0]] * rest if short[0] >= 0 else rest
-        after = suffix_model._after(two, np.full(words, place), every, lower, words)
-        assert after.sum() + two.rest[place] * left == pytest.approx(1)
     scored = [r for r in suffix_model.suffix_scores(frame).collect() if r.held_out]
     assert sum(r.score for r in scored) > 0.8 * sum(r.base_score for r in scored)
 
 
+def suffix_tree(texts):
+    """(chance, rest, counts): the tree of lists of words, grown as long as a shorter context of late was kept, in plain loops."""
+    seen = collections.defaultdict(collections.Counter)
+    longest = max(map(len, texts))
+    for words in texts:
+        for k in range(1, min(longest, 9) + 1):
+            seen[k].update(tuple(words[a : a + k]) for a in range(len(words) - k + 1))
+    tokens, types, rest = sum(seen[1].values()), len(seen[1]), {}
+
+    @functools.cache
+    def share(run):
+        n = seen[len(run)][run]
+        return (n - suffix_model.DISCOUNT) / seen[len(run) - 1][run[:-1]] if n >= suffix_model.MIN_NEXT else 0.0
+
+    def chance(run):
+        while len(run) > 1 and run[:-1] not in rest:
+            run = run[1:]
+        if len(run) == 1:
+            return (seen[1][run] + 1) / (tokens + types + 1)
+        return share(run) + rest[run[:-1]] * chance(run[1:])
+
+    after = collections.defaultdict(list)
+    for k in range(2, 10):
+        for run in seen[k]:
+            after[run[:-1]].append(run)
+    contexts = [c for c, n in seen[1].items() if n >= suffix_model.MIN_CONTEXT and c != (None,)]
+    idle = dict.fromkeys(contexts, 0)
+    while contexts:
+        kept, further, since = {}, [], {}
+        for context in contexts:
+            runs = [r for r in after[context] if seen[len(r)][r] >= suffix_model.MIN_NEXT]
+            if not runs:
+                continue
+            further += [r for r in runs if seen[len(r)][r] >= suffix_model.MIN_CONTEXT and r[-1] is not None]
+            left, lower = 1 - sum(map(share, runs)), {r: chance(r[1:]) for r in runs}
+            mixed = {r: share(r) + left * lower[r] for r in runs}
+            gain = sum(p * math.log(p / lower[r]) for r, p in mixed.items()) + left * (1 - sum(lower.values())) * math.log(left)
+            if seen[len(context)][context] * gain >= suffix_model.MIN_GAIN:
+                kept[context] = left
+            since[context] = 0 if context in kept else idle[context] + 1
+        rest |= kept
+        idle = {r: since[r[1:]] for r in further if since.get(r[1:], 9) < suffix_model.PATIENCE}
+        contexts = list(idle)
+    return chance, rest, seen[1]
+
+
 @pytest.mark.parametrize("share", [None, 0.01, 2.0])
-def test_suffix_tree_keeps_rare_and_long_contexts(spark, monkeypatch, share):
+def test_suffix_tree_keeps_rare_long_and_hot_contexts(spark, monkeypatch, share):
     """Against brute force, whatever is broadcast and whatever is joined."""
-    for name in ("WORD_SHARE", "CONTEXT_SHARE", "NEXT_SHARE") if share else ():
-        monkeypatch.setattr(suffix_model, name, share)
+    if share:
+        monkeypatch.setattr(suffix_model, "WORD_SHARE", share)
         monkeypatch.setattr(suffix_model, "HOT_WEIGHTS", 0 if share > 1 else 50)
+        monkeypatch.setattr(suffix_model, "GATHER", 700)
     rnd = random.Random(2)
     rows = []
     for i in range(300):
         words = []
         while len(words) < 40:
-            # The word after "m n" depends on the one before; "q0 r0" and so on are rare.
+            # The word after "m n" depends on the one before, that after "e f g" on the third before;
+            # "q0 r0" and so on are rare; "hot" stands before everything.
             side, k = rnd.choice("uv"), rnd.randint(0, 30)
-            words += rnd.choice([[side, "m", "n", side * 2], [f"q{k}", f"r{k}", f"s{k}"], [f"z{rnd.randint(0, 60)}"], ["m", "n"]])
+            words += rnd.choice([
+                [side, "m", "n", side * 2], [f"q{k}", f"r{k}", f"s{k}"], [f"z{rnd.randint(0, 60)}"], ["m", "n"], ["hot", f"w{rnd.randint(0, 200)}"],
+                [side * 3, "e", "f", "g", side * 4],
+            ])
         rows.append((i, " ".join(words)))
     texts = [t.split() + [None] for _, t in rows]
     held = [zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
-    seen = [collections.Counter() for _ in range(suffix_model.DEPTH + 2)]
-    for words, out in zip(texts, held, strict=True):
-        for k in range(1, suffix_model.DEPTH + 2) if not out else ():
-            seen[k].update(tuple(words[a : a + k]) for a in range(len(words) - k + 1))
-    tokens, types = sum(seen[1].values()), len(seen[1])
-    rest = {}
-
-    def chance(run):
-        if len(run) == 1:
-            return (seen[1][run] + 1) / (tokens + types + 1)
-        lower = chance(run[1:])
-        if run[:-1] not in rest:
-            return lower
-        n = seen[len(run)][run]
-        share = (n - suffix_model.DISCOUNT) / seen[len(run) - 1][run[:-1]] if n >= suffix_model.MIN_NEXT else 0.0
-        return share + rest[run[:-1]] * lower
-
-    for k in range(1, suffix_model.DEPTH + 1):
-        after = collections.defaultdict(dict)
-        for run, n in seen[k + 1].items():
-            if n >= suffix_model.MIN_NEXT and seen[k][run[:-1]] >= suffix_model.MIN_CONTEXT:
-                after[run[:-1]][run] = n
-        found = {}
-        for context, runs in after.items():
-            shares = {run: (n - suffix_model.DISCOUNT) / seen[k][context] for run, n in runs.items()}
-            left, lower = 1 - sum(shares.values()), {run: chance(run[1:]) for run in runs}
-            mixed = {run: shares[run] + left * lower[run] for run in runs}
-            gain = sum(p * math.log(p / lower[run]) for run, p in mixed.items()) + left * (1 - sum(lower.values())) * math.log(left)
-            if seen[k][context] * gain >= suffix_model.MIN_GAIN:
-                found[context] = left
-        rest |= found
-    assert any(len(c) == 3 for c in rest)
+    chance, rest, counts = suffix_tree([words for words, out in zip(texts, held, strict=True) if not out])
+    assert ("hot",) in rest and any(len(c) == 4 for c in rest)
+    for context in [c for c in rest if len(c) > 1][:20]:
+        unseen = 1 / (sum(counts.values()) + len(counts) + 1)
+        for a in range(len(context)):
+            unseen *= rest.get(context[a:], 1.0)
+        assert sum(chance((*context, w)) for (w,) in counts) + unseen == pytest.approx(1)
     got = suffix_model.suffix_scores(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     for row in got:
         words = texts[row.doc_id]
-        want = sum(math.log10(chance(tuple(words[max(0, a - suffix_model.DEPTH) : a + 1]))) for a in range(len(words)))
+        want = sum(math.log10(chance(tuple(words[max(0, a - 8) : a + 1]))) for a in range(len(words)))
         assert row.score == pytest.approx(want, rel=1e-9)
