@@ -305,8 +305,10 @@ def read_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(ranks)
 
 
-# A worker reads a rank file once, whatever the number of its tasks.
-load_vocabulary = lru_cache(maxsize=1)(read_vocabulary)
+@lru_cache(maxsize=1)
+def load_vocabulary(path: str) -> Vocabulary:
+    """A worker reads a rank file once, whatever the number of its tasks."""
+    return read_vocabulary(path)
 
 
 def encode_text(text: str, vocabulary: Vocabulary, split: regex.Pattern) -> np.ndarray:

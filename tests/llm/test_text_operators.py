@@ -149,6 +149,15 @@ def test_bpe_over_documents(docs, empty, tokenizer):
     assert byte_bpe.encode_documents(empty, PATH, PATTERN).collect() == []
 
 
+def test_bpe_digests_equal_ids_and_bytes(docs, empty):
+    """One pass gives what encoding and decoding by themselves give, NULL, repeated and id-less rows included."""
+    both = byte_bpe.decode_documents(byte_bpe.encode_documents(docs, PATH, PATTERN), PATH).collect()
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+    want = collections.Counter((r.doc_id, len(r.ids), sha(",".join(map(str, r.ids)).encode()), sha(bytes(r.decoded))) for r in both)
+    assert collections.Counter(tuple(r) for r in byte_bpe.digest_documents(docs, PATH, PATTERN).collect()) == want
+    assert byte_bpe.digest_documents(empty, PATH, PATTERN).collect() == []
+
+
 def test_licenses_against_brute_force(docs, empty):
     out = licenses.summary(licenses.scan_licenses(docs)).collect()
     texts = {i * 3: t for i, t in enumerate(TEXTS)} | {None: "no id"}
