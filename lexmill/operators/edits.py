@@ -12,6 +12,7 @@ from lexmill.functions.hashing import to_json
 from lexmill.operators import cells as C
 from lexmill.operators.numbering import HOT_FLOOR, join_to_parent, number_rows
 from lexmill.session import cut_lineage
+from lexmill.sources.buckets import BucketedTable
 
 HUMAN = "human:web"
 
@@ -92,6 +93,7 @@ def apply_changes_strict(
     drifted = there.join(tried.outcomes.where("status = 'drift'"), "change_id", "left_semi").withColumn("reason", F.lit("drift"))
     columns = ["word_id", "seq", "reason"]
     refused = judged.where("reason IS NOT NULL").select(*columns).unionByName(lost.select(*columns)).unionByName(drifted.select(*columns))
+    refused = cut_lineage(refused)
     # Every change of a word without a fault applies, so the last one of a cell gives its value.
     accepted = there.join(refused.select("word_id").distinct(), "word_id", "left_anti")
     newest = F.max_by(F.struct("new_value"), F.struct("seq", "change_id"))
@@ -114,6 +116,30 @@ def apply_changes_strict(
     return out
 
 
+def apply_changes_in_place(
+    tables: dict[str, BucketedTable], changes: DataFrame, now: Column | None = None, floor: int = HOT_FLOOR
+) -> dict[str, DataFrame]:
+    """`apply_changes_strict` written into bucketed tables, each keyed by its own id.
+
+    Only the buckets that hold a row named by a change are read, and only those in which an
+    accepted change lies are rewritten. Returns `audit`, `refused` and `words_changed`.
+    """
+    def rows_named(given: DataFrame, name: str) -> DataFrame:
+        key = EDITABLE[name][0]
+        mine = given.where(F.split_part("field_path", F.lit("."), F.lit(1)) == name)
+        return mine.select(F.col("word_id" if name == "words" else "target_id").try_cast(tables[name].schema[key].dataType).alias(key)).where(F.col(key).isNotNull())
+
+    parts = {name: table.holding(rows_named(changes, name)) for name, table in tables.items()}
+    out = apply_changes_strict(parts, changes, now, floor)
+    # Everything is settled before the first file is replaced.
+    done = {name: cut_lineage(out[name]) for name in ("audit", "refused", "words_changed")}
+    for name, table in tables.items():
+        buckets = table.buckets_of(rows_named(done["audit"], name))
+        if buckets:
+            table.replace(out[name].where(table.bucket().isin(*buckets)), buckets)
+    return done
+
+
 def status_change(words: DataFrame, wanted: DataFrame, column: str = "status") -> DataFrame:
     """Changes that set one word field: `wanted` is (word_id, new_value, editor_id)."""
     current = words.select("word_id", F.col(column).cast("string").alias("old_value"))

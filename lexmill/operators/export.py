@@ -11,6 +11,7 @@ from lexmill.operators import tables as O
 from lexmill.operators.documents import serving_payload
 from lexmill.operators.numbering import HOT_FLOOR, join_to_parent, number_rows
 from lexmill.session import cut_lineage
+from lexmill.sources.buckets import BucketedTable
 
 CHILDREN = ("meanings", "sentences", "mnemonics", "phrases")
 
@@ -131,6 +132,17 @@ def apply_refresh(serving: DataFrame, refresh: dict[str, DataFrame]) -> DataFram
     return serving.join(touched, "word_id", "left_anti").unionByName(refresh["upsert"].select(*serving.columns))
 
 
+def apply_refresh_in_place(serving: BucketedTable, refresh: dict[str, DataFrame]) -> list[int]:
+    """`apply_refresh` written into a serving table keyed by word_id; returns the rewritten buckets."""
+    upsert, remove = cut_lineage(refresh["upsert"]), cut_lineage(refresh["remove"].select("word_id"))
+    touched = upsert.select("word_id").unionByName(remove).distinct()
+    buckets = serving.buckets_of(touched)
+    if buckets:
+        kept = serving.part(buckets).join(touched, "word_id", "left_anti")
+        serving.replace(kept.unionByName(upsert.select(*kept.columns)), buckets)
+    return buckets
+
+
 class Exporter:
     """The export stage of a chain. After it ran, `tables` are the next vocabulary tables.
 

@@ -14,6 +14,7 @@ from lexmill.operators.documents import review_blob
 from lexmill.operators.export import serving_refresh
 from lexmill.operators.numbering import HOT_FLOOR, join_to_parent, position_in_parent
 from lexmill.session import cut_lineage
+from lexmill.sources.buckets import BucketedTable
 
 # The checkers, and what each looks at.
 CHECKERS = ("field_quality", "morphology", "examples", "mnemonic", "pos_consistency")
@@ -205,16 +206,26 @@ def parse_patch_path(patches: DataFrame) -> DataFrame:
     return parsed.withColumn("target", target).withColumn("column_name", column).drop("_f")
 
 
-def apply_patches_skip(
+# The tables that patches change: name of the target, key, columns.
+PATCHED = {
+    "meanings": ("meaning", "meaning_id", ["cn_paraphrase", "en_paraphrase"]),
+    "sentences": ("sentence", "sentence_id", ["form", "translation"]),
+    "mnemonics": ("mnemonic", "mnemonic_id", ["text"]),
+}
+
+
+def resolve_patches(
     meanings: DataFrame, sentences: DataFrame, mnemonics: DataFrame, patches: DataFrame,
     sentence_order: tuple = ("sentence_id",), floor: int = HOT_FLOOR,
 ) -> dict[str, DataFrame]:
-    """Apply (word_id, seq, op, path, old_value, new_value); a drifted patch is skipped, the rest apply.
+    """What patches (word_id, seq, op, path, old_value, new_value) change; a drifted one is skipped, the rest apply.
 
     Positions of meanings and examples are those before the first patch. Nothing happens for
     an address out of range or an unknown path. After a delete, a later patch of that row has
     nothing to change: drift for a meaning's field if it names an old value, else no effect.
-    Returns the next tables and `outcomes` (word_id, seq, op, path, status applied/drift/none).
+    Returns `values` (cell, value) of the cells that get another value, the ids in
+    `gone_meanings` and `gone_sentences`, and `outcomes` (word_id, seq, op, path, status
+    applied/drift/none).
     """
     parsed = cut_lineage(parse_patch_path(patches).withColumn("change_id", F.concat_ws(":", "word_id", "seq")))
     # Only rows of words with a patch are numbered, and sentences only of meanings in one.
@@ -225,7 +236,8 @@ def apply_patches_skip(
     s_at = position_in_parent(below, ["meaning_id"], list(sentence_order), "j", floor).select(
         "meaning_id", "j", "sentence_id", "form", "translation"
     )
-    first = mnemonics.groupBy("word_id").agg(F.min_by(F.struct("mnemonic_id", "text"), "mnemonic_id").alias("_m"))
+    told = mnemonics.join(parsed.where("target = 'mnemonic'").select("word_id").distinct(), "word_id", "left_semi")
+    first = told.groupBy("word_id").agg(F.min_by(F.struct("mnemonic_id", "text"), "mnemonic_id").alias("_m"))
     on_m = join_to_parent(parsed.where("target IN ('meaning', 'sentence')"), m_at, ["word_id", "i"], "left", floor)
     plain = on_m.where("target = 'meaning'").select(
         *parsed.columns, "meaning_id", F.col("meaning_id").cast("string").alias("row_id"),
@@ -270,15 +282,48 @@ def apply_patches_skip(
     gone_s = deleting.where("target = 'sentence' AND status = 'applied'").select(
         F.col("row_id").try_cast(sentences.schema["sentence_id"].dataType).alias("sentence_id")
     ).distinct()
-    next_m = C.write_cells(meanings, "meaning", "meaning_id", ["cn_paraphrase", "en_paraphrase"], folded.values)
-    next_s = C.write_cells(sentences, "sentence", "sentence_id", ["form", "translation"], folded.values)
-    next_n = C.write_cells(mnemonics, "mnemonic", "mnemonic_id", ["text"], folded.values)
-    return {
-        "meanings": next_m.drop("written").join(gone_m, "meaning_id", "left_anti"),
-        "sentences": next_s.drop("written").join(gone_m, "meaning_id", "left_anti").join(gone_s, "sentence_id", "left_anti"),
-        "mnemonics": next_n.drop("written"),
-        "outcomes": outcomes,
-    }
+    before = cells.withColumnRenamed("value", "_before")
+    values = folded.values.join(before, C.CELL).where(~F.col("value").eqNullSafe(F.col("_before"))).drop("_before")
+    return {"values": values, "gone_meanings": gone_m, "gone_sentences": gone_s, "outcomes": outcomes}
+
+
+def apply_patches_skip(
+    meanings: DataFrame, sentences: DataFrame, mnemonics: DataFrame, patches: DataFrame,
+    sentence_order: tuple = ("sentence_id",), floor: int = HOT_FLOOR,
+) -> dict[str, DataFrame]:
+    """The next three tables after `resolve_patches`, and its `outcomes`."""
+    plan = resolve_patches(meanings, sentences, mnemonics, patches, sentence_order, floor)
+    tables = {"meanings": meanings, "sentences": sentences, "mnemonics": mnemonics}
+    out = {name: C.write_cells(tables[name], *PATCHED[name], plan["values"]).drop("written") for name in tables}
+    out["meanings"] = out["meanings"].join(plan["gone_meanings"], "meaning_id", "left_anti")
+    out["sentences"] = out["sentences"].join(plan["gone_meanings"], "meaning_id", "left_anti").join(plan["gone_sentences"], "sentence_id", "left_anti")
+    return out | {"outcomes": plan["outcomes"]}
+
+
+def apply_patches_in_place(
+    tables: dict[str, BucketedTable], patches: DataFrame, sentence_order: tuple = ("sentence_id",), floor: int = HOT_FLOOR
+) -> dict[str, DataFrame]:
+    """`apply_patches_skip` written into bucketed meanings, sentences and mnemonics, each keyed by its own id.
+
+    Only buckets in which a value changes or a row goes are rewritten. Returns the tables as
+    they are then, and `outcomes`.
+    """
+    rows = {name: table.read() for name, table in tables.items()}
+    plan = resolve_patches(rows["meanings"], rows["sentences"], rows["mnemonics"], patches, sentence_order, floor)
+    # Everything is settled before the first file is replaced.
+    values, outcomes, gone_m = (cut_lineage(plan[name]) for name in ("values", "outcomes", "gone_meanings"))
+    below = rows["sentences"].join(gone_m, "meaning_id", "left_semi").select("sentence_id")
+    gone = {"meanings": gone_m, "sentences": cut_lineage(plan["gone_sentences"].unionByName(below).distinct())}
+    for name, table in tables.items():
+        target, key, columns = PATCHED[name]
+        touched = values.where(F.col("table_name") == target).select(F.col("row_id").try_cast(table.schema[key].dataType).alias(key))
+        if name in gone:
+            touched = touched.unionByName(gone[name])
+        buckets = table.buckets_of(touched)
+        if buckets:
+            written = C.write_cells(table.part(buckets), target, key, columns, values).drop("written")
+            table.replace(written.join(gone[name], key, "left_anti") if name in gone else written, buckets)
+    return {name: table.read() for name, table in tables.items()} | {"outcomes": outcomes}
 
 
 def review_records(blobs: DataFrame, gathered: DataFrame, proposed: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -291,7 +336,7 @@ def review_records(blobs: DataFrame, gathered: DataFrame, proposed: DataFrame, o
 
 
 def review_words(
-    targets: DataFrame, tables: dict[str, DataFrame], packages: DataFrame, cache: DataFrame | I.AnswerStore, fn: I.ModelFn, model: str,
+    targets: DataFrame, tables: dict[str, DataFrame | BucketedTable], packages: DataFrame, cache: DataFrame | I.AnswerStore, fn: I.ModelFn, model: str,
     sentence_order: tuple = ("sentence_id",), parallel: int | None = None,
 ) -> dict[str, DataFrame]:
     """Review the target words (a DataFrame with word_id) from documents to refreshed serving rows.
@@ -300,7 +345,12 @@ def review_words(
     are applied where the values have not drifted. A word with a failed check gets no patch.
     Returns `records` for the log, the next `meanings`, `sentences` and `mnemonics`, the patch
     `outcomes`, and the serving rows to `upsert` and `remove` of the words that changed.
+
+    Where these three tables are given as bucketed tables, patches are written into them: only
+    buckets with a patched row are rewritten, and the tables are read again afterwards.
     """
+    buckets = {name: table for name, table in tables.items() if isinstance(table, BucketedTable)}
+    tables = tables | {name: table.read() for name, table in buckets.items()}
     ids = targets.select("word_id").distinct()
     words = tables["words"].join(ids, "word_id", "left_semi")
     meanings = tables["meanings"].join(ids, "word_id", "left_semi")
@@ -311,7 +361,10 @@ def review_words(
     whole = blobs.where("part_no = 0")
     proposed = cut_lineage(propose_patches(gathered.where("check_error IS NULL").join(whole, "word_id"), cache, fn, model, parallel))
     patches = proposed.select("word_id", F.inline("patches"))
-    done = apply_patches_skip(tables["meanings"], tables["sentences"], tables["mnemonics"], patches, sentence_order)
+    if PATCHED.keys() <= buckets.keys():
+        done = apply_patches_in_place({name: buckets[name] for name in PATCHED}, patches, sentence_order)
+    else:
+        done = apply_patches_skip(tables["meanings"], tables["sentences"], tables["mnemonics"], patches, sentence_order)
     outcomes = cut_lineage(done["outcomes"])
     changed = outcomes.where("status = 'applied'").select("word_id").distinct()
     following = tables | {name: done[name] for name in ("meanings", "sentences", "mnemonics")}

@@ -6,11 +6,12 @@ upstream payloads as `up_<stage>`; its output is (word_id, payload, error, ...).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lexmill.functions import lookups
 from lexmill.functions import nested as N
@@ -18,6 +19,7 @@ from lexmill.functions import text as T
 from lexmill.functions.hashing import stage_fingerprint, to_json
 from lexmill.operators import ledger as G
 from lexmill.session import cut_lineage
+from lexmill.sources.buckets import BucketedTable
 
 StageFn = Callable[[DataFrame], DataFrame]
 
@@ -122,9 +124,10 @@ def stage_worklist(
 
 @dataclass
 class StageRun:
-    """`artifacts` are the stage's own rows only; those of other stages are not touched."""
+    """`artifacts` are the stage's own rows only, of which this run wrote `fresh`; those of other stages are not touched."""
 
     artifacts: DataFrame
+    fresh: DataFrame
     ledger: DataFrame
     hits: DataFrame
     survivors: DataFrame
@@ -169,6 +172,7 @@ def run_stage(
     failed = done.where("error IS NOT NULL").select("word_id")
     return StageRun(
         artifacts=kept.select(*ARTIFACT).unionByName(fresh),
+        fresh=fresh,
         ledger=attempts,
         hits=listed.where("hit").select("word_id"),
         survivors=words.join(failed, "word_id", "left_anti"),
@@ -184,19 +188,43 @@ class ChainRun:
     dead_letters: DataFrame | None = None
 
 
+class ArtifactStore:
+    """Artifacts under a folder of the caller's: one bucketed table per stage, keyed by word.
+
+    A run of a stage rewrites the buckets of the words that it worked on, in that stage's table
+    and no other.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, buckets: int):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.schema = StructType([schema[c] for c in ARTIFACT])
+
+    def of(self, stage: str) -> BucketedTable:
+        return BucketedTable.open(self.spark, f"{self.root}/{stage}", self.schema, ["word_id"], self.buckets)
+
+    def read(self, stages: Iterable[str]) -> DataFrame:
+        out = self.spark.createDataFrame([], self.schema)
+        for stage in sorted(set(stages)):
+            out = out.unionByName(self.of(stage).read())
+        return out
+
+
 def stage_chain(
-    stages: Sequence[Stage], words: DataFrame, artifacts: DataFrame, batch_id: str | None = None,
+    stages: Sequence[Stage], words: DataFrame, artifacts: DataFrame | ArtifactStore, batch_id: str | None = None,
     batches: DataFrame | None = None, force: bool = False, now: Column | None = None,
     history: DataFrame | None = None, dead_letters: DataFrame | None = None,
 ) -> ChainRun:
     """Run stages in order on the words that survive, checking the budget before each.
 
-    After a stage its own artifacts are written, and no others, so plans stay short and a
-    restart finds the finished stages. Only counts come to the driver: one row per stage.
+    After a stage the artifacts that it made are written, and no others: into the store, where
+    a later run finds them, or beside the given table. A stage without work writes none. Only
+    counts come to the driver: one row per stage.
     With `dead_letters`, the result holds them and a new one for each word and stage whose
     failures in `history` (an earlier ledger) and this run reach the threshold.
     """
-    artifacts = artifacts.select(*ARTIFACT)
+    store = artifacts if isinstance(artifacts, ArtifactStore) else None
+    named = {name for s in stages for name in (s.name, *s.upstream, *s.soft)}
+    artifacts = artifacts.select(*ARTIFACT) if store is None else store.read(named)
 
     def ended(stopped_at: str | None = None) -> ChainRun:
         letters = None
@@ -217,10 +245,16 @@ def stage_chain(
             if verdict == "blocked":
                 return ended(stage.name)
         run = run_stage(stage, words, artifacts, batch, force, now)
-        others = artifacts.where(F.col("stage_name") != stage.name)
-        artifacts = others.unionByName(cut_lineage(run.artifacts))
         spent = run.ledger if spent is None else spent.unionByName(run.ledger)
         counts = run.ledger.agg(F.count_if(F.col("status") == "ok"), F.count_if(F.col("status") == "failed")).collect()[0]
+        if counts[0] and store is not None:
+            store.of(stage.name).upsert(run.fresh, [F.lit(1)])
+            artifacts = store.read(named)
+        elif counts[0]:
+            fresh = cut_lineage(run.fresh)
+            mine = F.col("stage_name") == stage.name
+            kept = artifacts.where(mine).join(fresh.select("word_id"), "word_id", "left_anti").select(*ARTIFACT)
+            artifacts = artifacts.where(~mine).unionByName(kept).unionByName(fresh)
         report.append((stage.name, counts[0], counts[1], run.hits.count()))
         if counts[1]:
             words = cut_lineage(run.survivors)

@@ -15,6 +15,7 @@ from lexmill.plans.dictionary_stages import EMPTY_CACHE
 from lexmill.plans.registry import query
 from lexmill.plans.standins import VIEW_SQL
 from lexmill.session import fresh_path
+from lexmill.sources.buckets import BucketedTable
 
 
 def reviewer_stub(calls: pd.DataFrame) -> pd.DataFrame:
@@ -254,6 +255,36 @@ def apply_patches_sentences(t):
     return _patched(t)["sentences"].select("sentence_id", "meaning_id", "translation")
 
 
+BUCKETS = 16
+
+
+def _dealt(t, name, rows, key):
+    return BucketedTable.create(rows, fresh_path(t.spark, f"table-{name}"), [key], BUCKETS)
+
+
+@query(
+    "patches_in_place",
+    """WITH fm AS (SELECT meaning_id, arg_max('new' || seq, seq) AS v FROM patch_rows WHERE kind = 0 AND status = 'applied' GROUP BY 1),
+    fs AS (SELECT sentence_id, arg_max('new' || seq, seq) AS v FROM patch_rows WHERE kind = 2 AND status = 'applied' GROUP BY 1),
+    gone AS (SELECT meaning_id FROM patch_rows WHERE kind = 3 AND status = 'applied')
+    SELECT 'meaning' AS kind, CAST(meaning_id AS VARCHAR) AS id, word_id AS parent, coalesce(v, cn_paraphrase) AS label
+    FROM dom_meanings LEFT JOIN fm USING (meaning_id) WHERE meaning_id NOT IN (SELECT meaning_id FROM gone)
+    UNION ALL SELECT 'sentence', sentence_id, meaning_id, coalesce(v, translation) FROM dom_sentences LEFT JOIN fs USING (sentence_id)
+    WHERE meaning_id NOT IN (SELECT meaning_id FROM gone)
+      AND sentence_id NOT IN (SELECT sentence_id FROM patch_rows WHERE kind = 5 AND status = 'applied')""",
+)
+def patches_in_place(t):
+    """The patches written into tables of buckets, and the tables as they are then."""
+    tables = {
+        "meanings": _dealt(t, "meanings", t.dom_meanings, "meaning_id"), "sentences": _dealt(t, "sentences", t.dom_sentences, "sentence_id"),
+        "mnemonics": _dealt(t, "mnemonics", t.dom_mnemonics, "mnemonic_id"),
+    }
+    done = R.apply_patches_in_place(tables, _patches(t), t.sentence_order)
+    meanings = done["meanings"].select(F.lit("meaning").alias("kind"), F.col("meaning_id").cast("string").alias("id"), F.col("word_id").alias("parent"), F.col("cn_paraphrase").alias("label"))
+    sentences = done["sentences"].select(F.lit("sentence").alias("kind"), F.col("sentence_id").alias("id"), F.col("meaning_id").alias("parent"), F.col("translation").alias("label"))
+    return meanings.unionByName(sentences)
+
+
 # --- strict changes ---------------------------------------------------------
 
 NOW = "2024-06-01"
@@ -308,6 +339,23 @@ def apply_changes_meanings(t):
     return _strict(t)["meanings"].select("meaning_id", "cn_paraphrase")
 
 
+@query(
+    "changes_in_place",
+    f"""WITH f AS (SELECT word_id, arg_max('c' || seq, seq) AS v FROM change_rows WHERE accepted AND form GROUP BY 1)
+    SELECT 'word' AS kind, word_id AS id, coalesce(v, form) AS label, CASE WHEN v IS NULL THEN updated_at ELSE TIMESTAMP '{NOW}' END AS updated_at
+    FROM dom_words LEFT JOIN f USING (word_id)
+    UNION ALL SELECT 'meaning', meaning_id, CASE WHEN accepted AND NOT c.form THEN 'c' || seq ELSE cn_paraphrase END, NULL
+    FROM dom_meanings JOIN change_rows c ON seq = meaning_id""",
+)
+def changes_in_place(t):
+    """The changes written into tables of buckets, and the tables as they are then."""
+    tables = {"words": _dealt(t, "words", t.dom_words.drop("c_nationkey"), "word_id"), "meanings": _dealt(t, "meanings", t.dom_meanings, "meaning_id")}
+    E.apply_changes_in_place(tables, _changes(t), F.lit(NOW).cast("timestamp_ntz"))
+    words = tables["words"].read().select(F.lit("word").alias("kind"), F.col("word_id").alias("id"), F.col("form").alias("label"), "updated_at")
+    meanings = tables["meanings"].read().select(F.lit("meaning").alias("kind"), F.col("meaning_id").alias("id"), F.col("cn_paraphrase").alias("label"), F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    return words.unionByName(meanings)
+
+
 @query(
     "edit_audit",
     """SELECT word_id, CASE WHEN form THEN 'words.form' ELSE 'meanings.cn_paraphrase' END AS field_path,

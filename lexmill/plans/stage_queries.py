@@ -340,14 +340,14 @@ def run_stage(t):
 
 @query(
     "registered_stages",
-    """WITH d AS (SELECT doc_id AS word_id, text FROM documents WHERE doc_id % 3 = 0)
+    """WITH d AS (SELECT doc_id AS word_id, text FROM documents)
     SELECT word_id, 'lines' AS stage_name, 'ok' AS status, CAST(len(string_split(text, chr(10))) AS VARCHAR) AS payload FROM d
     UNION ALL SELECT word_id, 'digest', CASE WHEN len(string_split(text, chr(10))) > 1 THEN 'ok' ELSE 'failed' END,
            CASE WHEN len(string_split(text, chr(10))) > 1 THEN '"' || md5(text) || '"' END FROM d""",
 )
 def registered_stages(t):
     """Stages, a model, a validator and a rule of a user's own, found by name and run over the texts."""
-    texts = t.read("documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("word_id"), "text")
+    texts = t.read("documents").select(F.col("doc_id").alias("word_id"), "text")
 
     def lines(df):
         return df.join(texts, "word_id").select("word_id", F.size(F.split("text", "\n")).cast("string").alias("payload"))
@@ -373,6 +373,9 @@ def registered_stages(t):
     return run.ledger.join(made, ["word_id", "stage_name"], "left").select("word_id", "stage_name", "status", "payload")
 
 
+ARTIFACT_BUCKETS = 8
+
+
 def run_dictionary(t, tables=None):
     """All eight stages over every document, twice, the second time with force; answers are kept in between."""
     raw = dictionary(t).select(F.col("doc_id").alias("word_id"), F.to_json("doc").alias("raw")).where("word_id % 17 <> 16")
@@ -382,8 +385,9 @@ def run_dictionary(t, tables=None):
     words = t.pipe_words.select(F.col("id").alias("word_id"), F.col("normalized_form").alias("form"), "type")
     export = None if tables is None else X.Exporter(tables)
     stages = DS.dictionary_stages(raw, glossary, store, DS.stub_model, parallel=8, export=export)
-    run = S.stage_chain(stages, words, t.spark.createDataFrame([], DS.EMPTY_ARTIFACTS))
-    return run, export, lambda: S.stage_chain(DS.dictionary_stages(raw, glossary, store, DS.stub_model, parallel=8), words, run.artifacts, force=True)
+    artifacts = S.ArtifactStore(t.spark, fresh_path(t.spark, "artifacts"), t.spark.createDataFrame([], DS.EMPTY_ARTIFACTS).schema, ARTIFACT_BUCKETS)
+    run = S.stage_chain(stages, words, artifacts)
+    return run, export, lambda force=True: S.stage_chain(DS.dictionary_stages(raw, glossary, store, DS.stub_model, parallel=8), words, artifacts, force=force)
 
 
 CHAIN_SQL = """WITH s AS (SELECT unnest(['fetch_dict', 'paraphrase', 'phonetic', 'derivatives', 'examples', 'mnemonic', 'quality_gate', 'export']) AS stage_name)
@@ -408,6 +412,18 @@ def stage_chain_again(t):
     return again.ledger.groupBy("stage_name").agg(F.sum(tokens).alias("tokens"))
 
 
+@query(
+    "stage_chain_idle",
+    """SELECT stage_name, CASE WHEN stage_name = 'fetch_dict' THEN (SELECT count(*) FROM documents WHERE doc_id % 17 = 16) ELSE 0 END AS attempts,
+              (SELECT count(*) FROM documents WHERE doc_id % 17 <> 16) AS hits
+       FROM (SELECT unnest(['fetch_dict', 'paraphrase', 'phonetic', 'derivatives', 'examples', 'mnemonic', 'quality_gate', 'export']) AS stage_name)""",
+)
+def stage_chain_idle(t):
+    """An unforced second run asks again for what failed and finds everything else in the store."""
+    report = run_dictionary(t)[2](force=False).report
+    return t.spark.createDataFrame([(name, ok + failed, hits) for name, ok, failed, hits in report], "stage_name string, attempts bigint, hits bigint")
+
+
 # --- export -----------------------------------------------------------------
 
 VIEW_SQL["old_words"] = """
