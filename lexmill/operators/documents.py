@@ -1,8 +1,8 @@
 """Nested documents assembled bottom-up: serving payload, review blob, package entry.
 
-Sentences are collected under meanings, then everything that belongs to a word is collected
-in a single shuffle on word_id. Arrays are bounded (see nesting.py): a word with more
-children than fit one document continues in further parts.
+Sentences are joined under meanings, then everything that belongs to a word is joined in a
+single shuffle on word_id. Children are JSON text before they are collected, and are put
+together in two levels (see nesting.py), so a word is one document whatever its size.
 """
 
 from __future__ import annotations
@@ -11,12 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
 from lexmill.functions import lookups
 from lexmill.functions import text as T
 from lexmill.functions.hashing import to_json
-from lexmill.operators.nesting import PART_SIZE, nest_children
+from lexmill.operators.nesting import FRAGMENTS, PART_SIZE, joined_children, nest_children
 from lexmill.operators.numbering import HOT_FLOOR, join_to_parent
 
 PAYLOAD_SCHEMA_VERSION = 1
@@ -33,66 +32,40 @@ def sentences_with_word(sentences: DataFrame, meanings: DataFrame, floor: int =
     return join_to_parent(sentences, parents, ["meaning_id"], "inner", floor)
 
 
+def _object(head: Column, **lists: Column) -> Column:
+    """JSON of a struct, to which lists are added whose members are JSON already; NULL is the empty list."""
+    text = to_json(head)
+    opened = F.left(text, F.length(text) - 1)
+    return F.concat(opened, *[F.concat(F.lit(f',"{name}":['), F.coalesce(members, F.lit("")), F.lit("]")) for name, members in lists.items()], F.lit("}"))
+
+
 def _meanings_with_sentences(
-    meanings: DataFrame,
-    sentences: DataFrame,
-    sentence_order: Sequence[Column | str],
-    sentence_item: Column,
-    part_size: int,
-    floor: int,
+    meanings: DataFrame, sentences: DataFrame, sentence_order: Sequence[Column | str], sentence: Column, fragments_at_once: int, floor: int
 ) -> DataFrame:
-    """Meanings with a `sentences` array; a meaning with too many sentences has several rows."""
-    nested = nest_children(
-        sentences, ["meaning_id"], sentence_order, sentence_item, "sentences", part_size, floor
-    )
-    rows = meanings.join(nested, "meaning_id", "left")
-    empty = F.array().cast(nested.schema["sentences"].dataType)
-    return rows.withColumn("sentences", F.coalesce("sentences", empty)).withColumn(
-        "part_no", F.coalesce("part_no", F.lit(0))
-    )
+    """Meanings with `_sentences`: their sentences as JSON, in order and joined by commas."""
+    nested = joined_children(sentences, ["meaning_id"], sentence_order, {"_sentences": to_json(sentence)}, fragments_at_once, floor)
+    return meanings.join(nested, "meaning_id", "left")
 
 
 def _attach_children(
-    words: DataFrame,
-    kinds: dict[str, tuple[DataFrame, list[Column], Column]],
-    weigh: DataFrame,
-    part_size: int,
-    floor: int,
+    words: DataFrame, kinds: dict[str, tuple[DataFrame, list[Column], Column]], fragments_at_once: int, floor: int
 ) -> DataFrame:
-    """Words joined to one array per kind of child.
+    """Words with one text per kind of child: the children's JSON in order, joined by commas.
 
     All kinds travel in one union and one shuffle. Each kind gives its rows (with word_id),
-    up to three numeric order columns, and the item to collect.
+    up to three numeric order columns, and the JSON of a row. Hot words are found by a count of
+    all kinds' rows, and get their texts by broadcast.
     """
-    branches = []
-    for rank, (kind, (rows, order, item)) in enumerate(kinds.items()):
+    union, weigh = None, None
+    for rank, (kind, (rows, order, fragment)) in enumerate(kinds.items()):
         keys = [o.cast("double") if i else o.cast("bigint") for i, o in enumerate(order)]
         keys += [F.lit(0.0)] * (3 - len(keys))
-        branches.append(
-            rows.select(
-                "word_id",
-                F.lit(rank).alias("_kind"),
-                *[k.alias(f"_o{i}") for i, k in enumerate(keys)],
-                item.alias(kind),
-            )
-        )
-    union = branches[0]
-    for branch in branches[1:]:
-        union = union.unionByName(branch, allowMissingColumns=True)
-    item = F.struct("_kind", *kinds)
-    nested = nest_children(
-        union, ["word_id"], ["_kind", "_o0", "_o1", "_o2"], item, "_children", part_size, floor, weigh
-    )
-    out = words.join(nested, "word_id", "left").withColumn("part_no", F.coalesce("part_no", F.lit(0)))
-    arrays = {
-        kind: F.coalesce(_of_kind(rank, kind), F.array().cast(ArrayType(union.schema[kind].dataType)))
-        for rank, kind in enumerate(kinds)
-    }
-    return out.withColumns(arrays).drop("_children")
-
-
-def _of_kind(rank: int, kind: str) -> Column:
-    return F.transform(F.filter("_children", lambda c: c["_kind"] == rank), lambda c: c[kind])
+        branch = rows.select("word_id", F.lit(rank).alias("_kind"), *[k.alias(f"_o{i}") for i, k in enumerate(keys)], fragment.alias(f"_f_{kind}"))
+        union = branch if union is None else union.unionByName(branch, allowMissingColumns=True)
+        weigh = rows.select("word_id") if weigh is None else weigh.unionByName(rows.select("word_id"))
+    fragments = {f"_f_{kind}": F.col(f"_f_{kind}") for kind in kinds}
+    nested = joined_children(union, ["word_id"], ["_kind", "_o0", "_o1", "_o2"], fragments, fragments_at_once, floor, weigh)
+    return words.join(nested, "word_id", "left")
 
 
 def serving_payload(
@@ -103,42 +76,44 @@ def serving_payload(
     phrases: DataFrame,
     packages: DataFrame,
     sentence_order: Sequence[Column | str] = ("sentence_id",),
-    part_size: int = PART_SIZE,
+    fragments_at_once: int = FRAGMENTS,
     floor: int = HOT_FLOOR,
 ) -> DataFrame:
-    """(word_id, part_no, form, type, payload, payload_schema_version) for published words.
+    """(word_id, form, type, payload, payload_schema_version): one row per published word, whatever its size.
 
     Words of another status, or no longer there, simply have no row.
     """
     sentence = F.struct("sentence_id", F.col("form").alias("en"), F.col("translation").alias("cn"))
-    deep = _meanings_with_sentences(meanings, sentences, sentence_order, sentence, part_size, floor)
+    deep = _meanings_with_sentences(meanings, sentences, sentence_order, sentence, fragments_at_once, floor)
     lists = [c for c in ("equivalents", "synonyms", "antonyms") if c in meanings.columns]
     meaning = F.struct(
-        "meaning_id", "pos", "pos_sub", F.col("cn_paraphrase").alias("cn"), F.col("en_paraphrase").alias("en"),
-        *lists, "sentences",
+        "meaning_id", "pos", "pos_sub", F.col("cn_paraphrase").alias("cn"), F.col("en_paraphrase").alias("en"), *lists
     )
     content = F.struct(F.struct("kind", "text").alias("content"), "type")
     first = first_child(mnemonics, "word_id", "mnemonic_id", content, "mnemonic")
     phrase = F.struct("phrase_id", F.col("form").alias("en"), "meaning")
     package = F.struct("package_id", "unit_id", "sort_order", "importance")
     kinds = {
-        "meanings": (deep, [F.col("meaning_id"), F.col("part_no")], meaning),
-        "mnemonic": (first, [F.lit(0)], F.col("mnemonic")),
-        "phrases": (phrases.withColumnRenamed("owner_word_id", "word_id"), [F.col("phrase_id")], phrase),
-        "packages": (packages, [F.col("package_id"), F.col("sort_order"), F.col("unit_id")], package),
+        "meanings": (deep, [F.col("meaning_id")], _object(meaning, sentences=F.col("_sentences"))),
+        "mnemonic": (first, [F.lit(0)], to_json(F.col("mnemonic"))),
+        "phrases": (phrases.withColumnRenamed("owner_word_id", "word_id"), [F.col("phrase_id")], to_json(phrase)),
+        "packages": (packages, [F.col("package_id"), F.col("sort_order"), F.col("unit_id")], to_json(package)),
     }
-    weigh = meanings.select("word_id").unionByName(packages.select("word_id"))
-    entries = _attach_children(words.where(F.col("status") == 1), kinds, weigh, part_size, floor)
-    payload = F.struct(
+    entries = _attach_children(words.where(F.col("status") == 1), kinds, fragments_at_once, floor)
+    head = F.struct(
         "form", "type", "status", F.coalesce("quality_flag", F.lit("none")).alias("quality_flag"),
         F.struct(
             F.col("phonetic_us").alias("us"), F.col("phonetic_uk").alias("uk"), "audio_us", "audio_uk"
         ).alias("phonetic"),
-        "meanings", F.get("mnemonic", F.lit(0)).alias("mnemonic"), "phrases", "packages",
+    )
+    text = _object(head, meanings=F.col("_f_meanings"))
+    told = F.concat(F.lit(',"mnemonic":'), F.coalesce("_f_mnemonic", F.lit("null")))
+    rest = F.concat(
+        F.lit(',"phrases":['), F.coalesce("_f_phrases", F.lit("")), F.lit('],"packages":['), F.coalesce("_f_packages", F.lit("")), F.lit("]}")
     )
     return entries.select(
-        "word_id", F.col("part_no").cast("int").alias("part_no"), "form", "type",
-        to_json(payload).alias("payload"), F.lit(PAYLOAD_SCHEMA_VERSION).alias("payload_schema_version"),
+        "word_id", "form", "type", F.concat(F.left(text, F.length(text) - 1), told, rest).alias("payload"),
+        F.lit(PAYLOAD_SCHEMA_VERSION).alias("payload_schema_version"),
     )
 
 
@@ -153,32 +128,27 @@ def review_blob(
     sentences: DataFrame,
     mnemonics: DataFrame,
     sentence_order: Sequence[Column | str] = ("sentence_id",),
-    part_size: int = PART_SIZE,
+    fragments_at_once: int = FRAGMENTS,
     floor: int = HOT_FLOOR,
 ) -> DataFrame:
-    """(word_id, part_no, form, blob, truncated): what a reviewer model sees of a word."""
+    """(word_id, form, blob, truncated): what a reviewer model sees of a word; its positions are those of the whole word."""
     example = F.struct(F.col("form").alias("en"), F.col("translation").alias("cn"))
-    deep = _meanings_with_sentences(meanings, sentences, sentence_order, example, part_size, floor)
+    deep = _meanings_with_sentences(meanings, sentences, sentence_order, example, fragments_at_once, floor)
     label = lookups.pos_display(F.col("pos"))["pos_en"]
     name = F.when(label != "", label).otherwise(F.coalesce(F.col("pos").cast("string"), F.lit("None")))
     english = T.truncate_text(F.coalesce("en_paraphrase", F.lit("")), "en_paraphrase")
-    meaning = F.struct(
-        "meaning_id", "pos", name.alias("pos_name"), "cn_paraphrase", english.alias("en_paraphrase"),
-        F.col("sentences").alias("examples"),
-    )
+    meaning = F.struct("meaning_id", "pos", name.alias("pos_name"), "cn_paraphrase", english.alias("en_paraphrase"))
     first = first_child(mnemonics, "word_id", "mnemonic_id", F.struct("kind", "text"), "mnemonic")
     kinds = {
-        "meanings": (deep, [F.col("meaning_id"), F.col("part_no")], meaning),
-        "mnemonic": (first, [F.lit(0)], F.col("mnemonic")),
+        "meanings": (deep, [F.col("meaning_id")], _object(meaning, examples=F.col("_sentences"))),
+        "mnemonic": (first, [F.lit(0)], to_json(F.col("mnemonic"))),
     }
-    entries = _attach_children(words, kinds, meanings.select("word_id"), part_size, floor)
+    entries = _attach_children(words, kinds, fragments_at_once, floor)
     skip = {"created_at", "updated_at", "derivatives"}
-    kept = [c for c in words.columns if c not in skip]
-    blob = to_json(F.struct(*kept, "meanings", F.get("mnemonic", F.lit(0)).alias("mnemonic")))
+    whole = _object(F.struct(*[c for c in words.columns if c not in skip]), meanings=F.col("_f_meanings"))
+    blob = F.concat(F.left(whole, F.length(whole) - 1), F.lit(',"mnemonic":'), F.coalesce("_f_mnemonic", F.lit("null")), F.lit("}"))
     return entries.withColumn("_blob", blob).select(
-        "word_id", F.col("part_no").cast("int").alias("part_no"), "form",
-        T.truncate_text(F.col("_blob"), "blob").alias("blob"),
-        T.is_truncated(F.col("_blob"), "blob").alias("truncated"),
+        "word_id", "form", T.truncate_text(F.col("_blob"), "blob").alias("blob"), T.is_truncated(F.col("_blob"), "blob").alias("truncated"),
     )
 
 
@@ -188,30 +158,15 @@ def package_entry(
     sentences: DataFrame,
     mnemonics: DataFrame,
     sentence_order: Sequence[Column | str] = ("sentence_id",),
-    part_size: int = PART_SIZE,
+    fragments_at_once: int = FRAGMENTS,
     floor: int = HOT_FLOOR,
 ) -> DataFrame:
-    """(word_id, part_no, word_json): the document that the app package ships."""
+    """(word_id, word_json): the document that the app package ships."""
     zero = F.lit(0)
     sentence = F.struct(
         F.col("sentence_id").alias("id"), zero.alias("user_group"), "form", F.col("translation").alias("meaning"),
         F.lit("").alias("audio"), zero.alias("is_collected"),
     )
-    deep = _meanings_with_sentences(meanings, sentences, sentence_order, sentence, part_size, floor)
-    labels = lookups.pos_display(F.col("pos"))
-    meaning = F.struct(
-        F.col("meaning_id").alias("id"), labels["pos_en"].alias("pos_en"), labels["pos_cn"].alias("pos_cn"),
-        T.split_gloss(F.col("cn_paraphrase")).alias("pos_meanings"), "sentences",
-    )
-    mnemonic = F.struct(
-        F.col("mnemonic_id").alias("id"), "type", zero.alias("user_group"), zero.alias("is_pinned"),
-        F.coalesce("text", F.lit("")).alias("content"),
-    )
-    kinds = {
-        "meanings": (deep, [F.col("meaning_id"), F.col("part_no")], meaning),
-        "mnemonics": (mnemonics, [F.col("mnemonic_id")], mnemonic),
-    }
-    entries = _attach_children(words, kinds, meanings.select("word_id"), part_size, floor)
 
     def sound(region: str) -> Column:
         return F.struct(
@@ -219,30 +174,25 @@ def package_entry(
             F.coalesce(f"audio_{region}", F.lit("")).alias("audio"),
         )
 
-    entries = entries.withColumn("phonetic_us", sound("us")).withColumn("phonetic_uk", sound("uk"))
-    full = F.transform(
-        "meanings",
-        lambda m: F.struct(
-            m["id"].alias("id"), zero.alias("user_group"), m["pos_en"].alias("pos_en"), m["pos_cn"].alias("pos_cn"),
-            F.col("phonetic_us"), F.col("phonetic_uk"), m["pos_meanings"].alias("pos_meanings"),
-            m["sentences"].alias("sentences"),
-        ),
-    )
-    told = F.transform(
-        "mnemonics",
-        lambda m: F.struct(
-            m["id"].alias("id"), m["type"].alias("type"), m["user_group"].alias("user_group"),
-            F.create_map().cast("map<string,string>").alias("creator"), m["is_pinned"].alias("is_pinned"),
-            m["content"].alias("content"),
-        ),
-    )
-    document = F.struct(
-        F.col("word_id").alias("id"), "type", "form", "phonetic_us", "phonetic_uk",
-        full.alias("meanings"), told.alias("mnemonics"),
+    sounds = words.select("word_id", sound("us").alias("phonetic_us"), sound("uk").alias("phonetic_uk"))
+    deep = _meanings_with_sentences(meanings, sentences, sentence_order, sentence, fragments_at_once, floor)
+    deep = join_to_parent(deep, sounds, ["word_id"], "inner", floor)
+    labels = lookups.pos_display(F.col("pos"))
+    meaning = F.struct(
+        F.col("meaning_id").alias("id"), zero.alias("user_group"), labels["pos_en"].alias("pos_en"), labels["pos_cn"].alias("pos_cn"),
+        "phonetic_us", "phonetic_uk", T.split_gloss(F.col("cn_paraphrase")).alias("pos_meanings"),
     )
-    return entries.select(
-        "word_id", F.col("part_no").cast("int").alias("part_no"), to_json(document).alias("word_json")
+    mnemonic = F.struct(
+        F.col("mnemonic_id").alias("id"), "type", zero.alias("user_group"), F.create_map().cast("map<string,string>").alias("creator"),
+        zero.alias("is_pinned"), F.coalesce("text", F.lit("")).alias("content"),
     )
+    kinds = {
+        "meanings": (deep, [F.col("meaning_id")], _object(meaning, sentences=F.col("_sentences"))),
+        "mnemonics": (mnemonics, [F.col("mnemonic_id")], to_json(mnemonic)),
+    }
+    entries = _attach_children(words, kinds, fragments_at_once, floor)
+    head = F.struct(F.col("word_id").alias("id"), "type", "form", sound("us").alias("phonetic_us"), sound("uk").alias("phonetic_uk"))
+    return entries.select("word_id", _object(head, meanings=F.col("_f_meanings"), mnemonics=F.col("_f_mnemonics")).alias("word_json"))
 
 
 def word_detail(

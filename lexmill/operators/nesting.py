@@ -1,4 +1,4 @@
-"""Collecting children under their parent in bounded pieces."""
+"""Collecting children under their parent: as arrays in bounded parts, or as one text put together in two levels."""
 
 from __future__ import annotations
 
@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.operators.numbering import HOT_FLOOR, position_in_parent
+from lexmill.operators.numbering import HOT_FLOOR, number_in_parent, position_in_parent, split_hot
 
 # No array ever holds more children than this. Parents with more continue in further parts.
 PART_SIZE = 1_000
+# Fragments that are joined at a time.
+FRAGMENTS = 1_000
 
 
 def nest_children(
@@ -37,3 +39,37 @@ def nest_children(
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_item"))).alias("_items"))
         .select(*keys, "part_no", F.col("_items._item").alias(name))
     )
+
+
+def joined_children(
+    children: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    fragments: dict[str, Column],
+    fragments_at_once: int = FRAGMENTS,
+    floor: int = HOT_FLOOR,
+    weigh: DataFrame | None = None,
+) -> DataFrame:
+    """(keys, one text per name): every parent's fragments in order, joined by commas, however many there are.
+
+    A child has one fragment under one of the names and NULL under the others; `order` must be
+    unique among a parent's children. Fragments are already text, so what is collected is no larger than the result. They are joined
+    `fragments_at_once` at a time and the pieces once more. An ordinary parent's rows meet in one
+    shuffle on the keys; those of a parent above `floor` are numbered by a parallel sort, and its
+    pieces made in as many tasks as there are pieces, so that only the pieces meet.
+    """
+    cold, hot, _ = split_hot(children, keys, floor, weigh)
+
+    def joined(placed: DataFrame) -> DataFrame:
+        rows = placed.select(*keys, "_pos", F.expr(f"_pos div {fragments_at_once}").alias("_piece"), *[c.alias(n) for n, c in fragments.items()])
+        pieces = rows.groupBy(*keys, "_piece").agg(*[_in_order("_pos", name) for name in fragments])
+        return pieces.groupBy(*keys).agg(*[_in_order("_piece", name) for name in fragments])
+
+    out = joined(number_in_parent(cold, keys, order, "_pos"))
+    return out if hot is None else out.unionByName(joined(number_in_parent(hot, keys, order, "_pos", hot=True)))
+
+
+def _in_order(place: str, name: str) -> Column:
+    """The texts of a group that are not NULL, in order of `place`, joined by commas; NULL if there are none."""
+    found = F.array_sort(F.collect_list(F.when(F.col(name).isNotNull(), F.struct(F.col(place).alias("p"), F.col(name).alias("t")))))
+    return F.when(F.count(name) > 0, F.array_join(F.transform(found, lambda x: x["t"]), ",")).alias(name)

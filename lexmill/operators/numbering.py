@@ -38,8 +38,12 @@ def split_hot(
     hot = hot_keys(df if weigh is None else weigh, keys, floor)
     if hot is None:
         return df, None, None
-    listed = F.broadcast(hot)
-    return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi"), hot
+    listed = F.broadcast(hot.select(*[F.col(k).alias(f"_hk_{i}") for i, k in enumerate(keys)]))
+    # NULL is a key like any other for a window or a grouping, so it is for this split.
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_hk_{i}"))
+    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi"), hot
 
 
 def _sorted_offsets(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -80,13 +84,24 @@ def _number_hot(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_nr_at").alias("_nr_low"))
         .select(*keys, "_nr_part", "_nr_low", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_nr_before"))
     )
+    offsets = offsets.withColumnsRenamed({k: f"_hk_{i}" for i, k in enumerate(keys)} | {"_nr_part": "_nr_where"})
+    same = F.col("_nr_part") == F.col("_nr_where")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_hk_{i}"))
     return (
-        placed.join(F.broadcast(offsets), [*keys, "_nr_part"])
+        placed.join(F.broadcast(offsets), same)
         .withColumn(name, (F.col("_nr_before") + F.col("_nr_at") - F.col("_nr_low")).cast("bigint"))
-        .drop("_nr_part", "_nr_at", "_nr_low", "_nr_before")
+        .drop("_nr_part", "_nr_at", "_nr_low", "_nr_before", "_nr_where", *[f"_hk_{i}" for i in range(len(keys))])
     )
 
 
+def number_in_parent(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str, hot: bool = False) -> DataFrame:
+    """Zero-based positions by a window, or for rows of hot parents by a parallel sort."""
+    if hot:
+        return _number_hot(df, keys, order, name)
+    return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint"))
+
+
 def position_in_parent(
     df: DataFrame,
     keys: Sequence[str],
@@ -97,11 +112,8 @@ def position_in_parent(
 ) -> DataFrame:
     """Zero-based position of each row among its parent's rows; `order` must be unique."""
     cold, hot, _ = split_hot(df, keys, floor, weigh)
-    spec = Window.partitionBy(*keys).orderBy(*order)
-    numbered = cold.withColumn(name, (F.row_number().over(spec) - 1).cast("bigint"))
-    if hot is not None:
-        numbered = numbered.unionByName(_number_hot(hot, keys, order, name))
-    return numbered
+    numbered = number_in_parent(cold, keys, order, name)
+    return numbered if hot is None else numbered.unionByName(number_in_parent(hot, keys, order, name, hot=True))
 
 
 def join_to_parent(

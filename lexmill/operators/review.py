@@ -77,14 +77,11 @@ def run_checkers(
 ) -> DataFrame:
     """(word_id, checker, issues, error, cost_usd, spent_usd): five calls per word.
 
-    `blobs` is (word_id, blob), or with part_no for a word in several parts, each of which is
-    checked. Issues are JSON objects tagged with their checker; an answer
-    that does not parse, or has no list, counts as no issue. A call that failed has an error
+    `blobs` is (word_id, blob). Issues are JSON objects tagged with their checker; an answer that does not parse, or has no list, counts as no issue. A call that failed has an error
     and says nothing about the word.
     """
-    part = F.col("part_no") if "part_no" in blobs.columns else F.lit(0)
-    calls = blobs.select("word_id", part.alias("part_no"), "blob", F.explode(F.array(*[F.lit(c) for c in CHECKERS])).alias("checker")).select(
-        F.concat_ws(":", "word_id", "part_no", "checker").alias("call_id"), "word_id", "checker",
+    calls = blobs.select("word_id", "blob", F.explode(F.array(*[F.lit(c) for c in CHECKERS])).alias("checker")).select(
+        F.concat_ws(":", "word_id", "checker").alias("call_id"), "word_id", "checker",
         F.lit(f"call:{model}").alias("kind"), F.lit(model).alias("model"), F.lit('{"max_tokens":4000,"temperature":0}').alias("params_json"),
         T.render_prompt(F.lit(CHECK_TEMPLATE), {"checker": F.col("checker"), "blob_json": F.col("blob")}).alias("prompt"),
         F.concat(F.lit('{"checker":"'), "checker", F.lit('","script":"review"}')).alias("input_json"),
@@ -104,7 +101,7 @@ def run_checkers(
 
 
 def gather_issues(checked: DataFrame) -> DataFrame:
-    """(word_id, issues, checker_costs, check_total, check_error): one row per word, five rows in for each of its parts.
+    """(word_id, issues, checker_costs, check_total, check_error): one row per word, five rows in.
 
     Costs are rounded as they are recorded: five places each, four for the total. `check_error`
     names the checkers that failed; a word with one has not been reviewed.
@@ -358,8 +355,7 @@ def review_words(
     mnemonics = tables["mnemonics"].join(ids, "word_id", "left_semi")
     blobs = cut_lineage(review_blob(words, meanings, sentences, mnemonics, sentence_order))
     gathered = cut_lineage(gather_issues(run_checkers(blobs, cache, fn, model, parallel)))
-    whole = blobs.where("part_no = 0")
-    proposed = cut_lineage(propose_patches(gathered.where("check_error IS NULL").join(whole, "word_id"), cache, fn, model, parallel))
+    proposed = cut_lineage(propose_patches(gathered.where("check_error IS NULL").join(blobs, "word_id"), cache, fn, model, parallel))
     patches = proposed.select("word_id", F.inline("patches"))
     if PATCHED.keys() <= buckets.keys():
         done = apply_patches_in_place({name: buckets[name] for name in PATCHED}, patches, sentence_order)
@@ -370,7 +366,7 @@ def review_words(
     following = tables | {name: done[name] for name in ("meanings", "sentences", "mnemonics")}
     refresh = serving_refresh(changed, following, packages, sentence_order=sentence_order)
     return {
-        "records": review_records(whole, gathered, proposed, outcomes),
+        "records": review_records(blobs, gathered, proposed, outcomes),
         "outcomes": outcomes,
         **{name: done[name] for name in ("meanings", "sentences", "mnemonics")},
         **refresh,

@@ -18,8 +18,7 @@ POS_EN = "coalesce(map {1: 'n.', 2: 'v.', 3: 'adj.', 4: 'adv.', 5: 'prep.'}[CAST
 POS_CN = "coalesce(map {1: '名词', 2: '动词', 3: '形容词', 4: '副词', 5: '介词'}[CAST(pos AS INTEGER)], '')"
 
 
-@query(
-    "serving_payload",
+SERVING_SQL = (
     "WITH "
     + NESTED_SENTENCES.replace("{item}", "{'sentence_id': sentence_id, 'en': form, 'cn': translation}")
     + ","
@@ -33,7 +32,7 @@ POS_CN = "coalesce(map {1: '名词', 2: '动词', 3: '形容词', 4: '副词', 5
     k AS (SELECT word_id, list({'package_id': package_id, 'unit_id': unit_id, 'sort_order': sort_order,
                  'importance': importance} ORDER BY package_id, sort_order) AS packages
           FROM dom_packages GROUP BY 1)
-    SELECT word_id, CAST(0 AS INTEGER) AS part_no, form, type,
+    SELECT word_id, form, type,
            CAST(to_json({'form': form, 'type': type, 'status': status, 'quality_flag': quality_flag,
               'phonetic': {'us': phonetic_us, 'uk': phonetic_uk, 'audio_us': audio_us, 'audio_uk': audio_uk},
               'meanings': coalesce(meanings, []), 'mnemonic': mnemonic, 'phrases': coalesce(phrases, []),
@@ -41,8 +40,11 @@ POS_CN = "coalesce(map {1: '名词', 2: '动词', 3: '形容词', 4: '副词', 5
            CAST(1 AS INTEGER) AS payload_schema_version
     FROM dom_words LEFT JOIN m USING (word_id) LEFT JOIN f USING (word_id) LEFT JOIN p USING (word_id)
          LEFT JOIN k USING (word_id)
-    WHERE status = 1""",
+    WHERE status = 1"""
 )
+
+
+@query("serving_payload", SERVING_SQL)
 def serving_payload(t):
     return D.serving_payload(
         t.dom_words, t.dom_meanings, t.dom_sentences, t.dom_mnemonics, t.dom_phrases, t.dom_packages, t.sentence_order
@@ -75,7 +77,7 @@ def serving_removals(t):
                  'status': status, 'quality_flag': quality_flag,
                  'meanings': coalesce(meanings, []), 'mnemonic': mnemonic}}) AS VARCHAR) AS blob
           FROM dom_words LEFT JOIN m USING (word_id) LEFT JOIN f USING (word_id))
-    SELECT word_id, CAST(0 AS INTEGER) AS part_no, form, left(blob, 5500) AS blob, length(blob) > 5500 AS truncated FROM b""",
+    SELECT word_id, form, left(blob, 5500) AS blob, length(blob) > 5500 AS truncated FROM b""",
 )
 def review_blob(t):
     words = t.dom_words.drop("c_nationkey")
@@ -104,7 +106,7 @@ PACKAGE_SQL = (
 )
 
 
-@query("package_entry", PACKAGE_SQL + "SELECT word_id, CAST(0 AS INTEGER) AS part_no, word_json FROM d")
+@query("package_entry", PACKAGE_SQL + "SELECT word_id, word_json FROM d")
 def package_entry(t):
     return D.package_entry(t.dom_words, t.dom_meanings, t.dom_sentences, t.dom_mnemonics, t.sentence_order)
 

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from lexmill.operators import documents as D
 from lexmill.operators import edits as E
+from lexmill.operators import export as X
 from lexmill.operators import inference as I
 from lexmill.operators import review as R
 from lexmill.operators.numbering import join_to_parent, position_in_parent
 from lexmill.plans.dictionary_stages import EMPTY_CACHE
+from lexmill.plans.document_queries import SERVING_SQL
 from lexmill.plans.registry import query
 from lexmill.plans.standins import VIEW_SQL
 from lexmill.session import fresh_path
@@ -372,15 +374,24 @@ def _flags(t, column, value):
 
 @query(
     "status_change",
-    """SELECT word_id, form, CAST(0 AS INTEGER) AS part_no FROM dom_words
-       WHERE CASE WHEN word_id % 3 = 0 THEN 3 - status - 1 ELSE status END = 1""",
+    SERVING_SQL.replace(
+        "FROM dom_words LEFT JOIN m",
+        "FROM (SELECT * REPLACE (CASE WHEN word_id % 3 = 0 THEN 2 - status ELSE status END AS status) FROM dom_words) LEFT JOIN m",
+    ),
 )
 def status_change(t):
-    words = _flags(t, "status", 2 - F.col("status"))
-    served = D.serving_payload(
-        words, t.dom_meanings, t.dom_sentences, t.dom_mnemonics, t.dom_phrases, t.dom_packages, t.sentence_order
-    )
-    return served.select("word_id", "form", "part_no")
+    """The serving table after a change of status: only buckets of changed words are read into documents and rewritten."""
+    tables = {
+        "words": t.dom_words.drop("c_nationkey"), "meanings": t.dom_meanings, "sentences": t.dom_sentences,
+        "mnemonics": t.dom_mnemonics, "phrases": t.dom_phrases,
+    }
+    serving = _dealt(t, "serving", D.serving_payload(*tables.values(), t.dom_packages, t.sentence_order), "word_id")
+    words = _dealt(t, "words", tables["words"], "word_id")
+    wanted = t.dom_words.where("word_id % 3 = 0").select("word_id", (2 - F.col("status")).alias("new_value"), F.lit(1).alias("editor_id"))
+    done = E.apply_changes_in_place({"words": words}, E.status_change(t.dom_words, wanted), F.lit(NOW).cast("timestamp_ntz"))
+    refresh = X.serving_refresh(done["words_changed"], tables | {"words": words.read()}, t.dom_packages, sentence_order=t.sentence_order)
+    X.apply_refresh_in_place(serving, refresh)
+    return serving.read()
 
 
 @query(

@@ -255,6 +255,30 @@ def test_patches_skip_drift(spark, fold_size, monkeypatch):
     assert rows(out["mnemonics"], "text") == [("new",)]
 
 
+def test_review_of_a_large_word_edits_the_meaning_it_was_shown(spark):
+    """A word of 2,000 meanings: the patch goes to the position of the whole word."""
+    def reviewer(batch):
+        fixed = json.dumps({"patches": [{"op": "update", "path": "meanings[1500].cn_paraphrase", "old_value": "c1500", "new_value": "mended"}]})
+        issue = json.dumps({"issues": [{"path": "meanings[1500]", "issue": "dull"}]})
+        texts = [fixed if json.loads(given)["checker"] == "fixer" else issue for given in batch["input_json"]]
+        return pd.DataFrame({"text": texts, "tokens_input": 1, "tokens_output": 1})
+
+    words = spark.createDataFrame([(1, "w", 1, 1, "none")], "word_id bigint, form string, type smallint, status smallint, quality_flag string")
+    words = words.withColumns({c: F.lit(None).cast("string") for c in ("phonetic_us", "phonetic_uk", "audio_us", "audio_uk")})
+    meanings = spark.range(2000).select(
+        (F.col("id") + 10).alias("meaning_id"), F.lit(1).cast("bigint").alias("word_id"), F.concat(F.lit("c"), "id").alias("cn_paraphrase"), F.lit("e").alias("en_paraphrase"),
+        F.lit(1).cast("smallint").alias("pos"), F.lit(None).cast("smallint").alias("pos_sub"),
+    )
+    sentences = spark.createDataFrame([], "sentence_id bigint, meaning_id bigint, form string, translation string")
+    mnemonics = spark.createDataFrame([], "mnemonic_id bigint, word_id bigint, type smallint, kind string, text string")
+    phrases = spark.createDataFrame([], "phrase_id bigint, owner_word_id bigint, form string, meaning string")
+    packages = spark.createDataFrame([], "package_id bigint, unit_id bigint, word_id bigint, sort_order double, importance int")
+    tables = {"words": words, "meanings": meanings, "sentences": sentences, "mnemonics": mnemonics, "phrases": phrases}
+    out = R.review_words(words.select("word_id"), tables, packages, spark.createDataFrame([], DS.EMPTY_CACHE), reviewer, "m")
+    assert rows(out["meanings"].where("cn_paraphrase = 'mended'"), "meaning_id") == [(1510,)] and out["meanings"].count() == 2000
+    assert out["upsert"].count() == 1 and rows(out["records"], "issue_count", "applied") == [(5, 1)]
+
+
 CHANGE = "word_id bigint, seq int, field_path string, target_id bigint, op string, old_value string, new_value string, editor_id bigint"
 
 

@@ -203,7 +203,7 @@ def test_serving_payload(spark):
 
     tables = entity_tables(spark)
     out = D.serving_payload(*tables).collect()
-    assert [(r["word_id"], r["part_no"]) for r in out] == [(1, 0)]
+    assert [r["word_id"] for r in out] == [1]
     doc = json.loads(out[0]["payload"])
     assert [m["meaning_id"] for m in doc["meanings"]] == [4, 5]
     assert [s["sentence_id"] for s in doc["meanings"][1]["sentences"]] == [1, 2, 3]
@@ -211,14 +211,41 @@ def test_serving_payload(spark):
     assert [p["unit_id"] for p in doc["packages"]] == [1, 2]
 
 
-def test_serving_payload_in_parts(spark):
+@pytest.mark.parametrize("floor", [1_000_000, 1])
+def test_a_word_is_one_document_whatever_its_size(spark, floor):
     import json
 
-    out = D.serving_payload(*entity_tables(spark), part_size=2, floor=1).orderBy("part_no").collect()
-    docs = [json.loads(r["payload"]) for r in out]
-    assert len(docs) > 1 and [r["part_no"] for r in out] == list(range(len(docs)))
-    assert [s["sentence_id"] for d in docs for m in d["meanings"] for s in m["sentences"]] == [1, 2, 3]
-    assert sum(len(d["packages"]) for d in docs) == 2 and sum(len(d["phrases"]) for d in docs) == 1
+    words, _, _, mnemonics, phrases, packages = entity_tables(spark)
+    meanings = spark.range(5000).select(
+        F.col("id").alias("meaning_id"), F.when(F.col("id") % 100 == 7, 3).otherwise(1).cast("bigint").alias("word_id"), F.lit(1).cast("smallint").alias("pos"),
+        F.lit(None).cast("smallint").alias("pos_sub"), F.concat(F.lit("a；b "), "id").alias("cn_paraphrase"), F.lit('q"uote').alias("en_paraphrase"),
+    )
+    sentences = spark.range(3000).select(
+        F.col("id").alias("sentence_id"), F.when(F.col("id") < 2500, 5).otherwise(F.col("id") - 2500).cast("bigint").alias("meaning_id"), F.lit("s").alias("form"), F.lit("t").alias("translation")
+    )
+    mine = [i for i in range(5000) if i % 100 != 7]
+    below = {5: [*range(2500), 2505]} | {i: [2500 + i] for i in range(500) if i != 5}
+    out = D.serving_payload(words, meanings, sentences, mnemonics, phrases, packages, fragments_at_once=300, floor=floor).collect()
+    doc = json.loads(out[0]["payload"])
+    assert len(out) == 1 and [m["meaning_id"] for m in doc["meanings"]] == mine
+    assert all([x["sentence_id"] for x in m["sentences"]] == below.get(m["meaning_id"], []) for m in doc["meanings"])
+    assert list(doc) == ["form", "type", "status", "quality_flag", "phonetic", "meanings", "mnemonic", "phrases", "packages"]
+    assert doc["mnemonic"]["content"]["text"] == "early" and len(doc["packages"]) == 2 and len(doc["phrases"]) == 1
+    packed = {r["word_id"]: json.loads(r["word_json"]) for r in D.package_entry(words, meanings, sentences, mnemonics, floor=floor).collect()}
+    assert [m["id"] for m in packed[1]["meanings"]] == mine and packed[1]["meanings"][0]["phonetic_us"] == {"form": "u", "audio": ""}
+    assert packed[2]["meanings"] == [] and len(packed[3]["meanings"]) == 50 and [m["content"] for m in packed[1]["mnemonics"]] == ["early", "late"]
+    blobs = {r["word_id"]: (r["blob"], r["truncated"]) for r in D.review_blob(words, meanings, sentences, mnemonics, floor=floor).collect()}
+    assert len(blobs) == 3 and blobs[1][1] and '"meaning_id":2,' in blobs[1][0] and json.loads(blobs[2][0])["meanings"] == []
+
+
+def test_hot_null_keys_are_split(spark):
+    from lexmill.operators import numbering
+
+    rows = spark.createDataFrame([(None, i) for i in range(50)] + [(1, i) for i in range(60)] + [(2, 0)], "k int, v int").repartition(4)
+    cold, hot, _ = numbering.split_hot(rows, ["k"], floor=10)
+    assert cold.count() == 1 and hot.count() == 110
+    placed = numbering.position_in_parent(rows, ["k"], ["v"], floor=10).collect()
+    assert len(placed) == 111 and all(r["position"] == r["v"] for r in placed)
 
 
 def test_package_entry(spark):
@@ -355,11 +382,11 @@ def test_answers_that_are_no_json_have_an_error(spark):
     assert [(r["method"], r["error"] is None) for r in out] == [(None, False), ("extracted", True), (None, False), ("plain", True)]
 
 
-def test_package_keeps_all_parts(spark, tmp_path):
-    parts = spark.createDataFrame([(2, 0, "c"), (1, 1, "b"), (1, 0, "a")], "word_id bigint, part_no int, word_json string")
-    W.export_packaged_json(parts, str(tmp_path / "p"))
-    back = spark.read.schema("word_id bigint, part_no int, word_json string").json(str(tmp_path / "p"))
-    assert sorted(map(tuple, back.collect())) == [(1, 0, "a"), (1, 1, "b"), (2, 0, "c")]
+def test_package_has_one_line_per_word(spark, tmp_path):
+    entries = spark.createDataFrame([(2, "c"), (1, "a")], "word_id bigint, word_json string")
+    W.export_packaged_json(entries, str(tmp_path / "p"))
+    back = spark.read.schema("word_id bigint, word_json string").json(str(tmp_path / "p"))
+    assert sorted(map(tuple, back.collect())) == [(1, "a"), (2, "c")]
 
 
 def test_export_twice_updates_what_it_inserted(spark):
