@@ -107,51 +107,70 @@ def _call_model(fn: ModelFn) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.D
 
 
 CACHE = "kind string, cache_key string, text string, cost_usd decimal(10,6)"
+ANSWERS_PER_WRITER = 100_000
 
 
 class AnswerStore:
-    """Paid answers as a table that only grows, under a folder of the caller's.
+    """Paid answers as a table that only grows, in a folder of the caller's, dealt into buckets by key.
 
-    It is partitioned by the first `digits` hexadecimal digits of the key; the same number must
-    be given each time. An answer that was stored twice is read once.
+    The table is one of Spark's own bucketed tables, registered in the session under a name made
+    of its path, and registered again by the next session. A lookup joins on the key alone, which
+    names its kind, so Spark shuffles the calls to the store's buckets and leaves the store where
+    it is. `buckets` is a power of two and must be the same each time. An answer that was
+    stored twice is read once.
     """
 
-    def __init__(self, spark: SparkSession, path: str, digits: int = 1):
-        self.spark = spark
-        self.digits = digits
-        self.path = path.rstrip("/")
-        self._table(spark.createDataFrame([], CACHE)).write.mode("append").partitionBy("prefix").parquet(self.path)
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        if buckets < 1 or buckets & (buckets - 1):
+            raise ValueError("the number of buckets must be a power of two")
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+        self.name = f"answers_{hashlib.sha256(self.path.encode()).hexdigest()[:24]}"
+        place = self.path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({CACHE}) USING parquet CLUSTERED BY (cache_key) INTO {buckets} BUCKETS LOCATION '{place}'")
 
-    def _table(self, rows: DataFrame) -> DataFrame:
-        prefix = F.left("cache_key", F.lit(self.digits)).alias("prefix")
-        return rows.select("kind", "cache_key", "text", "cost_usd", prefix).repartition("prefix")
+    def _table(self) -> DataFrame:
+        # Another session may have added files.
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name)
 
-    def read(self) -> DataFrame:
-        stored = self.spark.read.schema(CACHE + ", prefix string").parquet(self.path)
+    def _once(self, rows: DataFrame) -> DataFrame:
         first = F.min_by(F.struct("text", "cost_usd"), F.struct("text", "cost_usd")).alias("_a")
-        return stored.groupBy("kind", "cache_key").agg(first).select("kind", "cache_key", "_a.*")
+        return rows.groupBy("kind", "cache_key").agg(first).select("kind", "cache_key", "_a.*")
+
+    def read(self) -> DataFrame:
+        return self._once(self._table())
+
+    def lookup(self, asked: DataFrame) -> DataFrame:
+        """The answers to the keys in `asked` (cache_key); only these are aggregated, the store is not shuffled."""
+        return self._once(self._table().join(asked.select("cache_key"), "cache_key", "left_semi"))
 
     def add(self, answers: DataFrame) -> None:
-        self._table(answers).write.mode("append").partitionBy("prefix").parquet(self.path)
+        """Append answers with as many writers as their number asks for; each bucket has one writer."""
+        rows = answers.select("kind", "cache_key", "text", F.col("cost_usd").cast("decimal(10,6)").alias("cost_usd"))
+        count = rows.count()
+        if count:
+            # A power of two divides the number of buckets, so a bucket's rows meet in one task.
+            writers = 1 << min(-(-count // ANSWERS_PER_WRITER) - 1, self.buckets - 1).bit_length()
+            rows.repartition(writers, "cache_key").write.insertInto(self.name)
 
 
 def call(calls: DataFrame, cache: DataFrame | AnswerStore, fn: ModelFn, call_id: str, parallel: int | None = None, bypass: bool = False) -> DataFrame:
     """The results of `cached_inference`; a store gets the new answers before anybody reads them."""
     if not isinstance(cache, AnswerStore):
         return cached_inference(calls, cache, fn, call_id, parallel, bypass).results
-    out = cached_inference(calls, cache.read(), fn, call_id, parallel, bypass)
+    out = cached_inference(calls, cache, fn, call_id, parallel, bypass)
     cache.add(out.new_cache)
     return out.results
 
 
 def cached_inference(
-    calls: DataFrame, cache: DataFrame, fn: ModelFn, call_id: str, partitions: int | None = None,
+    calls: DataFrame, cache: DataFrame | AnswerStore, fn: ModelFn, call_id: str, partitions: int | None = None,
     bypass: bool = False, floor: int = HOT_FLOOR,
 ) -> Inference:
     """Answer `calls` (call_id and the CALL columns) from `cache` or by the model.
 
-    `cache` is (kind, cache_key, text, cost_usd); of it only the keys that are asked for are
-    shuffled. Each distinct miss is called once, in `partitions` parallel streams; the answers
+    `cache` is (kind, cache_key, text, cost_usd) or a store; of either only the keys that are asked
+    for are looked at, and a store is not shuffled for that. Each distinct miss is called once, in `partitions` parallel streams; the answers
     are written before anyone reads them, so executors lost after that repeat no call. A hit
     reports the stored cost in cost_usd, 0 in spent_usd and no tokens; failed calls and
     reserved parameters end up in `error` and are not cached.
@@ -169,7 +188,11 @@ def cached_inference(
         F.first("params_json").alias("params_json"), F.first("prompt").alias("prompt"), F.first("input_json").alias("input_json"),
     )
     asked = good.select("kind", "cache_key").distinct()
-    cache = cache.limit(0) if bypass else cache.join(asked, ["kind", "cache_key"], "left_semi")
+    if isinstance(cache, AnswerStore):
+        # Read twice below, by the misses and by the results.
+        cache = cut_lineage(cache.lookup(asked.limit(0) if bypass else asked))
+    else:
+        cache = cache.limit(0) if bypass else cache.join(asked, ["kind", "cache_key"], "left_semi")
     misses = distinct if bypass else distinct.join(cache.select("kind", "cache_key"), ["kind", "cache_key"], "left_anti")
     if partitions is not None:
         misses = misses.repartition(partitions)

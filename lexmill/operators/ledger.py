@@ -243,6 +243,42 @@ def merge_done_sets(*logs: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+def done_bitmaps(done: DataFrame, key: str = "word_id") -> DataFrame:
+    """(bucket, bits): the ids of `done` as bitmaps of 32,768 ids each; repeats and NULL ids leave no trace.
+
+    Partial bitmaps are made before the shuffle, so a log of any length is sent as its ids' bits.
+    """
+    ids = done.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"))
+    place = ids.select(F.bitmap_bucket_number("id").alias("bucket"), F.bitmap_bit_position("id").alias("at"))
+    return place.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits"))
+
+
+def merge_bitmaps(*sets: DataFrame) -> DataFrame:
+    """The ids of all sets: bitmaps of a bucket are joined bit by bit, and no id is listed."""
+    out = sets[0]
+    for one in sets[1:]:
+        out = out.unionByName(one)
+    return out.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def count_done(bitmaps: DataFrame) -> DataFrame:
+    """One row: how many ids the bitmaps hold."""
+    return bitmaps.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("done"))
+
+
+def resume_by_bitmap(targets: DataFrame, bitmaps: DataFrame, key: str = "word_id") -> DataFrame:
+    """Targets whose id is in no bitmap; each row looks at one bit of its bucket. Rows without an id stay.
+
+    A bucket has 4 KB, so buckets of up to 32,768 times their number of ids are joined, not ids.
+    """
+    id_ = F.col(key).cast("bigint")
+    placed = targets.withColumn("_bucket", F.bitmap_bucket_number(id_)).withColumn("_at", F.bitmap_bit_position(id_))
+    joined = placed.join(bitmaps.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits")), "_bucket", "left")
+    byte = F.expr("CAST(conv(hex(substring(_bits, CAST(_at DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)")
+    there = F.shiftright(byte, 0).bitwiseAND(F.expr("shiftleft(1, CAST(_at % 8 AS INT))")) != 0
+    return joined.where(~F.coalesce(there, F.lit(False))).select(*targets.columns)
+
+
 # --- summaries --------------------------------------------------------------
 
 

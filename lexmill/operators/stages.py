@@ -105,6 +105,47 @@ def expected_fingerprints(words: DataFrame, artifacts: DataFrame, stage: Stage)
     return rows.select("word_id", key.alias("expected"))
 
 
+def stale_closure(stages: Sequence[Stage], words: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """(word_id, stage_name, reason): what a run of `stages` would do again, told before it runs.
+
+    A stage's expected fingerprint follows from those that its upstream stages are expected to
+    have, so a change runs down the graph: `missing` has no artifact, `changed` differs by its
+    own settings or a new upstream artifact, `upstream` only because a stage above will be run
+    again. Artifacts are put side by side once per word; all stages are then judged in that row,
+    without a join for each. Stages are taken after the ones they need; a cycle is an error.
+    Words that would fail above are still listed.
+    """
+    by_name, placed = {s.name: s for s in stages}, []
+    while len(placed) < len(by_name):
+        ready = [s for s in stages if s.name not in placed and all(u in placed or u not in by_name for u in s.upstream)]
+        if not ready:
+            raise ValueError("the stages need each other in a circle")
+        placed += [s.name for s in ready]
+    named = sorted({u for s in stages for u in (s.name, *s.upstream)})
+    wide = upstream_wide(artifacts, named, {"fingerprint": "_fp_"})
+    rows = words.select("word_id").join(wide, "word_id", "left")
+    text = lambda value: F.lit(value).cast("string")
+
+    def key(stage: Stage, upstream: list[Column]) -> Column:
+        listed = F.array_compact(F.array(*upstream)) if upstream else F.array().cast("array<string>")
+        return stage_fingerprint(listed, F.lit(stage.config_json), text(stage.prompt_version or None), text(stage.prompt_hash or None), F.lit(stage.parser_version))
+
+    found = []
+    for name in placed:
+        stage = by_name[name]
+        expected = {u: F.col(f"_ex_{u}") if u in by_name else F.col(f"_fp_{u}") for u in stage.upstream}
+        rows = rows.withColumn(f"_ex_{name}", key(stage, list(expected.values())))
+        stored = F.col(f"_fp_{name}")
+        as_it_is = key(stage, [F.col(f"_fp_{u}") for u in stage.upstream])
+        reason = (
+            F.when(stored.isNull(), "missing").when(~as_it_is.eqNullSafe(stored), "changed")
+            .when(F.col(f"_ex_{name}") != stored, "upstream")
+        )
+        found.append(F.when(reason.isNotNull(), F.struct(F.lit(name).alias("stage_name"), reason.alias("reason"))))
+    listed = rows.select("word_id", F.explode_outer(F.array_compact(F.array(*found))).alias("s")).where("s IS NOT NULL")
+    return listed.select("word_id", "s.*")
+
+
 def stage_worklist(
     expected: DataFrame, artifacts: DataFrame, stage: str, failed: DataFrame | None = None, force: bool = False
 ) -> DataFrame:

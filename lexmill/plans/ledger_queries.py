@@ -196,6 +196,18 @@ def resume_filter(t):
     return G.resume_filter(t.dom_words, t.read("labels").select(F.col("doc_id").alias("word_id"))).select("word_id", "form")
 
 
+@query(
+    "resume_by_bitmap",
+    """SELECT word_id, form FROM dom_words WHERE word_id NOT IN (SELECT doc_id FROM labels UNION SELECT conv_id FROM conversations UNION SELECT user_id FROM events)""",
+)
+def resume_by_bitmap(t):
+    """What three logs leave to do, the logs kept and merged as bitmaps."""
+    sets = [
+        G.done_bitmaps(t.read(name).select(F.col(key).alias("word_id"))) for name, key in (("labels", "doc_id"), ("conversations", "conv_id"), ("events", "user_id"))
+    ]
+    return G.resume_by_bitmap(t.dom_words, G.merge_bitmaps(*sets)).select("word_id", "form")
+
+
 @query("merge_done_sets", "SELECT doc_id AS word_id FROM labels UNION SELECT conv_id FROM conversations UNION SELECT user_id FROM events")
 def merge_done_sets(t):
     return G.merge_done_sets(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lexmill.operators import documents as D
 from lexmill.operators import mirror as M
 from lexmill.plans.document_queries import PACKAGE_SQL
+from lexmill.operators.drift import drift_rows as drift_rows_of
 from lexmill.plans.registry import query
 from lexmill.session import fresh_path
 from lexmill.sources import writers as W
@@ -171,3 +172,20 @@ def export_packaged_json(t):
     entries = D.package_entry(t.dom_words, t.dom_meanings, t.dom_sentences, t.dom_mnemonics, t.sentence_order)
     W.export_packaged_json(entries, path)
     return t.spark.read.schema("word_id bigint, word_json string").json(path)
+
+
+@query(
+    "drift_rows",
+    """SELECT sentence_id, CASE sum_ % 5 WHEN 0 THEN 'missing' WHEN 1 THEN 'changed' END AS drift
+       FROM (SELECT sentence_id, cents % 500 AS sum_ FROM dom_sentences) WHERE sum_ IN (0, 1)
+       UNION ALL SELECT 'new ' || word_id, 'extra' FROM dom_words WHERE word_id % 400 = 7""",
+)
+def drift_rows(t):
+    """The differences planted in a copy of all sentences: rows taken out, changed and added."""
+    source = t.dom_sentences.select("sentence_id", "meaning_id", "form", "translation")
+    mark = F.col("cents") % 500
+    copy = t.dom_sentences.where(mark != 0).withColumn("translation", F.when(mark == 1, F.concat("translation", F.lit("!"))).otherwise(F.col("translation")))
+    added = t.dom_words.where("word_id % 400 = 7").select(
+        F.concat(F.lit("new "), "word_id").alias("sentence_id"), F.lit(0).cast(source.schema["meaning_id"].dataType).alias("meaning_id"), F.lit("f").alias("form"), F.lit("t").alias("translation")
+    )
+    return drift_rows_of(source, copy.select(*source.columns).unionByName(added), ["sentence_id"])

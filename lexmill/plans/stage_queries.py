@@ -424,6 +424,25 @@ def stage_chain_idle(t):
     return t.spark.createDataFrame([(name, ok + failed, hits) for name, ok, failed, hits in report], "stage_name string, attempts bigint, hits bigint")
 
 
+def _small_chain(version="1"):
+    def copy(df):
+        return df.select("word_id", F.lit("{}").alias("payload"))
+
+    return [S.Stage("a", (), copy), S.Stage("b", ("a",), copy, parser_version=version), S.Stage("c", ("b",), copy), S.Stage("d", ("a",), copy)]
+
+
+@query(
+    "stale_closure",
+    """SELECT doc_id AS word_id, stage_name, CASE WHEN doc_id % 4 = 0 THEN 'missing' WHEN stage_name = 'b' THEN 'changed' ELSE 'upstream' END AS reason
+       FROM documents, (SELECT unnest(['a', 'b', 'c', 'd']) AS stage_name) WHERE doc_id % 4 = 0 OR stage_name IN ('b', 'c')""",
+)
+def stale_closure(t):
+    """Three quarters of the documents have run; then a stage in the middle gets another parser."""
+    words = t.read("documents").select(F.col("doc_id").alias("word_id"))
+    run = S.stage_chain(_small_chain(), words.where("word_id % 4 <> 0"), t.spark.createDataFrame([], DS.EMPTY_ARTIFACTS))
+    return S.stale_closure(_small_chain("2"), words, run.artifacts)
+
+
 # --- export -----------------------------------------------------------------
 
 VIEW_SQL["old_words"] = """

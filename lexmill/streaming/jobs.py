@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from lexmill.functions import text as T
 from lexmill.operators.ledger import DEAD_AFTER
@@ -65,6 +70,46 @@ def _epochs(root: str) -> Callable[[DataFrame, int], None]:
     return add
 
 
+MANIFEST = "upto bigint, path string"
+
+
+def _compacted(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """The last epoch that a compaction holds, and where; (-1, None) without one."""
+    try:
+        rows = spark.read.schema(MANIFEST).json(f"{root}/compacted.list").orderBy(F.col("upto").desc()).limit(1).collect()
+    except AnalysisException:
+        return -1, None
+    return (rows[0]["upto"], rows[0]["path"]) if rows else (-1, None)
+
+
+def read_epochs(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """What the batches of a stream wrote: the newest compaction and the epochs after it.
+
+    Epochs are told by their directories, so those that a compaction holds are not opened.
+    """
+    upto, path = _compacted(spark, root)
+    later = spark.read.schema(schema).option("basePath", f"{root}/out").parquet(f"{root}/out").where(F.col("epoch") > upto)
+    return later if path is None else spark.read.schema(schema).parquet(path).unionByName(later)
+
+
+def compact_epochs(spark: SparkSession, root: str, schema: str, merge: Callable[[DataFrame], DataFrame]) -> int:
+    """Replace all epochs but the newest by one table, reduced by `merge`; returns the last epoch in it.
+
+    The newest may be written again when its stream is restarted, so it stays. The table is
+    written first and then added to the list that readers follow; a job that dies in between
+    changes nothing.
+    """
+    rows = read_epochs(spark, root, schema)
+    last = rows.agg(F.max("epoch")).first()[0]
+    upto = _compacted(spark, root)[0]
+    if last is None or last - 1 <= upto:
+        return upto
+    path = f"{root}/compacted/{last - 1:09d}-{uuid.uuid4().hex}"
+    merge(rows.where(F.col("epoch") < last)).select(*rows.columns).write.parquet(path)
+    spark.createDataFrame([(last - 1, path)], MANIFEST).coalesce(1).write.mode("append").json(f"{root}/compacted.list")
+    return last - 1
+
+
 # --- ingest -----------------------------------------------------------------
 
 INGESTED = "normalized_form string, type smallint, raw_form string, first_seen bigint, epoch bigint"
@@ -83,10 +128,13 @@ def stream_ingest(lines: DataFrame, order: str, raw: str = "raw_form", root: str
     first = formed.groupBy("normalized_form", "type").agg(F.min(F.struct(F.col(order).alias("seen"), F.col(raw).alias("raw_form"))).alias("_first"))
     rows = first.select("normalized_form", "type", "_first.raw_form", F.col("_first.seen").alias("first_seen"))
     run_batches(rows, root, _epochs(root), "update", trigger)
-    written = spark.read.schema(INGESTED).parquet(f"{root}/out/epoch=*")
-    return written.groupBy("normalized_form", "type").agg(F.min_by(F.struct("raw_form", "first_seen"), "epoch").alias("_f")).select(
-        "normalized_form", "type", "_f.*"
-    )
+    return first_epoch(read_epochs(spark, root, INGESTED)).drop("epoch")
+
+
+def first_epoch(written: DataFrame) -> DataFrame:
+    """What the first epoch that saw a form wrote of it."""
+    first = F.min_by(F.struct("raw_form", "first_seen", "epoch"), "epoch").alias("_f")
+    return written.groupBy("normalized_form", "type").agg(first).select("normalized_form", "type", "_f.*")
 
 
 def stream_dedupe(lines: DataFrame, at: str, delay: str, raw: str = "raw_form") -> DataFrame:
@@ -124,6 +172,115 @@ def stream_dead_letters(attempts: DataFrame) -> DataFrame:
     )
 
 
+# Rows of a key that wait for the watermark, and what is known of it.
+PENDING = "at timestamp, id bigint, resolves boolean"
+COUNTED = "failures int, last timestamp"
+MS = 1_000
+
+
+class FailureOrder(StatefulProcessor):
+    """Counts a key's failures in event time: rows wait in a list until the watermark has passed them.
+
+    One timer per key stands at its earliest waiting row, and after the last one at the end of
+    `idle`; when that fires without new rows, the key's state is gone.
+    """
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getListState("pending", PENDING)
+        self.known = handle.getValueState("known", COUNTED)
+
+    def _wake_at(self, at: int) -> None:
+        for old in self.handle.listTimers():
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(at)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        earliest = min((t for t in self.handle.listTimers()), default=None) if self.pending.exists() else None
+        for batch in rows:
+            times = batch["at"].dt.tz_localize(None) if batch["at"].dt.tz is not None else batch["at"]
+            self.pending.appendList([(at.to_pydatetime(), int(i), bool(r)) for at, i, r in zip(times, batch["id"], batch["resolves"], strict=True)])
+            first = _ms(times.min())
+            earliest = first if earliest is None else min(earliest, first)
+        if earliest is not None:
+            self._wake_at(max(earliest, timerValues.getCurrentWatermarkInMs() + 1))
+        yield pd.DataFrame(columns=["word_id", "stage_name", "id", "attempt", "created_at"])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        mark = timerValues.getCurrentWatermarkInMs()
+        waiting = sorted(self.pending.get(), key=lambda r: (r[0], r[1])) if self.pending.exists() else []
+        due = [r for r in waiting if _ms(r[0]) <= mark]
+        count, last = tuple(self.known.get()) if self.known.exists() else (0, None)
+        letters: list[tuple[Any, ...]] = []
+        for at, event_id, resolves in due:
+            # Whether or not the timer of the idle time came first, the key was to be forgotten.
+            if last is not None and _ms(at) >= _ms(last) + self.idle_ms:
+                count = 0
+            count, last = 0 if resolves else count + 1, at
+            if count == DEAD_AFTER:
+                letters.append((key[0], key[1], event_id, DEAD_AFTER, at))
+        left = waiting[len(due):]
+        if left:
+            self.pending.put([tuple(r) for r in left])
+            self._wake_at(max(_ms(left[0][0]), mark + 1))
+        else:
+            self.pending.clear()
+            if last is not None and mark >= _ms(last) + self.idle_ms:
+                self.known.clear()
+            elif last is not None:
+                self._wake_at(max(_ms(last) + self.idle_ms, mark + 1))
+        if due:
+            self.known.update((count, last))
+            if not left:
+                self._wake_at(max(_ms(last) + self.idle_ms, mark + 1))
+        yield pd.DataFrame(letters, columns=["word_id", "stage_name", "id", "attempt", "created_at"])
+
+    def close(self) -> None:
+        pass
+
+
+def _ms(at: Any) -> int:
+    """Milliseconds since 1970 of a time without a zone, which stands for UTC; a part of one counts as whole."""
+    return -(-int((pd.Timestamp(at).tz_localize(None) if pd.Timestamp(at).tzinfo else pd.Timestamp(at)).value) // 1_000_000)
+
+
+def stream_dead_letters_in_order(attempts: DataFrame, delay: str = "10 minutes", idle: str = "30 days") -> DataFrame:
+    """A stream of dead letters from (word_id, stage_name, id, at, resolves), counted in order of `at`.
+
+    Rows may arrive in any order within the watermark's `delay`; a letter comes when the
+    watermark has passed its third failure. After `idle` of event time without rows a key is
+    forgotten: its state goes, and a later failure is its first. Needs a state store that holds several states
+    of a key (`with_state_store`).
+    """
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * MS)
+    timed = event_time(attempts, "at").withWatermark("at", delay)
+    letters = timed.groupBy("word_id", "stage_name").transformWithStateInPandas(
+        statefulProcessor=FailureOrder(idle_ms), outputStructType=LETTER, outputMode="Append", timeMode="EventTime"
+    )
+    return letters.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+LETTER = "word_id bigint, stage_name string, id bigint, attempt int, created_at timestamp"
+
+
+@contextmanager
+def with_state_store(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, which holds several states and timers for each key."""
+    name, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, store)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 # --- progress ---------------------------------------------------------------
 
 
@@ -146,6 +303,72 @@ def stream_stall_alert(attempts: DataFrame, keys: list[str], at: str = "started_
     return active.select(*keys, start.alias("busy_from"), ends.cast("timestamp_ntz").alias("quiet_from"), "attempts")
 
 
+class Silence(StatefulProcessor):
+    """Tells when a key has been silent for `gap_ms` of the clock, without waiting for a later row."""
+
+    def __init__(self, gap_ms: int):
+        self.gap_ms = gap_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.busy = handle.getValueState("busy", "first timestamp, last timestamp, attempts bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        first, last, count = tuple(self.busy.get()) if self.busy.exists() else (None, None, 0)
+        for batch in rows:
+            times = batch["at"].dt.tz_localize(None) if batch["at"].dt.tz is not None else batch["at"]
+            low, high = times.min().to_pydatetime(), times.max().to_pydatetime()
+            first, last = low if first is None else min(first, low), high if last is None else max(last, high)
+            count += len(batch)
+        self.busy.update((first, last, count))
+        for old in self.handle.listTimers():
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.gap_ms)
+        yield pd.DataFrame(columns=["key", "busy_from", "quiet_from", "attempts"])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        first, last, count = tuple(self.busy.get())
+        self.busy.clear()
+        yield pd.DataFrame([(key[0], first, last, count)], columns=["key", "busy_from", "quiet_from", "attempts"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_silence_alert(attempts: DataFrame, key: str, at: str = "started_at", gap: float = STALL_SECONDS) -> DataFrame:
+    """(key, busy_from, quiet_from, attempts): an alert `gap` seconds of the clock after a key's last row arrived.
+
+    The alert needs no later row, of this key or another. A key that goes on is watched anew. Needs a
+    state store that holds timers (`with_state_store`) and a trigger that goes on.
+    """
+    rows = event_time(attempts.select(F.col(key).cast("string").alias("key"), F.col(at).alias("at")), "at")
+    alerts = rows.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=Silence(int(gap * MS)), outputStructType="key string, busy_from timestamp, quiet_from timestamp, attempts bigint",
+        outputMode="Append", timeMode="ProcessingTime",
+    )
+    return alerts.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("busy_from", "quiet_from")})
+
+
+def run_until(stream: DataFrame, root: str, done: Callable[[DataFrame], bool], seconds: float, every: str = "1 second") -> DataFrame:
+    """Run a stream into `<root>/out` until `done` says so of what it wrote, at most so many seconds."""
+    job = (
+        stream.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/state").trigger(processingTime=every).start()
+    )
+    end = time.monotonic() + seconds
+    read = stream.sparkSession.read.schema(stream.schema)
+    try:
+        while time.monotonic() < end:
+            if job.exception() is not None:
+                raise job.exception()
+            if job.lastProgress is not None and done(read.parquet(f"{root}/out")):
+                break
+            time.sleep(0.5)
+    finally:
+        job.stop()
+    return read.parquet(f"{root}/out")
+
+
 def stalls(attempts: DataFrame, at: str = "started_at", gap: int = STALL_SECONDS) -> DataFrame:
     """Batch form: (quiet_from, quiet_to) where nothing completed for more than `gap` seconds.
 
@@ -165,6 +388,15 @@ def stalls(attempts: DataFrame, at: str = "started_at", gap: int = STALL_SECONDS
 # --- cost -------------------------------------------------------------------
 
 
+SPENT = "batch_id string, spent decimal(12,6), epoch bigint"
+
+
+def last_epoch(emitted: DataFrame) -> DataFrame:
+    """The newest total of each batch."""
+    newest = F.max_by(F.struct("spent", "epoch"), "epoch").alias("_n")
+    return emitted.groupBy("batch_id").agg(newest).select("batch_id", "_n.*")
+
+
 def stream_batch_cost(attempts: DataFrame, batches: DataFrame, root: str | None = None, trigger: dict | None = None) -> DataFrame:
     """(batch_id, spent, budget_cap_usd, verdict): the newest total per batch, against its cap.
 
@@ -178,8 +410,7 @@ def stream_batch_cost(attempts: DataFrame, batches: DataFrame, root: str | None
         F.sum("cost_usd").cast("decimal(12,6)").alias("spent")
     )
     run_batches(sums, root, _epochs(root), "update", trigger)
-    emitted = spark.read.schema("batch_id string, spent decimal(12,6), epoch bigint").parquet(f"{root}/out/epoch=*")
-    newest = emitted.groupBy("batch_id").agg(F.max_by("spent", "epoch").alias("spent"))
+    newest = last_epoch(read_epochs(spark, root, SPENT)).drop("epoch")
     caps = batches.select(F.col("id").alias("batch_id"), "budget_cap_usd")
     verdict = F.when(F.col("spent") >= F.col("budget_cap_usd"), "blocked").otherwise("pass")
     return newest.join(caps, "batch_id", "left").withColumn("verdict", verdict)

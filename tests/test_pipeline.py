@@ -85,6 +85,30 @@ def test_store_keeps_answers_between_runs(spark, tmp_path):
     assert store.read().count() == 3
 
 
+def test_a_lookup_does_not_shuffle_the_store(spark, tmp_path):
+    store = I.AnswerStore(spark, str(tmp_path / "it's"), buckets=8)
+    answers = spark.range(5000).select(F.lit("call:m").alias("kind"), F.sha2(F.col("id").cast("string"), 256).alias("cache_key"), F.col("id").cast("string").alias("text"), F.lit(1).cast("decimal(10,6)").alias("cost_usd"))
+    store.add(answers)
+    store.add(answers.limit(1))
+    asked = answers.where("text % 50 = 7").select("kind", "cache_key")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = store.lookup(asked)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(int(r["text"]) for r in found.collect()) == list(range(7, 5000, 50))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Aggregates stand above the join, and the only exchange is that of the keys that are asked for.
+    join = plan.index("SortMergeJoin")
+    below = plan[join:]
+    assert below.count("Exchange") == 1 and "Aggregate" not in below and "Bucketed: true" in below
+    assert "Exchange" not in below[below.index("Scan parquet"):].split("Exchange")[0] and plan[:join].count("Exchange") == 0
+    assert len([p for p in (tmp_path / "it's").iterdir() if p.suffix == ".parquet"]) <= 9
+    with pytest.raises(ValueError, match="power of two"):
+        I.AnswerStore(spark, str(tmp_path / "x"), buckets=6)
+
+
 def test_reserved_parameters_are_refused(spark):
     out = I.cached_inference(calls(spark, ["p"], '{"prompt": 1}'), spark.createDataFrame([], DS.EMPTY_CACHE), I.digest_model, "id")
     row = out.results.collect()[0]
