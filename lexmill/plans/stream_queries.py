@@ -13,9 +13,12 @@ FILES = 64
 
 
 def _stream(t, table):
-    """The table's own files as a stream, several micro-batches if there are more than FILES."""
+    """The table's own files as a stream, several micro-batches if there are more than FILES.
+
+    A stream takes directories and patterns only, and a table may be a single file.
+    """
     rows = t.read(table)
-    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(f"{t.sf_dir}/{table}.parquet")
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(f"{t.sf_dir}/{table}.parque[t]")
 
 
 @query("stream_ingest", "SELECT normalized_form, type, raw_form FROM first_forms")
