@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,6 +31,77 @@ def search_words(
     return words
 
 
+# --- substrings by index ----------------------------------------------------
+
+GRAM = 3
+
+
+def trigrams(rows: DataFrame, key: str = "word_id", text: str = "form") -> DataFrame:
+    """(gram, at, key): every three characters in a row of the lower-cased text and where they stand; NULL has none."""
+    low = F.lower(F.col(text))
+    starts = F.when(F.length(low) >= GRAM, F.sequence(F.lit(1), F.length(low) - (GRAM - 1)))
+    placed = rows.select(F.col(key).alias("key"), low.alias("_low"), F.explode_outer(starts).alias("at")).where("at IS NOT NULL")
+    return placed.select(F.substring("_low", F.col("at"), F.lit(GRAM)).alias("gram"), "at", "key")
+
+
+class TrigramIndex:
+    """A positional trigram table in a folder of the caller's, with one directory for each bucket of grams.
+
+    A search opens the buckets of its own grams only. `buckets` must be the same each time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+
+    def _bucket(self, gram: Column) -> Column:
+        return F.pmod(F.xxhash64(gram), F.lit(self.buckets)).cast("int")
+
+    def write(self, rows: DataFrame, key: str = "word_id", text: str = "form") -> None:
+        grams = trigrams(rows, key, text).withColumn("bucket", self._bucket(F.col("gram")))
+        # A frequent gram's rows go to several files of its bucket.
+        dealt = grams.repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(8)))
+        dealt.sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").parquet(self.path)
+
+    def postings(self, grams: list[str]) -> DataFrame:
+        """(gram, at, key) of these grams."""
+        asked = self.spark.createDataFrame([(g,) for g in grams], "gram string").select(self._bucket(F.col("gram")).alias("b"))
+        buckets = sorted({r["b"] for r in asked.collect()})
+        return self.spark.read.parquet(self.path).where(F.col("bucket").isin(*buckets) & F.col("gram").isin(*grams)).select("gram", "at", "key")
+
+    def candidates(self, q: str) -> DataFrame | None:
+        """(key) of rows that hold each piece of the pattern as a whole; None if no piece has three characters.
+
+        % and _ part the pattern into pieces. The grams of a piece must stand one after the other.
+        """
+        if "\\" in q:
+            return None
+        pieces = [p for p in re.split("[%_]+", q) if len(p) >= GRAM]
+        low = [r["p"] for r in self.spark.createDataFrame([(i, p) for i, p in enumerate(pieces)], "i int, p string").select("i", F.lower("p").alias("p")).orderBy("i").collect()]
+        wanted = [(i, at, p[at : at + GRAM]) for i, p in enumerate(low) for at in range(len(p) - GRAM + 1)]
+        if not wanted:
+            return None
+        asked = self.spark.createDataFrame(wanted, "piece int, offset int, gram string")
+        met = self.postings(sorted({g for _, _, g in wanted})).join(F.broadcast(asked), "gram")
+        whole = met.groupBy("key", "piece", (F.col("at") - F.col("offset")).alias("start")).agg(F.count(F.lit(1)).alias("n"))
+        sizes = self.spark.createDataFrame([(i, len(p) - GRAM + 1) for i, p in enumerate(low)], "piece int, size long")
+        held = whole.join(F.broadcast(sizes), "piece").where("n = size").groupBy("key").agg(F.count_distinct("piece").alias("pieces"))
+        return held.where(F.col("pieces") == len(low)).select("key")
+
+
+def search_substring(words: DataFrame, index: TrigramIndex, q: str, key: str = "word_id", text: str = "form") -> DataFrame:
+    """The words whose text holds `q`, ignoring case, as `search_words` finds them: candidates first, then the pattern.
+
+    A pattern without three characters in a row, or with a backslash, has no candidates by
+    index; all words are then looked at.
+    """
+    found = index.candidates(q)
+    some = words if found is None else words.join(found.withColumnRenamed("key", key), key, "left_semi")
+    return some.where(F.col(text).ilike(f"%{q}%"))
+
+
+# --- listings ---------------------------------------------------------------
+
+
 def add_meaning_count(words: DataFrame, meanings: DataFrame) -> DataFrame:
     """`words` with their number of meanings; only those words' meanings are counted.
 

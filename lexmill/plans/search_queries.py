@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lexmill.operators import search as S
 from lexmill.plans.registry import query
+from lexmill.session import fresh_path
 
 COUNTED = "(SELECT count(*) FROM dom_meanings m WHERE m.word_id = w.word_id) AS meaning_count"
 
@@ -19,6 +20,19 @@ def search_words(t):
     return rows.select("word_id", "form", "type", "status", "quality_flag", "updated_at", "meaning_count")
 
 
+@query(
+    "search_substring",
+    "SELECT sentence_id, form FROM dom_sentences WHERE form ILIKE '%af 16%' OR form ILIKE '%O 1_4%' OR form ILIKE '%9_9%'",
+)
+def search_substring(t):
+    """Patterns looked up in a trigram index of all sentences; the last has no three characters in a row."""
+    rows = t.dom_sentences.select("sentence_id", "form")
+    index = S.TrigramIndex(t.spark, fresh_path(t.spark, "trigrams"), 32)
+    index.write(rows, "sentence_id")
+    found = [S.search_substring(rows, index, q, "sentence_id") for q in ("af 16", "O 1_4", "9_9")]
+    return found[0].unionByName(found[1]).unionByName(found[2]).distinct()
+
+
 @query(
     "top_n",
     f"""SELECT word_id, form, {COUNTED} FROM dom_words w ORDER BY 3 DESC, word_id LIMIT 50""",

@@ -416,3 +416,18 @@ def test_export_twice_updates_what_it_inserted(spark):
     assert sorted((r["word_id"], r["cn_paraphrase"]) for r in again["meanings"].collect()) == [(6, "y20"), (6, "y21")]
     assert again["sentences"].count() == again["mnemonics"].count() == 1
     assert [r["word_id"] for r in again["affected"].collect()] == [6]
+
+
+def test_substring_search_equals_ilike_and_opens_its_grams_only(spark, tmp_path):
+    from lexmill.operators import search as Q
+
+    forms = ["Banana", "bandana", "an_ana", "naÏve Straße", "ab", "", None, "aaaa", "anaban", "100% sure", "İstanbul", "x" * 5000 + "needle", "nan-ana"]
+    words = spark.createDataFrame(list(enumerate([*forms, "Banana"])), "word_id int, form string")
+    index = Q.TrigramIndex(spark, str(tmp_path / "t"), 16)
+    index.write(words)
+    for q in ("ana", "BANANA", "an%ana", "ban_n", "naïve s", "aaa", "a", "%", "aaaaa", "0% s", "stanbul", "NEEDLE", "zzz", "an", "%ana%ban%", "ana%nan", "n_n%ana", "\\%"):
+        want = words.where(F.col("form").ilike(f"%{q}%"))
+        assert rows(Q.search_substring(words, index, q)) == rows(want), q
+    opened = {r["f"] for r in index.postings(["ana"]).select(F.input_file_name().alias("f")).collect()}
+    assert len({f.rsplit("/", 2)[1] for f in opened}) == 1 and index.candidates("an") is None
+    assert rows(index.candidates("bana")) == [(0,), (13,)]

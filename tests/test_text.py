@@ -35,7 +35,7 @@ def test_casefold_equals_python_for_every_character(spark):
     assert all(ord(r["c"]) > 0xA7C0 for r in wrong)
 
 
-@pytest.mark.parametrize(("text", "parts"), [(" a ； ; b ", ["a", "b"]), ("；a；", ["a"]), ("a, b, c", ["a, b, c"]), ("", [])])
+@pytest.mark.parametrize(("text", "parts"), [(" 山 ； ;水; ", ["山", "水"]), ("；；火 ；", ["火"]), ("red, green", ["red, green"]), ("", [])])
 def test_split_gloss(spark, text, parts):
     assert one(spark, T.split_gloss(F.col("t")), t=text) == parts
 
@@ -183,7 +183,7 @@ def test_dictionary_summary_takes_any_wrapping(spark):
         ('```\n[1]\n```', "fenced", "[1]"),
         ('Here you are: {"a": {"b": 2}} enjoy', "extracted", '{"a":{"b":2}}'),
         ('See [note] first {"a": 1}', "extracted", '{"a":1}'),
-        ('{"m": "他喊："停！""}', "repaired", '{"m":"他喊：\\"停！\\""}'),
+        ('{"note": "店员答："今天休息。""}', "repaired", '{"note":"店员答：\\"今天休息。\\""}'),
         ("nothing here", None, None),
         ("{broken", None, None),
     ],
