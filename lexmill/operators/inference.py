@@ -7,6 +7,7 @@ tokens_output. It runs inside mapInPandas; everything around it is joins.
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -70,7 +71,7 @@ class Inference:
     new_cache: DataFrame
 
 
-ANSWER = "text string, tokens_input bigint, tokens_output bigint, error string"
+ANSWER = "text string, tokens_input bigint, tokens_output bigint, error string, latency_ms bigint"
 TOKENS = ("tokens_input", "tokens_output")
 
 
@@ -82,10 +83,12 @@ def per_call(one: ModelFn) -> ModelFn:
     def run(calls: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for i in range(len(calls)):
+            began = time.perf_counter()
             try:
-                rows.append(one(calls.iloc[[i]]).iloc[0].to_dict() | {"error": None})
+                row = one(calls.iloc[[i]]).iloc[0].to_dict() | {"error": None}
             except Exception as error:  # noqa: BLE001  the answers of others are paid for
-                rows.append({"text": None, "tokens_input": 0, "tokens_output": 0, "error": str(error)[:500]})
+                row = {"text": None, "tokens_input": 0, "tokens_output": 0, "error": str(error)[:500]}
+            rows.append(row | {"latency_ms": round(1000 * (time.perf_counter() - began))})
         return pd.DataFrame(rows)
 
     return run
@@ -95,13 +98,17 @@ def _call_model(fn: ModelFn) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.D
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for calls in batches:
             kept = calls[["kind", "cache_key", "model", "first_call"]].reset_index(drop=True)
+            began = time.perf_counter()
             try:
                 answers = fn(calls).reset_index(drop=True)
                 if "error" not in answers.columns:
                     answers["error"] = None
             except Exception as error:  # noqa: BLE001  nothing of the batch is known, so nothing is asked again
                 answers = kept[[]].assign(text=None, tokens_input=0, tokens_output=0, error=str(error)[:500])
-            yield pd.concat([kept, answers[["text", "tokens_input", "tokens_output", "error"]]], axis=1)
+            if "latency_ms" not in answers.columns:
+                # Calls that are asked together are answered together.
+                answers["latency_ms"] = round(1000 * (time.perf_counter() - began))
+            yield pd.concat([kept, answers[["text", "tokens_input", "tokens_output", "error", "latency_ms"]]], axis=1)
 
     return run
 
@@ -172,7 +179,7 @@ def cached_inference(
     `cache` is (kind, cache_key, text, cost_usd) or a store; of either only the keys that are asked
     for are looked at, and a store is not shuffled for that. Each distinct miss is called once, in `partitions` parallel streams; the answers
     are written before anyone reads them, so executors lost after that repeat no call. A hit
-    reports the stored cost in cost_usd, 0 in spent_usd and no tokens; failed calls and
+    reports the stored cost in cost_usd, 0 in spent_usd, no tokens and no latency; failed calls and
     reserved parameters end up in `error` and are not cached.
     """
     reserved = [F.try_variant_get(F.try_parse_json("params_json"), f"$.{name}", "variant").isNotNull() for name in RESERVED]
@@ -199,10 +206,10 @@ def cached_inference(
     id_type = calls.schema[call_id].dataType.simpleString()
     schema = f"kind string, cache_key string, model string, first_call {id_type}, {ANSWER}"
     answered = cut_lineage(lookups.with_cost(misses.mapInPandas(_call_model(fn), schema)))
-    fresh = answered.select("kind", "cache_key", "text", "cost_usd", "first_call", "error", "tokens_input", "tokens_output")
+    fresh = answered.select("kind", "cache_key", "text", "cost_usd", "first_call", "error", "tokens_input", "tokens_output", "latency_ms")
     stored = cache.select(
         "kind", "cache_key", "text", F.col("cost_usd").cast("decimal(10,6)"), F.lit(None).cast(id_type).alias("first_call"),
-        F.lit(None).cast("string").alias("error"), *[F.lit(None).cast("bigint").alias(c) for c in TOKENS],
+        F.lit(None).cast("string").alias("error"), *[F.lit(None).cast("bigint").alias(c) for c in (*TOKENS, "latency_ms")],
     )
     joined = join_to_parent(keyed, fresh.unionByName(stored), ["kind", "cache_key"], "left", floor)
     refusal = F.when(F.col("_refused"), "request parameters must not contain reserved keys")
@@ -210,6 +217,7 @@ def cached_inference(
     results = joined.withColumn("hit", F.col("first_call").isNull() & F.col("text").isNotNull()).withColumn(
         "spent_usd", F.when(made, F.col("cost_usd")).otherwise(0).cast("decimal(10,6)")
     ).withColumns({c: F.when(made, F.col(c)).otherwise(0).cast("bigint") for c in TOKENS})
+    results = results.withColumn("latency_ms", F.when(made, F.col("latency_ms")))
     results = results.withColumn("error", F.coalesce("error", refusal)).drop("_refused", "first_call")
     new_cache = fresh.where("error IS NULL").select("kind", "cache_key", "text", "cost_usd")
     return Inference(results, new_cache)
@@ -226,10 +234,11 @@ def run_experiment(
     words: DataFrame, cache: DataFrame | AnswerStore, template: str, model: str, fn: ModelFn, stage: str,
     seed: int, n: int, params_json: str = '{"max_tokens":8192,"temperature":0}', parallel: int | None = None,
 ) -> DataFrame:
-    """One row per sampled word: ok, valid, cost_usd, text, error.
+    """One row per sampled word: ok, valid, cost_usd, latency_ms, text, error.
 
-    `words` is (word_id, form, dict_summary); ok means the answer parses, valid that it has
-    the shape the stage needs.
+    `latency_ms` is how long the model took for the word's call, NULL for an answer that was
+    kept. `words` is (word_id, form, dict_summary); ok means the answer parses, valid that it
+    has the shape the stage needs.
     """
     from lexmill.functions import text as T
 
@@ -246,7 +255,7 @@ def run_experiment(
     ok = F.col("_call_error").isNull() & F.col("parsed").isNotNull()
     return parsed.select(
         "word_id", "form", ok.alias("ok"), F.coalesce(ok & check(F.col("parsed")), F.lit(False)).alias("valid"),
-        "cost_usd", "text", T.truncate_text(F.coalesce("_call_error", "error"), "error").alias("error"),
+        "cost_usd", "latency_ms", "text", T.truncate_text(F.coalesce("_call_error", "error"), "error").alias("error"),
     )
 
 

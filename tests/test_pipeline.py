@@ -132,6 +132,7 @@ def test_experiment_tells_ok_from_valid(spark):
     words = spark.createDataFrame([(i, w, None) for i, w in enumerate(answers)], "word_id bigint, form string, dict_summary string")
     out = I.run_experiment(words, spark.createDataFrame([], DS.EMPTY_CACHE), "{word} {dict_summary}", "m", fn, "paraphrase", 1, 10)
     assert rows(out, "form", "ok", "valid", F.col("error").isNull()) == [("bad", False, False, False), ("good", True, True, True), ("odd", True, False, True)]
+    assert all(r["latency_ms"] >= 0 for r in out.collect())
     with pytest.raises(ValueError):
         I.validator("export")
 
