@@ -239,9 +239,12 @@ class ArtifactStore:
     def __init__(self, spark: SparkSession, root: str, schema: StructType, buckets: int):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.schema = StructType([schema[c] for c in ARTIFACT])
+        self.tables: dict[str, BucketedTable] = {}
 
     def of(self, stage: str) -> BucketedTable:
-        return BucketedTable.open(self.spark, f"{self.root}/{stage}", self.schema, ["word_id"], self.buckets)
+        if stage not in self.tables:
+            self.tables[stage] = BucketedTable.open(self.spark, f"{self.root}/{stage}", self.schema, ["word_id"], self.buckets)
+        return self.tables[stage]
 
     def read(self, stages: Iterable[str]) -> DataFrame:
         out = self.spark.createDataFrame([], self.schema)
