@@ -292,7 +292,7 @@ def stage_chain(
         spent = run.ledger if spent is None else spent.unionByName(run.ledger)
         counts = run.ledger.agg(F.count_if(F.col("status") == "ok"), F.count_if(F.col("status") == "failed")).collect()[0]
         if counts[0] and store is not None:
-            store.of(stage.name).upsert(run.fresh, [F.lit(1)])
+            store.of(stage.name).put(run.fresh)
             artifacts = store.read(named)
         elif counts[0]:
             fresh = cut_lineage(run.fresh)
