@@ -23,3 +23,7 @@ def test_experiment_costs_over_a_million(spark):
     items = attempts(spark).select(F.lit("r").alias("run_id"), F.lit(True).alias("ok"), F.lit(False).alias("valid"), "cost_usd")
     assert [tuple(r) for r in G.experiment_summary(items).collect()] == [("r", 200, 0, 200 * MUCH)]
 
+
+def test_batch_costs_over_a_million(spark):
+    assert [tuple(r) for r in G.batch_cost(attempts(spark)).collect()] == [("b", 200 * MUCH)]
+
