@@ -39,7 +39,7 @@ def batch_cost(t):
 def add_batch_cost(t):
     updated, unknown = G.add_batch_cost(_batches(t), t.ledger)
     known = updated.select("id", "total_cost_usd", F.lit("known").alias("state"))
-    return known.unionByName(unknown.select("id", F.lit(None).cast("decimal(12,6)").alias("total_cost_usd"), F.lit("unknown").alias("state")))
+    return known.unionByName(unknown.select("id", F.lit(None).cast(G.TOTAL).alias("total_cost_usd"), F.lit("unknown").alias("state")))
 
 
 @query(

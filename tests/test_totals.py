@@ -27,3 +27,11 @@ def test_experiment_costs_over_a_million(spark):
 def test_batch_costs_over_a_million(spark):
     assert [tuple(r) for r in G.batch_cost(attempts(spark)).collect()] == [("b", 200 * MUCH)]
 
+
+def test_added_costs_over_a_million(spark):
+    batches = spark.createDataFrame([("b", Decimal(999999), None), ("c", Decimal(1), None)], BATCHES)
+    once, unknown = G.add_batch_cost(batches, attempts(spark))
+    twice, _ = G.add_batch_cost(once, attempts(spark))
+    assert sorted((r["id"], r["total_cost_usd"]) for r in twice.collect()) == [("b", 999999 + 400 * MUCH), ("c", Decimal(1))]
+    assert unknown.collect() == [] and twice.schema["total_cost_usd"].dataType == once.schema["total_cost_usd"].dataType
+
