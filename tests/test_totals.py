@@ -35,3 +35,9 @@ def test_added_costs_over_a_million(spark):
     assert sorted((r["id"], r["total_cost_usd"]) for r in twice.collect()) == [("b", 999999 + 400 * MUCH), ("c", Decimal(1))]
     assert unknown.collect() == [] and twice.schema["total_cost_usd"].dataType == once.schema["total_cost_usd"].dataType
 
+
+def test_gate_of_a_total_over_a_million(spark):
+    batches = spark.createDataFrame([("b", None, Decimal(999999))], BATCHES)
+    now, _ = G.add_batch_cost(batches, attempts(spark))
+    assert [r["verdict"] for r in G.budget_gate(spark.createDataFrame([("b",)], "batch_id string"), now).collect()] == ["blocked"]
+
