@@ -248,7 +248,7 @@ def append_ledger(t):
     W.append_ledger(t.ledger.where("status = 'ok'"), path)
     W.append_ledger(t.ledger.where("status = 'failed'"), path)
     back = t.spark.read.parquet(path)
-    return back.groupBy("date", "status").agg(F.count("*").alias("n"), F.sum("cost_usd").cast("decimal(12,6)").alias("cost"))
+    return back.groupBy("date", "status").agg(F.count("*").alias("n"), F.sum("cost_usd").cast(G.TOTAL).alias("cost"))
 
 
 @query(

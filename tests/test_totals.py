@@ -41,3 +41,10 @@ def test_gate_of_a_total_over_a_million(spark):
     now, _ = G.add_batch_cost(batches, attempts(spark))
     assert [r["verdict"] for r in G.budget_gate(spark.createDataFrame([("b",)], "batch_id string"), now).collect()] == ["blocked"]
 
+
+def test_ledger_days_over_a_million(spark, tmp_path):
+    rows = [(i, dt.datetime(2024, 1, 1), 1, "click", 9999.5, '{"k": 1}') for i in range(200)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    assert [tuple(r) for r in Q.append_ledger(Tables(spark, str(tmp_path))).collect()] == [(dt.date(2024, 1, 1), "ok", 200, 200 * MUCH)]
+
