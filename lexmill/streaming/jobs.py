@@ -16,7 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from lexmill.functions import text as T
-from lexmill.operators.ledger import DEAD_AFTER
+from lexmill.operators.ledger import DEAD_AFTER, TOTAL
 from lexmill.session import fresh_path
 
 STALL_SECONDS = 180
@@ -388,7 +388,7 @@ def stalls(attempts: DataFrame, at: str = "started_at", gap: int = STALL_SECONDS
 # --- cost -------------------------------------------------------------------
 
 
-SPENT = "batch_id string, spent decimal(12,6), epoch bigint"
+SPENT = f"batch_id string, spent {TOTAL}, epoch bigint"
 
 
 def last_epoch(emitted: DataFrame) -> DataFrame:
@@ -407,7 +407,7 @@ def stream_batch_cost(attempts: DataFrame, batches: DataFrame, root: str | None
     spark = attempts.sparkSession
     root = _root(attempts, "cost", root)
     sums = attempts.where((F.col("status") == "ok") & F.col("batch_id").isNotNull()).groupBy("batch_id").agg(
-        F.sum("cost_usd").cast("decimal(12,6)").alias("spent")
+        F.sum("cost_usd").cast(TOTAL).alias("spent")
     )
     run_batches(sums, root, _epochs(root), "update", trigger)
     newest = last_epoch(read_epochs(spark, root, SPENT)).drop("epoch")

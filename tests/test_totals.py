@@ -48,3 +48,9 @@ def test_ledger_days_over_a_million(spark, tmp_path):
     events.write.parquet(str(tmp_path / "events.parquet"))
     assert [tuple(r) for r in Q.append_ledger(Tables(spark, str(tmp_path))).collect()] == [(dt.date(2024, 1, 1), "ok", 200, 200 * MUCH)]
 
+
+def test_streamed_costs_over_a_million(spark, tmp_path):
+    attempts(spark).write.parquet(str(tmp_path / "in"))
+    batches = spark.createDataFrame([("b", None, Decimal(5))], BATCHES)
+    out = J.stream_batch_cost(spark.readStream.schema(ATTEMPTS).parquet(str(tmp_path / "in")), batches, root=str(tmp_path / "run"))
+    assert [(r["spent"], r["verdict"]) for r in out.collect()] == [(200 * MUCH, "blocked")]
