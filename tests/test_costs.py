@@ -21,3 +21,12 @@ def test_buckets_of_senses_are_read_once(spark):
     visits = docs.select(N.visit_order(F.col("doc")).alias("v"))
     assert plan(visits).count("exam_sents") == 1
     assert [(c["sense"], c["en"], c["cn"]) for c in visits.first()["v"]] == [("go", "We go.", "走")]
+
+
+def test_only_considered_sentences_are_folded(spark):
+    sents = [{"sentence": s, "sentence-translation": "x"} for s in ("Straße", "STRASSE", *[f"s{i}" for i in range(12)])]
+    docs = spark.createDataFrame([(N.json.dumps({"blng_sents_part": {"sentence-pair": sents}}),)], "raw string")
+    out = N.with_reference_examples(docs.select(F.try_parse_json("raw").alias("doc")), "doc")
+    assert "_keyed" not in out._jdf.queryExecution().analyzed().toString()
+    picked = out.first()["reference_examples"][0]["examples"]
+    assert [e["en"] for e in picked] == ["Straße", *[f"s{i}" for i in range(9)]]
