@@ -118,23 +118,24 @@ INGESTED = "normalized_form string, type smallint, raw_form string, first_seen b
 def stream_ingest(lines: DataFrame, order: str, raw: str = "raw_form", root: str | None = None, trigger: dict | None = None) -> DataFrame:
     """(normalized_form, type, raw_form, first_seen): the first spelling of every form that arrives.
 
-    The stream's state has one row per form; no batch reads what earlier ones wrote. A batch
-    writes the forms that it touched, and a form is what the first batch that saw it wrote: a
-    later spelling changes nothing. Started again with the same root, it goes on.
+    The stream's state has one number per spelling; no batch reads what earlier ones wrote. Equal
+    spellings are reduced before they are normalised. A batch writes the spellings that it touched,
+    and a form is the first one that the first batch that saw it wrote: a later spelling changes
+    nothing. Started again with the same root, it goes on.
     """
     spark = lines.sparkSession
     root = _root(lines, "ingest", root)
-    formed = T.with_normalized(lines.where(~T.is_blank(F.col(raw))), raw)
-    first = formed.groupBy("normalized_form", "type").agg(F.min(F.struct(F.col(order).alias("seen"), F.col(raw).alias("raw_form"))).alias("_first"))
-    rows = first.select("normalized_form", "type", "_first.raw_form", F.col("_first.seen").alias("first_seen"))
+    # One number per spelling is aggregated in hash tables; a spelling beside it would be sorted.
+    first = lines.where(~T.is_blank(F.col(raw))).groupBy(F.col(raw).alias("raw_form")).agg(F.min(order).alias("first_seen"))
+    rows = T.with_normalized(first, "raw_form").select("normalized_form", "type", "raw_form", "first_seen")
     run_batches(rows, root, _epochs(root), "update", trigger)
     return first_epoch(read_epochs(spark, root, INGESTED)).drop("epoch")
 
 
 def first_epoch(written: DataFrame) -> DataFrame:
-    """What the first epoch that saw a form wrote of it."""
-    first = F.min_by(F.struct("raw_form", "first_seen", "epoch"), "epoch").alias("_f")
-    return written.groupBy("normalized_form", "type").agg(first).select("normalized_form", "type", "_f.*")
+    """The first spelling of what the first epoch that saw a form wrote of it."""
+    first = F.min(F.struct("epoch", "first_seen", "raw_form")).alias("_f")
+    return written.groupBy("normalized_form", "type").agg(first).select("normalized_form", "type", "_f.raw_form", "_f.first_seen", "_f.epoch")
 
 
 def stream_dedupe(lines: DataFrame, at: str, delay: str, raw: str = "raw_form") -> DataFrame:

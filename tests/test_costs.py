@@ -30,3 +30,24 @@ def test_only_considered_sentences_are_folded(spark):
     assert "_keyed" not in out._jdf.queryExecution().analyzed().toString()
     picked = out.first()["reference_examples"][0]["examples"]
     assert [e["en"] for e in picked] == ["Straße", *[f"s{i}" for i in range(9)]]
+
+
+def test_ingest_aggregates_numbers_by_spelling(spark, monkeypatch, tmp_path):
+    seen = []
+
+    def stop(rows, *_):
+        seen.append(rows._jdf.queryExecution().analyzed().toString())
+        raise InterruptedError
+
+    monkeypatch.setattr(J, "run_batches", stop)
+    spark.createDataFrame([("a", 1)], "raw_form string, line_no bigint").write.parquet(str(tmp_path / "in"))
+    with pytest.raises(InterruptedError):
+        J.stream_ingest(spark.readStream.schema("raw_form string, line_no bigint").parquet(str(tmp_path / "in")), "line_no", root=str(tmp_path / "run"))
+    assert "min(line_no" in seen[0] and "min(struct" not in seen[0]
+
+
+def test_spellings_of_one_batch(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.createDataFrame([("FIG", 3), ("Fig", 2), ("fig ", 5), (" ", 1), (None, 1)], "raw_form string, line_no bigint").write.parquet(path)
+    out = J.stream_ingest(spark.readStream.schema("raw_form string, line_no bigint").parquet(path), "line_no")
+    assert [tuple(r) for r in out.select("normalized_form", "type", "raw_form", "first_seen").collect()] == [("fig", 1, "Fig", 2)]
