@@ -152,14 +152,25 @@ DEAD_LETTER = "word_id bigint, stage_name string, id bigint, attempt int, create
 def _count_failures(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Counts failures of one word and stage in time order; a resolution starts over."""
     count = state.get[0] if state.exists else 0
-    rows = pd.concat(list(batches)).sort_values(["at", "id"], kind="stable")
+    # Most keys have a few rows, which plain tuples sort in less time than a frame is made in.
+    rows = [r for batch in batches for r in zip(batch["at"], batch["id"].tolist(), batch["resolves"].tolist(), strict=True)]
+    if len(rows) > 1:
+        rows.sort(key=_in_time)
     due: list[tuple[Any, ...]] = []
-    for at, event_id, resolves in zip(rows["at"], rows["id"], rows["resolves"], strict=True):
+    for at, event_id, resolves in rows:
         count = 0 if resolves else count + 1
         if count == DEAD_AFTER:
             due.append((key[0], key[1], event_id, DEAD_AFTER, at))
     state.update((count,))
-    yield pd.DataFrame(due, columns=["word_id", "stage_name", "id", "attempt", "created_at"])
+    if due:
+        yield pd.DataFrame(due, columns=["word_id", "stage_name", "id", "attempt", "created_at"])
+
+
+def _in_time(row: tuple) -> tuple:
+    """Order of (at, id, …); what is missing comes last."""
+    at, event_id = row[0], row[1]
+    no_at, no_id = pd.isna(at), pd.isna(event_id)
+    return no_at, 0 if no_at else at, no_id, 0 if no_id else event_id
 
 
 def stream_dead_letters(attempts: DataFrame) -> DataFrame:

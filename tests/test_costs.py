@@ -51,3 +51,16 @@ def test_spellings_of_one_batch(spark, tmp_path):
     spark.createDataFrame([("FIG", 3), ("Fig", 2), ("fig ", 5), (" ", 1), (None, 1)], "raw_form string, line_no bigint").write.parquet(path)
     out = J.stream_ingest(spark.readStream.schema("raw_form string, line_no bigint").parquet(path), "line_no")
     assert [tuple(r) for r in out.select("normalized_form", "type", "raw_form", "first_seen").collect()] == [("fig", 1, "Fig", 2)]
+
+
+def test_keys_without_letters_make_no_frame():
+    class One:
+        exists, get = False, (0,)
+
+        def update(self, value):
+            self.value = value
+
+    at = [pd.Timestamp(2024, 1, 1, 0, 0, s) for s in (5, 3, 4, 1)]
+    rows, state = pd.DataFrame({"at": at, "id": [1, 2, 3, -1], "resolves": [False, False, False, True]}), One()
+    assert list(J._count_failures((1, "s"), iter([rows[:2]]), state)) == [] and state.value == (2,)
+    assert [tuple(r) for f in J._count_failures((1, "s"), iter([rows[:1], rows[1:]]), state) for r in f.itertuples(index=False)] == [(1, "s", 1, 3, at[0])]
