@@ -205,27 +205,32 @@ class FailureOrder(StatefulProcessor):
         self.pending = handle.getListState("pending", PENDING)
         self.known = handle.getValueState("known", COUNTED)
 
-    def _wake_at(self, at: int) -> None:
-        for old in self.handle.listTimers():
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer(at)
-
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        earliest = min((t for t in self.handle.listTimers()), default=None) if self.pending.exists() else None
+        # Each call of the handle is a round trip, so a new key, which has no timer yet, takes three.
+        timers = list(self.handle.listTimers())
+        earliest = min(timers) if timers and self.pending.exists() else None
+        arrived: list[tuple[Any, ...]] = []
         for batch in rows:
             times = batch["at"].dt.tz_localize(None) if batch["at"].dt.tz is not None else batch["at"]
-            self.pending.appendList([(at.to_pydatetime(), int(i), bool(r)) for at, i, r in zip(times, batch["id"], batch["resolves"], strict=True)])
+            arrived += [(at.to_pydatetime(), int(i), bool(r)) for at, i, r in zip(times, batch["id"], batch["resolves"], strict=True)]
             first = _ms(times.min())
             earliest = first if earliest is None else min(earliest, first)
+        if arrived:
+            self.pending.appendList(arrived)
         if earliest is not None:
-            self._wake_at(max(earliest, timerValues.getCurrentWatermarkInMs() + 1))
-        yield pd.DataFrame(columns=["word_id", "stage_name", "id", "attempt", "created_at"])
+            wake = max(earliest, timerValues.getCurrentWatermarkInMs() + 1)
+            for old in timers:
+                if old != wake:
+                    self.handle.deleteTimer(old)
+            if wake not in timers:
+                self.handle.registerTimer(wake)
+        yield from ()
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         mark = timerValues.getCurrentWatermarkInMs()
-        waiting = sorted(self.pending.get(), key=lambda r: (r[0], r[1])) if self.pending.exists() else []
+        waiting = sorted(self.pending.get(), key=lambda r: (r[0], r[1]))
         due = [r for r in waiting if _ms(r[0]) <= mark]
-        count, last = tuple(self.known.get()) if self.known.exists() else (0, None)
+        count, last = self.known.get() or (0, None)
         letters: list[tuple[Any, ...]] = []
         for at, event_id, resolves in due:
             # Whether or not the timer of the idle time came first, the key was to be forgotten.
@@ -235,20 +240,22 @@ class FailureOrder(StatefulProcessor):
             if count == DEAD_AFTER:
                 letters.append((key[0], key[1], event_id, DEAD_AFTER, at))
         left = waiting[len(due):]
+        # The timer that fired is the key's only one, and Spark takes it away.
         if left:
-            self.pending.put([tuple(r) for r in left])
-            self._wake_at(max(_ms(left[0][0]), mark + 1))
-        else:
+            if due:
+                self.pending.put([tuple(r) for r in left])
+            self.handle.registerTimer(max(_ms(left[0][0]), mark + 1))
+        elif due:
             self.pending.clear()
-            if last is not None and mark >= _ms(last) + self.idle_ms:
-                self.known.clear()
-            elif last is not None:
-                self._wake_at(max(_ms(last) + self.idle_ms, mark + 1))
         if due:
             self.known.update((count, last))
-            if not left:
-                self._wake_at(max(_ms(last) + self.idle_ms, mark + 1))
-        yield pd.DataFrame(letters, columns=["word_id", "stage_name", "id", "attempt", "created_at"])
+        if not left and last is not None:
+            if due or mark < _ms(last) + self.idle_ms:
+                self.handle.registerTimer(max(_ms(last) + self.idle_ms, mark + 1))
+            else:
+                self.known.clear()
+        if letters:
+            yield pd.DataFrame(letters, columns=["word_id", "stage_name", "id", "attempt", "created_at"])
 
     def close(self) -> None:
         pass

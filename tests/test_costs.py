@@ -64,3 +64,47 @@ def test_keys_without_letters_make_no_frame():
     rows, state = pd.DataFrame({"at": at, "id": [1, 2, 3, -1], "resolves": [False, False, False, True]}), One()
     assert list(J._count_failures((1, "s"), iter([rows[:2]]), state)) == [] and state.value == (2,)
     assert [tuple(r) for f in J._count_failures((1, "s"), iter([rows[:1], rows[1:]]), state) for r in f.itertuples(index=False)] == [(1, "s", 1, 3, at[0])]
+
+
+class State:
+    """A state that counts how often it is called."""
+
+    calls = 0
+
+    def __init__(self):
+        self.rows, self.value, self.timers = [], None, set()
+
+    def __getattr__(self, name):
+        def call(*args):
+            State.calls += 1
+            return getattr(State, f"do_{name}")(self, *args)
+
+        return call
+
+    def do_exists(self):
+        return bool(self.rows) or self.value is not None
+
+    def do_appendList(self, rows):
+        self.rows += rows
+
+    def do_listTimers(self):
+        return iter(list(self.timers))
+
+    def do_registerTimer(self, at):
+        self.timers.add(at)
+
+    def do_deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def do_getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_a_new_key_takes_three_calls_of_its_state():
+    order = J.FailureOrder(1000)
+    order.handle, order.pending, order.known = State(), State(), State()
+    rows = [pd.DataFrame({"at": [pd.Timestamp(2024, 1, 1, 0, 0, s)], "id": [s], "resolves": [False]}) for s in (9, 4)]
+    State.calls = 0
+    out = list(order.handleInputRows((1, "s"), iter(rows), State()))
+    assert State.calls == 4 and out == []  # the watermark is the fourth
+    assert [r[1] for r in order.pending.rows] == [9, 4] and order.handle.timers == {int(dt.datetime(2024, 1, 1, 0, 0, 4, tzinfo=dt.UTC).timestamp() * 1000)}
