@@ -126,7 +126,9 @@ def stream_ingest(lines: DataFrame, order: str, raw: str = "raw_form", root: str
     spark = lines.sparkSession
     root = _root(lines, "ingest", root)
     # One number per spelling is aggregated in hash tables; a spelling beside it would be sorted.
-    first = lines.where(~T.is_blank(F.col(raw))).groupBy(F.col(raw).alias("raw_form")).agg(F.min(order).alias("first_seen"))
+    # A place that is not known counts as the first.
+    seen = F.when(F.count(order) == F.count(F.lit(1)), F.min(order)).alias("first_seen")
+    first = lines.where(~T.is_blank(F.col(raw))).groupBy(F.col(raw).alias("raw_form")).agg(seen)
     rows = T.with_normalized(first, "raw_form").select("normalized_form", "type", "raw_form", "first_seen")
     run_batches(rows, root, _epochs(root), "update", trigger)
     return first_epoch(read_epochs(spark, root, INGESTED)).drop("epoch")
