@@ -11,6 +11,8 @@ from lexmill.session import cut_lineage
 
 # A node of the tree has 2^STEP children.
 STEP = 4
+# The leaves of a tree of so many bits, a number each, are sent to every task.
+BROADCAST_BITS = 20
 
 
 def _leaf(keys: Sequence[str], levels: int) -> Column:
@@ -70,17 +72,19 @@ def drift_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], levels
     if sorted(source.columns) != sorted(target.columns):
         raise ValueError("both tables must have the same columns")
     leaves = differing_leaves(digest_tree(source, keys, levels), digest_tree(target, keys, levels), levels)
-
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        marked = rows.select(*[F.col(f"`{k}`") for k in keys], _leaf(keys, levels).alias("node"), _digest(sorted(rows.columns)).alias("d"))
-        some = marked.join(leaves, "node", "left_semi")
-        return some.groupBy(*keys).agg(F.struct(F.count(F.lit(1)).alias("n"), F.bit_xor("d").alias("x"), F.sum(F.col("d").cast("decimal(20,0)")).alias("s")).alias(name))
-
-    a, b = side(source, "_a"), side(target, "_b").withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(f"`{k}`").eqNullSafe(F.col(f"`_k_{k}`"))
-    joined = a.join(b, match, "full_outer")
-    drift = F.when(F.col("_b").isNull(), "missing").when(F.col("_a").isNull(), "extra").when(~F.col("_a").eqNullSafe(F.col("_b")), "changed")
-    named = [F.when(F.col("_a").isNull(), F.col(f"`_k_{k}`")).otherwise(F.col(f"`{k}`")).alias(k) for k in keys]
-    return joined.select(*named, drift.alias("drift")).where("drift IS NOT NULL")
+    if STEP * levels <= BROADCAST_BITS:
+        leaves = F.broadcast(leaves)
+
+    def side(rows: DataFrame, first: bool) -> DataFrame:
+        marked = rows.select(*[F.col(f"`{k}`") for k in keys], _leaf(keys, levels).alias("_node"), _digest(sorted(rows.columns)).alias("_d"))
+        return marked.join(leaves.withColumnRenamed("node", "_node"), "_node", "left_semi").drop("_node").withColumn("_first", F.lit(first))
+
+    # Rows of both sides meet in one grouping, where equal ones cancel each other out.
+    amount = F.col("_d").cast("decimal(20,0)")
+    met = side(source, True).unionByName(side(target, False)).groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        F.count_if("_first").alias("_a"), F.count_if(~F.col("_first")).alias("_b"), F.bit_xor("_d").alias("_x"),
+        F.sum(F.when(F.col("_first"), amount).otherwise(-amount)).alias("_s"),
+    )
+    same = (F.col("_a") == F.col("_b")) & (F.col("_x") == 0) & (F.col("_s") == 0)
+    drift = F.when(F.col("_b") == 0, "missing").when(F.col("_a") == 0, "extra").when(~same, "changed")
+    return met.select(*[F.col(f"`{k}`") for k in keys], drift.alias("drift")).where("drift IS NOT NULL")

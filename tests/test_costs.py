@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill.functions import nested as N
+from lexmill.operators import drift as D
 from lexmill.streaming import jobs as J
 
 
@@ -108,3 +109,12 @@ def test_a_new_key_takes_three_calls_of_its_state():
     out = list(order.handleInputRows((1, "s"), iter(rows), State()))
     assert State.calls == 4 and out == []  # the watermark is the fourth
     assert [r[1] for r in order.pending.rows] == [9, 4] and order.handle.timers == {int(dt.datetime(2024, 1, 1, 0, 0, 4, tzinfo=dt.UTC).timestamp() * 1000)}
+
+
+def test_drift_deals_each_row_out_once(spark):
+    one = spark.createDataFrame([(None, "a"), ("k", "a"), ("k", "a"), ("m", None), ("same", "s")], "id string, v string")
+    other = spark.createDataFrame([(None, "b"), ("k", "a"), ("m", None), ("n", "x"), ("same", "s")], "id string, v string")
+    out = D.drift_rows(one, other, ["id"])
+    physical = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in physical and "BroadcastHashJoin" in physical and "FullOuter" not in physical
+    assert sorted((str(r["id"]), r["drift"]) for r in out.collect()) == [("None", "changed"), ("k", "changed"), ("n", "extra")]
