@@ -1,8 +1,11 @@
-"""Tables whose files hold few row groups."""
+"""How rows are dealt out to tasks: few row groups, large buckets, small runs."""
 
 from pyspark.sql import functions as F
 
+from lexmill.operators import stages as S
+from lexmill.plans import dictionary_stages as DS
 from lexmill.plans.standins import Tables
+from lexmill.sources.buckets import BucketedTable
 
 
 def filled(df):
@@ -24,3 +27,36 @@ def test_documents_of_one_row_group_are_dealt_out(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "20000")
+    try:
+        data = spark.range(0, 8000, 1, 8).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        table = BucketedTable.create(data, str(tmp_path / "t"), ["k"], 2)
+        assert len(list((tmp_path / "t" / "bucket=0").glob("*.parquet"))) > 1
+        assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, data.collect()))
+        assert table.put(spark.createDataFrame([(5, "new")], "k bigint, v string")) and table.read().count() == 8000
+        assert table.read().where("k = 5").collect()[0]["v"] == "new"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_stage_moves_the_payloads_of_its_own_words_only(spark):
+    seen = []
+
+    def fn(df):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df.select("word_id", "up_a" if "up_a" in df.columns else F.lit("p").alias("payload")).toDF("word_id", "payload")
+
+    words = spark.range(20).withColumnRenamed("id", "word_id")
+    a, b = S.Stage("a", (), fn), S.Stage("b", ("a",), fn)
+    first = S.stage_chain([a], words.where("word_id < 15"), spark.createDataFrame([], DS.EMPTY_ARTIFACTS))
+    seen.clear()
+    run = S.run_stage(b, words, first.artifacts)
+    assert "LeftSemi" in seen[0]
+    told = {r["word_id"]: (r["status"], r["error"]) for r in run.ledger.collect()}
+    assert told == {i: ("ok", None) if i < 15 else ("failed", "missing upstream artifact a") for i in range(20)}
+    assert {(r["word_id"], r["payload"]) for r in run.fresh.collect()} == {(i, "p") for i in range(15)}
