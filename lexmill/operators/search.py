@@ -34,6 +34,8 @@ def search_words(
 # --- substrings by index ----------------------------------------------------
 
 GRAM = 3
+# Tasks that write an index: so many at least, and more for large tables, so that a task's grams fit its memory.
+LEAST_WRITERS, TEXTS_PER_WRITER = 8, 500_000
 
 
 def trigrams(rows: DataFrame, key: str = "word_id", text: str = "form") -> DataFrame:
@@ -57,10 +59,12 @@ class TrigramIndex:
         return F.pmod(F.xxhash64(gram), F.lit(self.buckets)).cast("int")
 
     def write(self, rows: DataFrame, key: str = "word_id", text: str = "form") -> None:
-        grams = trigrams(rows, key, text).withColumn("bucket", self._bucket(F.col("gram")))
-        # A frequent gram's rows go to several files of its bucket.
-        dealt = grams.repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(8)))
-        dealt.sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").parquet(self.path)
+        # Texts are dealt out before they are cut up, as a text is smaller than its grams; each task then
+        # sorts its own into all buckets, so a frequent gram's rows lie in several files of its bucket.
+        texts = rows.select(key, text)
+        writers = max(LEAST_WRITERS, -(-texts.count() // TEXTS_PER_WRITER))
+        grams = trigrams(texts.repartition(writers, key), key, text).withColumn("bucket", self._bucket(F.col("gram")))
+        grams.sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").parquet(self.path)
 
     def postings(self, grams: list[str]) -> DataFrame:
         """(gram, at, key) of these grams."""

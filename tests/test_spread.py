@@ -1,7 +1,8 @@
-"""How rows are dealt out to tasks: few row groups, large buckets, small runs."""
+"""How rows are dealt out to tasks: few row groups, large buckets, small runs, large indexes."""
 
 from pyspark.sql import functions as F
 
+from lexmill.operators import search as Q
 from lexmill.operators import stages as S
 from lexmill.plans import dictionary_stages as DS
 from lexmill.plans.standins import Tables
@@ -60,3 +61,12 @@ def test_a_stage_moves_the_payloads_of_its_own_words_only(spark):
     told = {r["word_id"]: (r["status"], r["error"]) for r in run.ledger.collect()}
     assert told == {i: ("ok", None) if i < 15 else ("failed", "missing upstream artifact a") for i in range(20)}
     assert {(r["word_id"], r["payload"]) for r in run.fresh.collect()} == {(i, "p") for i in range(15)}
+
+
+def test_a_large_index_is_written_by_more_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Q, "TEXTS_PER_WRITER", 100)
+    rows = spark.range(2000).select(F.col("id").alias("word_id"), F.concat(F.lit("text "), "id").alias("form"))
+    index = Q.TrigramIndex(spark, str(tmp_path / "i"), 4)
+    index.write(rows)
+    assert max(len(list(d.glob("*.parquet"))) for d in (tmp_path / "i").iterdir() if d.is_dir()) > 8
+    assert {r["word_id"] for r in Q.search_substring(rows, index, "xt 12").collect()} == {i for i in range(2000) if str(i).startswith("12")}
