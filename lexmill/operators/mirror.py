@@ -11,6 +11,7 @@ from lexmill.functions.hashing import digest_sum, digest_xor, row_digest, to_jso
 from lexmill.operators.documents import collect_child_ids, sentences_with_word
 from lexmill.operators.nesting import PART_SIZE
 from lexmill.operators.numbering import HOT_FLOOR
+from lexmill.session import cut_lineage
 
 # Columns that the mirror keeps but always leaves empty.
 EMPTY_WORD_COLUMNS = (
@@ -52,9 +53,10 @@ def _ids(children: DataFrame, parent: str, child: str, name: str, key: str = "id
 def mirror_overflow(children: DataFrame, kind: str, parent: str, child: str, key: str = "id", order: Sequence | None = None, floor: int = HOT_FLOOR) -> DataFrame:
     """(kind, parent_id, part_no, ids): the child lists that go on after the one in the parent's row.
 
-    Only parents with more than PART_SIZE children are collected, and there are few of them.
+    Only parents with more than PART_SIZE children are collected, and there are few of them. They are written
+    first, so that Spark knows how few and does not shuffle all children to meet them.
     """
-    large = children.groupBy(parent).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > PART_SIZE).select(parent)
+    large = cut_lineage(children.groupBy(parent).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > PART_SIZE).select(parent))
     parts = collect_child_ids(children.join(large, parent, "left_semi"), parent, child, key, order, floor=floor)
     return parts.where("part_no > 0").select(F.lit(kind).alias("kind"), F.col(parent).alias("parent_id"), "part_no", "ids")
 

@@ -45,7 +45,7 @@ class Snapshots:
         paths = {}
         for name, df in tables.items():
             paths[name] = f"{self.root}/tables/{name}-{uuid.uuid4().hex}"
-            df.write.parquet(paths[name])
+            df.write.option("compression", "zstd").parquet(paths[name])
         return paths
 
     def publish(self, paths: dict[str, str]) -> None:
