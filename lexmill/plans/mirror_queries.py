@@ -169,7 +169,7 @@ def append_run_report(t):
 @query("export_packaged_json", PACKAGE_SQL + "SELECT word_id, word_json FROM d")
 def export_packaged_json(t):
     path = fresh_path(t.spark, "package")
-    entries = D.package_entry(t.dom_words, t.dom_meanings, t.dom_sentences, t.dom_mnemonics, t.sentence_order)
+    entries = D.package_entry(t.dom_words, t.dom_meanings, t.dom_sentences, t.dom_mnemonics, t.sentence_order, ranged=True)
     W.export_packaged_json(entries, path)
     return t.spark.read.schema("word_id bigint, word_json string").json(path)
 

@@ -103,11 +103,11 @@ def mirror_refresh(
 
 
 def export_packaged_json(entries: DataFrame, path: str, limit: int | None = None) -> None:
-    """(word_id, word_json) rows as JSON lines, ordered by word_id over all files."""
+    """(word_id, word_json) rows as gzipped JSON lines, ordered by word_id over all files."""
     ordered = entries.select("word_id", "word_json").orderBy("word_id")
     if limit is not None:
         ordered = ordered.limit(limit)
-    ordered.write.json(path)
+    ordered.write.option("compression", "gzip").json(path)
 
 
 def write_table_jdbc(df: DataFrame, url: str, table: str, batch: int = 5000, **options: str) -> None:
