@@ -85,3 +85,25 @@ def test_changes_in_place_send_no_table(spark, tmp_path, plans):
     assert sorted(r["form"] for r in tables["words"].read().collect()) == sorted(f"n{i}" if i % 2 == 0 else f"w{i}" for i in range(20))
     changed = {r["meaning_id"]: r["cn_paraphrase"] for r in tables["meanings"].read().collect()}
     assert changed == {m: f"n{m // 3}" if m % 3 == 0 and m // 3 % 2 == 1 and m != 15 else f"cn{m}" for m in range(60)}
+
+
+def test_patches_in_place_send_no_table(spark, tmp_path, plans):
+    tables = {k: v for k, v in vocabulary(spark, tmp_path).items() if k != "words"}
+    patches = stored(
+        spark.range(20).select(
+            F.col("id").alias("word_id"), F.col("id").alias("seq"), F.when(F.col("id") % 4 == 3, "delete").otherwise("update").alias("op"),
+            F.when(F.col("id") % 4 == 0, "meanings[1].cn_paraphrase").when(F.col("id") % 4 == 1, "meanings[0].examples[1].cn")
+            .when(F.col("id") % 4 == 2, "mnemonic.text").otherwise("meanings[2]").alias("path"),
+            F.lit(None).cast("string").alias("old_value"), F.concat(F.lit("n"), "id").alias("new_value"),
+        ), tmp_path, "patches",
+    )
+    plans.clear()
+    done = review.apply_patches_in_place(tables, patches)
+    assert plans and not sent(plans) and not sent([plan(done["outcomes"])])
+    assert [r["status"] for r in done["outcomes"].collect()] == ["applied"] * 20
+    gone = {3 * w + 2 for w in range(3, 20, 4)}
+    got = {r["meaning_id"]: r["cn_paraphrase"] for r in done["meanings"].collect()}
+    assert got == {m: f"n{m // 3}" if m % 3 == 1 and m // 3 % 4 == 0 else f"cn{m}" for m in range(60) if m not in gone}
+    got = {r["sentence_id"]: r["translation"] for r in done["sentences"].collect()}
+    assert got == {s: f"n{s // 6}" if s % 6 == 1 and s // 6 % 4 == 1 else "t" for s in range(120) if s // 2 not in gone}
+    assert {r["word_id"]: r["text"] for r in done["mnemonics"].collect()} == {w: f"n{w}" if w % 4 == 2 else f"m{w}" for w in range(20)}
