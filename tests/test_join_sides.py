@@ -107,3 +107,40 @@ def test_patches_in_place_send_no_table(spark, tmp_path, plans):
     got = {r["sentence_id"]: r["translation"] for r in done["sentences"].collect()}
     assert got == {s: f"n{s // 6}" if s % 6 == 1 and s // 6 % 4 == 1 else "t" for s in range(120) if s // 2 not in gone}
     assert {r["word_id"]: r["text"] for r in done["mnemonics"].collect()} == {w: f"n{w}" if w % 4 == 2 else f"m{w}" for w in range(20)}
+
+
+@pytest.mark.parametrize("kept", [True, False])
+def test_stages_send_no_table(spark, tmp_path, plans, monkeypatch, kept):
+    monkeypatch.setattr(stages, "FEW", -1)
+    words = stored(spark.range(30).withColumnRenamed("id", "word_id"), tmp_path, "words")
+    empty = spark.createDataFrame([], DS.EMPTY_ARTIFACTS)
+
+    def run(df):
+        lost = F.col("word_id") % 10 == 3
+        return df.select("word_id", F.when(~lost, "{}").alias("payload"), F.when(lost, "none").alias("error"))
+
+    chain = [stages.Stage("a", (), run), stages.Stage("b", ("a",), run), stages.Stage("c", ("a", "b"), run)]
+    store = stages.ArtifactStore(spark, str(tmp_path / "artifacts"), empty.schema, 4) if kept else empty
+    first = stages.stage_chain(chain, words, store)
+    assert first.report == [("a", 27, 3, 0), ("b", 27, 0, 0), ("c", 27, 0, 0)]
+    again = stages.stage_chain(chain, words, store if kept else stored(first.artifacts, tmp_path, "made"))
+    assert again.report == [("a", 0, 3, 27), ("b", 0, 0, 27), ("c", 0, 0, 27)]
+    assert plans and not sent(plans) and first.artifacts.count() == 81
+
+
+def test_calls_send_a_short_list_only(spark, tmp_path, plans, monkeypatch):
+    given = stored(
+        spark.range(40).select(
+            "id", F.lit("k").alias("kind"), F.lit("gpt-5-mini").alias("model"), F.lit("{}").alias("params_json"),
+            F.concat(F.lit("p"), F.col("id") % 30).alias("prompt"), F.lit("{}").alias("input_json"),
+        ), tmp_path, "calls",
+    )
+    kept = stored(spark.createDataFrame([], DS.EMPTY_CACHE), tmp_path, "kept")
+    for most in (500_000, 0):
+        plans.clear()
+        monkeypatch.setattr(inference, "LISTED", most, raising=False)
+        out = inference.cached_inference(given, kept, inference.digest_model, "id", partitions=2)
+        asked = [p for p in plans if "MapInPandas" in p]
+        assert len(asked) == 1 and ("BroadcastHashJoin" in asked[0]) == (most > 0)
+        assert not sent([p for p in plans if p not in asked] + [plan(out.results)])
+        assert out.results.count() == 40 and out.new_cache.count() == 30
