@@ -144,3 +144,28 @@ def test_calls_send_a_short_list_only(spark, tmp_path, plans, monkeypatch):
         assert len(asked) == 1 and ("BroadcastHashJoin" in asked[0]) == (most > 0)
         assert not sent([p for p in plans if p not in asked] + [plan(out.results)])
         assert out.results.count() == 40 and out.new_cache.count() == 30
+
+
+def test_records_and_serving_rows_send_no_table(spark, tmp_path, plans):
+    ids = spark.range(30).withColumnRenamed("id", "word_id")
+    blobs = stored(ids.withColumn("form", F.concat(F.lit("w"), "word_id")), tmp_path, "blobs")
+    gathered = stored(ids.select("word_id", F.array(F.lit("dull")).alias("issues"), F.lit(None).cast("string").alias("check_error")), tmp_path, "gathered")
+    proposed = stored(ids.where("word_id % 2 = 0").select("word_id", F.lit(None).cast("string").alias("fix_error")), tmp_path, "proposed")
+    outcomes = stored(ids.select("word_id", F.when(F.col("word_id") % 3 == 0, "applied").otherwise("drift").alias("status")), tmp_path, "outcomes")
+    records = review.review_records(blobs, gathered, proposed, outcomes)
+    assert not sent([plan(records)]) and [tuple(r) for r in records.groupBy().agg(F.count("*"), F.sum("applied"), F.sum("drift_skipped")).collect()] == [(30, 10, 20)]
+
+    tables = {k: v.read() for k, v in vocabulary(spark, tmp_path).items()}
+    none = F.lit(None).cast("string")
+    tables["words"] = tables["words"].withColumns(
+        {c: none for c in ("phonetic_us", "phonetic_uk", "audio_us", "audio_uk")} | {"type": F.lit(1), "status": F.lit(1), "quality_flag": F.lit("none")}
+    )
+    tables["meanings"] = tables["meanings"].withColumns({"pos": F.lit(1).cast("smallint"), "pos_sub": F.lit(None).cast("smallint")})
+    tables["sentences"] = tables["sentences"].withColumn("source", F.lit("s"))
+    tables["mnemonics"] = tables["mnemonics"].withColumns({"type": F.lit(1).cast("smallint"), "kind": F.lit("phonetic")})
+    tables["phrases"] = stored(ids.select(F.col("word_id").alias("phrase_id"), F.col("word_id").alias("owner_word_id"), F.lit("p").alias("form"), F.lit("m").alias("meaning")), tmp_path, "phrases")
+    packages = stored(ids.select(F.lit(1).cast("bigint").alias("package_id"), F.lit(2).cast("bigint").alias("unit_id"), "word_id", F.lit(1.0).alias("sort_order"), F.lit(1).alias("importance")), tmp_path, "packages")
+    plans.clear()
+    refresh = export.serving_refresh(stored(ids.where("word_id < 9"), tmp_path, "changed"), tables, packages)
+    assert not sent([*plans, plan(refresh["upsert"]), plan(refresh["remove"])])
+    assert refresh["upsert"].count() == 9 and refresh["remove"].count() == 0
