@@ -112,7 +112,8 @@ def test_patches_in_place_send_no_table(spark, tmp_path, plans):
 @pytest.mark.parametrize("kept", [True, False])
 def test_stages_send_no_table(spark, tmp_path, plans, monkeypatch, kept):
     monkeypatch.setattr(stages, "FEW", -1)
-    words = stored(spark.range(30).withColumnRenamed("id", "word_id"), tmp_path, "words")
+    # So many that the product of two files, by which Spark judges a joined side, is above its limit.
+    words = stored(spark.range(30_000).withColumnRenamed("id", "word_id"), tmp_path, "words")
     empty = spark.createDataFrame([], DS.EMPTY_ARTIFACTS)
 
     def run(df):
@@ -122,10 +123,10 @@ def test_stages_send_no_table(spark, tmp_path, plans, monkeypatch, kept):
     chain = [stages.Stage("a", (), run), stages.Stage("b", ("a",), run), stages.Stage("c", ("a", "b"), run)]
     store = stages.ArtifactStore(spark, str(tmp_path / "artifacts"), empty.schema, 4) if kept else empty
     first = stages.stage_chain(chain, words, store)
-    assert first.report == [("a", 27, 3, 0), ("b", 27, 0, 0), ("c", 27, 0, 0)]
+    assert first.report == [("a", 27_000, 3000, 0), ("b", 27_000, 0, 0), ("c", 27_000, 0, 0)]
     again = stages.stage_chain(chain, words, store if kept else stored(first.artifacts, tmp_path, "made"))
-    assert again.report == [("a", 0, 3, 27), ("b", 0, 0, 27), ("c", 0, 0, 27)]
-    assert plans and not sent(plans) and first.artifacts.count() == 81
+    assert again.report == [("a", 0, 3000, 27_000), ("b", 0, 0, 27_000), ("c", 0, 0, 27_000)]
+    assert plans and not sent(plans) and first.artifacts.count() == 81_000
 
 
 def test_calls_send_a_short_list_only(spark, tmp_path, plans, monkeypatch):
